@@ -112,3 +112,14 @@ def require_columns(df: DataFrame, cols: list[str], what: str = "input") -> None
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"{what} is missing required columns: {missing}")
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a one-row aggregate to every row of ``df``.
+
+    Expressed as a struct-valued scalar subquery (evaluated once, shipped as
+    a literal), so no join is planned.
+    """
+    s = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.select("*", s.alias("_attached")).select(
+        *[F.col(c) for c in df.columns], *[F.col(f"_attached.{c}").alias(c) for c in one_row.columns])

@@ -68,3 +68,209 @@ WITH {RFM_CTE}
 SELECT "Customer ID", Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary,
        Frequency_raw, {r('Monetary_raw', 2)} AS Monetary_raw
 FROM rfm"""
+
+FEATURE_CTE = CLEAN_CTE + """,
+dated AS (
+  SELECT *, CAST(year(InvoiceDate) AS INTEGER) AS Year, CAST(month(InvoiceDate) AS INTEGER) AS Month,
+         CAST(day(InvoiceDate) AS INTEGER) AS Day, CAST(hour(InvoiceDate) AS INTEGER) AS Hour,
+         CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS DayOfWeek
+  FROM lines),
+inv AS (
+  SELECT Invoice, sum(_q) AS TransactionSize, count(StockCode) AS UniqueItems
+  FROM (SELECT Invoice, StockCode, sum(Quantity) AS _q FROM dated GROUP BY Invoice, StockCode)
+  GROUP BY Invoice),
+feat AS (SELECT d.*, i.TransactionSize, i.UniqueItems FROM dated d LEFT JOIN inv i USING (Invoice))"""
+
+DIRTY_COLS = [("Invoice", "bigint"), ("StockCode", "bigint"), ("Description", "string"), ("Quantity", "double"),
+              ("InvoiceDate", "timestamp_ntz"), ("Price", "double"), ("Customer ID", "bigint"), ("Country", "string")]
+
+
+def q(name: str) -> str:
+    return '"' + name + '"'
+
+
+def hist_sql(src: str, col: str, bins: int = 50) -> str:
+    """CTE chain ending in ``hist(bin, bin_start, bin_end, count)`` (numpy edges)."""
+    b = f"CAST({bins} AS DOUBLE)"
+    return f"""
+hs AS (SELECT CASE WHEN min({col}) = max({col}) THEN min({col}) - 0.5 ELSE min({col}) END AS lo,
+              CASE WHEN min({col}) = max({col}) THEN max({col}) + 0.5 ELSE max({col}) END AS hi
+       FROM {src} WHERE {col} IS NOT NULL),
+hx AS (SELECT CAST({col} AS DOUBLE) AS x, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi,
+              (CAST(hi AS DOUBLE) - CAST(lo AS DOUBLE)) / {b} AS step
+       FROM {src}, hs WHERE {col} IS NOT NULL),
+h0 AS (SELECT *, LEAST(CAST(floor((x - lo) / (hi - lo) * {b}) AS INTEGER), {bins - 1}) AS i0 FROM hx),
+h1 AS (SELECT *, CASE WHEN x < (CASE WHEN i0 = {bins} THEN hi ELSE i0 * step + lo END)
+                      THEN i0 - 1 ELSE i0 END AS i1 FROM h0),
+h2 AS (SELECT CASE WHEN x >= (CASE WHEN i1 + 1 = {bins} THEN hi ELSE (i1 + 1) * step + lo END)
+                        AND i1 <> {bins - 1} THEN i1 + 1 ELSE i1 END AS bin FROM h1),
+hc AS (SELECT bin, count(*) AS cnt FROM h2 GROUP BY bin),
+hg AS (SELECT CAST(g.bin AS INTEGER) AS bin, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi,
+              (CAST(hi AS DOUBLE) - CAST(lo AS DOUBLE)) / {b} AS step
+       FROM hs, range(0, {bins}) g(bin)),
+hist AS (SELECT bin, i.bin * step + lo AS bin_start,
+                CASE WHEN bin + 1 = {bins} THEN hi ELSE (bin + 1) * step + lo END AS bin_end,
+                CAST(coalesce(cnt, 0) AS BIGINT) AS count
+         FROM hg i LEFT JOIN hc USING (bin))"""
+
+
+ORACLE["profile_summary"] = f"""
+WITH {DIRTY_CTE}
+SELECT (SELECT count(*) FROM retail_dirty) AS rows, CAST(8 AS BIGINT) AS columns,
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
+          SELECT count(*) AS n FROM retail_dirty
+          GROUP BY Invoice, StockCode, Description, Quantity, InvoiceDate, Price, "Customer ID", Country)) AS duplicate_rows,
+       (SELECT CAST({' + '.join(f'count_if({q(c)} IS NULL)' for c, _ in DIRTY_COLS)} AS BIGINT) FROM retail_dirty)
+         AS total_missing"""
+
+ORACLE["profile_missing"] = f"""
+WITH {DIRTY_CTE},
+n AS (SELECT count(*) AS _rows, {', '.join(f'count_if({q(c)} IS NULL) AS m{i}' for i, (c, _) in enumerate(DIRTY_COLS))}
+      FROM retail_dirty)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"Column\", '{t}' AS DataType, CAST(_rows - m{i} AS BIGINT) AS Non_Null_Count, "
+    f"CAST(m{i} AS BIGINT) AS Missing_Count, {r(f'm{i} * 100.0 / _rows', 2)} AS Missing_Percentage FROM n"
+    for i, (c, t) in enumerate(DIRTY_COLS))
+
+DESCRIBE_COLS = ["Invoice", "StockCode", "Quantity", "Price", "Customer ID"]
+ORACLE["profile_describe"] = f"""
+WITH {DIRTY_CTE}
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "Column", count({q(c)}) AS count, {r(f'avg(CAST({q(c)} AS DOUBLE))')} AS mean,
+       {r(f'stddev_samp(CAST({q(c)} AS DOUBLE))')} AS std, {r(f'min(CAST({q(c)} AS DOUBLE))')} AS min,
+       {r(f'quantile_cont(CAST({q(c)} AS DOUBLE), 0.25)')} AS p25,
+       {r(f'quantile_cont(CAST({q(c)} AS DOUBLE), 0.5)')} AS p50,
+       {r(f'quantile_cont(CAST({q(c)} AS DOUBLE), 0.75)')} AS p75,
+       {r(f'max(CAST({q(c)} AS DOUBLE))')} AS max FROM retail_dirty""" for c in DESCRIBE_COLS)
+
+ORACLE["clean_lineage"] = f"""
+WITH {CLEAN_CTE},
+a AS (SELECT count(*) AS original_rows, count_if(Description IS NULL) AS dnd,
+             count_if(Description IS NOT NULL AND "Customer ID" IS NULL) AS dnc FROM retail_dirty),
+b AS (SELECT count(*) AS cleaned_rows, count(DISTINCT "Customer ID") AS uc, count(DISTINCT Invoice) AS ui,
+             count(DISTINCT StockCode) AS up, count(DISTINCT Country) AS uco FROM clean)
+SELECT CAST(original_rows AS BIGINT) AS original_rows, CAST(cleaned_rows AS BIGINT) AS cleaned_rows,
+       CAST(dnd AS BIGINT) AS dropped_null_description, CAST(dnc AS BIGINT) AS dropped_null_customer,
+       CAST(original_rows - dnd - dnc - cleaned_rows AS BIGINT) AS dropped_duplicates,
+       CAST(uc AS BIGINT) AS unique_customers, CAST(ui AS BIGINT) AS unique_invoices,
+       CAST(up AS BIGINT) AS unique_products, CAST(uco AS BIGINT) AS unique_countries
+FROM a, b"""
+
+ORACLE["clean_lines"] = f"""
+WITH {CLEAN_CTE}
+SELECT * FROM clean"""
+
+ORACLE["features_invoice_stats"] = f"""
+WITH {FEATURE_CTE}
+SELECT Invoice, StockCode, Quantity, InvoiceDate, Price, "Customer ID", Country, Year, Month, Day, Hour, DayOfWeek,
+       {r('TotalPrice', 4)} AS TotalPrice, {r('TransactionSize')} AS TransactionSize, UniqueItems
+FROM feat"""
+
+SCALE = ["Quantity", "Price", "TotalPrice", "TransactionSize", "UniqueItems"]
+ORACLE["features_scaler_params"] = f"""
+WITH {FEATURE_CTE}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {r(f'avg(CAST({c} AS DOUBLE))')} AS mean, "
+    f"{r(f'CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END')} AS scale "
+    f"FROM feat" for c in SCALE)
+
+ORACLE["features_scaled"] = f"""
+WITH {FEATURE_CTE},
+p AS (SELECT {', '.join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{c}" for c in SCALE)} FROM feat)
+SELECT Invoice, StockCode, InvoiceDate, "Customer ID",
+       {', '.join(f"{r(f'(CAST({c} AS DOUBLE) - m_{c}) / s_{c}')} AS {c}" for c in SCALE)}
+FROM feat, p"""
+
+ORACLE["features_one_hot_counts"] = f"""
+WITH {CLEAN_CTE}
+SELECT 'Country_' || Country AS "column", CAST(count(*) AS BIGINT) AS ones, CAST(count(*) AS BIGINT) AS rows_total_check
+FROM clean GROUP BY Country"""
+
+ORACLE["eda_kpis"] = f"""
+WITH {FEATURE_CTE}
+SELECT count(*) AS total_transactions, count(DISTINCT "Customer ID") AS unique_customers,
+       count(DISTINCT StockCode) AS unique_products, count(DISTINCT Country) AS unique_countries,
+       {r('sum(TotalPrice)', 2)} AS total_revenue, {r('avg(TotalPrice)')} AS avg_transaction_value,
+       CAST(floor((epoch_us(max(InvoiceDate)) - epoch_us(min(InvoiceDate))) / 86400000000) AS BIGINT) AS date_range_days,
+       {r('quantile_cont(TotalPrice, 0.5)')} AS median_transaction_value
+FROM dated"""
+
+ORACLE["eda_monthly_revenue"] = f"""
+WITH {FEATURE_CTE}
+SELECT Year, Month, {r('sum(TotalPrice)', 2)} AS TotalPrice, make_date(Year, Month, 1) AS Date
+FROM dated GROUP BY Year, Month"""
+
+ORACLE["eda_monthly_active_customers"] = f"""
+WITH {FEATURE_CTE}
+SELECT Year, Month, count(DISTINCT "Customer ID") AS ActiveCustomers, make_date(Year, Month, 1) AS Date
+FROM dated GROUP BY Year, Month"""
+
+ORACLE["eda_top_countries"] = f"""
+WITH {FEATURE_CTE}
+SELECT Country, {r('s', 2)} AS TotalPrice FROM (
+  SELECT Country, sum(TotalPrice) AS s FROM dated WHERE Country IS NOT NULL GROUP BY Country)
+ORDER BY s DESC, Country LIMIT 10"""
+
+ORACLE["eda_top_products"] = f"""
+WITH {FEATURE_CTE}
+SELECT Description, {r('s', 2)} AS Quantity FROM (
+  SELECT Description, sum(Quantity) AS s FROM dated WHERE Description IS NOT NULL GROUP BY Description)
+ORDER BY s DESC, Description LIMIT 10"""
+
+ORACLE["eda_top_customers"] = f"""
+WITH {FEATURE_CTE}
+SELECT CAST("Customer ID" AS VARCHAR) AS "Customer ID", {r('s', 2)} AS TotalPrice FROM (
+  SELECT "Customer ID", sum(TotalPrice) AS s FROM dated WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID")
+ORDER BY s DESC, "Customer ID" LIMIT 10"""
+
+ORACLE["eda_weekday_hour"] = """
+WITH act AS (
+  SELECT event_id AS Invoice, CAST(isodow(ts) - 1 AS INTEGER) AS DayOfWeek, CAST(hour(ts) AS INTEGER) AS Hour
+  FROM events)
+SELECT DayOfWeek, Hour, count(DISTINCT Invoice) AS Invoices,
+       ['Mon','Tue','Wed','Thu','Fri','Sat','Sun'][DayOfWeek + 1] AS Day
+FROM act GROUP BY DayOfWeek, Hour"""
+
+ORACLE["eda_revenue_by_weekday"] = f"""
+WITH {FEATURE_CTE}
+SELECT DayOfWeek, {r('sum(TotalPrice)', 2)} AS TotalPrice,
+       ['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][DayOfWeek + 1] AS DayName
+FROM dated GROUP BY DayOfWeek"""
+
+REVENUE_KEPT = FEATURE_CTE + """,
+p99 AS (SELECT quantile_cont(TotalPrice, 0.99) AS p99 FROM dated),
+kept AS (SELECT TotalPrice FROM dated, p99 WHERE TotalPrice > 0 AND TotalPrice < p99.p99)"""
+
+ORACLE["eda_revenue_histogram"] = f"""
+WITH {REVENUE_KEPT}, {hist_sql('kept', 'TotalPrice')}
+SELECT bin, {r('bin_start')} AS bin_start, {r('bin_end')} AS bin_end, count FROM hist"""
+
+ORACLE["eda_revenue_stats"] = f"""
+WITH {REVENUE_KEPT}
+SELECT {r('(SELECT p99 FROM p99)')} AS p99, count(*) AS n, {r('avg(TotalPrice)')} AS mean,
+       {r('quantile_cont(TotalPrice, 0.5)')} AS median
+FROM kept"""
+
+PURCHASE_CTE = FEATURE_CTE + """,
+pc AS (SELECT "Customer ID", count(DISTINCT Invoice) AS PurchaseCount FROM dated
+       WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID"),
+pcc AS (SELECT LEAST(PurchaseCount, 50) AS PurchaseCount FROM pc)"""
+
+ORACLE["eda_purchase_frequency"] = f"""
+WITH {PURCHASE_CTE}
+SELECT count(*) AS customers, {r('avg(PurchaseCount)')} AS avg_purchases_per_customer,
+       CAST(max(PurchaseCount) AS BIGINT) AS max_purchases_by_customer,
+       count_if(PurchaseCount = 1) AS single_purchase_customers
+FROM pc"""
+
+ORACLE["eda_purchase_histogram"] = f"""
+WITH {PURCHASE_CTE}, {hist_sql('pcc', 'PurchaseCount')}
+SELECT bin, {r('bin_start')} AS bin_start, {r('bin_end')} AS bin_end, count FROM hist"""
+
+ORACLE["eda_quantity_price_sample"] = f"""
+WITH {FEATURE_CTE}
+SELECT Invoice, StockCode, Quantity, Price FROM dated
+WHERE Quantity > 0 AND Price > 0
+ORDER BY md5(concat_ws(':', CAST(Invoice AS VARCHAR), CAST(StockCode AS VARCHAR),
+                       CAST(CAST(Quantity AS BIGINT) AS VARCHAR)) || ':42'), Invoice, StockCode, Quantity, Price
+LIMIT 5000"""

@@ -13,8 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import CUSTOMER, np_round
+from tillroll.functions.columns import CUSTOMER, np_round, with_total_price
 from tillroll.operators import clean as C
+from tillroll.operators import eda as EDA
+from tillroll.operators import features as FE
+from tillroll.operators import profile as P
 from tillroll.operators import rfm as R
 from tillroll.sources import tables as S
 
@@ -51,3 +54,139 @@ def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rfm_log(spark, sf_dir):
     df = R.rfm_log(clean_lines(spark, sf_dir))
     return rounded(df, {"Monetary_raw": 2})
+
+
+def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines with date parts, TotalPrice and invoice basket stats."""
+    return FE.feature_engineering(clean_lines(spark, sf_dir))
+
+
+def money_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines with date parts and TotalPrice (no invoice join)."""
+    return with_total_price(FE.add_date_parts(clean_lines(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------- profile
+@query("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    return P.dataset_summary(S.retail_dirty(spark, sf_dir))
+
+
+@query("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    return P.missing_report(S.retail_dirty(spark, sf_dir))
+
+
+@query("profile_describe")
+def q_profile_describe(spark, sf_dir):
+    return rounded(P.describe(S.retail_dirty(spark, sf_dir), ["Invoice", "StockCode", "Quantity", "Price", CUSTOMER]))
+
+
+@query("clean_lineage")
+def q_clean_lineage(spark, sf_dir):
+    raw = S.retail_dirty(spark, sf_dir)
+    return P.cleaning_lineage(raw, C.clean(raw))
+
+
+@query("clean_lines")
+def q_clean_lines(spark, sf_dir):
+    return clean_lines(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- features
+@query("features_invoice_stats")
+def q_features_invoice_stats(spark, sf_dir):
+    return rounded(feature_lines(spark, sf_dir).drop("Description"), {"TotalPrice": 4})
+
+
+@query("features_scaled")
+def q_features_scaled(spark, sf_dir):
+    df = FE.encode_and_scale(feature_lines(spark, sf_dir))
+    keep = ["Invoice", "StockCode", "InvoiceDate", CUSTOMER] + FE.SCALE_FEATURES
+    return rounded(df.select(*keep), default=6)
+
+
+@query("features_scaler_params")
+def q_features_scaler_params(spark, sf_dir):
+    df = feature_lines(spark, sf_dir)
+    return rounded(FE.fit_standard_scaler(df, FE.SCALE_FEATURES))
+
+
+# --------------------------------------------------------------------- EDA
+@query("eda_kpis")
+def q_eda_kpis(spark, sf_dir):
+    return rounded(EDA.kpis(money_lines(spark, sf_dir)), {"total_revenue": 2})
+
+
+@query("eda_monthly_revenue")
+def q_eda_monthly_revenue(spark, sf_dir):
+    return rounded(EDA.monthly_revenue(money_lines(spark, sf_dir)), {"TotalPrice": 2})
+
+
+@query("eda_monthly_active_customers")
+def q_eda_monthly_active(spark, sf_dir):
+    return EDA.monthly_active_customers(money_lines(spark, sf_dir))
+
+
+@query("eda_top_countries")
+def q_eda_top_countries(spark, sf_dir):
+    return rounded(EDA.top_countries(money_lines(spark, sf_dir)), {"TotalPrice": 2})
+
+
+@query("eda_top_products")
+def q_eda_top_products(spark, sf_dir):
+    return rounded(EDA.top_products(money_lines(spark, sf_dir)), {"Quantity": 2})
+
+
+@query("eda_top_customers")
+def q_eda_top_customers(spark, sf_dir):
+    return rounded(EDA.top_customers(money_lines(spark, sf_dir)), {"TotalPrice": 2})
+
+
+@query("eda_weekday_hour")
+def q_eda_weekday_hour(spark, sf_dir):
+    act = FE.add_date_parts(S.activity(spark, sf_dir))
+    return EDA.weekday_hour_invoices(act)
+
+
+@query("eda_revenue_by_weekday")
+def q_eda_revenue_by_weekday(spark, sf_dir):
+    return rounded(EDA.revenue_by_weekday(money_lines(spark, sf_dir)), {"TotalPrice": 2})
+
+
+@query("eda_revenue_histogram")
+def q_eda_revenue_histogram(spark, sf_dir):
+    hist, _ = EDA.revenue_distribution(money_lines(spark, sf_dir))
+    return rounded(hist)
+
+
+@query("eda_revenue_stats")
+def q_eda_revenue_stats(spark, sf_dir):
+    _, stats = EDA.revenue_distribution(money_lines(spark, sf_dir))
+    return rounded(stats)
+
+
+@query("eda_purchase_frequency")
+def q_eda_purchase_frequency(spark, sf_dir):
+    return rounded(EDA.purchase_frequency_stats(money_lines(spark, sf_dir)))
+
+
+@query("eda_purchase_histogram")
+def q_eda_purchase_histogram(spark, sf_dir):
+    return rounded(EDA.purchase_frequency_histogram(money_lines(spark, sf_dir)))
+
+
+@query("eda_quantity_price_sample")
+def q_eda_qp_sample(spark, sf_dir):
+    return EDA.quantity_price_sample(money_lines(spark, sf_dir))
+
+
+@query("features_one_hot_counts")
+def q_features_one_hot_counts(spark, sf_dir):
+    """Sum of each generated Country_<v> indicator column (= rows of that country)."""
+    df = FE.one_hot(clean_lines(spark, sf_dir), "Country")
+    cols = [c for c in df.columns if c.startswith("Country_")]
+    sums = df.agg(*[F.sum(F.col(c)).cast("bigint").alias(f"s{i}") for i, c in enumerate(cols)])
+    parts = [x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"s{i}"))]
+    long = sums.select(F.stack(F.lit(len(cols)), *parts).alias("column", "ones"))
+    return long.withColumn("rows_total_check", F.col("ones"))
