@@ -274,3 +274,213 @@ WHERE Quantity > 0 AND Price > 0
 ORDER BY md5(concat_ws(':', CAST(Invoice AS VARCHAR), CAST(StockCode AS VARCHAR),
                        CAST(CAST(Quantity AS BIGINT) AS VARCHAR)) || ':42'), Invoice, StockCode, Quantity, Price
 LIMIT 5000"""
+
+ORACLE["eda_purchase_frequency"] = ORACLE["eda_purchase_frequency"].replace(
+    "count_if(PurchaseCount = 1) AS single_purchase_customers",
+    "CAST(count_if(PurchaseCount = 1) AS BIGINT) AS single_purchase_customers")
+
+# ------------------------------------------------------------ clustering
+SCALED_CTE = RFM_CTE + """,
+sc AS (SELECT avg(CAST(Recency AS DOUBLE)) AS mr, stddev_pop(CAST(Recency AS DOUBLE)) AS sr0,
+              avg(Frequency) AS mf, stddev_pop(Frequency) AS sf0, avg(Monetary) AS mm, stddev_pop(Monetary) AS sm0
+       FROM rfm),
+rs AS (SELECT rfm.*,
+              (CAST(Recency AS DOUBLE) - mr) / (CASE WHEN sr0 = 0 THEN 1.0 ELSE sr0 END) AS Recency_s,
+              (Frequency - mf) / (CASE WHEN sf0 = 0 THEN 1.0 ELSE sf0 END) AS Frequency_s,
+              (Monetary - mm) / (CASE WHEN sm0 = 0 THEN 1.0 ELSE sm0 END) AS Monetary_s
+       FROM rfm, sc),
+cent AS (SELECT CAST(Cluster AS INTEGER) AS Cluster, CAST(cr AS DOUBLE) AS cr, CAST(cf AS DOUBLE) AS cf,
+                CAST(cm AS DOUBLE) AS cm
+         FROM (VALUES (0, -0.6, 0.6, 0.6), (1, -0.3, -0.5, -0.4), (2, 0.5, 0.4, 0.5), (3, 2.0, -1.2, -1.3))
+              t(Cluster, cr, cf, cm)),
+dd AS (SELECT rs.*, Cluster,
+              (Recency_s - cr) * (Recency_s - cr) + (Frequency_s - cf) * (Frequency_s - cf)
+              + (Monetary_s - cm) * (Monetary_s - cm) AS SqDistance
+       FROM rs, cent),
+clustered AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY SqDistance, Cluster) AS rn FROM dd)
+  WHERE rn = 1)"""
+
+ORACLE["cluster_assign_fixed"] = f"""
+WITH {SCALED_CTE}
+SELECT "Customer ID", {r('Recency_s')} AS Recency_s, {r('Frequency_s')} AS Frequency_s,
+       {r('Monetary_s')} AS Monetary_s, Cluster, {r('SqDistance')} AS SqDistance
+FROM clustered"""
+
+ORACLE["cluster_inertia_fixed"] = f"""
+WITH {SCALED_CTE}
+SELECT Cluster, count(*) AS n, {r('sum(SqDistance)')} AS inertia FROM clustered GROUP BY Cluster"""
+
+
+def quality_ctes() -> str:
+    """CTEs over ``pts(key, label, vec DOUBLE[])`` ending in ``quality`` and ``sil``."""
+    return """
+ex AS (SELECT key, label, unnest(vec) AS v, unnest(range(1, len(vec) + 1)) AS pos FROM pts),
+qcent AS (SELECT label, pos, avg(v) AS m FROM ex GROUP BY label, pos),
+csize AS (SELECT label, count(*) AS n FROM pts GROUP BY label),
+pd AS (SELECT ex.key, ex.label, sum((v - m) * (v - m)) AS d2 FROM ex JOIN qcent USING (label, pos)
+       GROUP BY ex.key, ex.label),
+inert AS (SELECT sum(d2) AS inertia FROM pd),
+s_in AS (SELECT label, avg(sqrt(d2)) AS S FROM pd GROUP BY label),
+cd AS (SELECT a.label AS li, b.label AS lj, sqrt(sum((a.m - b.m) * (a.m - b.m))) AS d
+       FROM qcent a JOIN qcent b ON a.pos = b.pos AND a.label <> b.label GROUP BY a.label, b.label),
+dbs AS (SELECT li, max(CASE WHEN d = 0 THEN 0.0 ELSE (s1.S + s2.S) / d END) AS score
+        FROM cd JOIN s_in s1 ON s1.label = li JOIN s_in s2 ON s2.label = lj GROUP BY li),
+db AS (SELECT CASE WHEN (SELECT count(*) FROM s_in) < 2 THEN CAST('inf' AS DOUBLE)
+                   WHEN (SELECT max(S) FROM s_in) = 0 THEN 0.0 ELSE avg(score) END AS davies_bouldin FROM dbs),
+g AS (SELECT pos, avg(v) AS gm FROM ex GROUP BY pos),
+bb AS (SELECT sum(n * d2) AS B FROM (
+         SELECT c.label, sum((c.m - g.gm) * (c.m - g.gm)) AS d2 FROM qcent c JOIN g USING (pos) GROUP BY c.label)
+       JOIN csize USING (label)),
+chs AS (SELECT (SELECT B FROM bb) AS B, (SELECT inertia FROM inert) AS W, (SELECT count(*) FROM pts) AS n,
+               (SELECT count(*) FROM csize) AS k),
+ch AS (SELECT CASE WHEN k < 2 THEN 0.0 WHEN W = 0 THEN 1.0 ELSE B * (n - k) / (W * (k - 1)) END
+              AS calinski_harabasz FROM chs),
+pair AS (SELECT a.key AS i, b.label AS lj, list_distance(a.vec, b.vec) AS d
+         FROM pts a JOIN pts b ON a.key <> b.key),
+per AS (SELECT i, lj, avg(d) AS md FROM pair GROUP BY i, lj),
+ab AS (SELECT p.key, p.label, max(CASE WHEN per.lj = p.label THEN md END) AS a,
+              min(CASE WHEN per.lj <> p.label THEN md END) AS b
+       FROM pts p LEFT JOIN per ON per.i = p.key GROUP BY p.key, p.label),
+sil AS (SELECT ab.key, ab.label,
+               CASE WHEN cs.n <= 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0.0
+                    ELSE (b - a) / greatest(a, b) END AS silhouette
+        FROM ab JOIN csize cs USING (label)),
+quality AS (SELECT (SELECT count(*) FROM pts) AS n, (SELECT count(*) FROM csize) AS k,
+                   (SELECT inertia FROM inert) AS inertia,
+                   (SELECT CASE WHEN count(DISTINCT label) < 2 THEN 0.0 ELSE avg(silhouette) END FROM sil)
+                     AS silhouette,
+                   (SELECT davies_bouldin FROM db) AS davies_bouldin,
+                   (SELECT calinski_harabasz FROM ch) AS calinski_harabasz)"""
+
+
+QUALITY_SELECT = f"""
+SELECT n, k, {r('inertia')} AS inertia, {r('silhouette')} AS silhouette, {r('davies_bouldin')} AS davies_bouldin,
+       {r('calinski_harabasz')} AS calinski_harabasz FROM quality"""
+
+EMB_PTS = """pts AS (SELECT vec_id AS key, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS vec
+                FROM embeddings)"""
+
+ORACLE["cluster_quality_embeddings"] = f"WITH {EMB_PTS}, {quality_ctes()} {QUALITY_SELECT}"
+
+ORACLE["cluster_silhouette_embeddings"] = f"""
+WITH {EMB_PTS}, {quality_ctes()}
+SELECT key AS vec_id, label, {r('silhouette')} AS silhouette FROM sil"""
+
+ORACLE["cluster_quality_rfm_fixed"] = f"""
+WITH {SCALED_CTE},
+pts AS (SELECT "Customer ID" AS key, CAST(Cluster AS BIGINT) AS label,
+               [Recency_s, Frequency_s, Monetary_s] AS vec FROM clustered),
+{quality_ctes()} {QUALITY_SELECT}"""
+
+# -------------------------------------------------------------- segments
+SEGMENT_CTE = SCALED_CTE + """,
+csum AS (SELECT Cluster, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(Monetary) AS Monetary,
+                count(*) AS Count FROM clustered GROUP BY Cluster),
+csum2 AS (SELECT *, CAST(Count AS DOUBLE) * 100.0 / CAST(sum(Count) OVER () AS DOUBLE) AS Percentage FROM csum),
+sc1 AS (SELECT *,
+           rank() OVER (ORDER BY Recency DESC) + (count(*) OVER (PARTITION BY Recency) - 1) / 2.0 AS R_Score,
+           rank() OVER (ORDER BY Frequency) + (count(*) OVER (PARTITION BY Frequency) - 1) / 2.0 AS F_Score,
+           rank() OVER (ORDER BY Monetary) + (count(*) OVER (PARTITION BY Monetary) - 1) / 2.0 AS M_Score
+        FROM csum2),
+sc2 AS (SELECT *, R_Score + F_Score + M_Score AS Total_Score FROM sc1),
+sc3 AS (SELECT *, CAST(row_number() OVER (ORDER BY Total_Score DESC, Cluster) AS INTEGER) AS Position FROM sc2),
+scored AS (SELECT *, CASE Position WHEN 1 THEN 'Champions' WHEN 2 THEN 'Potential Loyalists'
+                                  WHEN 3 THEN 'At Risk' WHEN 4 THEN 'Lost' END AS Segment FROM sc3),
+labeled AS (SELECT c.*, s.Segment,
+                   CAST(c.Recency AS DOUBLE) / (SELECT max(Recency) FROM clustered) AS ChurnProbability
+            FROM clustered c LEFT JOIN scored s USING (Cluster)),
+segm AS (SELECT Segment, count(*) AS Count, avg(Recency) AS Avg_Recency, avg(Frequency) AS Avg_Frequency,
+                avg(Monetary) AS Avg_Monetary, avg(ChurnProbability) AS Churn_Probability,
+                sum(Monetary) * 100.0 / (SELECT sum(Monetary) FROM labeled) AS Revenue_Share
+         FROM labeled WHERE Segment IS NOT NULL GROUP BY Segment)"""
+
+ORACLE["segment_cluster_summary"] = f"""
+WITH {SEGMENT_CTE}
+SELECT Cluster, {r('Recency')} AS Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary, Count,
+       {r('Percentage')} AS Percentage FROM csum2"""
+
+ORACLE["segment_scores"] = f"""
+WITH {SEGMENT_CTE}
+SELECT Cluster, {r('Recency')} AS Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary, Count,
+       {r('Percentage')} AS Percentage, {r('R_Score')} AS R_Score, {r('F_Score')} AS F_Score,
+       {r('M_Score')} AS M_Score, {r('Total_Score')} AS Total_Score, Position, Segment FROM scored"""
+
+ORACLE["segment_customers"] = f"""
+WITH {SEGMENT_CTE}
+SELECT "Customer ID", Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary, Cluster, Segment,
+       {r('ChurnProbability')} AS ChurnProbability FROM labeled"""
+
+ORACLE["segment_metrics"] = f"""
+WITH {SEGMENT_CTE}
+SELECT Segment, Count, {r('Avg_Recency')} AS Avg_Recency, {r('Avg_Frequency')} AS Avg_Frequency,
+       {r('Avg_Monetary')} AS Avg_Monetary, {r('Churn_Probability')} AS Churn_Probability,
+       {r('Revenue_Share')} AS Revenue_Share FROM segm"""
+
+ORACLE["segment_labeled_summary"] = f"""
+WITH {SEGMENT_CTE},
+fixed AS (SELECT CAST(ord AS INTEGER) AS ord, Segment FROM (VALUES (0, 'Champions'), (1, 'Potential Loyalists'),
+                                                             (2, 'At Risk'), (3, 'Lost')) t(ord, Segment))
+SELECT ord, Segment, CAST(coalesce(Count, 0) AS BIGINT) AS Count,
+       {r('coalesce(Revenue_Share, 0.0)')} AS "Revenue_Share_%", {r('coalesce(Avg_Recency, 0.0)')} AS Avg_Recency,
+       {r('coalesce(Avg_Frequency, 0.0)')} AS Avg_Frequency, {r('coalesce(Avg_Monetary, 0.0)')} AS Avg_Monetary,
+       {r('coalesce(Churn_Probability, 0.0)')} AS Churn_Probability
+FROM fixed LEFT JOIN segm USING (Segment)"""
+
+ORACLE["segment_cluster_means"] = f"""
+WITH {SEGMENT_CTE}
+SELECT Cluster, {r('Recency')} AS Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary,
+""" + ",\n".join(
+    f"{r(f'CASE WHEN max({c}) OVER () - min({c}) OVER () = 0 THEN NULL ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END')} AS {c}_norm"
+    for c in ("Recency", "Frequency", "Monetary")) + "\nFROM csum"
+
+ORACLE["segment_box_summary"] = f"""
+WITH {SEGMENT_CTE},
+smp AS (SELECT * FROM clustered ORDER BY md5(CAST("Customer ID" AS VARCHAR) || ':42'), "Customer ID" LIMIT 5000),
+lng AS (SELECT Cluster, 'Recency' AS feature, CAST(Recency AS DOUBLE) AS value FROM smp
+        UNION ALL SELECT Cluster, 'Frequency', Frequency FROM smp
+        UNION ALL SELECT Cluster, 'Monetary', Monetary FROM smp),
+qq AS (SELECT Cluster, feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+              quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY Cluster, feature)
+SELECT Cluster, feature, {r('q1')} AS q1, {r('median')} AS median, {r('q3')} AS q3,
+       {r('min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) THEN value END)')} AS whisker_low,
+       {r('max(CASE WHEN value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) THEN value END)')} AS whisker_high,
+       CAST(count_if(NOT (value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1))) AS BIGINT) AS outliers
+FROM lng JOIN qq USING (Cluster, feature) GROUP BY Cluster, feature, q1, median, q3"""
+
+ORACLE["rfm_summary"] = f"""
+WITH {RFM_CTE}
+SELECT count(*) AS customers, {r('avg(Recency)')} AS Recency_mean, {r('avg(Frequency)')} AS Frequency_mean,
+       {r('avg(Monetary)')} AS Monetary_mean, {r('quantile_cont(Recency, 0.5)')} AS Recency_median,
+       {r('quantile_cont(Frequency, 0.5)')} AS Frequency_median, {r('quantile_cont(Monetary, 0.5)')} AS Monetary_median
+FROM rfm"""
+
+ORACLE["rfm_describe"] = f"""
+WITH {RFM_CTE}
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "Column", count({c}) AS count, {r(f'avg(CAST({c} AS DOUBLE))')} AS mean,
+       {r(f'stddev_samp(CAST({c} AS DOUBLE))')} AS std, {r(f'min(CAST({c} AS DOUBLE))')} AS min,
+       {r(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)')} AS p25, {r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)')} AS p50,
+       {r(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)')} AS p75, {r(f'max(CAST({c} AS DOUBLE))')} AS max FROM rfm"""
+    for c in ("Recency", "Frequency", "Monetary"))
+
+# -------------------------------------------------------------- sampling
+ORACLE["sample_cluster_safe"] = """
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders),
+firsts AS (SELECT min(o_orderkey) AS o_orderkey FROM o GROUP BY o_orderpriority),
+rest AS (SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM firsts)
+         ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey
+         LIMIT 10000 - (SELECT count(*) FROM firsts))
+SELECT * FROM o WHERE o_orderkey IN (SELECT o_orderkey FROM firsts)
+UNION ALL SELECT * FROM rest"""
+
+ORACLE["sample_random"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey LIMIT 5000"""
+
+ORACLE["split_stratified"] = """
+SELECT c_custkey, c_mktsegment,
+       row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':42'), c_custkey)
+         <= floor(count(*) OVER (PARTITION BY c_mktsegment) * 0.2 + 0.5) AS is_test
+FROM customer"""

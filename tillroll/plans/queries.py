@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import CUSTOMER, np_round, with_total_price
 from tillroll.operators import clean as C
+from tillroll.operators import clustering as CL
 from tillroll.operators import eda as EDA
 from tillroll.operators import features as FE
 from tillroll.operators import profile as P
 from tillroll.operators import rfm as R
+from tillroll.operators import sampling as SM
+from tillroll.operators import segments as SG
 from tillroll.sources import tables as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +193,130 @@ def q_features_one_hot_counts(spark, sf_dir):
     parts = [x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"s{i}"))]
     long = sums.select(F.stack(F.lit(len(cols)), *parts).alias("column", "ones"))
     return long.withColumn("rows_total_check", F.col("ones"))
+
+
+# -------------------------------------------------------------- clustering
+# The four reference centroids on scaled (Recency, Frequency, Monetary).
+FIXED_CENTROIDS = [(0, [-0.6, 0.6, 0.6]), (1, [-0.3, -0.5, -0.4]), (2, [0.5, 0.4, 0.5]), (3, [2.0, -1.2, -1.3])]
+SCALED = ["Recency_s", "Frequency_s", "Monetary_s"]
+
+
+def rfm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.rfm_log(clean_lines(spark, sf_dir))
+
+
+def rfm_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaled log-RFM per customer assigned to the fixed centroids."""
+    scaled, _ = CL.scale_rfm(rfm_customers(spark, sf_dir))
+    return CL.assign_nearest(scaled, SCALED, FIXED_CENTROIDS, dist_out="SqDistance")
+
+
+@query("cluster_assign_fixed")
+def q_cluster_assign_fixed(spark, sf_dir):
+    df = rfm_fixed_clusters(spark, sf_dir)
+    return rounded(df.select(CUSTOMER, *SCALED, "Cluster", "SqDistance"))
+
+
+@query("cluster_inertia_fixed")
+def q_cluster_inertia_fixed(spark, sf_dir):
+    df = rfm_fixed_clusters(spark, sf_dir)
+    return rounded(df.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("SqDistance").alias("inertia")))
+
+
+def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = S.read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("label").cast("bigint").alias("label"), CL.as_double_array("embedding").alias("vec"))
+
+
+@query("cluster_quality_embeddings")
+def q_cluster_quality_embeddings(spark, sf_dir):
+    return rounded(CL.quality_summary(embedding_points(spark, sf_dir), "vec_id", "vec", "label"))
+
+
+@query("cluster_silhouette_embeddings")
+def q_cluster_silhouette_embeddings(spark, sf_dir):
+    return rounded(CL.silhouette_samples(embedding_points(spark, sf_dir), "vec_id", "vec", "label"))
+
+
+@query("cluster_quality_rfm_fixed")
+def q_cluster_quality_rfm_fixed(spark, sf_dir):
+    df = rfm_fixed_clusters(spark, sf_dir).select(
+        CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"), CL.as_vector(SCALED).alias("vec"))
+    return rounded(CL.quality_summary(df, CUSTOMER, "vec", "Cluster"))
+
+
+# ---------------------------------------------------------------- segments
+@query("segment_cluster_summary")
+def q_segment_cluster_summary(spark, sf_dir):
+    return rounded(SG.cluster_summary(rfm_fixed_clusters(spark, sf_dir)))
+
+
+def scored_clusters(spark, sf_dir):
+    return SG.score_clusters(SG.cluster_summary(rfm_fixed_clusters(spark, sf_dir)))
+
+
+@query("segment_scores")
+def q_segment_scores(spark, sf_dir):
+    return rounded(scored_clusters(spark, sf_dir))
+
+
+def labeled_customers(spark, sf_dir):
+    clustered = rfm_fixed_clusters(spark, sf_dir)
+    return SG.label_customers(clustered, SG.score_clusters(SG.cluster_summary(clustered)))
+
+
+@query("segment_customers")
+def q_segment_customers(spark, sf_dir):
+    df = labeled_customers(spark, sf_dir)
+    return rounded(df.select(CUSTOMER, "Recency", "Frequency", "Monetary", "Cluster", "Segment", "ChurnProbability"))
+
+
+@query("segment_metrics")
+def q_segment_metrics(spark, sf_dir):
+    return rounded(SG.segment_metrics(labeled_customers(spark, sf_dir)))
+
+
+@query("segment_labeled_summary")
+def q_segment_labeled_summary(spark, sf_dir):
+    return SG.labeled_summary(SG.segment_metrics(labeled_customers(spark, sf_dir)), rounded=False).transform(rounded)
+
+
+@query("segment_cluster_means")
+def q_segment_cluster_means(spark, sf_dir):
+    return rounded(SG.cluster_mean_matrix(SG.cluster_summary(rfm_fixed_clusters(spark, sf_dir))))
+
+
+@query("segment_box_summary")
+def q_segment_box_summary(spark, sf_dir):
+    df = rfm_fixed_clusters(spark, sf_dir)
+    sample = SM.random_sample(df, 5000, CUSTOMER, 42, tiebreak=[CUSTOMER])
+    return rounded(SG.box_summary(sample))
+
+
+@query("rfm_summary")
+def q_rfm_summary(spark, sf_dir):
+    return rounded(SG.rfm_summary(rfm_customers(spark, sf_dir)))
+
+
+@query("rfm_describe")
+def q_rfm_describe(spark, sf_dir):
+    return rounded(P.describe(rfm_customers(spark, sf_dir), ["Recency", "Frequency", "Monetary"]))
+
+
+# ---------------------------------------------------------------- sampling
+@query("sample_cluster_safe")
+def q_sample_cluster_safe(spark, sf_dir):
+    o = S.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return SM.cluster_safe_sample(o, "o_orderpriority", "o_orderkey", n=10_000, seed=42)
+
+
+@query("sample_random")
+def q_sample_random(spark, sf_dir):
+    o = S.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return SM.random_sample(o, 5000, "o_orderkey", 42, tiebreak=["o_orderkey"])
+
+
+@query("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    c = S.read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return SM.stratified_split(c, "c_mktsegment", "c_custkey", 0.2, 42)
