@@ -217,12 +217,25 @@ def silhouette(df: DataFrame, key: str, vec: str, label: str, sample_size: int =
 
 
 def quality_summary(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
-    """One row: n, k, inertia, silhouette, davies_bouldin, calinski_harabasz."""
-    base = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k"))
-    for part in (inertia(df, vec, label), silhouette(df, key, vec, label),
-                 davies_bouldin(df, vec, label), calinski_harabasz(df, vec, label)):
-        base = attach_scalar_row(base, part)
-    return base
+    """One row: n, k, inertia, silhouette, davies_bouldin, calinski_harabasz.
+
+    The point set is persisted once (it feeds five metric jobs) and the
+    one-row results are combined as scalars, like an ML evaluator.
+    """
+    from pyspark import StorageLevel
+    pts = df.select(key, label, vec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        base = pts.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k")).first()
+        vals = {"n": base["n"], "k": base["k"]}
+        for part in (inertia(pts, vec, label), silhouette(pts, key, vec, label),
+                     davies_bouldin(pts, vec, label), calinski_harabasz(pts, vec, label)):
+            vals.update(part.first().asDict())
+    finally:
+        pts.unpersist()
+    return df.sparkSession.createDataFrame(
+        [(vals["n"], vals["k"], vals["inertia"], vals["silhouette"], vals["davies_bouldin"],
+          vals["calinski_harabasz"])],
+        "n bigint, k bigint, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")
 
 
 # --------------------------------------------------------------- K-Means fit

@@ -484,3 +484,129 @@ SELECT c_custkey, c_mktsegment,
        row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':42'), c_custkey)
          <= floor(count(*) OVER (PARTITION BY c_mktsegment) * 0.2 + 0.5) AS is_test
 FROM customer"""
+
+# ---------------------------------------------------------------- basket
+BASKET_CTE = """
+bk AS (SELECT "Customer ID", Invoice, sum(TotalPrice) AS _v, sum(Quantity) AS _q FROM lines
+       WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID", Invoice),
+bm AS (SELECT "Customer ID", avg(_v) AS AvgBasketValue, coalesce(stddev_samp(_v), 0.0) AS Volatility,
+              avg(_q) AS AvgBasketSize FROM bk GROUP BY "Customer ID"),
+dayc AS (SELECT "Customer ID", dayname(InvoiceDate) AS v, count(*) AS n FROM lines
+         WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID", dayname(InvoiceDate)),
+fd AS (SELECT "Customer ID", v AS FavoriteDay FROM (
+         SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY n DESC, v) AS rn FROM dayc
+         WHERE v IS NOT NULL) WHERE rn = 1),
+ctc AS (SELECT "Customer ID", Country AS v, count(*) AS n FROM lines
+        WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID", Country),
+fc AS (SELECT "Customer ID", v AS Country FROM (
+         SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY n DESC, v) AS rn FROM ctc
+         WHERE v IS NOT NULL) WHERE rn = 1),
+fav AS (SELECT c."Customer ID", FavoriteDay, Country
+        FROM (SELECT DISTINCT "Customer ID" FROM lines WHERE "Customer ID" IS NOT NULL) c
+        LEFT JOIN fd USING ("Customer ID") LEFT JOIN fc USING ("Customer ID"))"""
+
+ORACLE["basket_metrics"] = f"""
+WITH {CLEAN_CTE}, {BASKET_CTE}
+SELECT "Customer ID", {r('AvgBasketValue')} AS AvgBasketValue, {r('Volatility')} AS Volatility,
+       {r('AvgBasketSize')} AS AvgBasketSize FROM bm"""
+
+ORACLE["basket_favourites"] = f"""
+WITH {CLEAN_CTE}, {BASKET_CTE}
+SELECT * FROM fav"""
+
+CLASSIFY_CTE = SEGMENT_CTE + "," + BASKET_CTE + """,
+cfeat AS (SELECT bm."Customer ID", AvgBasketValue, Volatility, AvgBasketSize, FavoriteDay, Country, l.Segment
+          FROM bm JOIN fav USING ("Customer ID") JOIN labeled l USING ("Customer ID"))"""
+
+ORACLE["classify_features"] = f"""
+WITH {CLASSIFY_CTE}
+SELECT "Customer ID", {r('AvgBasketValue')} AS AvgBasketValue, {r('Volatility')} AS Volatility,
+       {r('AvgBasketSize')} AS AvgBasketSize, FavoriteDay, Country, Segment FROM cfeat"""
+
+ORACLE["classify_encoded"] = f"""
+WITH {CLASSIFY_CTE}
+SELECT "Customer ID", FavoriteDay, CAST(dense_rank() OVER (ORDER BY FavoriteDay) - 1 AS INTEGER) AS FavoriteDay_Encoded,
+       Country, CAST(dense_rank() OVER (ORDER BY Country) - 1 AS INTEGER) AS Country_Encoded,
+       Segment, CAST(dense_rank() OVER (ORDER BY Segment) - 1 AS INTEGER) AS Segment_Encoded
+FROM cfeat"""
+
+ORACLE["classify_split"] = f"""
+WITH {CLASSIFY_CTE}
+SELECT "Customer ID", Segment,
+       row_number() OVER (PARTITION BY Segment ORDER BY md5(CAST("Customer ID" AS VARCHAR) || ':42'), "Customer ID")
+         <= floor(count(*) OVER (PARTITION BY Segment) * 0.2 + 0.5) AS is_test
+FROM cfeat"""
+
+# -------------------------------------------- classifier metrics (fixture)
+FIXTURE_CTE = """
+fx0 AS (SELECT c_custkey, c_mktsegment AS actual, c_acctbal AS score FROM customer),
+codes AS (SELECT actual AS seg, CAST(dense_rank() OVER (ORDER BY actual) - 1 AS INTEGER) AS idx
+          FROM (SELECT DISTINCT actual FROM fx0 WHERE actual IS NOT NULL)),
+fx AS (SELECT f.c_custkey, f.actual, CASE WHEN f.c_custkey % 5 <> 0 THEN f.actual ELSE n.seg END AS predicted, f.score
+       FROM fx0 f JOIN codes c ON c.seg = f.actual
+       JOIN codes n ON n.idx = (c.idx + 1) % (SELECT count(*) FROM codes)),
+cc AS (SELECT actual, predicted, count(*) AS n FROM fx GROUP BY actual, predicted),
+sup AS (SELECT actual AS label, sum(n) AS support FROM cc GROUP BY actual),
+prd AS (SELECT predicted AS label, sum(n) AS npred FROM cc GROUP BY predicted),
+tpc AS (SELECT actual AS label, n AS tp FROM cc WHERE actual = predicted),
+pc0 AS (SELECT label, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support, coalesce(npred, 0) AS npred
+        FROM sup FULL JOIN prd USING (label) LEFT JOIN tpc USING (label)),
+pc AS (SELECT label, CASE WHEN npred = 0 THEN 0.0 ELSE tp / npred END AS precision,
+              CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall, CAST(support AS BIGINT) AS support
+       FROM pc0),
+pcf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END
+                  AS f1 FROM pc),
+lng AS (SELECT k.actual AS class, f.actual = k.actual AS positive, CAST(f.score AS DOUBLE) AS score
+        FROM fx f, (SELECT DISTINCT actual FROM fx) k),
+cnt AS (SELECT class, score, count_if(positive) AS pos, count_if(NOT positive) AS neg FROM lng GROUP BY class, score),
+cum AS (SELECT *,
+          coalesce(sum(neg) OVER (PARTITION BY class ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS neg_below,
+          coalesce(sum(pos) OVER (PARTITION BY class ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS pos_below
+        FROM cnt),
+auc AS (SELECT class, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+               CASE WHEN sum(pos) = 0 OR sum(neg) = 0 THEN NULL
+                    ELSE sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS auc
+        FROM cum GROUP BY class)"""
+
+ORACLE["classify_confusion"] = f"""
+WITH {FIXTURE_CTE},
+cls AS (SELECT actual AS c FROM fx UNION SELECT predicted FROM fx),
+ccp AS (SELECT actual, predicted, n, n * 100.0 / sum(n) OVER (PARTITION BY actual) AS rp FROM cc)
+SELECT a.c AS actual, p.c AS predicted, CAST(coalesce(n, 0) AS BIGINT) AS count,
+       {r('coalesce(rp, 0.0)')} AS row_percent
+FROM cls a CROSS JOIN cls p LEFT JOIN ccp ON ccp.actual = a.c AND ccp.predicted = p.c"""
+
+ORACLE["classify_report"] = f"""
+WITH {FIXTURE_CTE}
+SELECT label, {r('precision')} AS precision, {r('recall')} AS recall, {r('f1')} AS f1, support FROM pcf
+UNION ALL
+SELECT 'accuracy', NULL, NULL, {r('count_if(actual = predicted) / count(*)')}, count(*) FROM fx
+UNION ALL
+SELECT 'macro avg', {r('avg(precision)')}, {r('avg(recall)')}, {r('avg(f1)')}, CAST(sum(support) AS BIGINT) FROM pcf
+UNION ALL
+SELECT 'weighted avg', {r('sum(precision * support) / sum(support)')}, {r('sum(recall * support) / sum(support)')},
+       {r('sum(f1 * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM pcf"""
+
+ORACLE["classify_roc_auc"] = f"""
+WITH {FIXTURE_CTE}
+SELECT class, positives, negatives, {r('auc')} AS auc FROM auc"""
+
+ORACLE["classify_roc_curve"] = f"""
+WITH {FIXTURE_CTE},
+tot AS (SELECT class, sum(pos) AS P, sum(neg) AS N FROM cnt GROUP BY class)
+SELECT class, {r('score')} AS threshold, {r('(N - neg_below) / N')} AS fpr, {r('(P - pos_below) / P')} AS tpr
+FROM cum JOIN tot USING (class)
+UNION ALL
+SELECT class, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM tot"""
+
+ORACLE["classify_metrics"] = f"""
+WITH {FIXTURE_CTE}
+SELECT {r('(SELECT count_if(actual = predicted) / count(*) FROM fx)')} AS accuracy,
+       {r('sum(precision * support) / sum(support)')} AS precision_weighted,
+       {r('sum(recall * support) / sum(support)')} AS recall_weighted,
+       {r('sum(f1 * support) / sum(support)')} AS f1_weighted,
+       {r('(SELECT CASE WHEN count_if(auc IS NULL) > 0 THEN 0.0 ELSE sum(auc * positives) / sum(positives) END FROM auc)')}
+         AS roc_auc_weighted
+FROM pcf"""

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import CUSTOMER, np_round, with_total_price
+from tillroll.operators import basket as BK
+from tillroll.operators import classification as CF
 from tillroll.operators import clean as C
 from tillroll.operators import clustering as CL
 from tillroll.operators import eda as EDA
@@ -320,3 +322,87 @@ def q_sample_random(spark, sf_dir):
 def q_split_stratified(spark, sf_dir):
     c = S.read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     return SM.stratified_split(c, "c_mktsegment", "c_custkey", 0.2, 42)
+
+
+# ------------------------------------------------------------------ basket
+@query("basket_metrics")
+def q_basket_metrics(spark, sf_dir):
+    return rounded(BK.basket_metrics(clean_lines(spark, sf_dir)))
+
+
+@query("basket_favourites")
+def q_basket_favourites(spark, sf_dir):
+    return BK.favourites(clean_lines(spark, sf_dir))
+
+
+def classify_table(spark, sf_dir):
+    """Basket features + favourites + Segment from the fixed-centroid labelling."""
+    return BK.classification_features(clean_lines(spark, sf_dir), labeled_customers(spark, sf_dir))
+
+
+@query("classify_features")
+def q_classify_features(spark, sf_dir):
+    return rounded(classify_table(spark, sf_dir))
+
+
+@query("classify_encoded")
+def q_classify_encoded(spark, sf_dir):
+    df = CF.encode_features(classify_table(spark, sf_dir))
+    df = CF.label_encode(df, "Segment")
+    return rounded(df.select(CUSTOMER, "FavoriteDay", "FavoriteDay_Encoded", "Country", "Country_Encoded",
+                             "Segment", "Segment_Encoded"))
+
+
+@query("classify_split")
+def q_classify_split(spark, sf_dir):
+    df = classify_table(spark, sf_dir).select(CUSTOMER, "Segment")
+    return SM.stratified_split(df, "Segment", CUSTOMER, 0.2, 42)
+
+
+# --------------------------------------------- classifier metrics (fixture)
+def prediction_fixture(spark, sf_dir):
+    """customer: actual = market segment; predicted = actual, or the next
+    segment alphabetically (cyclic) for every fifth customer; score = balance."""
+    c = S.read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_mktsegment").alias("actual"), F.col("c_acctbal").alias("score"))
+    codes = CF.label_codes(c, "actual", "idx")
+    k = codes.agg(F.count(F.lit(1))).scalar()
+    cur = F.broadcast(codes.withColumnRenamed("actual", "_a"))
+    nxt = F.broadcast(codes.select(F.col("idx").alias("_nidx"), F.col("actual").alias("_next")))
+    j = c.join(cur, c.actual == cur._a).join(nxt, F.col("_nidx") == (F.col("idx") + 1) % k)
+    pred = F.when(F.col("c_custkey") % 5 != 0, F.col("actual")).otherwise(F.col("_next"))
+    return j.select("c_custkey", "actual", pred.alias("predicted"), "score")
+
+
+def fixture_scores(spark, sf_dir):
+    fx = prediction_fixture(spark, sf_dir)
+    classes = sorted(r[0] for r in fx.select("actual").distinct().collect())  # bounded class list
+    return fx, CF.one_vs_rest(fx, "actual", {c: F.col("score") for c in classes})
+
+
+@query("classify_confusion")
+def q_classify_confusion(spark, sf_dir):
+    return rounded(CF.confusion_grid(prediction_fixture(spark, sf_dir), "actual", "predicted"))
+
+
+@query("classify_report")
+def q_classify_report(spark, sf_dir):
+    return rounded(CF.classification_report(prediction_fixture(spark, sf_dir), "actual", "predicted"))
+
+
+@query("classify_roc_auc")
+def q_classify_roc_auc(spark, sf_dir):
+    _, long = fixture_scores(spark, sf_dir)
+    return rounded(CF.roc_auc_by_class(long))
+
+
+@query("classify_roc_curve")
+def q_classify_roc_curve(spark, sf_dir):
+    _, long = fixture_scores(spark, sf_dir)
+    return rounded(CF.roc_curve(long))
+
+
+@query("classify_metrics")
+def q_classify_metrics(spark, sf_dir):
+    fx, long = fixture_scores(spark, sf_dir)
+    return rounded(CF.summary_metrics(fx, "actual", "predicted", long))
