@@ -610,3 +610,99 @@ SELECT {r('(SELECT count_if(actual = predicted) / count(*) FROM fx)')} AS accura
        {r('(SELECT CASE WHEN count_if(auc IS NULL) > 0 THEN 0.0 ELSE sum(auc * positives) / sum(positives) END FROM auc)')}
          AS roc_auc_weighted
 FROM pcf"""
+
+# --------------------------------------------------------------- scoring
+def pytype(t: str) -> str:
+    return (f"(CASE {t} WHEN 'UBIGINT' THEN 'int' WHEN 'BIGINT' THEN 'int' WHEN 'HUGEINT' THEN 'int' "
+            f"WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' "
+            f"WHEN 'NULL' THEN 'NoneType' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict' END)")
+
+
+def validation_sql(src: str, checks: list[tuple[str, list[str], bool]], values: list[tuple[str, str]]) -> str:
+    """CTE ``val`` over ``src(…, value)`` adding error, valid and parsed fields."""
+    parts = []
+    for f, allowed, nn in checks:
+        t = f"json_type(value, '$.{f}')"
+        num = f"TRY_CAST(json_extract_string(value, '$.{f}') AS DOUBLE)"
+        allowed_sql = ", ".join(f"'{a}'" for a in allowed)
+        c = (f"CASE WHEN {t} IS NULL THEN 'Missing required field: ''{f}''.' "
+             f"WHEN {pytype(t)} NOT IN ({allowed_sql}) THEN 'Field ''{f}'' must be numeric, got ' || {pytype(t)} || '.' ")
+        if nn:
+            c += f"WHEN {num} < 0 THEN 'Field ''{f}'' must be non-negative.' "
+        parts.append(c + "END")
+    err = (f"CASE WHEN NOT json_valid(value) OR json_type(value) <> 'OBJECT' "
+           f"THEN 'Request body must be a JSON object.' ELSE coalesce({', '.join(parts)}) END")
+    vals = ", ".join(f"CASE WHEN error IS NULL THEN TRY_CAST(json_extract_string(value, '$.{f}') AS {t}) END AS {f}"
+                     for f, t in values)
+    return f"""
+val0 AS (SELECT *, {err} AS error FROM {src}),
+val AS (SELECT *, error IS NULL AS valid, {vals} FROM val0)"""
+
+
+RFM_REQ_CTE = SCALED_CTE + """,
+req AS (SELECT "Customer ID",
+          CASE WHEN "Customer ID" % 11 = 0 THEN printf('{"Recency":%d,"Frequency":%d}', Recency, Frequency_raw)
+               WHEN "Customer ID" % 13 = 0 THEN printf('{"Recency":%d,"Frequency":%d,"Monetary":%.2f}',
+                                                      -Recency - 1, Frequency_raw, Monetary_raw)
+               WHEN "Customer ID" % 17 = 0 THEN printf('{"Recency":"%d","Frequency":%d,"Monetary":%.2f}',
+                                                      Recency, Frequency_raw, Monetary_raw)
+               WHEN "Customer ID" % 19 = 0 THEN '[1,2,3]'
+               WHEN "Customer ID" % 23 = 0 THEN printf('{"Recency":%d,"Frequency":true,"Monetary":%.2f}',
+                                                      Recency, Monetary_raw)
+               WHEN "Customer ID" % 29 = 0 THEN printf('{"Recency":%d,"Frequency":%d,"Monetary":null}',
+                                                      Recency, Frequency_raw)
+               ELSE printf('{"Recency":%d,"Frequency":%d,"Monetary":%.2f}', Recency, Frequency_raw, Monetary_raw)
+          END AS value
+        FROM rfm_all),""" + validation_sql(
+    "req", [(f, ["int", "float"], True) for f in ("Recency", "Frequency", "Monetary")],
+    [(f, "DOUBLE") for f in ("Recency", "Frequency", "Monetary")])
+
+ORACLE["score_validate_rfm"] = f"""
+WITH {RFM_REQ_CTE}
+SELECT "Customer ID", valid, error, Recency, Frequency, Monetary FROM val"""
+
+ORACLE["score_rfm_fixed"] = f"""
+WITH {RFM_REQ_CTE},
+xs AS (SELECT v."Customer ID", (v.Recency - mr) / (CASE WHEN sr0 = 0 THEN 1.0 ELSE sr0 END) AS xr,
+              (ln(1 + v.Frequency) - mf) / (CASE WHEN sf0 = 0 THEN 1.0 ELSE sf0 END) AS xf,
+              (ln(1 + v.Monetary) - mm) / (CASE WHEN sm0 = 0 THEN 1.0 ELSE sm0 END) AS xm
+       FROM val v, sc WHERE v.valid),
+xd AS (SELECT xs."Customer ID", Cluster,
+              (xr - cr) * (xr - cr) + (xf - cf) * (xf - cf) + (xm - cm) * (xm - cm) AS d FROM xs, cent),
+best AS (SELECT "Customer ID", Cluster AS cluster FROM (
+           SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY d, Cluster) AS rn FROM xd) WHERE rn = 1)
+SELECT v."Customer ID", b.cluster,
+       CASE b.cluster WHEN 0 THEN 'Champions' WHEN 1 THEN 'Potential Loyalists' WHEN 2 THEN 'At Risk'
+                      WHEN 3 THEN 'Lost' ELSE 'Cluster_' || CAST(b.cluster AS VARCHAR) END AS segment
+FROM val v JOIN best b USING ("Customer ID") WHERE v.valid"""
+
+CLS_FMT = ('{"Recency":%d,"Frequency":%.4f,"Monetary":%.4f,"AvgBasketValue":%.2f,"AvgBasketSize":%.2f,'
+           '"Volatility":%.2f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
+CLS_ARGS = ["Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
+            "FavoriteDay_Encoded", "Country_Encoded"]
+
+
+def _fmt(fmt: str, args: list[str]) -> str:
+    return f"printf('{fmt}', {', '.join(args)})"
+
+
+ORACLE["score_validate_classifier"] = f"""
+WITH {CLASSIFY_CTE},
+enc AS (SELECT cf."Customer ID", l.Recency, {r('l.Frequency', 4)} AS Frequency, {r('l.Monetary', 4)} AS Monetary,
+               {r('AvgBasketValue', 2)} AS AvgBasketValue, {r('AvgBasketSize', 2)} AS AvgBasketSize,
+               {r('Volatility', 2)} AS Volatility,
+               CAST(dense_rank() OVER (ORDER BY FavoriteDay) - 1 AS INTEGER) AS FavoriteDay_Encoded,
+               CAST(dense_rank() OVER (ORDER BY Country) - 1 AS INTEGER) AS Country_Encoded
+        FROM cfeat cf JOIN labeled l USING ("Customer ID")),
+creq AS (SELECT "Customer ID",
+   CASE WHEN "Customer ID" % 7 = 0 THEN {_fmt(CLS_FMT.replace('"FavoriteDay_Encoded":%d', '"FavoriteDay_Encoded":%d.0'), CLS_ARGS)}
+        WHEN "Customer ID" % 11 = 0 THEN {_fmt(CLS_FMT.replace(',"Volatility":%.2f', ''), [a for a in CLS_ARGS if a != 'Volatility'])}
+        WHEN "Customer ID" % 13 = 0 THEN {_fmt(CLS_FMT.replace('"Country_Encoded":%d', '"Country_Encoded":"%d"'), CLS_ARGS)}
+        WHEN "Customer ID" % 17 = 0 THEN {_fmt(CLS_FMT, ['-Recency - 1'] + CLS_ARGS[1:])}
+        ELSE {_fmt(CLS_FMT, CLS_ARGS)} END AS value
+   FROM enc),""" + validation_sql(
+    "creq", [(f, ["int", "float"], False) for f in CLS_ARGS[:6]] + [(f, ["int"], False) for f in CLS_ARGS[6:]],
+    [(f, "DOUBLE") for f in CLS_ARGS[:6]] + [(f, "INTEGER") for f in CLS_ARGS[6:]]) + f"""
+SELECT "Customer ID", valid, error, {', '.join(r(f) + ' AS ' + f for f in CLS_ARGS[:6])},
+       CAST(FavoriteDay_Encoded AS DOUBLE) AS FavoriteDay_Encoded, CAST(Country_Encoded AS DOUBLE) AS Country_Encoded
+FROM val"""

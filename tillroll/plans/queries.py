@@ -25,6 +25,8 @@ from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
 from tillroll.sources import tables as S
+from tillroll.streaming import scoring as SC
+from tillroll.streaming import validation as VA
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -406,3 +408,72 @@ def q_classify_roc_curve(spark, sf_dir):
 def q_classify_metrics(spark, sf_dir):
     fx, long = fixture_scores(spark, sf_dir)
     return rounded(CF.summary_metrics(fx, "actual", "predicted", long))
+
+
+# ----------------------------------------------------------------- scoring
+RFM_VALID_FMT = '{"Recency":%d,"Frequency":%d,"Monetary":%.2f}'
+
+
+def rfm_requests(spark, sf_dir):
+    """One JSON request per customer built from its raw RFM; a fixed share of
+    requests carries each validation failure (by customer id residue)."""
+    r = R.rfm_raw(clean_lines(spark, sf_dir))
+    i = F.col(CUSTOMER)
+    rec, fr, mo = F.col("Recency"), F.col("Frequency_raw"), F.col("Monetary_raw")
+    text = (F.when(i % 11 == 0, F.format_string('{"Recency":%d,"Frequency":%d}', rec, fr))
+            .when(i % 13 == 0, F.format_string(RFM_VALID_FMT, -rec - 1, fr, mo))
+            .when(i % 17 == 0, F.format_string('{"Recency":"%d","Frequency":%d,"Monetary":%.2f}', rec, fr, mo))
+            .when(i % 19 == 0, F.lit("[1,2,3]"))
+            .when(i % 23 == 0, F.format_string('{"Recency":%d,"Frequency":true,"Monetary":%.2f}', rec, mo))
+            .when(i % 29 == 0, F.format_string('{"Recency":%d,"Frequency":%d,"Monetary":null}', rec, fr))
+            .otherwise(F.format_string(RFM_VALID_FMT, rec, fr, mo)))
+    return r.select(CUSTOMER, text.alias("value"))
+
+
+@query("score_validate_rfm")
+def q_score_validate_rfm(spark, sf_dir):
+    v = VA.validate_rfm(rfm_requests(spark, sf_dir))
+    return v.select(CUSTOMER, "valid", "error", "Recency", "Frequency", "Monetary")
+
+
+def fixed_scorer(spark, sf_dir) -> SC.RfmScorer:
+    _, params = CL.scale_rfm(rfm_customers(spark, sf_dir))
+    return SC.RfmScorer.from_tables(params, FIXED_CENTROIDS)
+
+
+@query("score_rfm_fixed")
+def q_score_rfm_fixed(spark, sf_dir):
+    out = SC.score_rfm_requests(rfm_requests(spark, sf_dir), fixed_scorer(spark, sf_dir))
+    return out.where("valid").select(CUSTOMER, "cluster", "segment")
+
+
+CLASSIFIER_FMT = ('{"Recency":%d,"Frequency":%.4f,"Monetary":%.4f,"AvgBasketValue":%.2f,"AvgBasketSize":%.2f,'
+                  '"Volatility":%.2f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
+
+
+def classifier_requests(spark, sf_dir):
+    """Behaviour requests from the encoded classification table (with failures)."""
+    df = CF.encode_features(classify_table(spark, sf_dir)).join(
+        labeled_customers(spark, sf_dir).select(CUSTOMER, "Recency", "Frequency", "Monetary"), CUSTOMER)
+    i = F.col(CUSTOMER)
+    # values are pre-rounded (rint) so the text rendering is unambiguous in any engine
+    digits = {"Frequency": 4, "Monetary": 4, "AvgBasketValue": 2, "AvgBasketSize": 2, "Volatility": 2}
+    args = [np_round(c, digits[c]) if c in digits else F.col(c)
+            for c in ("Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
+                      "FavoriteDay_Encoded", "Country_Encoded")]
+    text = (F.when(i % 7 == 0, F.format_string(CLASSIFIER_FMT.replace('"FavoriteDay_Encoded":%d',
+                                                                      '"FavoriteDay_Encoded":%d.0'), *args))
+            .when(i % 11 == 0, F.format_string(CLASSIFIER_FMT.replace(',"Volatility":%.2f', ''),
+                                               *[a for k, a in enumerate(args) if k != 5]))
+            .when(i % 13 == 0, F.format_string(CLASSIFIER_FMT.replace('"Country_Encoded":%d',
+                                                                      '"Country_Encoded":"%d"'), *args))
+            .when(i % 17 == 0, F.format_string(CLASSIFIER_FMT, -F.col("Recency") - 1, *args[1:]))
+            .otherwise(F.format_string(CLASSIFIER_FMT, *args)))
+    return df.select(CUSTOMER, text.alias("value"))
+
+
+@query("score_validate_classifier")
+def q_score_validate_classifier(spark, sf_dir):
+    v = VA.validate_classifier(classifier_requests(spark, sf_dir))
+    return rounded(v.select(CUSTOMER, "valid", "error", *VA.RFM_FIELDS, *VA.CLASSIFIER_NUMERIC,
+                            *[F.col(c).cast("double").alias(c) for c in VA.CLASSIFIER_INT]))
