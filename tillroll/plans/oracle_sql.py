@@ -676,9 +676,11 @@ SELECT v."Customer ID", b.cluster,
                       WHEN 3 THEN 'Lost' ELSE 'Cluster_' || CAST(b.cluster AS VARCHAR) END AS segment
 FROM val v JOIN best b USING ("Customer ID") WHERE v.valid"""
 
-CLS_FMT = ('{"Recency":%d,"Frequency":%.4f,"Monetary":%.4f,"AvgBasketValue":%.2f,"AvgBasketSize":%.2f,'
-           '"Volatility":%.2f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
-CLS_ARGS = ["Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
+CLS_FMT = ('{"Recency":%d,"Frequency":%d,"Monetary":%.2f,"AvgBasketValue":%.2f,"AvgBasketSize":%d,'
+           '"Volatility":%.1f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
+CLS_FIELDS = ["Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
+              "FavoriteDay_Encoded", "Country_Encoded"]
+CLS_ARGS = ["Recency", "Frequency_raw", "Monetary_raw", "Monetary_raw", "Frequency_raw * 2", "Recency / 2.0",
             "FavoriteDay_Encoded", "Country_Encoded"]
 
 
@@ -687,22 +689,20 @@ def _fmt(fmt: str, args: list[str]) -> str:
 
 
 ORACLE["score_validate_classifier"] = f"""
-WITH {CLASSIFY_CTE},
-enc AS (SELECT cf."Customer ID", l.Recency, {r('l.Frequency', 4)} AS Frequency, {r('l.Monetary', 4)} AS Monetary,
-               {r('AvgBasketValue', 2)} AS AvgBasketValue, {r('AvgBasketSize', 2)} AS AvgBasketSize,
-               {r('Volatility', 2)} AS Volatility,
+WITH {RFM_CTE}, {BASKET_CTE},
+enc AS (SELECT a."Customer ID", a.Recency, a.Frequency_raw, a.Monetary_raw,
                CAST(dense_rank() OVER (ORDER BY FavoriteDay) - 1 AS INTEGER) AS FavoriteDay_Encoded,
                CAST(dense_rank() OVER (ORDER BY Country) - 1 AS INTEGER) AS Country_Encoded
-        FROM cfeat cf JOIN labeled l USING ("Customer ID")),
+        FROM rfm_all a JOIN fav USING ("Customer ID")),
 creq AS (SELECT "Customer ID",
    CASE WHEN "Customer ID" % 7 = 0 THEN {_fmt(CLS_FMT.replace('"FavoriteDay_Encoded":%d', '"FavoriteDay_Encoded":%d.0'), CLS_ARGS)}
-        WHEN "Customer ID" % 11 = 0 THEN {_fmt(CLS_FMT.replace(',"Volatility":%.2f', ''), [a for a in CLS_ARGS if a != 'Volatility'])}
+        WHEN "Customer ID" % 11 = 0 THEN {_fmt(CLS_FMT.replace(',"Volatility":%.1f', ''), [a for k, a in enumerate(CLS_ARGS) if k != 5])}
         WHEN "Customer ID" % 13 = 0 THEN {_fmt(CLS_FMT.replace('"Country_Encoded":%d', '"Country_Encoded":"%d"'), CLS_ARGS)}
         WHEN "Customer ID" % 17 = 0 THEN {_fmt(CLS_FMT, ['-Recency - 1'] + CLS_ARGS[1:])}
         ELSE {_fmt(CLS_FMT, CLS_ARGS)} END AS value
    FROM enc),""" + validation_sql(
-    "creq", [(f, ["int", "float"], False) for f in CLS_ARGS[:6]] + [(f, ["int"], False) for f in CLS_ARGS[6:]],
-    [(f, "DOUBLE") for f in CLS_ARGS[:6]] + [(f, "INTEGER") for f in CLS_ARGS[6:]]) + f"""
-SELECT "Customer ID", valid, error, {', '.join(r(f) + ' AS ' + f for f in CLS_ARGS[:6])},
+    "creq", [(f, ["int", "float"], False) for f in CLS_FIELDS[:6]] + [(f, ["int"], False) for f in CLS_FIELDS[6:]],
+    [(f, "DOUBLE") for f in CLS_FIELDS[:6]] + [(f, "INTEGER") for f in CLS_FIELDS[6:]]) + f"""
+SELECT "Customer ID", valid, error, {', '.join(r(f) + ' AS ' + f for f in CLS_FIELDS[:6])},
        CAST(FavoriteDay_Encoded AS DOUBLE) AS FavoriteDay_Encoded, CAST(Country_Encoded AS DOUBLE) AS Country_Encoded
 FROM val"""

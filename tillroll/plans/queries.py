@@ -447,23 +447,26 @@ def q_score_rfm_fixed(spark, sf_dir):
     return out.where("valid").select(CUSTOMER, "cluster", "segment")
 
 
-CLASSIFIER_FMT = ('{"Recency":%d,"Frequency":%.4f,"Monetary":%.4f,"AvgBasketValue":%.2f,"AvgBasketSize":%.2f,'
-                  '"Volatility":%.2f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
+CLASSIFIER_FMT = ('{"Recency":%d,"Frequency":%d,"Monetary":%.2f,"AvgBasketValue":%.2f,"AvgBasketSize":%d,'
+                  '"Volatility":%.1f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
 
 
 def classifier_requests(spark, sf_dir):
-    """Behaviour requests from the encoded classification table (with failures)."""
-    df = CF.encode_features(classify_table(spark, sf_dir)).join(
-        labeled_customers(spark, sf_dir).select(CUSTOMER, "Recency", "Frequency", "Monetary"), CUSTOMER)
+    """Behaviour requests per customer (with failures by customer id residue).
+
+    Field values come from exact per-customer quantities (counts, cent sums,
+    weekday / country codes) so their text form is the same in any engine.
+    """
+    lines = clean_lines(spark, sf_dir)
+    fav = CF.encode_features(BK.favourites(lines))
+    df = R.rfm_raw(lines).join(fav, CUSTOMER)
     i = F.col(CUSTOMER)
-    # values are pre-rounded (rint) so the text rendering is unambiguous in any engine
-    digits = {"Frequency": 4, "Monetary": 4, "AvgBasketValue": 2, "AvgBasketSize": 2, "Volatility": 2}
-    args = [np_round(c, digits[c]) if c in digits else F.col(c)
-            for c in ("Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
-                      "FavoriteDay_Encoded", "Country_Encoded")]
+    args = [F.col("Recency"), F.col("Frequency_raw"), F.col("Monetary_raw"), F.col("Monetary_raw"),
+            F.col("Frequency_raw") * 2, F.col("Recency") / 2.0, F.col("FavoriteDay_Encoded"),
+            F.col("Country_Encoded")]
     text = (F.when(i % 7 == 0, F.format_string(CLASSIFIER_FMT.replace('"FavoriteDay_Encoded":%d',
                                                                       '"FavoriteDay_Encoded":%d.0'), *args))
-            .when(i % 11 == 0, F.format_string(CLASSIFIER_FMT.replace(',"Volatility":%.2f', ''),
+            .when(i % 11 == 0, F.format_string(CLASSIFIER_FMT.replace(',"Volatility":%.1f', ''),
                                                *[a for k, a in enumerate(args) if k != 5]))
             .when(i % 13 == 0, F.format_string(CLASSIFIER_FMT.replace('"Country_Encoded":%d',
                                                                       '"Country_Encoded":"%d"'), *args))
