@@ -63,6 +63,26 @@ def fit_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "S
     return Pipeline(stages=stages).fit(train)
 
 
+def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 100, max_depth: int = 10,
+                   max_bins: int = 64, seed: int = 42):
+    """Forest over raw FavoriteDay / Country strings: the indexers live inside
+    the pipeline (alphabetical codes, unseen values kept as an extra index)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    stages = [
+        StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
+        StringIndexer(inputCols=["FavoriteDay", "Country"], outputCols=["FavoriteDay_Encoded", "Country_Encoded"],
+                      stringOrderType="alphabetAsc", handleInvalid="keep"),
+        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
+        RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
+                               maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
+                               featureSubsetStrategy="sqrt"),
+    ]
+    return Pipeline(stages=stages).fit(train)
+
+
 def class_names(model) -> list[str]:
     return list(model.stages[0].labels)
 

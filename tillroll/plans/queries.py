@@ -24,6 +24,7 @@ from tillroll.operators import profile as P
 from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
+from tillroll.plans import workspace as WS
 from tillroll.sources import tables as S
 from tillroll.streaming import scoring as SC
 from tillroll.streaming import validation as VA
@@ -52,8 +53,9 @@ def rounded(df: DataFrame, digits: dict[str, int] | None = None, default: int =
 
 
 def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's standard step input: dirty transactions after C1..C4."""
-    return C.clean(S.retail_dirty(spark, sf_dir))
+    """The reference's standard step input: dirty transactions after C1..C4
+    (computed once per session, then read from the shared folder)."""
+    return WS.shared_table(spark, sf_dir, "clean_lines", lambda: C.clean(S.retail_dirty(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------- RFM
@@ -206,13 +208,15 @@ SCALED = ["Recency_s", "Frequency_s", "Monetary_s"]
 
 
 def rfm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.rfm_log(clean_lines(spark, sf_dir))
+    return WS.shared_table(spark, sf_dir, "rfm_log", lambda: R.rfm_log(clean_lines(spark, sf_dir)))
 
 
 def rfm_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled log-RFM per customer assigned to the fixed centroids."""
-    scaled, _ = CL.scale_rfm(rfm_customers(spark, sf_dir))
-    return CL.assign_nearest(scaled, SCALED, FIXED_CENTROIDS, dist_out="SqDistance")
+    def build():
+        scaled, _ = CL.scale_rfm(rfm_customers(spark, sf_dir))
+        return CL.assign_nearest(scaled, SCALED, FIXED_CENTROIDS, dist_out="SqDistance")
+    return WS.shared_table(spark, sf_dir, "rfm_fixed_clusters", build)
 
 
 @query("cluster_assign_fixed")
@@ -265,8 +269,10 @@ def q_segment_scores(spark, sf_dir):
 
 
 def labeled_customers(spark, sf_dir):
-    clustered = rfm_fixed_clusters(spark, sf_dir)
-    return SG.label_customers(clustered, SG.score_clusters(SG.cluster_summary(clustered)))
+    def build():
+        clustered = rfm_fixed_clusters(spark, sf_dir)
+        return SG.label_customers(clustered, SG.score_clusters(SG.cluster_summary(clustered)))
+    return WS.shared_table(spark, sf_dir, "labeled_customers", build)
 
 
 @query("segment_customers")
@@ -339,7 +345,8 @@ def q_basket_favourites(spark, sf_dir):
 
 def classify_table(spark, sf_dir):
     """Basket features + favourites + Segment from the fixed-centroid labelling."""
-    return BK.classification_features(clean_lines(spark, sf_dir), labeled_customers(spark, sf_dir))
+    return WS.shared_table(spark, sf_dir, "classify_table", lambda: BK.classification_features(
+        clean_lines(spark, sf_dir), labeled_customers(spark, sf_dir)))
 
 
 @query("classify_features")
@@ -437,8 +444,10 @@ def q_score_validate_rfm(spark, sf_dir):
 
 
 def fixed_scorer(spark, sf_dir) -> SC.RfmScorer:
-    _, params = CL.scale_rfm(rfm_customers(spark, sf_dir))
-    return SC.RfmScorer.from_tables(params, FIXED_CENTROIDS)
+    def build():
+        params = FE.fit_standard_scaler(rfm_customers(spark, sf_dir), CL.RFM_FEATURES)
+        return SC.RfmScorer.from_tables(params, FIXED_CENTROIDS)
+    return WS.shared_object(spark, sf_dir, "fixed_scorer", build)
 
 
 @query("score_rfm_fixed")
@@ -480,3 +489,96 @@ def q_score_validate_classifier(spark, sf_dir):
     v = VA.validate_classifier(classifier_requests(spark, sf_dir))
     return rounded(v.select(CUSTOMER, "valid", "error", *VA.RFM_FIELDS, *VA.CLASSIFIER_NUMERIC,
                             *[F.col(c).cast("double").alias(c) for c in VA.CLASSIFIER_INT]))
+
+
+# ------------------------------------------------ model fits (rows-only checks)
+@query("kmeans_segments")
+def q_kmeans_segments(spark, sf_dir):
+    """K-Means (k=4) on scaled log-RFM; clusters renumbered by mean Monetary
+    (descending) so the summary does not depend on arbitrary fit ids."""
+    scaled, _ = CL.scale_rfm(rfm_customers(spark, sf_dir))
+    model = CL.fit_kmeans(scaled, SCALED, k=4, seed=42, n_init=1)
+    lab = CL.relabel_by(CL.assign_nearest(scaled, SCALED, CL.model_centroids(model)), "Cluster", "Monetary")
+    return rounded(SG.cluster_summary(lab))
+
+
+@query("kmeans_k_sweep")
+def q_kmeans_k_sweep(spark, sf_dir):
+    scaled = WS.shared_table(spark, sf_dir, "rfm_scaled", lambda: CL.scale_rfm(rfm_customers(spark, sf_dir))[0])
+    return rounded(CL.k_sweep(scaled, SCALED, CUSTOMER, ks=range(2, 11), seed=42, n_init=1))
+
+
+def classifier_split(spark, sf_dir):
+    return WS.shared_table(spark, sf_dir, "classifier_split", lambda: SM.stratified_split(
+        CF.encode_features(classify_table(spark, sf_dir)), "Segment", CUSTOMER, 0.2, 42))
+
+
+def forest_run(spark, sf_dir, num_trees: int = 100):
+    split = classifier_split(spark, sf_dir)
+    model = WS.shared_object(spark, sf_dir, f"forest_{num_trees}", lambda: CF.fit_forest(
+        split.where(~F.col("is_test")), num_trees=num_trees))
+    pred = WS.shared_table(spark, sf_dir, f"forest_{num_trees}_pred", lambda: CF.predict(
+        model, split.where("is_test")))
+    return model, pred
+
+
+@query("rf_predictions")
+def q_rf_predictions(spark, sf_dir):
+    _, pred = forest_run(spark, sf_dir)
+    return pred.select(CUSTOMER, "Segment", "predicted_class", "probabilities")
+
+
+@query("rf_feature_importance")
+def q_rf_feature_importance(spark, sf_dir):
+    model, _ = forest_run(spark, sf_dir)
+    return CF.feature_importance(model)
+
+
+@query("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    model, pred = forest_run(spark, sf_dir)
+    names = F.array(*[F.lit(n) for n in CF.class_names(model)])
+    long = (pred.select("Segment", F.posexplode("probabilities").alias("idx", "score"))
+            .select(F.element_at(names, F.col("idx") + 1).alias("class"), "Segment", "score")
+            .select("class", (F.col("Segment") == F.col("class")).alias("positive"), "score"))
+    return rounded(CF.summary_metrics(pred, "Segment", "predicted_class", long))
+
+
+@query("score_classifier_requests")
+def q_score_classifier_requests(spark, sf_dir):
+    model, _ = forest_run(spark, sf_dir)
+    out = SC.score_classifier_requests(classifier_requests(spark, sf_dir), model)
+    return out.select(CUSTOMER, "segment_class", "segment", "probabilities")
+
+
+@query("score_ranked_probabilities")
+def q_score_ranked_probabilities(spark, sf_dir):
+    model, _ = forest_run(spark, sf_dir)
+    out = SC.score_classifier_requests(classifier_requests(spark, sf_dir), model)
+    return SC.ranked_probabilities(out, CF.class_names(model), CUSTOMER)
+
+
+@query("score_raw_categories")
+def q_score_raw_categories(spark, sf_dir):
+    """Forest over raw FavoriteDay / Country strings (indexers inside the pipeline,
+    unseen categories kept as an extra index)."""
+    split = classifier_split(spark, sf_dir).drop("FavoriteDay_Encoded", "Country_Encoded")
+    model = CF.fit_forest_raw(split.where(~F.col("is_test")))
+    return CF.predict(model, split.where("is_test")).select(CUSTOMER, "Segment", "predicted_class")
+
+
+@query("score_stream_rfm")
+def q_score_stream_rfm(spark, sf_dir):
+    """Structured Streaming run over request files written from the tables:
+    text source -> validate -> score -> Parquet sink (availableNow)."""
+    from tillroll.session import scratch_path
+    base = scratch_path(spark, "rfm-stream")
+    reqs = rfm_requests(spark, sf_dir).select(
+        F.to_json(F.struct(F.col(CUSTOMER).alias("id"), F.col("value").alias("body"))).alias("value"))
+    reqs.write.mode("overwrite").text(f"{base}/in")
+    scorer = fixed_scorer(spark, sf_dir)
+    q = SC.start_rfm_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", scorer,
+                            text_col="body", envelope=True)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.where("valid").select(F.col("id").cast("bigint").alias(CUSTOMER), "cluster", "segment")
