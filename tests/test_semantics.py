@@ -1,0 +1,129 @@
+"""Semantic traps of the reference, checked on tiny hand-made frames."""
+
+import datetime as dt
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.functions.columns import day_name, np_round, weekday_index, whole_days_between
+from tillroll.operators import basket as BK
+from tillroll.operators import clean as C
+from tillroll.operators import eda as EDA
+from tillroll.operators import quantiles as Q
+from tillroll.operators import segments as SG
+
+
+def test_average_rank_ties(spark):
+    df = spark.createDataFrame([(0, 3.0), (1, 1.0), (2, 3.0), (3, 2.0)], "Cluster int, v double")
+    got = {r["Cluster"]: r["r"] for r in df.select("Cluster", SG.average_rank("v").alias("r")).collect()}
+    assert got == {1: 1.0, 3: 2.0, 0: 3.5, 2: 3.5}
+    got = {r["Cluster"]: r["r"] for r in df.select("Cluster", SG.average_rank("v", False).alias("r")).collect()}
+    assert got == {0: 1.5, 2: 1.5, 3: 3.0, 1: 4.0}
+
+
+def test_score_clusters_labels_and_tie_order(spark):
+    # two clusters with identical means: equal totals, ordered by cluster id
+    rows = [(0, 10.0, 1.0, 1.0, 5), (1, 10.0, 1.0, 1.0, 5), (2, 100.0, 0.5, 0.5, 5), (3, 1.0, 3.0, 3.0, 5),
+            (4, 200.0, 0.1, 0.1, 5)]
+    s = spark.createDataFrame(rows, "Cluster int, Recency double, Frequency double, Monetary double, Count long")
+    out = {r["Cluster"]: r["Segment"] for r in SG.score_clusters(s).collect()}
+    assert out[3] == "Champions"
+    assert out[0] == "Potential Loyalists" and out[1] == "At Risk"
+    assert out[2] == "Lost" and out[4] is None
+
+
+def test_mode_ties_and_nulls(spark):
+    ts = dt.datetime(2024, 1, 1)
+    rows = [(1, "x", ts, "a"), (1, "y", ts, "b"), (2, "z", ts, None), (3, "w", ts, "b"), (3, "v", ts, "a"),
+            (3, "u", ts, "b")]
+    df = spark.createDataFrame(rows, "`Customer ID` long, Invoice string, InvoiceDate timestamp, Country string")
+    got = {r["Customer ID"]: r["Country"] for r in BK.favourites(df).collect()}
+    assert got == {1: "a", 2: None, 3: "b"}
+
+
+def test_volatility_single_basket_is_zero(spark):
+    ts = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "i1", 2.0, 3.0, ts), (1, "i1", 1.0, 1.0, ts)],
+                               "`Customer ID` long, Invoice string, Quantity double, Price double, InvoiceDate timestamp")
+    r = BK.basket_metrics(df).first()
+    assert r["Volatility"] == 0.0 and r["AvgBasketValue"] == 7.0 and r["AvgBasketSize"] == 3.0
+
+
+def test_date_helpers(spark):
+    a = dt.datetime(2024, 1, 1, 12, 0)  # a Monday
+    df = spark.createDataFrame([(a, a + dt.timedelta(hours=23)), (a, a + dt.timedelta(hours=49))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    rows = df.select(whole_days_between("a", "b").alias("d"), weekday_index("a").alias("w"),
+                     day_name("a").alias("n")).collect()
+    assert [r["d"] for r in rows] == [0, 2]
+    assert rows[0]["w"] == 0 and rows[0]["n"] == "Monday"
+
+
+def test_np_round_matches_numpy(spark):
+    vals = [0.125, 0.135, 2.675, -1.005, 12.5, 13.5, 1234.56789]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(np_round("x", 2)).collect()]
+    assert got == [float(np.round(v, 2)) for v in vals]
+
+
+def test_clean_rules(spark):
+    rows = [("1", "A", "d", 1, 5.0), ("1", "A", "d", 1, 5.0), ("2", "B", None, 1, 6.0), ("3", "C", "e", 1, None)]
+    df = spark.createDataFrame(rows, "Invoice string, StockCode string, Description string, Quantity long, "
+                                     "`Customer ID` double")
+    out = C.clean(df)
+    assert out.count() == 1
+    assert dict(out.dtypes)["Customer ID"] == "bigint"
+
+
+@pytest.mark.parametrize("limit", [3, 50_000])
+def test_exact_percentiles_match_numpy(spark, limit):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.integers(0, 50, 400).astype(float), rng.normal(100, 30, 300), [5.0] * 50])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = Q.percentiles_exact(df, ["v"], probs, collect_limit=limit)["v"]
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.percentile(x, p * 100)), rel=1e-12, abs=1e-12)
+
+
+def test_histogram_matches_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.exponential(40, 2000), 2)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    h = EDA.histogram(df, "v", 50).orderBy("bin").collect()
+    counts, edges = np.histogram(x, bins=50)
+    assert [r["count"] for r in h] == counts.tolist()
+    assert [r["bin_start"] for r in h] == pytest.approx(edges[:-1].tolist())
+
+
+def test_histogram_constant_column(spark):
+    df = spark.createDataFrame([(4.0,), (4.0,)], "v double")
+    h = EDA.histogram(df, "v", 50).orderBy("bin").collect()
+    counts, _ = np.histogram(np.array([4.0, 4.0]), bins=50)
+    assert [r["count"] for r in h] == counts.tolist()
+
+
+def test_distinct_count_by_ignores_nulls(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, "b")], "k int, v string")
+    got = {r["k"]: r["n"] for r in EDA.distinct_count_by(df, ["k"], "v", "n").collect()}
+    assert got == {1: 1, 2: 1}
+
+
+def test_churn_probability_and_labels(spark):
+    rows = [(1, 10, 1.0, 2.0, 0), (2, 40, 1.0, 2.0, 1)]
+    df = spark.createDataFrame(rows, "`Customer ID` long, Recency long, Frequency double, Monetary double, Cluster int")
+    labels = spark.createDataFrame([(0, "Champions")], "Cluster int, Segment string")
+    out = {r["Customer ID"]: (r["Segment"], r["ChurnProbability"]) for r in SG.label_customers(df, labels).collect()}
+    assert out == {1: ("Champions", 0.25), 2: (None, 1.0)}
+
+
+def test_labeled_summary_fills_absent_segments(spark):
+    m = spark.createDataFrame([("Lost", 3, 1.0, 2.0, 3.0, 0.5, 100.0)],
+                              "Segment string, Count long, Avg_Recency double, Avg_Frequency double, "
+                              "Avg_Monetary double, Churn_Probability double, Revenue_Share double")
+    out = SG.labeled_summary(m).orderBy("ord").collect()
+    assert [r["Segment"] for r in out] == SG.SEGMENT_ORDER
+    assert out[0]["Count"] == 0 and out[3]["Count"] == 3 and out[3]["Revenue_Share_%"] == 100.0
+    assert not math.isnan(out[0]["Avg_Monetary"])
