@@ -123,3 +123,21 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     s = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
     return df.select("*", s.alias("_attached")).select(
         *[F.col(c) for c in df.columns], *[F.col(f"_attached.{c}").alias(c) for c in one_row.columns])
+
+
+def bounded_rows(df: DataFrame, limit: int, what: str = "lookup table") -> list:
+    """Collect a table that must be small: at most ``limit`` rows, else fail.
+
+    Fetches at most limit + 1 rows, so the check costs no extra job.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{what} has more than {limit} rows")
+    return rows
+
+
+def literal_map(pairs: list[tuple]) -> Column:
+    """A literal map expression from (key, value) pairs (lookup without a join)."""
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
+    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])

@@ -17,11 +17,9 @@ SCORE_BUCKETS = 1024
 FEATURES = ["AvgBasketValue", "AvgBasketSize", "Volatility", "FavoriteDay_Encoded", "Country_Encoded"]
 
 
-def _checked_small(df: DataFrame, limit: int = MAX_CLASSES, what: str = "lookup table") -> DataFrame:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{what} has {n} rows (> {limit})")
-    return F.broadcast(df)
+def _class_list(df: DataFrame, col: str, what: str = "class list") -> list:
+    from tillroll.functions.columns import bounded_rows
+    return sorted(r[0] for r in bounded_rows(df.select(col).distinct(), MAX_CLASSES, what))
 
 
 # ----------------------------------------------------------------- encoding
@@ -35,10 +33,15 @@ def label_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 def label_encode(df: DataFrame, col: str, out: str | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Alphabetical integer codes for a categorical column (LabelEncoder)."""
     out = out or f"{col}_Encoded"
-    codes = codes if codes is not None else label_codes(df, col, out)
-    codes = _checked_small(codes, what=f"{col} code table")
-    return (df.withColumn("_k", F.col(col).cast("string"))
-            .join(codes.withColumnRenamed(col, "_k"), on="_k", how="left").drop("_k"))
+    if codes is None:
+        values = _class_list(df.select(F.col(col).cast("string").alias(col)).where(F.col(col).isNotNull()), col,
+                             f"{col} code table")
+        pairs = [(v, i) for i, v in enumerate(values)]
+    else:
+        from tillroll.functions.columns import bounded_rows
+        pairs = [(r[col], r[out]) for r in bounded_rows(codes, MAX_CLASSES, f"{col} code table")]
+    from tillroll.functions.columns import literal_map
+    return df.withColumn(out, literal_map(pairs)[F.col(col).cast("string")].cast("int"))
 
 
 def encode_features(df: DataFrame) -> DataFrame:
@@ -118,11 +121,10 @@ def confusion_grid(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Full k x k grid (absent pairs count 0). The class list (bounded, checked)
     is gathered into one array and exploded twice; the counts are joined on."""
     c = confusion(df, actual, predicted)
-    classes = df.select(F.col(actual).alias("c")).union(df.select(F.col(predicted).alias("c"))).distinct()
-    _checked_small(classes, what="class list")
-    arr = classes.agg(F.array_sort(F.collect_list("c")).alias("a"))
-    grid = (arr.select(F.explode("a").alias(actual), "a")
-            .select(actual, F.explode("a").alias(predicted)))
+    classes = _class_list(df.select(F.col(actual).alias("c")).union(df.select(F.col(predicted).alias("c"))), "c")
+    arr = F.array(*[F.lit(x) for x in classes])
+    grid = (c.sparkSession.range(1).select(F.explode(arr).alias(actual))
+            .select(actual, F.explode(arr).alias(predicted)))
     return (grid.join(c, on=[actual, predicted], how="left")
             .select(actual, predicted, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
                     F.coalesce("row_percent", F.lit(0.0)).alias("row_percent")))
@@ -173,7 +175,6 @@ def score_counts(long: DataFrame) -> DataFrame:
     counts = long.groupBy("class", "score").agg(
         F.count_if(F.col("positive")).alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
     stats = counts.groupBy("class").agg(F.min("score").alias("_mn"), F.max("score").alias("_mx"))
-    stats = _checked_small(stats, what="class table")
     b = F.when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("score") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * SCORE_BUCKETS),
                 F.lit(SCORE_BUCKETS - 1))).cast("int")
@@ -182,7 +183,6 @@ def score_counts(long: DataFrame) -> DataFrame:
     wcum = W.partitionBy("class").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     off = tot.select("class", "_b", F.coalesce(F.sum("_bp").over(wcum), F.lit(0)).alias("_op"),
                      F.coalesce(F.sum("_bn").over(wcum), F.lit(0)).alias("_on"))
-    off = _checked_small(off, limit=MAX_CLASSES * SCORE_BUCKETS, what="bucket offsets")
     win = W.partitionBy("class", "_b").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
     return (cb.join(off, ["class", "_b"])
             .withColumn("neg_below", F.col("_on") + F.coalesce(F.sum("neg").over(win), F.lit(0)))
@@ -215,7 +215,7 @@ def roc_curve(long: DataFrame) -> DataFrame:
     (inf, 0, 0) starting point of each class."""
     sc = score_counts(long)
     tot = sc.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = sc.join(_checked_small(tot, what="class table"), "class")
+    j = sc.join(tot, "class")
     pts = j.select("class", F.col("score").alias("threshold"),
                    ((F.col("N") - F.col("neg_below")) / F.col("N")).alias("fpr"),
                    ((F.col("P") - F.col("pos_below")) / F.col("P")).alias("tpr"))

@@ -83,16 +83,11 @@ def centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
-def _checked_broadcast(small: DataFrame, what: str = "centroid table") -> DataFrame:
-    n = small.count()
-    if n > MAX_CLUSTERS:
-        raise ValueError(f"{what} has {n} rows (> {MAX_CLUSTERS})")
-    return F.broadcast(small)
 
 
 def with_own_centroid(df: DataFrame, vec: str, label: str, cents: DataFrame | None = None) -> DataFrame:
     cents = cents if cents is not None else centroids(df, vec, label)
-    return df.join(_checked_broadcast(cents.select(label, "centroid")), on=label, how="inner")
+    return df.join(cents.select(label, "centroid"), on=label, how="inner")
 
 
 # ------------------------------------------------------------------ metrics
@@ -271,8 +266,9 @@ def relabel_by(df: DataFrame, cluster: str, by: str, descending: bool = True) ->
     from pyspark.sql import Window as W
     order = F.col("_m").desc() if descending else F.col("_m").asc()
     ranks = means.withColumn("_new", F.row_number().over(W.orderBy(order, F.col(cluster))) - 1)
-    return (df.join(_checked_broadcast(ranks.select(cluster, "_new"), "cluster table"), on=cluster)
-            .drop(cluster).withColumnRenamed("_new", cluster))
+    from tillroll.functions.columns import bounded_rows, literal_map
+    pairs = [(r[0], r[1]) for r in bounded_rows(ranks.select(cluster, "_new"), MAX_CLUSTERS, "cluster table")]
+    return df.withColumn(cluster, literal_map(pairs)[F.col(cluster)].cast("int"))
 
 
 def model_centroids(model) -> list[tuple[int, list[float]]]:

@@ -72,9 +72,8 @@ def rank_in_group(df: DataFrame, group: str, order: Column, tiebreak: str, out:
     counts = d.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = W.partitionBy(group).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    n_groups = counts.select(group).distinct().count()
-    if n_groups * 16 ** RANK_BUCKET_HEX <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
+    # offsets is a post-shuffle aggregate (groups x 4096 rows at most); adaptive
+    # execution measures it and broadcasts it when it is small
     j = d.join(offsets, on=[group, "_b"], how="inner")
     w2 = W.partitionBy(group, "_b").orderBy("_ord", tiebreak)
     return j.withColumn(out, F.col("_off") + F.row_number().over(w2)).drop("_ord", "_b", "_off")

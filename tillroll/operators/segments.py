@@ -2,8 +2,8 @@
 
 Per-cluster and per-segment frames have k rows; the windows without a
 partition key below only ever run on those k-row aggregates. Customer-level
-frames are only joined with them (broadcast after a size check) or read by
-aggregations.
+frames read them as literal lookups (fetched with a bounded collect that
+fails above MAX_CLUSTERS rows) or through aggregations.
 """
 
 from __future__ import annotations
@@ -21,13 +21,6 @@ SERVING_SEGMENTS = {0: "Champions", 1: "Potential Loyalists", 2: "At Risk", 3: "
 MAX_CLUSTERS = 10_000
 
 
-def _checked_small(df: DataFrame, what: str) -> DataFrame:
-    n = df.count()
-    if n > MAX_CLUSTERS:
-        raise ValueError(f"{what} has {n} rows (> {MAX_CLUSTERS})")
-    return F.broadcast(df)
-
-
 def cluster_summary(df: DataFrame, cluster: str = "Cluster") -> DataFrame:
     """Cluster, mean Recency / Frequency / Monetary, Count, Percentage of customers."""
     s = df.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(
@@ -64,8 +57,9 @@ def score_clusters(summary: DataFrame, cluster: str = "Cluster") -> DataFrame:
 def label_customers(df: DataFrame, labels: DataFrame, cluster: str = "Cluster") -> DataFrame:
     """Segment per customer (left lookup of the k-row label table) and
     ChurnProbability = Recency / max(Recency) (scalar subquery)."""
-    lab = _checked_small(labels.select(cluster, "Segment"), "label table")
-    out = df.join(lab, on=cluster, how="left")
+    from tillroll.functions.columns import bounded_rows, literal_map
+    pairs = [(r[0], r[1]) for r in bounded_rows(labels.select(cluster, "Segment"), MAX_CLUSTERS, "label table")]
+    out = df.withColumn("Segment", literal_map(pairs)[F.col(cluster)])
     max_r = df.agg(F.max("Recency")).scalar()
     return out.withColumn("ChurnProbability", F.col("Recency") / max_r)
 
@@ -123,7 +117,7 @@ def box_summary(df: DataFrame, cluster: str = "Cluster", cols=("Recency", "Frequ
     q = long.groupBy(cluster, "feature").agg(
         F.percentile("value", F.lit(0.25)).alias("q1"), F.percentile("value", F.lit(0.5)).alias("median"),
         F.percentile("value", F.lit(0.75)).alias("q3"))
-    j = long.join(_checked_small(q, "quartile table"), on=[cluster, "feature"])
+    j = long.join(q, on=[cluster, "feature"])
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)

@@ -376,8 +376,8 @@ def prediction_fixture(spark, sf_dir):
         "c_custkey", F.col("c_mktsegment").alias("actual"), F.col("c_acctbal").alias("score"))
     codes = CF.label_codes(c, "actual", "idx")
     k = codes.agg(F.count(F.lit(1))).scalar()
-    cur = F.broadcast(codes.withColumnRenamed("actual", "_a"))
-    nxt = F.broadcast(codes.select(F.col("idx").alias("_nidx"), F.col("actual").alias("_next")))
+    cur = codes.withColumnRenamed("actual", "_a")
+    nxt = codes.select(F.col("idx").alias("_nidx"), F.col("actual").alias("_next"))
     j = c.join(cur, c.actual == cur._a).join(nxt, F.col("_nidx") == (F.col("idx") + 1) % k)
     pred = F.when(F.col("c_custkey") % 5 != 0, F.col("actual")).otherwise(F.col("_next"))
     return j.select("c_custkey", "actual", pred.alias("predicted"), "score")

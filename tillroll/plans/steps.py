@@ -149,16 +149,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
 
     Returns {step: seconds} plus the step results.
     """
-    timings, results = {}, {}
+    timings, results, detail = {}, {}, {}
 
     def run(name, fn):
         t0 = time.time()
         res = fn()
+        detail[f"{name}.build"] = time.time() - t0
         for tname, df in res.tables.items():
+            t1 = time.time()
             if out_dir:
                 write_table(df, f"{out_dir}/{name}/{tname}")
             else:
                 df.write.format("noop").mode("overwrite").save()
+            detail[f"{name}.{tname}"] = time.time() - t1
         timings[name] = time.time() - t0
         results[name] = res
         if runs_path:
@@ -166,6 +169,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
                     metrics={"seconds": timings[name]})
         return res
 
+    t0 = time.time()
+    raw = materialize(raw, "raw_lines")  # the load: one scan of the sources, like reading the file
+    timings["load"] = detail["load"] = time.time() - t0
     run("profile", lambda: profile_step(raw))
     pre = run("preprocess", lambda: preprocess_step(raw))
     cleaned = pre.tables["clean"]
@@ -173,4 +179,4 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
     cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
     lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
     run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"], num_trees=num_trees))
-    return {"timings": timings, "results": results}
+    return {"timings": timings, "results": results, "detail": detail}
