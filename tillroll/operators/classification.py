@@ -63,7 +63,12 @@ def fit_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "S
                                maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
                                featureSubsetStrategy="sqrt"),
     ]
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(_spread(train))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Tree growing is CPU-bound: give every core a slice of the training rows."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 100, max_depth: int = 10,
@@ -83,7 +88,7 @@ def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 10
                                maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
                                featureSubsetStrategy="sqrt"),
     ]
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(_spread(train))
 
 
 def class_names(model) -> list[str]:

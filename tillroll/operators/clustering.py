@@ -159,6 +159,8 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
     sample = cluster_safe_sample(df.select(key, label, vec), label, key, sample_size, seed)
     sample = sample.select(key, F.col(label).cast("long").alias(label), as_double_array(vec).alias(vec))
     local = sample.toPandas()  # bounded by sample_size
+    # the O(sample^2) scoring is CPU work: spread the (bounded) sample over all cores
+    sample = spark.createDataFrame(local, sample.schema).repartition(spark.sparkContext.defaultParallelism)
     if local.empty:
         return spark.createDataFrame([], f"`{key}` long, `{label}` long, silhouette double")
     X = np.stack(local[vec].to_numpy()).astype(np.float64)
@@ -170,7 +172,7 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
         Xa, La = bc.value
         labels = np.unique(La)
         sizes = np.array([(La == l).sum() for l in labels], dtype=np.float64)
-        masks = [La == l for l in labels]
+        onehot = (La[:, None] == labels[None, :]).astype(np.float64)
         chunk = max(1, int(2_000_000 // max(1, Xa.shape[0] * Xa.shape[1])))
         for pdf in batches:
             if pdf.empty:
@@ -182,7 +184,7 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
             for start in range(0, len(P), chunk):
                 Pc = P[start:start + chunk]
                 D = np.sqrt(((Pc[:, None, :] - Xa[None, :, :]) ** 2).sum(axis=2))
-                sums = np.stack([D[:, m].sum(axis=1) for m in masks], axis=1)
+                sums = D @ onehot
                 o = own[start:start + chunk]
                 rows = np.arange(len(Pc))
                 own_size = sizes[o]
@@ -235,21 +237,31 @@ def quality_summary(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
 
 # --------------------------------------------------------------- K-Means fit
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, seed: int = 42, n_init: int = 1,
-               max_iter: int = 300, tol: float = 1e-4):
+               max_iter: int = 300, tol: float = 1e-4, relative_tol: bool = True):
     """Spark ML K-Means (k-means|| init); best of ``n_init`` seeds by training cost.
 
-    Input rows are assembled once and persisted for the iterations.
+    ``tol`` is read like scikit-learn's: relative to the mean feature
+    variance, on the total squared centre shift. Spark stops when every
+    centre moves less than its epsilon, so epsilon = sqrt(tol * mean variance)
+    (one extra aggregate). Input rows are assembled once, spread over the
+    cluster's cores and persisted for the iterations.
     """
     from pyspark import StorageLevel
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features", *features)
+    data = data.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        eps = tol
+        if relative_tol:
+            v = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
+            mean_var = float(np.mean([v[c] or 0.0 for c in features]))
+            eps = float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
         best = None
         for i in range(n_init):
-            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
+            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features",
                         predictionCol="Cluster")
             model = km.fit(data)
             cost = model.summary.trainingCost

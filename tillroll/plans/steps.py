@@ -122,7 +122,7 @@ def labelling_step(clustered: DataFrame) -> StepResult:
 
 def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int = 10,
                     seed: int = 42) -> StepResult:
-    feats = CF.encode_features(BK.classification_features(cleaned, labeled))
+    feats = CF.encode_features(materialize(BK.classification_features(cleaned, labeled), "classifier_features"))
     split = materialize(SM.stratified_split(feats, "Segment", CUSTOMER, 0.2, seed), "classifier_split")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     model = CF.fit_forest(train, num_trees=num_trees, max_depth=max_depth, seed=seed)
