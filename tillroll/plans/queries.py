@@ -423,7 +423,12 @@ RFM_VALID_FMT = '{"Recency":%d,"Frequency":%d,"Monetary":%.2f}'
 
 def rfm_requests(spark, sf_dir):
     """One JSON request per customer built from its raw RFM; a fixed share of
-    requests carries each validation failure (by customer id residue)."""
+    requests carries each validation failure (by customer id residue).
+    Written once as a request file set, like requests arriving from a source."""
+    return WS.shared_table(spark, sf_dir, "rfm_requests", lambda: _rfm_requests(spark, sf_dir))
+
+
+def _rfm_requests(spark, sf_dir):
     r = R.rfm_raw(clean_lines(spark, sf_dir))
     i = F.col(CUSTOMER)
     rec, fr, mo = F.col("Recency"), F.col("Frequency_raw"), F.col("Monetary_raw")
@@ -466,6 +471,10 @@ def classifier_requests(spark, sf_dir):
     Field values come from exact per-customer quantities (counts, cent sums,
     weekday / country codes) so their text form is the same in any engine.
     """
+    return WS.shared_table(spark, sf_dir, "classifier_requests", lambda: _classifier_requests(spark, sf_dir))
+
+
+def _classifier_requests(spark, sf_dir):
     lines = clean_lines(spark, sf_dir)
     fav = CF.encode_features(BK.favourites(lines))
     df = R.rfm_raw(lines).join(fav, CUSTOMER)

@@ -21,28 +21,28 @@ MSG_MISSING = "Missing required field: '{f}'."
 MSG_TYPE = "Field '{f}' must be numeric, got {t}."
 MSG_NEGATIVE = "Field '{f}' must be non-negative."
 
-INTEGRAL = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
+
+
+# VARIANT base type -> name of the Python type a JSON decoder yields.
+PY_TYPE = {"VOID": "NoneType", "BOOLEAN": "bool", "STRING": "str", "ARRAY": "list", "OBJECT": "dict",
+           "TINYINT": "int", "SMALLINT": "int", "INT": "int", "BIGINT": "int",
+           "FLOAT": "float", "DOUBLE": "float", "DECIMAL": "float"}
 
 
 def json_type_name(text: Column, v: Column, f: str) -> Column:
-    """Python type name of field ``f`` (null when the key is absent)."""
-    fv = F.try_variant_get(v, f"$.{f}", "variant")
-    t = F.schema_of_variant(fv)
-    raw = F.get_json_object(text, f"$.{f}")
-    return (F.when(fv.isNull(), F.lit(None).cast("string"))
-            .when(t == "VOID", "NoneType")
-            .when(t == "BOOLEAN", "bool")
-            .when(t == "STRING", "str")
-            .when(t.startswith("ARRAY"), "list")
-            .when(t.startswith("OBJECT"), "dict")
-            .when(t.isin(*INTEGRAL), "int")
-            .when(t.startswith("DECIMAL") & raw.rlike(r"^-?[0-9]+$"), "int")
-            .otherwise("float"))
-
-
-def _check(text: Column, v: Column, f: str, allowed: list[str], non_negative: bool) -> Column:
-    name = json_type_name(text, v, f)
-    value = F.try_variant_get(v, f"$.{f}", "double")
+    """Python type name of field ``f`` (null when the key is absent).
+
+    The VARIANT base type is looked up in a literal map; a DECIMAL whose JSON
+    token has no fraction or exponent (a big integer) counts as int.
+    """
+    t = F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")), r"^[A-Z]+", 0)
+    mapped = F.create_map(*[F.lit(x) for kv in PY_TYPE.items() for x in kv])[t]
+    big_int = (t == "DECIMAL") & F.get_json_object(text, f"$.{f}").rlike(r"^-?[0-9]+$")
+    return F.when(big_int, F.lit("int")).otherwise(mapped)
+
+
+def _check(f: str, allowed: list[str], non_negative: bool) -> Column:
+    name, value = F.col(f"_t_{f}"), F.col(f"_n_{f}")
     c = (F.when(name.isNull(), F.lit(MSG_MISSING.format(f=f)))
          .when(~name.isin(*allowed), F.format_string(MSG_TYPE.replace("{f}", f).replace("{t}", "%s"), name)))
     if non_negative:
@@ -52,14 +52,23 @@ def _check(text: Column, v: Column, f: str, allowed: list[str], non_negative: bo
 
 def _validate(df: DataFrame, text_col: str, checks: list[tuple[str, list[str], bool]],
               value_fields: list[tuple[str, str]]) -> DataFrame:
+    """Staged projections: parse once (``_v``), then one type name and one
+    numeric value per field, then the first failing rule. Each stage is a
+    small expression, so generated code stays compact and the JSON text is
+    parsed a single time per row."""
     text = F.col(text_col)
-    v = F.try_parse_json(text)
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    errs = [_check(text, v, f, allowed, nn) for f, allowed, nn in checks]
-    error = F.when(~is_obj, F.lit(MSG_NOT_OBJECT)).otherwise(F.coalesce(*errs))
-    out = df.withColumn("_v", v).withColumn("error", error).withColumn("valid", F.col("error").isNull())
+    staged = df.withColumn("_v", F.try_parse_json(text))
+    staged = staged.withColumns({
+        "_obj": F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)),
+        **{f"_t_{f}": json_type_name(text, F.col("_v"), f) for f, _, _ in checks},
+        **{f"_n_{f}": F.try_variant_get(F.col("_v"), f"$.{f}", "double") for f, _, nn in checks if nn},
+    })
+    errs = [_check(f, allowed, nn) for f, allowed, nn in checks]
+    out = staged.withColumn("error", F.when(~F.col("_obj"), F.lit(MSG_NOT_OBJECT)).otherwise(F.coalesce(*errs)))
+    out = out.withColumn("valid", F.col("error").isNull())
     vals = {f: F.when(F.col("valid"), F.try_variant_get(F.col("_v"), f"$.{f}", t)) for f, t in value_fields}
-    return out.withColumns(vals).drop("_v")
+    helper = ["_v", "_obj"] + [c for c in staged.columns if c.startswith("_t_") or c.startswith("_n_")]
+    return out.withColumns(vals).drop(*helper)
 
 
 def validate_rfm(df: DataFrame, text_col: str = "value") -> DataFrame:
