@@ -14,8 +14,9 @@ def rfm_raw(df: DataFrame) -> DataFrame:
     Two-level aggregation: (customer, invoice) first, so a customer owning a
     large share of all lines is spread over many tasks; the per-customer
     aggregate then runs on one row per invoice with map-side partial
-    aggregation. The reference date (last purchase overall + 1 day) is a
-    scalar subquery over the customer-level frame, not a second line scan.
+    aggregation. The reference date (last purchase over all lines + 1 day)
+    is a scalar subquery: one pruned column, a map-side max, no shuffle (a
+    subquery over the customer aggregate would recompute both shuffles).
     Rows with a null customer are dropped (pandas groupby drops null keys).
     """
     df = with_total_price(ensure_timestamp(df))
@@ -29,7 +30,7 @@ def rfm_raw(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("Frequency_raw"),
         F.sum("_value").alias("Monetary_raw"),
     )
-    reference_date = per_customer.agg(F.max("LastPurchase")).scalar() + F.expr("INTERVAL 1 DAY")
+    reference_date = df.agg(F.max("InvoiceDate")).scalar() + F.expr("INTERVAL 1 DAY")
     return per_customer.withColumn("Recency", whole_days_between("LastPurchase", reference_date))
 
 

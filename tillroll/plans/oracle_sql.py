@@ -46,7 +46,7 @@ per_customer AS (
   SELECT "Customer ID", max(_last) AS LastPurchase, count(*) AS Frequency_raw, sum(_value) AS Monetary_raw
   FROM per_invoice GROUP BY "Customer ID"),
 rfm_all AS (
-  SELECT *, CAST(floor((epoch_us((SELECT max(LastPurchase) FROM per_customer) + INTERVAL 1 DAY)
+  SELECT *, CAST(floor((epoch_us((SELECT max(InvoiceDate) FROM lines) + INTERVAL 1 DAY)
                         - epoch_us(LastPurchase)) / 86400000000) AS BIGINT) AS Recency
   FROM per_customer),
 rfm AS (
