@@ -706,3 +706,18 @@ creq AS (SELECT "Customer ID",
 SELECT "Customer ID", valid, error, {', '.join(r(f) + ' AS ' + f for f in CLS_FIELDS[:6])},
        CAST(FavoriteDay_Encoded AS DOUBLE) AS FavoriteDay_Encoded, CAST(Country_Encoded AS DOUBLE) AS Country_Encoded
 FROM val"""
+
+# ---------------------------------------------------- sources and sinks
+ORACLE["source_csv_scan"] = f"""
+WITH {CLEAN_CTE}
+SELECT CAST(Invoice AS VARCHAR) AS Invoice, CAST(StockCode AS VARCHAR) AS StockCode, Description,
+       CAST(Quantity AS BIGINT) AS Quantity, InvoiceDate, Price, "Customer ID", Country
+FROM clean"""
+
+ORACLE["features_head"] = f"""
+WITH {FEATURE_CTE}
+SELECT Invoice, StockCode, Quantity, InvoiceDate, Price, "Customer ID", Country, Year, Month, Day, Hour, DayOfWeek,
+       {r('TotalPrice', 4)} AS TotalPrice, {r('TransactionSize')} AS TransactionSize, UniqueItems
+FROM feat ORDER BY Invoice, StockCode, Quantity, Price, "Customer ID" LIMIT 100"""
+
+ORACLE["score_rfm_bundle"] = ORACLE["score_rfm_fixed"]

@@ -591,3 +591,86 @@ def q_score_stream_rfm(spark, sf_dir):
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.where("valid").select(F.col("id").cast("bigint").alias(CUSTOMER), "cluster", "segment")
+
+
+# ------------------------------------------------------- sources and sinks
+UCI_HEADER = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID",
+              "Country"]
+
+
+@query("source_csv_scan")
+def q_source_csv_scan(spark, sf_dir):
+    """The dirty transactions written as a Latin-1 CSV in the older column
+    spelling (InvoiceNo / UnitPrice / CustomerID, 'M/d/yyyy H:mm' dates), read
+    back through the declared-schema scan and cleaned."""
+    from tillroll.session import scratch_path
+    from tillroll.sources.retail_csv import read_transactions_csv
+
+    def build():
+        path = scratch_path(spark, "retail-csv")
+        d = S.retail_dirty_raw(spark, sf_dir)
+        (d.select(F.col("Invoice").alias("InvoiceNo"), "StockCode", "Description",
+                  F.col("Quantity").cast("bigint").alias("Quantity"),
+                  F.date_format("InvoiceDate", "M/d/yyyy H:mm").alias("InvoiceDate"),
+                  F.col("Price").alias("UnitPrice"), F.col("CustomerID").cast("double").alias("CustomerID"),
+                  "Country")
+         .write.option("header", True).option("encoding", "ISO-8859-1").csv(path))
+        return C.clean(read_transactions_csv(spark, path, header=UCI_HEADER))
+    return WS.shared_table(spark, sf_dir, "csv_clean_lines", build)
+
+
+@query("features_head")
+def q_features_head(spark, sf_dir):
+    """First 100 feature lines under an explicit total order (the preview sink)."""
+    from tillroll.sources.sinks import head
+    df = feature_lines(spark, sf_dir).drop("Description")
+    return rounded(head(df, 100, ["Invoice", "StockCode", "Quantity", "Price", CUSTOMER]), {"TotalPrice": 4})
+
+
+@query("score_rfm_bundle")
+def q_score_rfm_bundle(spark, sf_dir):
+    """Scaler + centroids + segment table saved as a bundle, loaded back and
+    used to score the requests (persistence round trip)."""
+    from tillroll.session import scratch_path
+    from tillroll.sources import tracking as TR
+    path = scratch_path(spark, "rfm-bundle")
+    params = FE.fit_standard_scaler(rfm_customers(spark, sf_dir), CL.RFM_FEATURES)
+    TR.save_rfm_bundle(spark, path, params, FIXED_CENTROIDS, SG.SERVING_SEGMENTS)
+    out = SC.score_rfm_requests(rfm_requests(spark, sf_dir), TR.load_rfm_bundle(spark, path))
+    return out.where("valid").select(CUSTOMER, "cluster", "segment")
+
+
+@query("report_segments")
+def q_report_segments(spark, sf_dir):
+    """Segment analysis report written as text lines and read back."""
+    from tillroll.session import scratch_path
+    from tillroll.sources.sinks import report_rows, table_rows, write_report
+    scored = scored_clusters(spark, sf_dir)
+    metrics = SG.segment_metrics(labeled_customers(spark, sf_dir))
+    rows = (table_rows("SEGMENT LABELS", scored, ["Cluster"], ["Segment"])
+            .unionByName(table_rows("SEGMENT DETAILS", metrics, ["Segment"],
+                                    ["Count", "Avg_Recency", "Avg_Frequency", "Avg_Monetary", "Revenue_Share",
+                                     "Churn_Probability"]))
+            .unionByName(report_rows("TOTALS", labeled_customers(spark, sf_dir).agg(
+                F.count(F.lit(1)).alias("customers"), F.sum("Monetary").alias("total_revenue")))))
+    path = write_report(rows, scratch_path(spark, "segment-report"))
+    return spark.read.text(path)
+
+
+@query("tracking_latest_run")
+def q_tracking_latest_run(spark, sf_dir):
+    """Two runs of the labelling metrics appended to a run table; the latest
+    one is read back (params, tags and unpivoted metrics)."""
+    import datetime as dt
+    from tillroll.session import scratch_path
+    from tillroll.sources import tracking as TR
+    path = scratch_path(spark, "runs")
+    labeled = labeled_customers(spark, sf_dir)
+    metrics = labeled.agg(F.count(F.lit(1)).alias("total_customers"), F.sum("Monetary").alias("total_revenue"),
+                          F.avg("ChurnProbability").alias("avg_churn"))
+    TR.log_run(spark, path, "labelling", "cluster_labeling", {"churn_formula": "Recency / Max_Recency"},
+               metrics, {"model_type": "none"}, start_time=dt.datetime(2024, 1, 1))
+    TR.log_run(spark, path, "labelling", "cluster_labeling", {"churn_formula": "Recency / Max_Recency"},
+               metrics.select((F.col("total_customers") + 0).alias("total_customers"), "total_revenue", "avg_churn"),
+               {"model_type": "none"}, start_time=dt.datetime(2024, 2, 1))
+    return TR.latest_run(spark, path, "labelling").drop("run_id")
