@@ -141,3 +141,10 @@ def literal_map(pairs: list[tuple]) -> Column:
     if not pairs:
         return F.create_map().cast("map<string,string>")
     return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin onto every core when a (small) input has fewer partitions
+    than the cluster has cores; large inputs keep their partitioning."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df

@@ -68,7 +68,8 @@ def fit_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "S
 
 def _spread(df: DataFrame) -> DataFrame:
     """Tree growing is CPU-bound: give every core a slice of the training rows."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    from tillroll.functions.columns import spread
+    return spread(df)
 
 
 def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 100, max_depth: int = 10,

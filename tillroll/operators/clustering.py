@@ -161,6 +161,7 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
     local = sample.toPandas()  # bounded by sample_size
     # the O(sample^2) scoring is CPU work: spread the (bounded) sample over all cores
     sample = spark.createDataFrame(local, sample.schema).repartition(spark.sparkContext.defaultParallelism)
+    # (createDataFrame from the bounded local copy; one slice per core)
     if local.empty:
         return spark.createDataFrame([], f"`{key}` long, `{label}` long, silhouette double")
     X = np.stack(local[vec].to_numpy()).astype(np.float64)
@@ -252,7 +253,8 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, seed: int = 42, n
 
     spark = df.sparkSession
     data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features", *features)
-    data = data.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    from tillroll.functions.columns import spread
+    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         eps = tol
         if relative_tol:

@@ -109,12 +109,14 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
             .select("bin", "bin_start", "bin_end", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def revenue_distribution(df: DataFrame, bins: int = 50) -> tuple[DataFrame, DataFrame]:
+def revenue_distribution(df: DataFrame, bins: int = 50, p99: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Outlier-trimmed TotalPrice: 0 < TotalPrice < p99 (p99 over all rows).
 
-    Returns (histogram, stats) where stats has p99, mean, median, n.
+    Returns (histogram, stats) where stats has p99, mean, median, n. ``p99``
+    may be passed in when already computed with other quantiles.
     """
-    p99 = percentiles_exact(df, ["TotalPrice"], [0.99])["TotalPrice"][0.99]
+    if p99 is None:
+        p99 = percentiles_exact(df, ["TotalPrice"], [0.99])["TotalPrice"][0.99]
     kept = df.where((F.col("TotalPrice") > 0) & (F.col("TotalPrice") < F.lit(p99)))
     med = percentiles_exact(kept, ["TotalPrice"], [0.5])["TotalPrice"][0.5]
     stats = kept.agg(F.count(F.lit(1)).alias("n"), F.avg("TotalPrice").alias("mean")).select(
@@ -152,9 +154,9 @@ def quantity_price_sample(df: DataFrame, n: int = 5000, seed: int = 42) -> DataF
             .orderBy("_k", "Invoice", "StockCode", "Quantity", "Price").limit(n).drop("_k"))
 
 
-def kpis(df: DataFrame) -> DataFrame:
+def kpis(df: DataFrame, median: float | None = None) -> DataFrame:
     """One row of headline numbers for the cleaned transactions."""
-    med = percentiles_exact(df, ["TotalPrice"], [0.5])["TotalPrice"][0.5]
+    med = median if median is not None else percentiles_exact(df, ["TotalPrice"], [0.5])["TotalPrice"][0.5]
     base = df.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_distinct(CUSTOMER).alias("unique_customers"),

@@ -58,11 +58,9 @@ def feature_engineering(df: DataFrame) -> DataFrame:
 
 def category_values(df: DataFrame, col: str, max_categories: int = MAX_ONE_HOT_CATEGORIES) -> list[str]:
     """Sorted distinct non-null values; the count is checked before fetching."""
+    from tillroll.functions.columns import bounded_rows
     distinct = df.where(F.col(col).isNotNull()).select(col).distinct()
-    n = distinct.count()
-    if n > max_categories:
-        raise ValueError(f"{col} has {n} categories (> {max_categories}); use an indexer instead")
-    return sorted(r[0] for r in distinct.collect())
+    return sorted(r[0] for r in bounded_rows(distinct, max_categories, f"{col} categories (use an indexer)"))
 
 
 def one_hot(df: DataFrame, col: str = "Country", prefix: str | None = None,

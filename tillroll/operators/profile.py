@@ -75,7 +75,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC_TYPES or t.startswith("decimal")]
 
 
-def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
+             quartiles: dict | None = None) -> DataFrame:
     """pandas-style describe(): count, mean, std (ddof 1), min, 25/50/75 %, max.
 
     One row per column. Quartiles are exact linear-interpolated percentiles
@@ -89,7 +90,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
     wide = df.agg(*aggs)
-    q = percentiles_exact(df, cols, [0.25, 0.5, 0.75]) if exact else None
+    q = (quartiles or percentiles_exact(df, cols, [0.25, 0.5, 0.75])) if exact else None
     parts = []
     for i, c in enumerate(cols):
         if exact:

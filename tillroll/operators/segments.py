@@ -127,10 +127,11 @@ def box_summary(df: DataFrame, cluster: str = "Cluster", cols=("Recency", "Frequ
         F.count_if(~inside).alias("outliers"))
 
 
-def rfm_summary(rfm: DataFrame) -> DataFrame:
-    """One row: mean and median of Recency, Frequency, Monetary (exact medians)."""
+def rfm_summary(rfm: DataFrame, medians: dict | None = None) -> DataFrame:
+    """One row: mean and median of Recency, Frequency, Monetary (exact medians;
+    ``medians`` {col: {0.5: value}} may be passed in when already computed)."""
     from tillroll.operators.quantiles import percentiles_exact
-    med = percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.5])
+    med = medians or percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.5])
     base = rfm.agg(F.count(F.lit(1)).alias("customers"),
                    *[F.avg(c).alias(f"{c}_mean") for c in ("Recency", "Frequency", "Monetary")])
     return base.select("*", *[F.lit(med[c][0.5]).cast("double").alias(f"{c}_median")

@@ -22,6 +22,7 @@ from tillroll.operators import clustering as CL
 from tillroll.operators import eda as EDA
 from tillroll.operators import features as FE
 from tillroll.operators import profile as P
+from tillroll.operators import quantiles as Q
 from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
@@ -45,14 +46,12 @@ def profile_step(raw: DataFrame) -> StepResult:
     })
 
 
-def preprocess_step(raw: DataFrame, materialise: bool = True) -> StepResult:
-    cleaned = C.clean(raw)
-    if materialise:
-        cleaned = materialize(cleaned, "clean_lines")
+def preprocess_step(raw: DataFrame, materialise: bool = True, cleaned: DataFrame | None = None) -> StepResult:
+    if cleaned is None:
+        cleaned = clean_step(raw, materialise).tables["clean"]
     feats = FE.feature_engineering(cleaned)
     processed = FE.encode_and_scale(feats)
     return StepResult({
-        "clean": cleaned,
         "features": feats,
         "processed": processed,
         "processed_sample": head(processed, 100, ["Invoice", "StockCode"]),
@@ -60,12 +59,21 @@ def preprocess_step(raw: DataFrame, materialise: bool = True) -> StepResult:
     }, {"new_columns": P.schema_diff(raw, processed)})
 
 
+def clean_step(raw: DataFrame, materialise: bool = True) -> StepResult:
+    """C1..C4, materialised once: every later step starts from this table."""
+    cleaned = C.clean(raw)
+    if materialise:
+        cleaned = materialize(cleaned, "clean_lines")
+    return StepResult({"clean": cleaned})
+
+
 def eda_step(cleaned: DataFrame) -> StepResult:
     d = FE.add_date_parts(cleaned).transform(lambda x: x if "TotalPrice" in x.columns else
                                              x.withColumn("TotalPrice", F.col("Quantity") * F.col("Price")))
-    hist, stats = EDA.revenue_distribution(d)
+    q = Q.percentiles_exact(d, ["TotalPrice"], [0.5, 0.99])["TotalPrice"]  # one selection for both
+    hist, stats = EDA.revenue_distribution(d, p99=q[0.99])
     return StepResult({
-        "kpis": EDA.kpis(d),
+        "kpis": EDA.kpis(d, median=q[0.5]),
         "monthly_revenue": EDA.monthly_revenue(d),
         "top_countries": EDA.top_countries(d),
         "top_products": EDA.top_products(d),
@@ -84,6 +92,7 @@ def eda_step(cleaned: DataFrame) -> StepResult:
 def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 1, sweep: bool = False,
                     seed: int = 42) -> StepResult:
     rfm = materialize(R.rfm_log(cleaned), "rfm")
+    rq = Q.percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.25, 0.5, 0.75])
     scaled, params = CL.scale_rfm(rfm)
     model = CL.fit_kmeans(scaled, SCALED, k=k, seed=seed, n_init=n_init)
     cents = CL.model_centroids(model)
@@ -100,8 +109,8 @@ def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 1, sweep: bool
         "cluster_means": SG.cluster_mean_matrix(SG.cluster_summary(clustered)),
         "cluster_boxes": SG.box_summary(SM.random_sample(clustered, 5000, CUSTOMER, seed, tiebreak=[CUSTOMER])),
         "quality": quality.withColumn("inertia_full", F.lit(float(model.summary.trainingCost))),
-        "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"]),
-        "rfm_summary": SG.rfm_summary(rfm),
+        "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"], quartiles=rq),
+        "rfm_summary": SG.rfm_summary(rfm, medians=rq),
     }
     if sweep:
         out["elbow"] = CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed)
@@ -144,39 +153,61 @@ def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, runs_path: str | None = None,
-                 k: int = 4, n_init: int = 1, sweep: bool = False, num_trees: int = 100) -> dict:
+                 k: int = 4, n_init: int = 1, sweep: bool = False, num_trees: int = 100,
+                 concurrency: int = 4) -> dict:
     """Run all six steps; writes every table to ``out_dir`` (Parquet) when given.
 
-    Returns {step: seconds} plus the step results.
+    Independent work is submitted as concurrent Spark jobs (Spark schedules
+    jobs from several threads over the same executors): output tables are
+    written by a small pool while later steps build, profile / feature
+    engineering / EDA run beside the clean -> clustering -> labelling ->
+    classifier chain. Returns per-step build seconds (overlapping, so they do
+    not sum to the wall-clock total), per-table write seconds and the results.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     timings, results, detail = {}, {}, {}
+    writers = ThreadPoolExecutor(max_workers=concurrency)
+    pending = []
+
+    def write(name, tname, df):
+        t1 = time.time()
+        if out_dir:
+            write_table(df, f"{out_dir}/{name}/{tname}")
+        else:
+            df.write.format("noop").mode("overwrite").save()
+        detail[f"{name}.{tname}"] = time.time() - t1
 
     def run(name, fn):
         t0 = time.time()
         res = fn()
-        detail[f"{name}.build"] = time.time() - t0
-        for tname, df in res.tables.items():
-            t1 = time.time()
-            if out_dir:
-                write_table(df, f"{out_dir}/{name}/{tname}")
-            else:
-                df.write.format("noop").mode("overwrite").save()
-            detail[f"{name}.{tname}"] = time.time() - t1
-        timings[name] = time.time() - t0
+        timings[name] = detail[f"{name}.build"] = time.time() - t0
         results[name] = res
+        pending.extend(writers.submit(write, name, t, df) for t, df in res.tables.items())
         if runs_path:
             log_run(spark, runs_path, name, name, params={"tables": ",".join(res.tables)},
-                    metrics={"seconds": timings[name]})
+                    metrics={"build_seconds": timings[name]})
         return res
 
-    t0 = time.time()
-    raw = materialize(raw, "raw_lines")  # the load: one scan of the sources, like reading the file
-    timings["load"] = detail["load"] = time.time() - t0
-    run("profile", lambda: profile_step(raw))
-    pre = run("preprocess", lambda: preprocess_step(raw))
-    cleaned = pre.tables["clean"]
-    run("eda", lambda: eda_step(cleaned))
-    cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
-    lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
-    run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"], num_trees=num_trees))
+    try:
+        t0 = time.time()
+        raw = materialize(raw, "raw_lines")  # the load: one scan of the sources, like reading the file
+        timings["load"] = detail["load"] = time.time() - t0
+        with ThreadPoolExecutor(max_workers=3) as branches:
+            side = [branches.submit(run, "profile", lambda: profile_step(raw))]
+            cleaned = run("clean", lambda: clean_step(raw)).tables["clean"]
+            side.append(branches.submit(run, "preprocess", lambda: preprocess_step(raw, cleaned=cleaned)))
+            side.append(branches.submit(run, "eda", lambda: eda_step(cleaned)))
+            cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
+            lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
+            run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],
+                                                      num_trees=num_trees))
+            for f in side:
+                f.result()
+        t1 = time.time()
+        for f in pending:
+            f.result()
+        timings["final_writes"] = time.time() - t1
+    finally:
+        writers.shutdown(wait=True)
     return {"timings": timings, "results": results, "detail": detail}
