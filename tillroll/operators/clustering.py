@@ -214,20 +214,62 @@ def silhouette(df: DataFrame, key: str, vec: str, label: str, sample_size: int =
                  .otherwise(F.avg("silhouette")).alias("silhouette"))
 
 
+def cluster_stats(df: DataFrame, vec: str, label: str) -> list[dict]:
+    """Per cluster: n, centroid, W (sum of squared distances to the centroid)
+    and S (mean distance to it). Two aggregations: the k centroids are
+    collected (bounded, checked) and then used as literals, no join."""
+    from tillroll.functions.columns import bounded_rows
+    cents = {r[label]: (r["n"], list(r["centroid"]))
+             for r in bounded_rows(centroids(df, vec, label), MAX_CLUSTERS, "centroid table")}
+    if not cents:
+        return []
+    cmap = F.create_map(*[x for l, (_, c) in cents.items()
+                          for x in (F.lit(l), F.array(*[F.lit(float(v)) for v in c]))])
+    c = cmap[F.col(label)]
+    per = df.groupBy(label).agg(F.sum(sq_dist(F.col(vec), c)).alias("W"),
+                                F.avg(euclid(F.col(vec), c)).alias("S")).collect()
+    return [{"label": r[label], "n": cents[r[label]][0], "centroid": np.array(cents[r[label]][1]),
+             "W": r["W"], "S": r["S"]} for r in per]
+
+
+def metrics_from_stats(stats: list[dict]) -> dict:
+    """inertia, davies_bouldin, calinski_harabasz from the k per-cluster rows."""
+    k = len(stats)
+    n = sum(s["n"] for s in stats)
+    inertia_v = float(sum(s["W"] for s in stats))
+    if k < 2:
+        return {"inertia": inertia_v, "davies_bouldin": float("inf"), "calinski_harabasz": 0.0}
+    C = np.stack([s["centroid"] for s in stats])
+    S = np.array([s["S"] for s in stats])
+    g = (np.array([s["n"] for s in stats])[:, None] * C).sum(0) / n
+    B = float(sum(s["n"] * ((s["centroid"] - g) ** 2).sum() for s in stats))
+    ch = 1.0 if inertia_v == 0 else B * (n - k) / (inertia_v * (k - 1))
+    if np.all(S == 0):
+        db = 0.0
+    else:
+        D = np.sqrt(((C[:, None, :] - C[None, :, :]) ** 2).sum(-1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            R = (S[:, None] + S[None, :]) / D
+        R[~np.isfinite(R)] = 0.0
+        np.fill_diagonal(R, 0.0)
+        db = float(R.max(axis=1).mean())
+    return {"inertia": inertia_v, "davies_bouldin": db, "calinski_harabasz": float(ch)}
+
+
 def quality_summary(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
     """One row: n, k, inertia, silhouette, davies_bouldin, calinski_harabasz.
 
-    The point set is persisted once (it feeds five metric jobs) and the
-    one-row results are combined as scalars, like an ML evaluator.
+    The point set is persisted once; inertia, Davies-Bouldin and
+    Calinski-Harabasz come from the k per-cluster statistics (two
+    aggregations), the silhouette from the bounded-sample scorer.
     """
     from pyspark import StorageLevel
     pts = df.select(key, label, vec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        base = pts.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k")).first()
-        vals = {"n": base["n"], "k": base["k"]}
-        for part in (inertia(pts, vec, label), silhouette(pts, key, vec, label),
-                     davies_bouldin(pts, vec, label), calinski_harabasz(pts, vec, label)):
-            vals.update(part.first().asDict())
+        stats = cluster_stats(pts, vec, label)
+        vals = {"n": sum(s["n"] for s in stats), "k": len(stats)}
+        vals.update(metrics_from_stats(stats))
+        vals["silhouette"] = silhouette(pts, key, vec, label).first()[0]
     finally:
         pts.unpersist()
     return df.sparkSession.createDataFrame(

@@ -167,10 +167,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
     from concurrent.futures import ThreadPoolExecutor
 
     timings, results, detail = {}, {}, {}
-    writers = ThreadPoolExecutor(max_workers=concurrency)
+    writers = ThreadPoolExecutor(max_workers=max(1, concurrency - 1))
     pending = []
 
+    def pool(name):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+
     def write(name, tname, df):
+        pool("writes")
         t1 = time.time()
         if out_dir:
             write_table(df, f"{out_dir}/{name}/{tname}")
@@ -193,11 +197,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
         t0 = time.time()
         raw = materialize(raw, "raw_lines")  # the load: one scan of the sources, like reading the file
         timings["load"] = detail["load"] = time.time() - t0
-        with ThreadPoolExecutor(max_workers=3) as branches:
-            side = [branches.submit(run, "profile", lambda: profile_step(raw))]
-            cleaned = run("clean", lambda: clean_step(raw)).tables["clean"]
-            side.append(branches.submit(run, "preprocess", lambda: preprocess_step(raw, cleaned=cleaned)))
-            side.append(branches.submit(run, "eda", lambda: eda_step(cleaned)))
+        pool("chain")
+        cleaned = run("clean", lambda: clean_step(raw)).tables["clean"]
+
+        def side_branch():
+            pool("side")
+            run("profile", lambda: profile_step(raw))
+            run("preprocess", lambda: preprocess_step(raw, cleaned=cleaned))
+            run("eda", lambda: eda_step(cleaned))
+
+        with ThreadPoolExecutor(max_workers=1) as branches:
+            side = [branches.submit(side_branch)]
             cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
             lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
             run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],

@@ -43,6 +43,8 @@ def get_spark(
     conf = dict(BASE_CONF)
     conf.setdefault("spark.ui.enabled", "false")
     conf.setdefault("spark.ui.showConsoleProgress", "false")
+    # concurrent jobs from several threads share executors fairly by pool
+    conf.setdefault("spark.scheduler.mode", "FAIR")
     conf.setdefault("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "16g"))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
