@@ -40,3 +40,22 @@ def test_oracle(spark, duck, name):
     sp = E.queries()[name](spark, SF_SMALL).toPandas()
     dd = duck.execute(E.oracle_sql()[name]).df()
     assert digest(sp)[:3] == digest(dd)[:3]
+
+
+PLAN_SUBSET = ["rfm_log", "features_invoice_stats", "eda_weekday_hour", "segment_customers", "basket_metrics",
+               "classify_roc_curve", "split_stratified", "score_rfm_fixed", "classify_confusion"]
+
+
+@pytest.mark.parametrize("name", PLAN_SUBSET)
+def test_plans_have_no_pairwise_or_row_udf_operators(spark, name):
+    """No cartesian product, nested-loop join or row-at-a-time Python in the plan."""
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert op not in plan, f"{name}: {op}"
+
+
+def test_rfm_scan_is_pruned_and_filtered(spark):
+    df = E.queries()["rfm_log"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan or "ReadSchema" in plan

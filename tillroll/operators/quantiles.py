@@ -132,9 +132,17 @@ def _refine(df: DataFrame, ranges: list[dict], buckets: int) -> list[dict]:
 
 
 def percentiles_exact(df: DataFrame, cols: list[str], probs: list[float],
-                      collect_limit: int = 50_000) -> dict[str, dict[float, float | None]]:
-    """{col: {p: value}} with numpy 'linear' interpolation; None for empty columns."""
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+                      collect_limit: int = 50_000, reuse: str = "persist") -> dict[str, dict[float, float | None]]:
+    """{col: {p: value}} with numpy 'linear' interpolation; None for empty columns.
+
+    ``reuse`` says how the few passes share the input: "persist" caches the
+    needed columns (right for computed inputs), "none" re-reads them (right
+    for a Parquet table, where each pass reads one pruned column and the
+    narrowing range filters skip row groups).
+    """
+    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    if reuse == "persist":
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         aggs = []
         for c in cols:
@@ -157,7 +165,8 @@ def percentiles_exact(df: DataFrame, cols: list[str], probs: list[float],
                 out[c][p] = a if frac == 0 else (b - (b - a) * (1 - frac) if frac >= 0.5 else a + (b - a) * frac)
         return out
     finally:
-        narrow.unpersist()
+        if reuse == "persist":
+            narrow.unpersist()
 
 
 def percentile_value(df: DataFrame, col: str, p: float) -> float | None:
