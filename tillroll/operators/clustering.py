@@ -143,7 +143,7 @@ def davies_bouldin(df: DataFrame, vec: str, label: str) -> DataFrame:
 
 def attach_scalar_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     from tillroll.functions.columns import attach_row
-    return attach_row(df, one_row)
+    return attach_row(df, one_row)  # one-row frame as a scalar subquery, no join
 
 
 def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,

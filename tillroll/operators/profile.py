@@ -11,10 +11,6 @@ from tillroll.operators.quantiles import percentiles_exact
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def _lit_str(s: str):
-    return F.lit(s)
-
-
 def shape(df: DataFrame) -> DataFrame:
     """One row: rows, columns."""
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("bigint"))

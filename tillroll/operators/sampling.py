@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import col_of
 
 RANK_BUCKET_HEX = 3  # leading hex digits of the hash used as range buckets (4096)
-MAX_BROADCAST_OFFSETS = 2_000_000
 
 
 def hash_key(key: str | Column, seed: int = 42) -> Column:

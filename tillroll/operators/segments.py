@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import CUSTOMER, np_round
+from tillroll.functions.columns import np_round
 
 # Segment names by descending total RFM score position.
 SEGMENT_ORDER = ["Champions", "Potential Loyalists", "At Risk", "Lost"]
@@ -137,10 +137,3 @@ def rfm_summary(rfm: DataFrame, medians: dict | None = None) -> DataFrame:
     return base.select("*", *[F.lit(med[c][0.5]).cast("double").alias(f"{c}_median")
                               for c in ("Recency", "Frequency", "Monetary")])
 
-
-def cluster_to_segment_table(scored: DataFrame, cluster: str = "Cluster") -> DataFrame:
-    return scored.select(cluster, "Segment")
-
-
-def customers_by_segment(labeled: DataFrame) -> DataFrame:
-    return labeled.select(CUSTOMER, "Cluster", "Segment", "ChurnProbability")

@@ -721,3 +721,19 @@ SELECT Invoice, StockCode, Quantity, InvoiceDate, Price, "Customer ID", Country,
 FROM feat ORDER BY Invoice, StockCode, Quantity, Price, "Customer ID" LIMIT 100"""
 
 ORACLE["score_rfm_bundle"] = ORACLE["score_rfm_fixed"]
+
+ORACLE["eda_weekday_hour_matrix"] = """
+WITH act AS (
+  SELECT event_id AS Invoice, CAST(isodow(ts) - 1 AS INTEGER) AS DayOfWeek, CAST(hour(ts) AS INTEGER) AS Hour
+  FROM events),
+cells AS (SELECT DayOfWeek, Hour, count(DISTINCT Invoice) AS Invoices FROM act GROUP BY DayOfWeek, Hour)
+SELECT DayOfWeek, ['Mon','Tue','Wed','Thu','Fri','Sat','Sun'][DayOfWeek + 1] AS Day,
+""" + ",\n".join(f'       max(CASE WHEN Hour = {h} THEN Invoices END) AS "{h}"' for h in range(24)) + """
+FROM cells GROUP BY DayOfWeek"""
+
+ORACLE["rfm_scaler_params"] = f"""
+WITH {RFM_CTE}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {r(f'avg(CAST({c} AS DOUBLE))')} AS mean, "
+    f"{r(f'CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END')} AS scale "
+    f"FROM rfm" for c in ("Recency", "Frequency", "Monetary"))

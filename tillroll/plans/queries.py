@@ -674,3 +674,20 @@ def q_tracking_latest_run(spark, sf_dir):
                metrics.select((F.col("total_customers") + 0).alias("total_customers"), "total_revenue", "avg_churn"),
                {"model_type": "none"}, start_time=dt.datetime(2024, 2, 1))
     return TR.latest_run(spark, path, "labelling").drop("run_id")
+
+
+@query("eda_weekday_hour_matrix")
+def q_eda_weekday_hour_matrix(spark, sf_dir):
+    """The heatmap as a matrix: one row per present weekday, hour columns 0..23."""
+    return EDA.weekday_hour_matrix(FE.add_date_parts(S.activity(spark, sf_dir)))
+
+
+@query("rfm_scaler_params")
+def q_rfm_scaler_params(spark, sf_dir):
+    """Scaler refit from the persisted RFM table (read back with its required
+    columns checked), one row per feature."""
+    from tillroll.sources.retail_csv import read_intermediate
+    rfm_customers(spark, sf_dir)
+    path = WS.table_path(spark, sf_dir, "rfm_log")
+    rfm = read_intermediate(spark, path, required=[CUSTOMER, "Recency", "Frequency", "Monetary"])
+    return rounded(FE.fit_standard_scaler(rfm, CL.RFM_FEATURES))

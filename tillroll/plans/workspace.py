@@ -43,6 +43,11 @@ def shared_object(spark: SparkSession, sf_dir: str, name: str, build: Callable[[
     return _OBJECTS[key]
 
 
+def table_path(spark: SparkSession, sf_dir: str, name: str) -> str | None:
+    """Where a shared table was written (None before it is built)."""
+    return _TABLES.get(_key(spark, sf_dir, name))
+
+
 def clear() -> None:
     _TABLES.clear()
     _OBJECTS.clear()
