@@ -53,19 +53,30 @@ def fit_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "S
                max_depth: int = 10, max_bins: int = 64, seed: int = 42):
     """Pipeline: label indexer (alphabetical) -> assembler -> random forest (gini, sqrt features)."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     stages = [
         StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-        RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
-                               maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
-                               featureSubsetStrategy="sqrt"),
+        _forest(num_trees, max_depth, max_bins, seed),
     ]
     return Pipeline(stages=stages).fit(_spread(train))
 
 
+def _forest(num_trees: int, max_depth: int, max_bins: int, seed: int):
+    """Gini forest with sqrt feature subsets. Node ids are cached per row (no
+    re-walk of every tree each level) and checkpointed into the shared
+    checkpoint folder; a larger aggregation budget splits more nodes per pass."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.sql import SparkSession
+    from tillroll.session import checkpoint_root
+    checkpoint_root(SparkSession.getActiveSession())
+    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
+                                  maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
+                                  featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10,
+                                  maxMemoryInMB=1024)
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Tree growing is CPU-bound: give every core a slice of the training rows."""
     from tillroll.functions.columns import spread
@@ -77,7 +88,6 @@ def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 10
     """Forest over raw FavoriteDay / Country strings: the indexers live inside
     the pipeline (alphabetical codes, unseen values kept as an extra index)."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     stages = [
@@ -85,9 +95,7 @@ def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 10
         StringIndexer(inputCols=["FavoriteDay", "Country"], outputCols=["FavoriteDay_Encoded", "Country_Encoded"],
                       stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
-        RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
-                               maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
-                               featureSubsetStrategy="sqrt"),
+        _forest(num_trees, max_depth, max_bins, seed),
     ]
     return Pipeline(stages=stages).fit(_spread(train))
 
