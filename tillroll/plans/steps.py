@@ -91,32 +91,39 @@ def eda_step(cleaned: DataFrame) -> StepResult:
 
 def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 1, sweep: bool = False,
                     seed: int = 42) -> StepResult:
+    """RFM -> scaling -> K-Means -> assignments (what labelling needs)."""
     rfm = materialize(R.rfm_log(cleaned), "rfm")
-    rq = Q.percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.25, 0.5, 0.75])
     scaled, params = CL.scale_rfm(rfm)
     model = CL.fit_kmeans(scaled, SCALED, k=k, seed=seed, n_init=n_init)
     cents = CL.model_centroids(model)
     clustered = materialize(CL.assign_nearest(scaled, SCALED, cents), "rfm_clusters")
-    pts = clustered.select(CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"),
-                           CL.as_vector(SCALED).alias("vec"))
-    sample = SM.cluster_safe_sample(pts, "Cluster", CUSTOMER, CL.SILHOUETTE_SAMPLE, seed)
-    quality = CL.quality_summary(sample, CUSTOMER, "vec", "Cluster")
     out = {
         "rfm": rfm,
         "scaler": params,
         "customer_segments": clustered,
         "cluster_summary": SG.cluster_summary(clustered),
         "cluster_means": SG.cluster_mean_matrix(SG.cluster_summary(clustered)),
-        "cluster_boxes": SG.box_summary(SM.random_sample(clustered, 5000, CUSTOMER, seed, tiebreak=[CUSTOMER])),
-        "quality": quality.withColumn("inertia_full", F.lit(float(model.summary.trainingCost))),
-        "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"], quartiles=rq),
-        "rfm_summary": SG.rfm_summary(rfm, medians=rq),
     }
     if sweep:
         out["elbow"] = CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed)
     return StepResult(out, {"model": model, "centroids": cents})
 
 
+def cluster_metrics_step(rfm: DataFrame, clustered: DataFrame, inertia_full: float, seed: int = 42) -> StepResult:
+    """Quality metrics on the cluster-safe sample, box-plot numbers and RFM statistics."""
+    pts = clustered.select(CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"),
+                           CL.as_vector(SCALED).alias("vec"))
+    sample = SM.cluster_safe_sample(pts, "Cluster", CUSTOMER, CL.SILHOUETTE_SAMPLE, seed)
+    quality = CL.quality_summary(sample, CUSTOMER, "vec", "Cluster")
+    rq = Q.percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.25, 0.5, 0.75])
+    return StepResult({
+        "quality": quality.withColumn("inertia_full", F.lit(float(inertia_full))),
+        "cluster_boxes": SG.box_summary(SM.random_sample(clustered, 5000, CUSTOMER, seed, tiebreak=[CUSTOMER])),
+        "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"], quartiles=rq),
+        "rfm_summary": SG.rfm_summary(rfm, medians=rq),
+    })
+
+
 def labelling_step(clustered: DataFrame) -> StepResult:
     scored = SG.score_clusters(SG.cluster_summary(clustered))
     labeled = materialize(SG.label_customers(clustered, scored), "labeled_customers")
@@ -206,9 +213,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
             run("preprocess", lambda: preprocess_step(raw, cleaned=cleaned))
             run("eda", lambda: eda_step(cleaned))
 
-        with ThreadPoolExecutor(max_workers=1) as branches:
+        def metrics_branch(cl):
+            pool("side")
+            run("cluster_metrics", lambda: cluster_metrics_step(
+                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost))
+
+        with ThreadPoolExecutor(max_workers=2) as branches:
             side = [branches.submit(side_branch)]
             cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
+            side.append(branches.submit(metrics_branch, cl))
             lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
             run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],
                                                       num_trees=num_trees))
