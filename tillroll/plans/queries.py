@@ -673,7 +673,12 @@ def q_tracking_latest_run(spark, sf_dir):
     TR.log_run(spark, path, "labelling", "cluster_labeling", {"churn_formula": "Recency / Max_Recency"},
                metrics.select((F.col("total_customers") + 0).alias("total_customers"), "total_revenue", "avg_churn"),
                {"model_type": "none"}, start_time=dt.datetime(2024, 2, 1))
-    return TR.latest_run(spark, path, "labelling").drop("run_id")
+    from tillroll.functions.columns import sanitize_key
+    per_segment = SG.segment_metrics(labeled).select(
+        F.concat(F.lit("count_"), sanitize_key("Segment")).alias("key"), F.col("Count").alias("value_num"))
+    TR.log_run(spark, path, "labelling_segments", "cluster_labeling", None, per_segment)
+    return TR.latest_run(spark, path, "labelling").unionByName(
+        TR.latest_run(spark, path, "labelling_segments")).drop("run_id", "start_time")
 
 
 @query("eda_weekday_hour_matrix")
@@ -691,3 +696,14 @@ def q_rfm_scaler_params(spark, sf_dir):
     path = WS.table_path(spark, sf_dir, "rfm_log")
     rfm = read_intermediate(spark, path, required=[CUSTOMER, "Recency", "Frequency", "Monetary"])
     return rounded(FE.fit_standard_scaler(rfm, CL.RFM_FEATURES))
+
+
+@query("score_customer_file")
+def q_score_customer_file(spark, sf_dir):
+    """Customer feature file (written from the classification table) scored
+    by the forest and written back out."""
+    from tillroll.session import scratch_path
+    model, _ = forest_run(spark, sf_dir)
+    src = scratch_path(spark, "customers-in")
+    classifier_split(spark, sf_dir).where("is_test").drop("Segment", "is_test").write.parquet(src)
+    return SC.score_customer_file(spark, model, src, scratch_path(spark, "customers-scored"))

@@ -26,6 +26,10 @@ def _kv_rows(spark: SparkSession, kind: str, items: dict) -> DataFrame:
 
 
 def _metric_rows(metrics: DataFrame) -> DataFrame:
+    if set(metrics.columns) == {"key", "value_num"}:  # already long: one row per metric
+        return metrics.select(F.lit("metric").alias("kind"), "key",
+                              F.col("value_num").cast("string").alias("value"),
+                              F.col("value_num").cast("double").alias("value_num"))
     cols = metrics.columns
     parts = [x for c in cols for x in (F.lit(c), F.col(c).cast("double"))]
     return metrics.select(F.lit("metric").alias("kind"),
@@ -36,7 +40,10 @@ def _metric_rows(metrics: DataFrame) -> DataFrame:
 def log_run(spark: SparkSession, runs_path: str, run_name: str, stage: str, params: dict | None = None,
             metrics: DataFrame | dict | None = None, tags: dict | None = None,
             start_time: dt.datetime | None = None) -> str:
-    """Append one run's params, tags and metrics; returns the run id."""
+    """Append one run's params, tags and metrics; returns the run id.
+
+    ``metrics`` is a dict, a one-row wide DataFrame, or a long DataFrame with
+    columns (key, value_num), e.g. per-segment metrics keyed by name."""
     run_id = uuid.uuid4().hex
     start_time = start_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     parts = [_kv_rows(spark, "param", params or {}), _kv_rows(spark, "tag", tags or {})]
