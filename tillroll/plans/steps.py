@@ -136,9 +136,17 @@ def labelling_step(clustered: DataFrame) -> StepResult:
     })
 
 
+def basket_features(cleaned: DataFrame) -> DataFrame:
+    """Per-customer basket metrics + favourites (needs only the clean lines)."""
+    return materialize(BK.basket_metrics(cleaned).join(BK.favourites(cleaned), on=CUSTOMER, how="inner"),
+                       "basket_features")
+
+
 def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int = 10,
-                    seed: int = 42) -> StepResult:
-    feats = CF.encode_features(materialize(BK.classification_features(cleaned, labeled), "classifier_features"))
+                    seed: int = 42, baskets: DataFrame | None = None) -> StepResult:
+    baskets = baskets if baskets is not None else basket_features(cleaned)
+    feats = CF.encode_features(materialize(
+        baskets.join(labeled.select(CUSTOMER, "Segment"), on=CUSTOMER, how="inner"), "classifier_features"))
     split = materialize(SM.stratified_split(feats, "Segment", CUSTOMER, 0.2, seed), "classifier_split")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     model = CF.fit_forest(train, num_trees=num_trees, max_depth=max_depth, seed=seed)
@@ -218,13 +226,18 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
             run("cluster_metrics", lambda: cluster_metrics_step(
                 cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost))
 
-        with ThreadPoolExecutor(max_workers=2) as branches:
+        def baskets_branch():
+            pool("side")
+            return basket_features(cleaned)
+
+        with ThreadPoolExecutor(max_workers=3) as branches:
             side = [branches.submit(side_branch)]
+            baskets = branches.submit(baskets_branch)
             cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
             side.append(branches.submit(metrics_branch, cl))
             lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
             run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],
-                                                      num_trees=num_trees))
+                                                      num_trees=num_trees, baskets=baskets.result()))
             for f in side:
                 f.result()
         t1 = time.time()
