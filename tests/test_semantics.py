@@ -158,3 +158,33 @@ def test_rfm_with_a_hot_customer_matches_pandas(spark):
         assert out[cid]["Monetary_raw"] == pytest.approx(row["M_"])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(Customer ID" in plan and "Invoice" in plan
+
+
+def test_size_guards_and_missing_inputs(spark, tmp_path):
+    from tillroll.functions.columns import bounded_rows
+    from tillroll.operators import features as FE
+    from tillroll.sources.retail_csv import MissingInputError, read_intermediate
+    df = spark.range(50).selectExpr("cast(id as string) as Country")
+    with pytest.raises(ValueError):
+        bounded_rows(df, 10, "table")
+    assert len(bounded_rows(df, 50, "table")) == 50
+    with pytest.raises(ValueError):
+        FE.one_hot(df, "Country", categories=None) if FE.category_values(df, "Country", max_categories=10) else None
+    with pytest.raises(MissingInputError):
+        read_intermediate(spark, str(tmp_path / "nope"))
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        read_intermediate(spark, str(tmp_path / "t"), required=["Customer ID"])
+
+
+def test_one_hot_and_population_scaler(spark):
+    from tillroll.operators import features as FE
+    df = spark.createDataFrame([("UK", 1.0), ("FR", 3.0), ("UK", 5.0), ("DE", 7.0)], "Country string, x double")
+    oh = FE.one_hot(df, "Country")
+    assert [c for c in oh.columns if c.startswith("Country_")] == ["Country_DE", "Country_FR", "Country_UK"]
+    assert "Country" not in oh.columns
+    scaled = FE.standard_scale(df, ["x"]).select("x").collect()
+    xs = np.array([1.0, 3.0, 5.0, 7.0])
+    assert [r[0] for r in scaled] == pytest.approx(((xs - xs.mean()) / xs.std()).tolist())
+    const = FE.fit_standard_scaler(spark.createDataFrame([(2.0,), (2.0,)], "x double"), ["x"]).first()
+    assert const["scale"] == 1.0
