@@ -2,8 +2,11 @@
 
 Feature vectors are ``array<double>`` columns, so the same metric code serves
 three RFM columns and 64-dimensional embeddings. Centroid tables have one row
-per cluster (k rows, k a user parameter); they are the only frames broadcast
-or gathered into a single row, and their size is checked first.
+per cluster (k rows, k a user parameter). They are gathered with a bounded
+collect (more than MAX_CLUSTERS rows fails) and used as literals, or joined
+and left to adaptive execution's size-based broadcast. The silhouette sample
+is the only data shipped to every task, and its size is bounded by
+``sample_size``.
 """
 
 from __future__ import annotations

@@ -49,10 +49,12 @@ def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, se
     if total <= n:
         return df
     firsts = df.groupBy(label).agg(F.min(key).alias(key))
-    k = firsts.count()  # bounded by the number of labels
+    k = firsts.count()  # one row per label: the size check for the broadcast below
     if k < 2:
         return df
-    reps = F.broadcast(firsts.select(key))
+    if k > n:
+        raise ValueError(f"{k} labels do not fit a sample of {n} rows")
+    reps = F.broadcast(firsts.select(key))  # k <= n rows, n is the sample bound
     rest = df.join(reps, on=key, how="left_anti")
     rest = random_sample(rest, n - k, key, seed, tiebreak=[key])
     return df.join(reps, on=key, how="left_semi").unionByName(rest)
