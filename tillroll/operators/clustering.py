@@ -282,39 +282,49 @@ def quality_summary(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- K-Means fit
+def _kmeans_data(df: DataFrame, features: list[str]):
+    """Assembled vectors (plus the raw columns), spread over the cores and persisted."""
+    from pyspark import StorageLevel
+    from pyspark.ml.feature import VectorAssembler
+    from tillroll.functions.columns import spread
+    data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features", *features)
+    return spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _epsilon(data: DataFrame, features: list[str], tol: float, relative_tol: bool) -> float:
+    """scikit-learn reads ``tol`` relative to the mean feature variance, on the
+    total squared centre shift; Spark stops when every centre moves less than
+    epsilon, so epsilon = sqrt(tol * mean variance)."""
+    if not relative_tol:
+        return tol
+    v = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
+    mean_var = float(np.mean([v[c] or 0.0 for c in features]))
+    return float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
+
+
+def _fit_best(data: DataFrame, k: int, seed: int, n_init: int, max_iter: int, eps: float):
+    from pyspark.ml.clustering import KMeans
+    best = None
+    for i in range(n_init):
+        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features", predictionCol="Cluster")
+        model = km.fit(data)
+        cost = model.summary.trainingCost
+        if best is None or cost < best[1]:
+            best = (model, cost)
+    return best[0]
+
+
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, seed: int = 42, n_init: int = 1,
                max_iter: int = 300, tol: float = 1e-4, relative_tol: bool = True):
     """Spark ML K-Means (k-means|| init); best of ``n_init`` seeds by training cost.
 
-    ``tol`` is read like scikit-learn's: relative to the mean feature
-    variance, on the total squared centre shift. Spark stops when every
-    centre moves less than its epsilon, so epsilon = sqrt(tol * mean variance)
-    (one extra aggregate). Input rows are assembled once, spread over the
-    cluster's cores and persisted for the iterations.
+    ``tol`` is read like scikit-learn's (see ``_epsilon``). Input rows are
+    assembled once, spread over the cluster's cores and persisted for the
+    iterations.
     """
-    from pyspark import StorageLevel
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    spark = df.sparkSession
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features", *features)
-    from tillroll.functions.columns import spread
-    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    data = _kmeans_data(df, features)
     try:
-        eps = tol
-        if relative_tol:
-            v = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
-            mean_var = float(np.mean([v[c] or 0.0 for c in features]))
-            eps = float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
-        best = None
-        for i in range(n_init):
-            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features",
-                        predictionCol="Cluster")
-            model = km.fit(data)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
-        return best[0]
+        return _fit_best(data, k, seed, n_init, max_iter, _epsilon(data, features, tol, relative_tol))
     finally:
         data.unpersist()
 
@@ -335,12 +345,28 @@ def model_centroids(model) -> list[tuple[int, list[float]]]:
 
 
 def k_sweep(df: DataFrame, features: list[str], key: str = CUSTOMER, ks=range(2, 11), seed: int = 42,
-            n_init: int = 1) -> DataFrame:
-    """(k, inertia, silhouette) for each k: the elbow table."""
-    rows = []
-    for k in ks:
-        model = fit_kmeans(df, features, k=k, seed=seed, n_init=n_init)
-        lab = assign_nearest(df, features, model_centroids(model))
-        sil = silhouette(lab.withColumn("_v", as_vector(features)), key, "_v", "Cluster").first()[0]
-        rows.append((int(k), float(model.summary.trainingCost), float(sil)))
+            n_init: int = 1, max_iter: int = 300, tol: float = 1e-4, concurrency: int = 3) -> DataFrame:
+    """(k, inertia, silhouette) for each k: the elbow table.
+
+    The vectors are assembled and persisted once for every k; the fits (each
+    a chain of small, latency-bound jobs) run as concurrent Spark jobs from a
+    few threads. Each silhouette uses the cluster-safe sample of its own
+    labelling, as the reference does.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    data = _kmeans_data(df, features)
+    try:
+        eps = _epsilon(data, features, tol, True)
+
+        def one(k):
+            model = _fit_best(data, k, seed, n_init, max_iter, eps)
+            lab = assign_nearest(df, features, model_centroids(model))
+            sil = silhouette(lab.withColumn("_v", as_vector(features)), key, "_v", "Cluster").first()[0]
+            return (int(k), float(model.summary.trainingCost), float(sil))
+
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            rows = list(pool.map(one, list(ks)))
+    finally:
+        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")

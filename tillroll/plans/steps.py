@@ -104,19 +104,21 @@ def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 1, sweep: bool
         "cluster_summary": SG.cluster_summary(clustered),
         "cluster_means": SG.cluster_mean_matrix(SG.cluster_summary(clustered)),
     }
-    if sweep:
-        out["elbow"] = CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed)
-    return StepResult(out, {"model": model, "centroids": cents})
+    return StepResult(out, {"model": model, "centroids": cents, "scaled": scaled})
 
 
-def cluster_metrics_step(rfm: DataFrame, clustered: DataFrame, inertia_full: float, seed: int = 42) -> StepResult:
-    """Quality metrics on the cluster-safe sample, box-plot numbers and RFM statistics."""
+def cluster_metrics_step(rfm: DataFrame, clustered: DataFrame, inertia_full: float, seed: int = 42,
+                         scaled: DataFrame | None = None, sweep: bool = False) -> StepResult:
+    """Quality metrics on the cluster-safe sample, box-plot numbers, RFM
+    statistics and (with ``sweep``) the k = 2..10 elbow table."""
     pts = clustered.select(CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"),
                            CL.as_vector(SCALED).alias("vec"))
     sample = SM.cluster_safe_sample(pts, "Cluster", CUSTOMER, CL.SILHOUETTE_SAMPLE, seed)
     quality = CL.quality_summary(sample, CUSTOMER, "vec", "Cluster")
     rq = Q.percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.25, 0.5, 0.75])
+    extra = {"elbow": CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed)} if sweep and scaled is not None else {}
     return StepResult({
+        **extra,
         "quality": quality.withColumn("inertia_full", F.lit(float(inertia_full))),
         "cluster_boxes": SG.box_summary(SM.random_sample(clustered, 5000, CUSTOMER, seed, tiebreak=[CUSTOMER])),
         "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"], quartiles=rq),
@@ -224,7 +226,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
         def metrics_branch(cl):
             pool("side")
             run("cluster_metrics", lambda: cluster_metrics_step(
-                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost))
+                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost,
+                scaled=cl.values["scaled"], sweep=sweep))
 
         def baskets_branch():
             pool("side")
