@@ -226,18 +226,23 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
         def metrics_branch(cl):
             pool("side")
             run("cluster_metrics", lambda: cluster_metrics_step(
-                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost,
-                scaled=cl.values["scaled"], sweep=sweep))
+                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost))
+
+        def sweep_branch(cl):
+            pool("side")
+            run("elbow", lambda: StepResult({"elbow": CL.k_sweep(cl.values["scaled"], SCALED, CUSTOMER)}))
 
         def baskets_branch():
             pool("side")
             return basket_features(cleaned)
 
-        with ThreadPoolExecutor(max_workers=3) as branches:
+        with ThreadPoolExecutor(max_workers=4) as branches:
             side = [branches.submit(side_branch)]
             baskets = branches.submit(baskets_branch)
             cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
             side.append(branches.submit(metrics_branch, cl))
+            if sweep:
+                side.append(branches.submit(sweep_branch, cl))
             lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
             run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],
                                                       num_trees=num_trees, baskets=baskets.result()))
