@@ -737,3 +737,6 @@ WITH {RFM_CTE}
     f"SELECT '{c}' AS feature, {r(f'avg(CAST({c} AS DOUBLE))')} AS mean, "
     f"{r(f'CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END')} AS scale "
     f"FROM rfm" for c in ("Recency", "Frequency", "Monetary"))
+
+# the stream scores the same requests with the same scorer as the batch query
+ORACLE["score_stream_rfm"] = ORACLE["score_rfm_fixed"]
