@@ -39,7 +39,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t1, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "pipeline_seconds", "value": round(total, 3), "unit": "sec",
+    print(json.dumps({"metric": "end_to_end_seconds", "value": round(total, 3), "unit": "sec",
                       "queries": timings, "sf": float(m.group(1)) if m else sf_dir}))
 
 

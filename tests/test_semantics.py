@@ -5,7 +5,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tillroll.functions.columns import day_name, np_round, weekday_index, whole_days_between
 from tillroll.operators import basket as BK
