@@ -538,13 +538,19 @@ SELECT "Customer ID", Segment,
 FROM cfeat"""
 
 # -------------------------------------------- classifier metrics (fixture)
-FIXTURE_CTE = """
+FIXTURE_FX = """
 fx0 AS (SELECT c_custkey, c_mktsegment AS actual, c_acctbal AS score FROM customer),
 codes AS (SELECT actual AS seg, CAST(dense_rank() OVER (ORDER BY actual) - 1 AS INTEGER) AS idx
           FROM (SELECT DISTINCT actual FROM fx0 WHERE actual IS NOT NULL)),
 fx AS (SELECT f.c_custkey, f.actual, CASE WHEN f.c_custkey % 5 <> 0 THEN f.actual ELSE n.seg END AS predicted, f.score
        FROM fx0 f JOIN codes c ON c.seg = f.actual
-       JOIN codes n ON n.idx = (c.idx + 1) % (SELECT count(*) FROM codes)),
+       JOIN codes n ON n.idx = (c.idx + 1) % (SELECT count(*) FROM codes)),"""
+
+LABELS_FX = """
+fx AS (SELECT doc_id, CAST(quality AS VARCHAR) AS actual, CAST(toxic AS VARCHAR) AS predicted,
+              CAST(toxic AS DOUBLE) AS score FROM labels),"""
+
+METRIC_CTES = """
 cc AS (SELECT actual, predicted, count(*) AS n FROM fx GROUP BY actual, predicted),
 sup AS (SELECT actual AS label, sum(n) AS support FROM cc GROUP BY actual),
 prd AS (SELECT predicted AS label, sum(n) AS npred FROM cc GROUP BY predicted),
@@ -570,6 +576,8 @@ auc AS (SELECT class, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BI
                     ELSE sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS auc
         FROM cum GROUP BY class)"""
 
+FIXTURE_CTE = FIXTURE_FX + METRIC_CTES
+
 ORACLE["classify_confusion"] = f"""
 WITH {FIXTURE_CTE},
 cls AS (SELECT actual AS c FROM fx UNION SELECT predicted FROM fx),
@@ -740,3 +748,7 @@ WITH {RFM_CTE}
 
 # the stream scores the same requests with the same scorer as the batch query
 ORACLE["score_stream_rfm"] = ORACLE["score_rfm_fixed"]
+
+
+ORACLE["classify_report_labels"] = ORACLE["classify_report"].replace(FIXTURE_CTE, LABELS_FX + METRIC_CTES)
+ORACLE["classify_roc_auc_labels"] = ORACLE["classify_roc_auc"].replace(FIXTURE_CTE, LABELS_FX + METRIC_CTES)

@@ -707,3 +707,22 @@ def q_score_customer_file(spark, sf_dir):
     src = scratch_path(spark, "customers-in")
     classifier_split(spark, sf_dir).where("is_test").drop("Segment", "is_test").write.parquet(src)
     return SC.score_customer_file(spark, model, src, scratch_path(spark, "customers-scored"))
+
+
+def labels_fixture(spark, sf_dir):
+    """labels: binary actual = quality, predicted = toxic, score = toxic (all ties)."""
+    lb = S.read_table(spark, sf_dir, "labels")
+    return lb.select("doc_id", F.col("quality").cast("string").alias("actual"),
+                     F.col("toxic").cast("string").alias("predicted"), F.col("toxic").cast("double").alias("score"))
+
+
+@query("classify_report_labels")
+def q_classify_report_labels(spark, sf_dir):
+    return rounded(CF.classification_report(labels_fixture(spark, sf_dir), "actual", "predicted"))
+
+
+@query("classify_roc_auc_labels")
+def q_classify_roc_auc_labels(spark, sf_dir):
+    fx = labels_fixture(spark, sf_dir)
+    classes = sorted(r[0] for r in fx.select("actual").distinct().collect())  # bounded class list
+    return rounded(CF.roc_auc_by_class(CF.one_vs_rest(fx, "actual", {c: F.col("score") for c in classes})))
