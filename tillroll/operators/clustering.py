@@ -150,7 +150,7 @@ def attach_scalar_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
-                       sample_size: int = SILHOUETTE_SAMPLE, seed: int = 42) -> DataFrame:
+                       sample_size: int = SILHOUETTE_SAMPLE, seed: int = 42, total: int | None = None) -> DataFrame:
     """Per-point Euclidean silhouette on a cluster-safe sample of <= sample_size rows.
 
     The sample (size bounded by ``sample_size``) is shipped to every task as a
@@ -159,7 +159,7 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
     materialised as rows. Singleton clusters score 0.
     """
     spark = df.sparkSession
-    sample = cluster_safe_sample(df.select(key, label, vec), label, key, sample_size, seed)
+    sample = cluster_safe_sample(df.select(key, label, vec), label, key, sample_size, seed, total)
     sample = sample.select(key, F.col(label).cast("long").alias(label), as_double_array(vec).alias(vec))
     local = sample.toPandas()  # bounded by sample_size
     # the O(sample^2) scoring is CPU work: spread the (bounded) sample over all cores
@@ -210,9 +210,9 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
 
 
 def silhouette(df: DataFrame, key: str, vec: str, label: str, sample_size: int = SILHOUETTE_SAMPLE,
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, total: int | None = None) -> DataFrame:
     """One row: mean silhouette (0.0 when fewer than 2 labels)."""
-    s = silhouette_samples(df, key, vec, label, sample_size, seed)
+    s = silhouette_samples(df, key, vec, label, sample_size, seed, total)
     return s.agg(F.when(F.count_distinct(label) < 2, F.lit(0.0))
                  .otherwise(F.avg("silhouette")).alias("silhouette"))
 
@@ -358,11 +358,13 @@ def k_sweep(df: DataFrame, features: list[str], key: str = CUSTOMER, ks=range(2,
     data = _kmeans_data(df, features)
     try:
         eps = _epsilon(data, features, tol, True)
+        total = data.count()  # one count shared by every k's cluster-safe sample
 
         def one(k):
             model = _fit_best(data, k, seed, n_init, max_iter, eps)
             lab = assign_nearest(df, features, model_centroids(model))
-            sil = silhouette(lab.withColumn("_v", as_vector(features)), key, "_v", "Cluster").first()[0]
+            sil = silhouette(lab.withColumn("_v", as_vector(features)), key, "_v", "Cluster",
+                             total=total).first()[0]
             return (int(k), float(model.summary.trainingCost), float(sil))
 
         with ThreadPoolExecutor(max_workers=concurrency) as pool:

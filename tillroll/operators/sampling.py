@@ -39,13 +39,15 @@ def random_sample(df: DataFrame, n: int, key: str | Column, seed: int = 42,
     return df.orderBy(*order).limit(n)
 
 
-def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, seed: int = 42) -> DataFrame:
+def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, seed: int = 42,
+                        total: int | None = None) -> DataFrame:
     """At most n rows with at least one row of every label.
 
     Identity when the frame has at most n rows or fewer than two labels;
     otherwise the first row of each label plus the rest in seeded hash order.
+    ``total`` (the row count) may be passed when already known.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= n:
         return df
     firsts = df.groupBy(label).agg(F.min(key).alias(key))
