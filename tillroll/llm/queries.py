@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import sharding, url_filters
-from tillroll.llm.common import table
+from tillroll.llm import lang_id, quality_rules, sharding, url_filters
+from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
@@ -34,7 +34,25 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(pages, URL_RULES, listed_urls(pages)).drop("maybe_listed")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op8_url_filters)}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> lang_id.LanguageModel:
+    return lang_id.train(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_model(spark, sf_dir)
+    out = table(spark, sf_dir, "documents").select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"),
+        lang_id.predict(spark, F.col("text"), model).alias("lang"))
+    return out.select("doc_id", "held_out", "lang.lang_pred", "lang.score")
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op7_language_id, op8_url_filters)}
 
 ORACLE = {
     "op8_url_filters": r"""
