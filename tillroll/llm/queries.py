@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import lang_id, quality_rules, sharding, url_filters
+from tillroll.llm import compression_quality, lang_id, quality_rules, sharding, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
              Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+QUALITY_THRESHOLD = 0.3
 # fixed values: site names whose pages make up the list of URLs to block
 LISTED_SITES = ["ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets"]
 
@@ -52,7 +53,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang.lang_pred", "lang.score")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op7_language_id, op8_url_filters)}
+def quality_model(spark: SparkSession, sf_dir: str) -> compression_quality.CompressionModel:
+    learn = crc_mod("doc_id", 5) != 0
+    return compression_quality.train(table(spark, sf_dir, "documents").where(learn),
+                                     table(spark, sf_dir, "labels").where(learn))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = compression_quality.quality_score(spark, F.col("text"), quality_model(spark, sf_dir))
+    return (table(spark, sf_dir, "documents")
+            .select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), score.alias("score"))
+            .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op7_language_id, op8_url_filters,
+                                op10_quality_classifier)}
 
 ORACLE = {
     "op8_url_filters": r"""
