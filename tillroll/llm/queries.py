@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, quality_rules, sharding, url_filters
+from tillroll.llm import compression_quality, lang_id, packing, quality_rules, sharding, simhash, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -41,6 +41,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), window=2048, end_id=1)
+
+
 def language_model(spark: SparkSession, sf_dir: str) -> lang_id.LanguageModel:
     return lang_id.train(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2))
 
@@ -66,7 +75,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op7_language_id, op8_url_filters,
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op4_simhash_dedup, op5_packing, op7_language_id, op8_url_filters,
                                 op10_quality_classifier)}
 
 ORACLE = {
