@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, packing, quality_rules, sharding, simhash, url_filters
+from tillroll.llm import compression_quality, lang_id, packing, quality_rules, sharding, simhash, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -62,6 +62,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang.lang_pred", "lang.score")
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> compression_quality.CompressionModel:
     learn = crc_mod("doc_id", 5) != 0
     return compression_quality.train(table(spark, sf_dir, "documents").where(learn),
@@ -76,9 +80,53 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op4_simhash_dedup, op5_packing, op7_language_id, op8_url_filters,
-                                op10_quality_classifier)}
+                                op9_exact_topk, op10_quality_classifier)}
 
 ORACLE = {
+    "op9_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op3_quality_rules": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+') AS words
+  FROM documents),
+grams AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+starts AS (
+  SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
+repeated AS (
+  SELECT doc_id, sum(least(3, coalesce(following - i, 3))) AS n_repeat_words FROM starts GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0b\f\r]')) AS lines FROM w),
+stops AS (
+  SELECT doc_id, len(list_filter(string_split(regexp_replace(lower(text), '[ \t\n\x0b\f\r.,;:]', ' ', 'g'), ' '),
+                                 lambda x: list_contains(STOP_WORDS, x))) AS n_stop_words FROM w),
+c AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[ \t\n\x0b\f\r]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l.lines) AS BIGINT) AS n_lines,
+         CAST(len(l.lines) - len(list_distinct(l.lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n_repeat_words, 0) AS BIGINT) AS n_repeat_words, s.n_stop_words
+  FROM w JOIN lines l USING (doc_id) JOIN stops s USING (doc_id) LEFT JOIN repeated r USING (doc_id)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 14.0 * n_words
+       AND n_symbols <= 0.1 * n_words AND n_stop_words >= 0.06 * n_words AND n_dup_lines <= 0.4 * n_lines AS kept
+FROM j
+""".replace("STOP_WORDS", str(quality_rules.STOP_WORDS)),
     "op8_url_filters": r"""
 WITH p AS (
   SELECT page_id,
