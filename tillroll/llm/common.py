@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,3 +61,13 @@ def spread_rank(df: DataFrame, group: str, key, order: list, out: str, rows: int
     return (df.join(first, [group, "_sub"])
             .withColumn(out, F.col("_first") + F.row_number().over(w) - 1)
             .drop("_sub", "_first"))
+
+
+def parts_of(batch: pa.RecordBatch, size: int, text: int = 1) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose texts have about ``size`` bytes together."""
+    sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // size
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)

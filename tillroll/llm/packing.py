@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import spread_rank, stored
+from tillroll.llm.common import parts_of, spread_rank, stored
 from tillroll.llm.tokens import tokenizer
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -96,18 +96,12 @@ def token_pieces(docs: DataFrame, window: int = 2048, end_id: int = 1,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_name).encode
         for batch in batches:
-            out, size = [], 0
-            for doc, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                ids = encode(text) + end
-                n = len(ids) // 4
-                for a in range(0, n, window):
-                    part = ids[4 * a:4 * (a + window)]
-                    out.append((doc, a, len(part) // 4, n, part))
-                    size += len(part)
-                    if size >= BATCH_BYTES:
-                        yield record(out, batch.schema.field(0).type)
-                        out, size = [], 0
-            if out:
+            for part in parts_of(batch, BATCH_BYTES):
+                out = []
+                for doc, ids in zip(part[0].to_pylist(), encode(part[1].to_pylist()), strict=True):
+                    ids += end
+                    n = len(ids) // 4
+                    out += [(doc, a, min(window, n - a), n, ids[4 * a:4 * (a + window)]) for a in range(0, n, window)]
                 yield record(out, batch.schema.field(0).type)
 
     def record(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
