@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, packing, quality_rules, sharding, simhash, topk, url_filters
+from tillroll.llm import compression_quality, lang_id, packing, piece_lattice, quality_rules, sharding, simhash, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -35,6 +35,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(pages, URL_RULES, listed_urls(pages)).drop("maybe_listed")
 
 
+def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.nbest_segmentations(table(spark, sf_dir, "documents"), n=3, with_ids=False)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -79,7 +83,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_quality_rules, op4_simhash_dedup, op5_packing, op7_language_id, op8_url_filters,
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op7_language_id, op8_url_filters,
                                 op9_exact_topk, op10_quality_classifier)}
 
 ORACLE = {
