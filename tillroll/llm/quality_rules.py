@@ -57,10 +57,8 @@ def text_stats(docs: DataFrame) -> DataFrame:
     out = out.select("doc_id", "text", words.alias("words"),
                      F.filter(F.split("text", "\n"), lambda x: F.length(_without(x, SPACE)) > 0).alias("lines"))
     # each later step reads array columns of the step before, so nothing is split twice
-    gram = F.transform(
-        F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
-        lambda w, i: F.struct(F.concat_ws(" ", w, F.col("words")[i + 1], F.col("words")[i + 2]).alias("gram"),
-                              i.alias("at")))
+    gram = F.transform(F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
+                       lambda w, i: F.concat_ws(" ", w, F.col("words")[i + 1], F.col("words")[i + 2]))
     lower = F.translate(F.lower("text"), SPACE + ".,;:", " " * (len(SPACE) + 4))
     out = out.select(
         "doc_id", n.cast("long").alias("n_words"),
@@ -69,14 +67,18 @@ def text_stats(docs: DataFrame) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter(F.split(lower, " "), lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
-        F.sort_array(gram).alias("grams"))
+        gram.alias("grams"))
     kept = [c for c in out.columns if c != "grams"]
-    same = lambda x, k: F.coalesce(x["gram"] == F.get("grams", k)["gram"], F.lit(False))
-    twice = F.filter("grams", lambda x, k: same(x, k - 1) | same(x, k + 1))
+    # most texts repeat no window: a hash set tells, and only the others are sorted
+    placed = F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("gram"), i.alias("at"))))
+    out = out.select(*kept, F.when(F.size(F.array_distinct("grams")) < F.size("grams"), placed).alias("sorted"))
+    same = lambda x, k: F.coalesce(x["gram"] == F.get("sorted", k)["gram"], F.lit(False))
+    twice = F.filter("sorted", lambda x, k: same(x, k - 1) | same(x, k + 1))
     out = out.select(*kept, F.sort_array(F.transform(twice, lambda x: x["at"])).alias("starts"))
     # a window covers three words, or fewer if the next one starts inside it
     cover = F.transform("starts", lambda s, k: F.least(F.lit(3), F.coalesce(F.get("starts", k + 1) - s, F.lit(3))))
-    return out.select(*kept, F.aggregate(cover, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"))
+    repeated = F.aggregate(cover, F.lit(0), lambda a, x: a + x)
+    return out.select(*kept, F.coalesce(repeated, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
 def _ratio(a: str, b: str) -> Column:
