@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, packing, piece_lattice, quality_rules, sharding, simhash, topk, url_filters
+from tillroll.llm import compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -54,12 +54,19 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), window=2048, end_id=1)
 
 
-def language_model(spark: SparkSession, sf_dir: str) -> lang_id.LanguageModel:
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = crc_mod("doc_id", 7)
+    docs = table(spark, sf_dir, "documents")
+    out = language_model.score_texts(docs, learn=part != 2, deleted=part == 5)
+    return out.select("doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def naive_bayes(spark: SparkSession, sf_dir: str) -> lang_id.LanguageModel:
     return lang_id.train(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = language_model(spark, sf_dir)
+    model = naive_bayes(spark, sf_dir)
     out = table(spark, sf_dir, "documents").select(
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"),
         lang_id.predict(spark, F.col("text"), model).alias("lang"))
@@ -83,7 +90,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op7_language_id, op8_url_filters,
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op6_lm_scoring, op7_language_id, op8_url_filters,
                                 op9_exact_topk, op10_quality_classifier)}
 
 ORACLE = {
