@@ -38,9 +38,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import fresh, stored
 
 FANOUT = 4
 SLICE = 1 << 20  # bytes of a text worked on at a time
@@ -259,15 +260,40 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, node_limit: int = 2048) -> DataFrame:
-    """doc_id, fp and component_id (least doc_id of the component) of every row of ``docs`` (doc_id, text)."""
+    """doc_id, fp, root (least fingerprint of the component) and component_id
+    (least doc_id) of every row of ``docs`` (doc_id, text)."""
     prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
     entries = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-entries")
     parts = components(fingerprint_links(entries, entries.count(), max_bits, node_limit))
     rooted = entries.join(parts, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    found = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    return prints.join(found, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: the least
+    doc_id. Of repeated rows, and of a component of null ids, one row stays."""
+    found = stored(near_dedup(docs, shingle, max_bits), "simhash-found")
+    often = stored(found.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
+                   .select("doc_id"), "simhash-repeated")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    if gone.count() <= broadcast_rows:  # ids alone; else the texts are shuffled
+        gone = F.broadcast(gone)
+    out = docs.join(gone, "doc_id", "left_anti")
+    if often.isEmpty():
+        return out.select(docs.columns)
+    # rows whose id does not tell them apart are told apart by their fingerprints
+    once = out.where(F.col("doc_id").isNotNull()).join(often.where("doc_id is not null"), "doc_id", "left_anti")
+    fp, place = fresh(docs, "fp"), fresh(docs, "place")
+    keep = found.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_id")).distinct()
+    odd = (docs.alias("d").join(often.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi")
+           .withColumn(fp, fingerprint_column(F.col("text"), shingle))
+           .join(keep, (F.col(fp) == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+           .withColumn(place, F.row_number().over(W.partitionBy("_root").orderBy("_fp", F.crc32(F.col("text").cast("binary")))))
+           .where(F.col(place) == 1))
+    return once.select(docs.columns).unionByName(odd.select(docs.columns))
 
 
 def hex_fingerprint(fp: Column) -> Column:
