@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import parts_of
 
 BLANK = "▁"
-KEPT = 300_000  # stretches, and parts, that a worker remembers; beyond that it starts anew
+KEPT = 500_000  # stretches and parts that a worker remembers, and as many that it used before those
 BATCH_BYTES = 4 << 20
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit
 
@@ -65,44 +65,49 @@ class PieceLattice:
         self.byte_ids = [byte_ids[b].to_bytes(4, "little") for b in range(256)]
         self.unknown = min(s for s, _ in self.pieces.values() if s > -1e8) - 10
         self.longest = max(map(len, self.pieces))
-        self.trie: dict = {}  # by character; the entry "" holds the piece that ends here
+        self.trie: dict = {}  # character -> [the piece that ends here or None, what may follow]
         for piece, scored in self.pieces.items():
-            node = self.trie
+            following = self.trie
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = scored
+                node = following.setdefault(c, [None, {}])
+                following = node[1]
+            node[0] = scored
         self.joined = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         self.whole = re.compile(f"{BLANK}*[^{BLANK}]*")
+        # by stretch or part: ids and score of the best path, and what the second loses
         self.known: dict[str, tuple[bytes, float, float]] = {}
-        self.parts: dict[str, tuple[bytes, float, float]] = {}
+        self.older: dict[str, tuple[bytes, float, float]] = {}
 
     # -- the lattice of one part ------------------------------------------
 
-    def _edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
-        """For each node the edges that end there (start, score, ids), and the
+    def _edges(self, part: str) -> tuple[list[list[tuple[int, tuple[float, bytes]]]], list[float]]:
+        """For each node the edges that end there (start, (score, ids)), and the
         best score from the start, by a forward Viterbi pass."""
-        size = len(part)
+        size, trie = len(part), self.trie
         edges: list[list] = [[] for _ in range(size + 1)]
         best = [0.0] + [-float("inf")] * size
-        for a in range(size):
-            node, here = self.trie, best[a]
-            for b in range(a, size):
-                node = node.get(part[b])
-                if node is None:
+        for a, c in enumerate(part):
+            here, b = best[a], a + 1
+            node = trie.get(c)
+            if node is None or node[0] is None:
+                edges[b].append((a, (self.unknown, b"".join([self.byte_ids[x] for x in c.encode()]))))
+                best[b] = max(best[b], here + self.unknown)
+            while node is not None:
+                piece, following = node
+                if piece is not None:
+                    edges[b].append((a, piece))
+                    if here + piece[0] > best[b]:
+                        best[b] = here + piece[0]
+                if b == size:
                     break
-                if (piece := node.get("")) is not None:
-                    edges[b + 1].append((a, *piece))
-                    if here + piece[0] > best[b + 1]:
-                        best[b + 1] = here + piece[0]
-            if part[a] not in self.pieces:
-                edges[a + 1].append((a, self.unknown, b"".join([self.byte_ids[x] for x in part[a].encode()])))
-                best[a + 1] = max(best[a + 1], here + self.unknown)
+                node = following.get(part[b])
+                b += 1
         return edges, best
 
     def search(self, part: str) -> Iterator[Path]:
         """All segmentations of a part, the best first."""
         edges, best = self._edges(part)
-        count = itertools.count()
+        count, push = itertools.count(), heapq.heappush
         agenda = [(-best[-1], len(part), 0, 0.0, None)]  # ties: whoever is nearer to the start
         while agenda:
             _, at, _, score, path = heapq.heappop(agenda)
@@ -113,9 +118,9 @@ class PieceLattice:
                     path = path[1]
                 yield score, b"".join(ids)
                 continue
-            for a, s, ids in edges[at]:
+            for a, (s, ids) in edges[at]:
                 g = score + s
-                heapq.heappush(agenda, (-(g + best[a]), a, next(count), g, (ids, path)))
+                push(agenda, (-(g + best[a]), a, next(count), g, (ids, path)))
 
     # -- whole texts ----------------------------------------------------------
 
@@ -124,30 +129,29 @@ class PieceLattice:
         at = [i for i in range(1, len(stretch)) if stretch[i - 1:i + 1] not in self.joined]
         return [stretch[a:b] for a, b in zip([0, *at], [*at, len(stretch)], strict=True)]
 
-    def _best_of(self, part: str) -> tuple[bytes, float, float]:
-        """ids and score of the best path, and what the second loses."""
-        got = self.parts.get(part)
+    def best_of(self, stretch: str) -> tuple[bytes, float, float]:
+        got = self.known.get(stretch)
         if got is None:
-            if len(self.parts) > KEPT:
-                self.parts.clear()
-            first, *second = itertools.islice(self.search(part), 2)
-            got = self.parts[part] = (first[1], first[0], first[0] - second[0][0] if second else float("inf"))
+            if len(self.known) > KEPT:
+                self.known, self.older = {}, self.known
+            if (got := self.older.get(stretch)) is None:
+                parts = self.cut(stretch)
+                if len(parts) == 1:
+                    first, *second = itertools.islice(self.search(stretch), 2)
+                    got = first[1], first[0], first[0] - second[0][0] if second else float("inf")
+                else:
+                    each = [self.best_of(p) for p in parts]
+                    got = b"".join([e[0] for e in each]), sum([e[1] for e in each]), min([e[2] for e in each])
+            self.known[stretch] = got
         return got
 
-    def _stretch(self, stretch: str) -> tuple[bytes, float, float]:
-        if len(self.known) > KEPT:
-            self.known.clear()
-        got = [self._best_of(p) for p in self.cut(stretch)]
-        out = self.known[stretch] = (b"".join([g[0] for g in got]), sum(g[1] for g in got), min(g[2] for g in got))
-        return out
-
     def nbest(self, text: str | None, n: int) -> list[Path]:
         """The n best segmentations of a whole text, best first."""
         if not text:
             return [(0.0, b"")]
         stretches = [s for s in self.whole.findall(BLANK + text.replace(" ", BLANK)) if s]
         known = self.known.get
-        got = [known(s) or self._stretch(s) for s in stretches]
+        got = [known(s) or self.best_of(s) for s in stretches]
         score, spelt = sum([g[1] for g in got]), [g[0] for g in got]
         out = [(score, b"".join(spelt))]
         if n == 1:
