@@ -55,18 +55,64 @@ def test_quality_metrics_match_bruteforce(spark):
     assert [per[i] for i in range(len(X))] == pytest.approx(s.tolist(), abs=1e-9)
 
 
-def test_silhouette_single_label_is_zero(spark):
-    df = spark.createDataFrame([(1, 0, [0.0, 1.0]), (2, 0, [1.0, 1.0])], "id long, label long, vec array<double>")
-    assert CL.silhouette(df, "id", "vec", "label").first()[0] == 0.0
-    assert CL.davies_bouldin(df, "vec", "label").first()[0] == float("inf")
-    assert CL.calinski_harabasz(df, "vec", "label").first()[0] == 0.0
+def test_one_label(spark):
+    df = spark.createDataFrame([(i, 0, [float(i), 1.0]) for i in range(3000)], "id long, label long, vec array<double>")
+    q = CL.quality_summary(df, "id", "vec", "label").first()
+    assert (q["n"], q["k"], q["silhouette"], q["davies_bouldin"], q["calinski_harabasz"]) == (3000, 1, 0.0, float("inf"), 0.0)
+    assert CL.silhouette_squared(df, "vec", "label") == 0.0
 
 
-def test_silhouette_sample_is_capped_and_keeps_every_label(spark):
+def test_metrics_cover_exactly_the_rows_given(spark, monkeypatch):
+    monkeypatch.setattr(CL, "BLOCK_ROWS", 17)  # many blocks
     df, X, L = _points(spark, n=300, k=3, singleton=True)
-    s = CL.silhouette_samples(df, "id", "vec", "label", sample_size=50)
-    assert s.count() == 50
-    assert {r[0] for r in s.select("label").distinct().collect()} == set(np.unique(L).tolist())
+    per = CL.silhouette_samples(df, "id", "vec", "label").collect()
+    assert sorted(r["id"] for r in per) == list(range(len(X)))
+    want = _brute(X, L)[0]
+    assert [r["silhouette"] for r in sorted(per, key=lambda r: r["id"])] == pytest.approx(want.tolist(), abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_silhouette_keeps_the_key_type(spark, kind):
+    df, X, L = _points(spark)
+    out = CL.silhouette_samples(df.withColumn("id", F.col("id").cast(kind)), "id", "vec", "label")
+    assert dict(out.dtypes)["id"] == kind and out.count() == len(X)
+
+
+def test_silhouette_squared_against_brute_force(spark):
+    df, X, L = _points(spark, singleton=False)
+    D = ((X[:, None] - X[None]) ** 2).sum(-1)
+    s = []
+    for i in range(len(X)):
+        own = L == L[i]
+        a = D[i, own].sum() / (own.sum() - 1)
+        b = min(D[i, L == x].mean() for x in np.unique(L) if x != L[i])
+        s.append((b - a) / max(a, b))
+    assert CL.silhouette_squared(df, "vec", "label") == pytest.approx(np.mean(s), rel=1e-6)
+
+
+def test_safe_labels_equal_one_sample_for_each_labelling(spark):
+    from tillroll.operators import sampling as SM
+    df = spark.createDataFrame([(i, i % 3, (i * 7) % 11) for i in range(500)], "id long, a int, b int").repartition(3)
+    got = CL.cluster_safe_labels(df, ["a", "b"], "id", n=40).collect()
+    for x in ("a", "b"):
+        want = {r["id"] for r in SM.cluster_safe_sample(df, x, "id", n=40).collect()}
+        assert {r["id"] for r in got if r[x] is not None} == want and len(want) == 40
+
+
+def test_sweep_fits_every_k_and_scores_the_whole_sample(spark):
+    df, X, L = _points(spark, n=90, k=3, singleton=False, sep=20.0)
+    flat = df.select("id", *[F.col("vec")[i].alias(f"f{i}") for i in range(4)])
+    rows = {r["k"]: r for r in CL.k_sweep(flat, [f"f{i}" for i in range(4)], "id", ks=[2, 3, 4]).collect()}
+    assert rows[2]["inertia"] > rows[3]["inertia"] > rows[4]["inertia"]
+    assert rows[3]["inertia"] == pytest.approx(_brute(X, L)[3], rel=1e-9)  # the blobs are found
+    assert rows[3]["silhouette"] == pytest.approx(_brute(X, L)[0].mean(), rel=1e-9)
+
+
+def test_fit_does_not_depend_on_the_layout(spark):
+    df, _, _ = _points(spark, n=120, k=3, singleton=False, sep=1.0)
+    flat = df.select("id", *[F.col("vec")[i].alias(f"f{i}") for i in range(4)])
+    a, b = (CL.fit_kmeans(flat.repartition(p), [f"f{i}" for i in range(4)], k=5) for p in (1, 7))
+    assert np.allclose(a.centroids, b.centroids) and a.cost == pytest.approx(b.cost)
 
 
 def test_assign_nearest_ties_to_lowest_id(spark):

@@ -10,10 +10,10 @@ from tillroll.streaming import scoring as SC
 from tillroll.streaming import validation as VA
 
 CASES = [
-    ('{"Recency":30,"Frequency":5,"Monetary":1200.0}', None),
-    ('{"Recency":10,"Frequency":3}', "Missing required field: 'Monetary'."),
-    ('{"Recency":-1,"Frequency":5,"Monetary":100}', "Field 'Recency' must be non-negative."),
-    ('{"Recency":"thirty","Frequency":5,"Monetary":100}', "Field 'Recency' must be numeric, got str."),
+    ('{"Recency":12,"Frequency":3,"Monetary":455.5}', None),
+    ('{"Recency":8,"Frequency":2}', "Missing required field: 'Monetary'."),
+    ('{"Recency":-4,"Frequency":2,"Monetary":31}', "Field 'Recency' must be non-negative."),
+    ('{"Recency":"twelve","Frequency":2,"Monetary":31}', "Field 'Recency' must be numeric, got str."),
     ("", "Request body must be a JSON object."),
     ("[1, 2]", "Request body must be a JSON object."),
     ("not json", "Request body must be a JSON object."),
@@ -97,18 +97,84 @@ def test_rfm_bundle_round_trip(spark, tmp_path):
     assert scorer.means == [10.0, 1.0, 5.0] and scorer.segments == {0: "Lost", 1: "Champions"}
 
 
-@pytest.mark.parametrize("header", [["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
-                                     "UnitPrice", "CustomerID", "Country"]])
-def test_csv_scan_aliases_and_nulls(spark, tmp_path, header):
-    from tillroll.sources.retail_csv import MissingInputError, read_transactions_csv
+HEADERS = {"old": "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country",
+           "new": "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"}
+
+
+def write_csv(tmp_path, header, *lines, encoding="latin-1"):
     p = tmp_path / "retail.csv"
-    p.write_text(",".join(header) + "\n"
-                 "536365,85123A,WHITE HANGING,6,12/1/2010 8:26,2.55,17850.0,United Kingdom\n"
-                 "536366,22633,NA,6,12/1/2010 8:28,1.85,,United Kingdom\n", encoding="latin-1")
-    df = read_transactions_csv(spark, str(p), header=header)
-    assert {"Invoice", "Price", "Customer ID"} <= set(df.columns)
-    rows = df.orderBy("Invoice").collect()
+    p.write_text("\n".join([header, *lines]) + "\n", encoding=encoding)
+    return str(p)
+
+
+@pytest.mark.parametrize("spelling", list(HEADERS))
+def test_csv_scan_aliases_and_nulls(spark, tmp_path, spelling):
+    from tillroll.sources.retail_csv import MissingInputError, read_transactions_csv
+    path = write_csv(tmp_path, HEADERS[spelling], "536365,85123A,CAFÉ SIGN,6,12/1/2010 8:26,2.55,17850.0,France",
+                     "536366,22633,NA,6.0,12/1/2010 8:28,1.85,,United Kingdom")
+    rows = read_transactions_csv(spark, path).orderBy("Invoice").collect()
+    assert rows[0].asDict().keys() == {n for n in HEADERS["new"].split(",")}
     assert rows[0]["Customer ID"] == 17850.0 and rows[1]["Description"] is None and rows[1]["Customer ID"] is None
-    assert rows[0]["InvoiceDate"].hour == 8
+    assert rows[0]["Description"] == "CAFÉ SIGN" and rows[1]["Quantity"] == 6
+    assert rows[0]["InvoiceDate"].month == 12 and rows[0]["InvoiceDate"].hour == 8
     with pytest.raises(MissingInputError):
-        read_transactions_csv(spark, str(tmp_path / "absent.csv"), header=header).count()
+        read_transactions_csv(spark, str(tmp_path / "absent.csv"))
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    from tillroll.sources.retail_csv import read_transactions_csv
+    path = write_csv(tmp_path, "Invoice,Description,StockCode,Price,Quantity,InvoiceDate,Country,Customer ID",
+                     "1,MUG,85123A,2.5,6,2010-12-01 08:26:00,France,17")
+    row, = read_transactions_csv(spark, path).collect()
+    assert (row["StockCode"], row["Description"], row["Price"], row["Quantity"]) == ("85123A", "MUG", 2.5, 6)
+    short = write_csv(tmp_path, "Invoice,StockCode", "1,2")
+    with pytest.raises(ValueError, match="Country"):
+        read_transactions_csv(spark, short)
+
+
+def test_csv_bad_values_are_counted(spark, tmp_path):
+    from tillroll.sources.retail_csv import csv_problems, read_transactions_csv, scan_text
+    path = write_csv(tmp_path, HEADERS["new"], "1,A,X,abc,12/1/2010 8:26,2.5,x17,France", "2,A,X,1,12/2/2010 8:26,9,18,France",
+                     "3,A,X,1,12/3/2010 8:26")
+    row = csv_problems(scan_text(spark, path), "M/d/yyyy H:mm").first()
+    assert (row["lines"], row["corrupt_lines"], row["bad_Quantity"], row["bad_Customer_ID"], row["bad_Price"]) == (3, 1, 1, 1, 0)
+    with pytest.raises(ValueError, match="bad_Quantity"):
+        read_transactions_csv(spark, path)
+    got = read_transactions_csv(spark, path, allow_bad=True).orderBy("Invoice").collect()
+    assert [r["Quantity"] for r in got] == [None, 1, 1]
+
+
+def test_csv_one_date_format_for_the_column(spark, tmp_path):
+    from tillroll.sources.retail_csv import read_transactions_csv
+    line = "{0},A,X,1,{1},2.5,17,France".format
+    day_first = write_csv(tmp_path, HEADERS["new"], line(1, "12/1/2010 8:26"), line(2, "13/1/2010 8:26"))
+    assert {r["InvoiceDate"].month for r in read_transactions_csv(spark, day_first).collect()} == {1}
+    mixed = write_csv(tmp_path, HEADERS["new"], line(1, "1/13/2010 8:26"), line(2, "13/1/2010 8:26"))
+    with pytest.raises(ValueError, match="no timestamp format"):
+        read_transactions_csv(spark, mixed)
+
+
+def test_every_request_gets_a_row_and_one_scan(spark, tmp_path):
+    texts = [t for t, _ in CASES]
+    path = str(tmp_path / "req")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, value string").write.parquet(path)
+    out = SC.score_rfm_requests(spark.read.parquet(path), _scorer())
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    rows = {r["id"]: r for r in out.collect()}
+    for i, (_, error) in enumerate(CASES):
+        assert rows[i]["error"] == error and rows[i]["valid"] is (error is None)
+        assert json.loads(rows[i]["response"]).get("error") == error
+
+
+def test_latest_run_is_one_run_and_errors_are_not_absence(spark, tmp_path):
+    import datetime as dt
+    from tillroll.sources import tracking as TR
+    path = str(tmp_path / "runs")
+    assert TR.latest_param(spark, path, "c", "p", "fallback") == "fallback"
+    ids = [TR.log_run(spark, path, "c", "c", {"p": str(i)}, start_time=dt.datetime(2024, 1, 1)) for i in range(3)]
+    assert {r["run_id"] for r in TR.latest_run(spark, path, "c").collect()} == {min(ids)}
+    with pytest.raises(FileNotFoundError):
+        TR.load_latest_model(spark, path, "c")
+    TR.log_run(spark, path, "c", "c", {"model_path": str(tmp_path / "no-model")})
+    with pytest.raises(Exception, match="no-model"):
+        TR.load_latest_model(spark, path, "c")

@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.functions.columns import day_name, np_round, weekday_index, whole_days_between
 from tillroll.operators import basket as BK
@@ -160,15 +161,15 @@ def test_rfm_with_a_hot_customer_matches_pandas(spark):
 
 
 def test_size_guards_and_missing_inputs(spark, tmp_path):
-    from tillroll.functions.columns import bounded_rows
+    from tillroll.functions.columns import join_small
     from tillroll.operators import features as FE
     from tillroll.sources.retail_csv import MissingInputError, read_intermediate
     df = spark.range(50).selectExpr("cast(id as string) as Country")
+    codes = df.selectExpr("Country", "cast(Country as int) as code")
+    for bound in (10, 50):  # beyond the bound it is joined without a broadcast hint
+        assert join_small(df, codes, "Country", broadcast_rows=bound).where("code is not null").count() == 50
     with pytest.raises(ValueError):
-        bounded_rows(df, 10, "table")
-    assert len(bounded_rows(df, 50, "table")) == 50
-    with pytest.raises(ValueError):
-        FE.one_hot(df, "Country", categories=None) if FE.category_values(df, "Country", max_categories=10) else None
+        FE.one_hot(df, "Country", max_categories=10)
     with pytest.raises(MissingInputError):
         read_intermediate(spark, str(tmp_path / "nope"))
     spark.range(3).write.parquet(str(tmp_path / "t"))
@@ -176,6 +177,69 @@ def test_size_guards_and_missing_inputs(spark, tmp_path):
         read_intermediate(spark, str(tmp_path / "t"), required=["Customer ID"])
 
 
+@pytest.mark.parametrize("limit", [1, 50_000])
+def test_percentiles_of_any_doubles(spark, limit):
+    inf, nan = float("inf"), float("nan")
+    cases = [[1.0, 2.0, nan], [-inf, -1e308, 0.0, -0.0, 5e-324, 1e308, inf], [10.0 ** e for e in range(-300, 300, 7)],
+             [-(10.0 ** e) for e in range(-9, 9)] + [0.0] * 30 + [10.0 ** e for e in range(-9, 9)], [nan, nan], [inf, inf, -inf]]
+    for xs in cases:
+        df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "v double")
+        order = sorted(xs, key=lambda x: (math.isnan(x), x))
+        probs = [k / (len(xs) - 1) for k in range(len(xs))]
+        got = Q.percentiles_exact(df, ["v"], probs, collect_limit=limit)["v"]
+        for k, p in enumerate(probs):
+            if ((len(xs) - 1) * p).is_integer():
+                assert repr(got[p]) == repr(order[k]) or got[p] == order[k], (xs, k)
+
+
+def test_a_nan_among_many_rows(spark):
+    for n in (40_000, 60_000):
+        df = spark.range(n).selectExpr("if(id = 7, double('nan'), cast(id as double)) as v")
+        got = Q.percentiles_exact(df, ["v"], [0.5, 1.0])["v"]
+        xs = sorted(x for x in range(n) if x != 7)
+        assert got[0.5] == (xs[(n - 1) // 2] + xs[n // 2]) / 2 and math.isnan(got[1.0])
+
+
+def test_box_summary_covers_all_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (9000, 3))
+    df = spark.createDataFrame([(int(i % 3), *map(float, r)) for i, r in enumerate(x)],
+                               "Cluster int, Recency double, Frequency double, Monetary double")
+    got = {(r["Cluster"], r["feature"]): r for r in SG.box_summary(df).collect()}
+    for c in range(3):
+        v = x[np.arange(9000) % 3 == c, 1]
+        q1, q2, q3 = np.percentile(v, [25, 50, 75])
+        r = got[c, "Frequency"]
+        assert (r["q1"], r["median"], r["q3"]) == pytest.approx((q1, q2, q3))
+        inside = (v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))
+        assert r["outliers"] == (~inside).sum() and r["whisker_high"] == v[inside].max()
+
+
+def test_unset_checkpoint_folder_is_an_error_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from tillroll.session import checkpoint_root
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                           sparkContext=SimpleNamespace(master="spark://h:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)
+
+
+def test_summary_and_lineage_plans_read_the_join_once(spark):
+    """The un-materialised five-table join: five scans, and only the columns needed."""
+    from tillroll.operators import profile as P
+    from tillroll.sources import tables as S
+
+    from conftest import SF_SMALL
+    raw = S.retail_dirty(spark, SF_SMALL)
+    plan = P.dataset_summary(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 10  # the dirty view reads its lines twice (a union)
+    rfm = C.clean(raw).groupBy("Customer ID").count()._jdf.queryExecution().executedPlan().toString()
+    assert "l_comment" not in rfm and "l_extendedprice" not in rfm and "IsNotNull(o_custkey)" in rfm
+    assert "Expand" not in EDA.kpis(C.clean(raw).withColumn("TotalPrice", 1.0 * F.col("Price")), median=0.0
+                                    )._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_hot_and_population_scaler(spark):
     from tillroll.operators import features as FE
     df = spark.createDataFrame([("UK", 1.0), ("FR", 3.0), ("UK", 5.0), ("DE", 7.0)], "Country string, x double")

@@ -37,20 +37,34 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_timestamp(c: str | Column) -> Column:
-    """Best-effort text -> timestamp; non-string input passes through."""
-    c = col_of(c)
-    return F.coalesce(*[F.try_to_timestamp(c.cast("string"), F.lit(f)) for f in TIMESTAMP_FORMATS])
+def parse_timestamp(c: str | Column, fmt: str) -> Column:
+    """Text -> timestamp by one format; null where the text doesn't fit it."""
+    return F.try_to_timestamp(col_of(c).cast("string"), F.lit(fmt))
+
+
+def timestamp_format(df: DataFrame, name: str, formats: list[str] = TIMESTAMP_FORMATS) -> str:
+    """The first format that parses every non-null value of a text column.
+
+    One aggregation tries all formats. A column is read by one format only, so
+    day-first and month-first dates never mix; if none fits all, that is an
+    error that names the best one and how many values it leaves."""
+    text = F.col(name).cast("string")
+    left = df.agg(*[F.count_if(text.isNotNull() & parse_timestamp(text, f).isNull()).alias(f"f{i}")
+                    for i, f in enumerate(formats)]).first()
+    best = min(range(len(formats)), key=lambda i: left[i])
+    if left[best]:
+        raise ValueError(f"no timestamp format fits all of {name}: {formats[best]} leaves {left[best]} values")
+    return formats[best]
 
 
-def ensure_timestamp(df: DataFrame, name: str = "InvoiceDate") -> DataFrame:
-    """Cast a text timestamp column to timestamp (no-op for timestamp types)."""
+def ensure_timestamp(df: DataFrame, name: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
+    """Parse a text timestamp column (no-op for timestamp types)."""
     if name not in df.columns:
         return df
     dtype = dict(df.dtypes)[name]
     if dtype.startswith("timestamp") or dtype == "date":
         return df
-    return df.withColumn(name, parse_timestamp(name))
+    return df.withColumn(name, parse_timestamp(name, fmt or timestamp_format(df, name)))
 
 
 def weekday_index(c: str | Column) -> Column:
@@ -104,6 +118,7 @@ def sanitize_key(c: str | Column) -> Column:
 
 
 def importance_band(c: str | Column) -> Column:
+    """Chart band of a feature importance."""
     c = col_of(c)
     return F.when(c > 0.1, "high").when(c > 0.01, "medium").otherwise("low")
 
@@ -125,26 +140,21 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
         *[F.col(c) for c in df.columns], *[F.col(f"_attached.{c}").alias(c) for c in one_row.columns])
 
 
-def bounded_rows(df: DataFrame, limit: int, what: str = "lookup table") -> list:
-    """Collect a table that must be small: at most ``limit`` rows, else fail.
-
-    Fetches at most limit + 1 rows, so the check costs no extra job.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what} has more than {limit} rows")
-    return rows
-
+def join_small(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left",
+               broadcast_rows: int = 10_000) -> DataFrame:
+    """Join a table that is usually small (one row per cluster, class or code).
 
-def literal_map(pairs: list[tuple]) -> Column:
-    """A literal map expression from (key, value) pairs (lookup without a join)."""
-    if not pairs:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+    Its rows are counted up to the bound; within it the table is broadcast, and
+    beyond it the planner joins it like any other (adaptive execution splits
+    hot keys)."""
+    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        small = F.broadcast(small)
+    return df.join(small, on=on, how=how)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin onto every core when a (small) input has fewer partitions
-    than the cluster has cores; large inputs keep their partitioning."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+def fixed_layout(df: DataFrame, cols: list[str], rows_per_partition: int = 100_000, least: int = 16) -> DataFrame:
+    """Rows dealt by the hash of ``cols`` and sorted, over a number of partitions
+    that follows the row count alone, so that what samples or adds per partition
+    doesn't depend on the cores."""
+    n = max(least, -(-df.count() // rows_per_partition))
+    return df.repartition(n, *cols).sortWithinPartitions(*cols)

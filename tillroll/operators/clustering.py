@@ -1,29 +1,33 @@
 """Clustering: RFM scaling, nearest-centroid assignment, quality metrics, K-Means fits.
 
 Feature vectors are ``array<double>`` columns, so the same metric code serves
-three RFM columns and 64-dimensional embeddings. Centroid tables have one row
-per cluster (k rows, k a user parameter). They are gathered with a bounded
-collect (more than MAX_CLUSTERS rows fails) and used as literals, or joined
-and left to adaptive execution's size-based broadcast. The silhouette sample
-is the only data shipped to every task, and its size is bounded by
-``sample_size``.
+three RFM columns and 64-dimensional embeddings. Metrics cover exactly the
+rows they are given; whoever wants them on a sample passes one (a cluster-safe
+sample, say). A fitted model is k centroids, k a user parameter; those are what
+reaches the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillroll.functions.columns import CUSTOMER
+from tillroll.functions.columns import CUSTOMER, join_small
 from tillroll.operators.features import fit_standard_scaler, standard_scale
-from tillroll.operators.sampling import cluster_safe_sample
+from tillroll.operators.sampling import hash_key
+from tillroll.sources.sinks import materialize
 
 RFM_FEATURES = ["Recency", "Frequency", "Monetary"]
-MAX_CLUSTERS = 10_000
-SILHOUETTE_SAMPLE = 10_000
+METRIC_SAMPLE = 10_000  # rows of the cluster-safe sample that the steps score
+BLOCK_ROWS = 2048  # points of a silhouette block
 
 
 def as_vector(cols: list[str]) -> Column:
@@ -38,10 +42,6 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def euclid(a: Column, b: Column) -> Column:
-    return F.sqrt(sq_dist(a, b))
-
-
 def scale_rfm(rfm: DataFrame, cols: list[str] = RFM_FEATURES) -> tuple[DataFrame, DataFrame]:
     """Standard-scaled copies ``<col>_s`` (population std) and the fitted params."""
     params = fit_standard_scaler(rfm, cols)
@@ -56,8 +56,6 @@ def assign_nearest(df: DataFrame, features: list[str], centroids: list[tuple[int
     The k centroids are literals inside one codegen'd expression: the
     minimum of (squared distance, id) structs; no join, no shuffle.
     """
-    if len(centroids) > MAX_CLUSTERS:
-        raise ValueError("too many centroids for literal assignment")
     cands = []
     for cid, c in centroids:
         d = None
@@ -75,300 +73,292 @@ def assign_nearest(df: DataFrame, features: list[str], centroids: list[tuple[int
 
 # --------------------------------------------------------------- centroids
 def centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
-    """(label, n, centroid array<double>) via per-(label, dimension) means.
-
-    posexplode feeds a map-side partial aggregation; the result has k rows.
-    """
-    per_dim = (df.select(label, F.posexplode(F.col(vec)).alias("pos", "v"))
-               .groupBy(label, "pos").agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n")))
-    return per_dim.groupBy(label).agg(
-        F.max("n").alias("n"),
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))
-
-
-
-
-def with_own_centroid(df: DataFrame, vec: str, label: str, cents: DataFrame | None = None) -> DataFrame:
-    cents = cents if cents is not None else centroids(df, vec, label)
-    return df.join(cents.select(label, "centroid"), on=label, how="inner")
+    """(label, n, centroid array<double>): one summary of whole vectors per label, combined map-side."""
+    s = Summarizer.metrics("mean", "count").summary(array_to_vector(F.col(vec)))
+    return (df.groupBy(label).agg(s.alias("s"))
+            .select(label, F.col("s.count").alias("n"), vector_to_array("s.mean").alias("centroid")))
 
 
 # ------------------------------------------------------------------ metrics
-def inertia(df: DataFrame, vec: str, label: str) -> DataFrame:
-    """One row: sum of squared distances to the own cluster mean."""
-    j = with_own_centroid(df, vec, label)
-    return j.agg(F.sum(sq_dist(F.col(vec), F.col("centroid"))).alias("inertia"))
-
-
-def calinski_harabasz(df: DataFrame, vec: str, label: str) -> DataFrame:
-    """One row: [B / (k - 1)] / [W / (n - k)]; 0.0 for fewer than 2 labels."""
-    cents = centroids(df, vec, label)
-    dims = cents.select(F.size("centroid").alias("d")).first()["d"]
-    overall = df.agg(*[F.avg(F.col(vec)[i]).alias(f"g{i}") for i in range(dims)])
-    g = F.array(*[F.col(f"g{i}") for i in range(dims)])
-    b = attach_scalar_row(cents, overall).agg(
-        F.sum(F.col("n") * sq_dist(F.col("centroid"), g)).alias("B"), F.count(F.lit(1)).alias("k"))
-    w = with_own_centroid(df, vec, label, cents).agg(
-        F.sum(sq_dist(F.col(vec), F.col("centroid"))).alias("W"), F.count(F.lit(1)).alias("n"))
-    j = attach_scalar_row(b, w)
-    ch = (F.when(F.col("k") < 2, F.lit(0.0))
-          .when(F.col("W") == 0, F.lit(1.0))
-          .otherwise(F.col("B") * (F.col("n") - F.col("k")) / (F.col("W") * (F.col("k") - 1))))
-    return j.select(ch.alias("calinski_harabasz"))
-
-
-def davies_bouldin(df: DataFrame, vec: str, label: str) -> DataFrame:
-    """One row: mean over clusters of max_j (S_i + S_j) / d(c_i, c_j); inf for < 2 labels.
-
-    S_i is the mean distance of cluster i's points to its centroid. The k
-    centroid rows are gathered into one array (k is bounded) and the k x k
-    comparison runs as higher-order functions inside that single row.
+def _blocks(df: DataFrame, key: str, count: int, name: str) -> DataFrame:
+    return (df.groupBy(F.pmod(F.xxhash64(key), F.lit(count)).alias(name))
+            .agg(F.collect_list(F.struct(key, "vec", "labels")).alias(f"{name}_rows")))
+
+
+def _distance_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each pair of blocks: every point of the first, and the sum of its
+    distances to the second's points and their number, by labelling and label."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            (ka, xa, _), (_, xb, lb) = ((s.field(0), np.stack(s.field(1).to_numpy(zero_copy_only=False)),
+                                         np.array(s.field(2).to_pylist(), np.float64))
+                                        for s in (batch.column(c)[i].values for c in ("a_rows", "b_rows")))
+            d = np.zeros((len(xa), len(xb)))
+            for j in range(xa.shape[1]):  # exact differences, one coordinate at a time
+                d += (xa[:, j, None] - xb[None, :, j]) ** 2
+            d = np.sqrt(d)
+            out = []
+            for m in range(lb.shape[1]):
+                labels, at = np.unique(lb[~np.isnan(lb[:, m]), m], return_inverse=True)
+                hot = np.eye(len(labels))[at]
+                sums = d[:, ~np.isnan(lb[:, m])] @ hot
+                n = hot.sum(axis=0)
+                for c, label in enumerate(labels):
+                    out.append((ka, np.full(len(xa), m), np.full(len(xa), label), sums[:, c], np.full(len(xa), n[c])))
+            if out:
+                keys = pa.concat_arrays([o[0] for o in out])
+                m, other, total, n = (np.concatenate([o[j] for o in out]) for j in range(1, 5))
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.array(m.astype(np.int32)), pa.array(other.astype(np.int64)), pa.array(total),
+                     pa.array(n.astype(np.int64))], ["key", "labelling", "other", "total", "n"])
+
+
+def silhouette_points(df: DataFrame, key: str, vec: str, labels: list[str]) -> DataFrame:
+    """key, labelling (position in ``labels``), label, silhouette: the Euclidean
+    silhouette of every row under each labelling; a null label means that the
+    row is no part of that labelling. Singletons, and points of a labelling with
+    one label, score 0.
+
+    Distances are of all rows to all rows, so this is meant for a bounded
+    sample: blocks of points meet blocks of points once, whatever the number of
+    labellings, and only per-label sums leave a task.
     """
-    cents = centroids(df, vec, label)
-    s = (with_own_centroid(df, vec, label, cents)
-         .groupBy(label).agg(F.avg(euclid(F.col(vec), F.col("centroid"))).alias("S"), F.first("centroid").alias("c")))
-    arr = s.agg(F.collect_list(F.struct(F.col(label).alias("l"), "S", "c")).alias("a"))
-
-    def score(x):
-        others = F.filter(F.col("a"), lambda y: y["l"] != x["l"])
-        ratios = F.transform(others, lambda y: F.when(euclid(x["c"], y["c"]) == 0, F.lit(0.0))
-                             .otherwise((x["S"] + y["S"]) / euclid(x["c"], y["c"])))
-        return F.array_max(ratios)
-
-    scores = F.transform(F.col("a"), score)
-    k = F.size("a")
-    all_s_zero = F.forall(F.col("a"), lambda x: x["S"] == 0)
-    db = (F.when(k < 2, F.lit(float("inf")))
-          .when(all_s_zero, F.lit(0.0))
-          .otherwise(F.aggregate(scores, F.lit(0.0), lambda acc, v: acc + v) / k))
-    return arr.select(db.alias("davies_bouldin"))
-
-
-def attach_scalar_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    from tillroll.functions.columns import attach_row
-    return attach_row(df, one_row)  # one-row frame as a scalar subquery, no join
-
-
-def silhouette_samples(df: DataFrame, key: str, vec: str, label: str,
-                       sample_size: int = SILHOUETTE_SAMPLE, seed: int = 42, total: int | None = None) -> DataFrame:
-    """Per-point Euclidean silhouette on a cluster-safe sample of <= sample_size rows.
-
-    The sample (size bounded by ``sample_size``) is shipped to every task as a
-    broadcast matrix; each task scores its own sample rows in Arrow batches,
-    chunked so that a distance block stays a few MB. Nothing pairwise is
-    materialised as rows. Singleton clusters score 0.
-    """
-    spark = df.sparkSession
-    sample = cluster_safe_sample(df.select(key, label, vec), label, key, sample_size, seed, total)
-    sample = sample.select(key, F.col(label).cast("long").alias(label), as_double_array(vec).alias(vec))
-    local = sample.toPandas()  # bounded by sample_size
-    # the O(sample^2) scoring is CPU work: spread the (bounded) sample over all cores
-    sample = spark.createDataFrame(local, sample.schema).repartition(spark.sparkContext.defaultParallelism)
-    # (createDataFrame from the bounded local copy; one slice per core)
-    if local.empty:
-        return spark.createDataFrame([], f"`{key}` long, `{label}` long, silhouette double")
-    X = np.stack(local[vec].to_numpy()).astype(np.float64)
-    L = local[label].to_numpy().astype(np.int64)
-    bc = spark.sparkContext.broadcast((X, L))
-    key_type = dict(sample.dtypes)[key]
-
-    def score(batches):
-        Xa, La = bc.value
-        labels = np.unique(La)
-        sizes = np.array([(La == l).sum() for l in labels], dtype=np.float64)
-        onehot = (La[:, None] == labels[None, :]).astype(np.float64)
-        chunk = max(1, int(2_000_000 // max(1, Xa.shape[0] * Xa.shape[1])))
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            P = np.stack(pdf[vec].to_numpy()).astype(np.float64)
-            pl = pdf[label].to_numpy().astype(np.int64)
-            own = np.searchsorted(labels, pl)
-            out = np.zeros(len(P))
-            for start in range(0, len(P), chunk):
-                Pc = P[start:start + chunk]
-                D = np.sqrt(((Pc[:, None, :] - Xa[None, :, :]) ** 2).sum(axis=2))
-                sums = D @ onehot
-                o = own[start:start + chunk]
-                rows = np.arange(len(Pc))
-                own_size = sizes[o]
-                a = np.where(own_size > 1, sums[rows, o] / np.maximum(own_size - 1, 1), 0.0)
-                mean_other = sums / sizes[None, :]
-                mean_other[rows, o] = np.inf
-                b = mean_other.min(axis=1) if len(labels) > 1 else np.zeros(len(Pc))
-                m = np.maximum(a, b)
-                sil = np.where((own_size > 1) & (m > 0) & np.isfinite(b), (b - a) / np.where(m > 0, m, 1.0), 0.0)
-                out[start:start + len(Pc)] = sil
-            yield pd.DataFrame({key: pdf[key].to_numpy(), label: pl, "silhouette": out})
-
-    schema = T.StructType([
-        T.StructField(key, T.LongType() if key_type == "bigint" else T.StringType()),
-        T.StructField(label, T.LongType()),
-        T.StructField("silhouette", T.DoubleType()),
-    ])
-    return sample.mapInPandas(score, schema)
-
-
-def silhouette(df: DataFrame, key: str, vec: str, label: str, sample_size: int = SILHOUETTE_SAMPLE,
-               seed: int = 42, total: int | None = None) -> DataFrame:
-    """One row: mean silhouette (0.0 when fewer than 2 labels)."""
-    s = silhouette_samples(df, key, vec, label, sample_size, seed, total)
-    return s.agg(F.when(F.count_distinct(label) < 2, F.lit(0.0))
-                 .otherwise(F.avg("silhouette")).alias("silhouette"))
+    pts = df.select(F.col(key).alias("key"), F.col(vec).alias("vec"),
+                    F.array(*[F.col(x).cast("long") for x in labels]).alias("labels"))
+    pts = materialize(pts.where(F.exists("labels", lambda x: x.isNotNull())), "silhouette-points")
+    count = max(1, -(-pts.count() // BLOCK_ROWS))
+    meet = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias("b")
+    pairs = (_blocks(pts, "key", count, "a").select("a", "a_rows", meet).join(_blocks(pts, "key", count, "b"), "b")
+             .repartition(min(count * count, 20_000), "a", "b"))
+    key_type = df.schema[key].dataType.simpleString()
+    sums = (pairs.select("a_rows", "b_rows").mapInArrow(
+                _distance_sums, f"key {key_type}, labelling int, other long, total double, n long")
+            .groupBy("key", "labelling", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+    own = pts.select("key", F.posexplode("labels").alias("labelling", "label")).where("label is not null")
+    inside = F.col("other") == F.col("label")
+    per = own.join(sums, ["key", "labelling"]).groupBy("key", "labelling", "label").agg(
+        F.max(F.when(inside, F.col("n"))).alias("n"), F.max(F.when(inside, F.col("total"))).alias("total"),
+        F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"))
+    a = F.col("total") / (F.col("n") - 1)
+    top = F.greatest(a, F.col("b"))
+    score = F.when((F.col("n") > 1) & F.col("b").isNotNull() & (top > 0), (F.col("b") - a) / top).otherwise(F.lit(0.0))
+    return per.select(F.col("key").alias(key), "labelling", "label", score.alias("silhouette"))
+
+
+def silhouette_samples(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
+    """key, label, silhouette of every row."""
+    return silhouette_points(df, key, vec, [label]).select(key, F.col("label").alias(label), "silhouette")
+
+
+def silhouette_squared(df: DataFrame, vec: str, label: str) -> float:
+    """Mean silhouette by squared Euclidean distance over whole tables: linear in
+    the rows, from per-cluster sums (0.0 when fewer than 2 labels)."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    if df.select(label).distinct().limit(2).count() < 2:
+        return 0.0
+    data = df.select(array_to_vector(F.col(vec)).alias("features"), F.col(label).cast("double").alias("prediction"))
+    return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(data)
 
 
 def cluster_stats(df: DataFrame, vec: str, label: str) -> list[dict]:
     """Per cluster: n, centroid, W (sum of squared distances to the centroid)
-    and S (mean distance to it). Two aggregations: the k centroids are
-    collected (bounded, checked) and then used as literals, no join."""
-    from tillroll.functions.columns import bounded_rows
-    cents = {r[label]: (r["n"], list(r["centroid"]))
-             for r in bounded_rows(centroids(df, vec, label), MAX_CLUSTERS, "centroid table")}
-    if not cents:
-        return []
-    cmap = F.create_map(*[x for l, (_, c) in cents.items()
-                          for x in (F.lit(l), F.array(*[F.lit(float(v)) for v in c]))])
-    c = cmap[F.col(label)]
-    per = df.groupBy(label).agg(F.sum(sq_dist(F.col(vec), c)).alias("W"),
-                                F.avg(euclid(F.col(vec), c)).alias("S")).collect()
-    return [{"label": r[label], "n": cents[r[label]][0], "centroid": np.array(cents[r[label]][1]),
-             "W": r["W"], "S": r["S"]} for r in per]
+    and S (mean distance to it). Two aggregations; k rows are collected."""
+    cents = centroids(df, vec, label)
+    c = F.col("centroid")
+    per = (join_small(df, cents, label, "inner").groupBy(label)
+           .agg(F.first("n").alias("n"), F.first(c).alias("centroid"), F.sum(sq_dist(F.col(vec), c)).alias("W"),
+                F.avg(F.sqrt(sq_dist(F.col(vec), c))).alias("S")))
+    return [{"label": r[label], "n": r["n"], "centroid": np.array(r["centroid"]), "W": r["W"], "S": r["S"]}
+            for r in per.collect()]
 
 
 def metrics_from_stats(stats: list[dict]) -> dict:
     """inertia, davies_bouldin, calinski_harabasz from the k per-cluster rows."""
     k = len(stats)
     n = sum(s["n"] for s in stats)
-    inertia_v = float(sum(s["W"] for s in stats))
+    inertia = float(sum(s["W"] for s in stats))
     if k < 2:
-        return {"inertia": inertia_v, "davies_bouldin": float("inf"), "calinski_harabasz": 0.0}
-    C = np.stack([s["centroid"] for s in stats])
-    S = np.array([s["S"] for s in stats])
-    g = (np.array([s["n"] for s in stats])[:, None] * C).sum(0) / n
-    B = float(sum(s["n"] * ((s["centroid"] - g) ** 2).sum() for s in stats))
-    ch = 1.0 if inertia_v == 0 else B * (n - k) / (inertia_v * (k - 1))
-    if np.all(S == 0):
-        db = 0.0
-    else:
-        D = np.sqrt(((C[:, None, :] - C[None, :, :]) ** 2).sum(-1))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            R = (S[:, None] + S[None, :]) / D
-        R[~np.isfinite(R)] = 0.0
-        np.fill_diagonal(R, 0.0)
-        db = float(R.max(axis=1).mean())
-    return {"inertia": inertia_v, "davies_bouldin": db, "calinski_harabasz": float(ch)}
+        return {"inertia": inertia, "davies_bouldin": float("inf"), "calinski_harabasz": 0.0}
+    cents = np.stack([s["centroid"] for s in stats])
+    spread = np.array([s["S"] for s in stats])
+    size = np.array([s["n"] for s in stats])
+    between = float((size * ((cents - (size[:, None] * cents).sum(0) / n) ** 2).sum(axis=1)).sum())
+    ch = 1.0 if inertia == 0 else between * (n - k) / (inertia * (k - 1))
+    worst = []
+    for i in range(k):  # one row of the k x k comparison at a time
+        d = np.sqrt(((cents - cents[i]) ** 2).sum(axis=1))
+        worst.append(np.divide(spread + spread[i], d, out=np.zeros(k), where=d > 0).max())
+    return {"inertia": inertia, "davies_bouldin": float(np.mean(worst)), "calinski_harabasz": float(ch)}
 
 
 def quality_summary(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
-    """One row: n, k, inertia, silhouette, davies_bouldin, calinski_harabasz.
-
-    The point set is persisted once; inertia, Davies-Bouldin and
-    Calinski-Harabasz come from the k per-cluster statistics (two
-    aggregations), the silhouette from the bounded-sample scorer.
-    """
-    from pyspark import StorageLevel
-    pts = df.select(key, label, vec).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = cluster_stats(pts, vec, label)
-        vals = {"n": sum(s["n"] for s in stats), "k": len(stats)}
-        vals.update(metrics_from_stats(stats))
-        vals["silhouette"] = silhouette(pts, key, vec, label).first()[0]
-    finally:
-        pts.unpersist()
+    """One row: n, k, inertia, silhouette, davies_bouldin, calinski_harabasz of
+    exactly the rows of ``df``."""
+    pts = materialize(df.select(key, label, vec), "quality-points")
+    stats = cluster_stats(pts, vec, label)
+    vals = metrics_from_stats(stats)
+    score = silhouette_samples(pts, key, vec, label).agg(F.avg("silhouette")).first()[0] if len(stats) > 1 else 0.0
     return df.sparkSession.createDataFrame(
-        [(vals["n"], vals["k"], vals["inertia"], vals["silhouette"], vals["davies_bouldin"],
+        [(sum(s["n"] for s in stats), len(stats), vals["inertia"], score, vals["davies_bouldin"],
           vals["calinski_harabasz"])],
         "n bigint, k bigint, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")
 
 
 # --------------------------------------------------------------- K-Means fit
-def _kmeans_data(df: DataFrame, features: list[str]):
-    """Assembled vectors (plus the raw columns), spread over the cores and persisted."""
-    from pyspark import StorageLevel
-    from pyspark.ml.feature import VectorAssembler
-    from tillroll.functions.columns import spread
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(df).select("features", *features)
-    return spread(data).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _epsilon(data: DataFrame, features: list[str], tol: float, relative_tol: bool) -> float:
-    """scikit-learn reads ``tol`` relative to the mean feature variance, on the
-    total squared centre shift; Spark stops when every centre moves less than
-    epsilon, so epsilon = sqrt(tol * mean variance)."""
-    if not relative_tol:
-        return tol
-    v = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
-    mean_var = float(np.mean([v[c] or 0.0 for c in features]))
-    return float(np.sqrt(tol * mean_var)) if mean_var > 0 else tol
-
-
-def _fit_best(data: DataFrame, k: int, seed: int, n_init: int, max_iter: int, eps: float):
-    from pyspark.ml.clustering import KMeans
-    best = None
-    for i in range(n_init):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=eps, featuresCol="features", predictionCol="Cluster")
-        model = km.fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best[0]
-
-
-def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, seed: int = 42, n_init: int = 1,
-               max_iter: int = 300, tol: float = 1e-4, relative_tol: bool = True):
-    """Spark ML K-Means (k-means|| init); best of ``n_init`` seeds by training cost.
-
-    ``tol`` is read like scikit-learn's (see ``_epsilon``). Input rows are
-    assembled once, spread over the cluster's cores and persisted for the
-    iterations.
+@dataclass(frozen=True)
+class KMeansFit:
+    """Centroids (k x d), the sum of squared distances to them, and the passes taken."""
+
+    centroids: np.ndarray
+    cost: float
+    passes: int
+
+
+def _starts(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ seeding with a few candidates for each centre."""
+    cents = points[[rng.integers(len(points))]]
+    near = ((points - cents[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        total = near.sum()
+        pick = rng.choice(len(points), 2 + int(np.log(k)), p=near / total if total > 0 else None)
+        tries = np.minimum(near, ((points[None] - points[pick][:, None]) ** 2).sum(axis=2))
+        best = tries.sum(axis=1).argmin()
+        cents, near = np.vstack([cents, points[pick[best]]]), tries[best]
+    return cents
+
+
+def _assign_and_add(models: list[np.ndarray], d: int):
+    """mapInArrow over feature columns: for each model and centre the sum and
+    number of its points and their squared distances, once for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((len(c), d + 2)) for c in models]
+        for batch in batches:
+            whole = np.column_stack([batch.column(j).to_numpy(zero_copy_only=False) for j in range(d)])
+            for x in np.array_split(whole, max(1, len(whole) // 8192)):
+                for out, c in zip(sums, models, strict=True):
+                    dist = np.zeros((len(x), len(c)))
+                    for j in range(d):
+                        dist += (x[:, j, None] - c[None, :, j]) ** 2
+                    at = dist.argmin(axis=1)
+                    near = dist[np.arange(len(x)), at]
+                    for j in range(d):
+                        out[:, j] += np.bincount(at, x[:, j], len(c))
+                    out[:, d] += np.bincount(at, minlength=len(c))
+                    out[:, d + 1] += np.bincount(at, near, len(c))
+        yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sums], pa.binary()),
+                                          pa.array(range(len(sums)), pa.int32())], ["sums", "model"])
+
+    return run
+
+
+def fit_kmeans_many(df: DataFrame, features: list[str], ks: list[int], seed: int = 42, n_init: int = 10,
+                    max_iter: int = 300, tol: float = 1e-4, seed_rows: int = 20_000) -> dict[int, KMeansFit]:
+    """K-Means for every k, each the best of ``n_init`` starts.
+
+    All starts of all k advance together: one pass over the rows assigns them
+    under every model that still moves and adds up its centres, so the jobs are
+    as many as the slowest model's iterations. Starts are seeded by k-means++ on
+    at most ``seed_rows`` rows in hash order (a documented bound; every pass
+    covers all rows). A model stops when the squared shift of its centres is at
+    most ``tol`` times the mean feature variance. Ties go to the lower centre;
+    an empty centre stays where it is. Tasks hand back k sums each, added in
+    partition order.
     """
-    data = _kmeans_data(df, features)
+    data = materialize(df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]), "kmeans-rows")
+    cols, d = data.columns, len(features)
+    few = data.orderBy(F.xxhash64(*cols), *cols).limit(seed_rows).toPandas().to_numpy()
+    variance = data.agg(*[F.var_pop(c) for c in cols]).first()
+    stop = tol * float(np.mean([v or 0.0 for v in variance]))
+    runs = [(k, i, _starts(few, k, np.random.default_rng([seed, k, i]))) for k in ks for i in range(n_init)]
+    data = data.persist()
+    best: dict[int, KMeansFit] = {}
     try:
-        return _fit_best(data, k, seed, n_init, max_iter, _epsilon(data, features, tol, relative_tol))
+        moving = [(k, c, False) for k, _, c in runs]
+        for step in range(1, max_iter + 2):
+            rows = data.mapInArrow(_assign_and_add([c for _, c, _ in moving], d), "sums binary, model int").collect()
+            total = [np.zeros((k, d + 2)) for k, _, _ in moving]
+            for r in rows:
+                total[r["model"]] += np.frombuffer(r["sums"]).reshape(-1, d + 2)
+            still = []
+            for (k, c, settled), t in zip(moving, total, strict=True):
+                cost = float(t[:, d + 1].sum())
+                if settled or step > max_iter:
+                    if k not in best or cost < best[k].cost:
+                        best[k] = KMeansFit(c, cost, step)
+                    continue
+                new = np.where(t[:, [d]] > 0, t[:, :d] / np.maximum(t[:, [d]], 1), c)
+                still.append((k, new, float(((new - c) ** 2).sum()) <= stop))
+            moving = still
+            if not moving:
+                break
     finally:
         data.unpersist()
+    return best
+
+
+def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, seed: int = 42, n_init: int = 10,
+               max_iter: int = 300, tol: float = 1e-4) -> KMeansFit:
+    """K-Means, the best of ``n_init`` starts (see ``fit_kmeans_many``)."""
+    return fit_kmeans_many(df, features, [k], seed, n_init, max_iter, tol)[k]
 
 
 def relabel_by(df: DataFrame, cluster: str, by: str, descending: bool = True) -> DataFrame:
     """Renumber cluster ids 0..k-1 by the mean of ``by`` (ids from a fit are arbitrary)."""
-    means = df.groupBy(cluster).agg(F.avg(by).alias("_m"))
-    from pyspark.sql import Window as W
     order = F.col("_m").desc() if descending else F.col("_m").asc()
-    ranks = means.withColumn("_new", F.row_number().over(W.orderBy(order, F.col(cluster))) - 1)
-    from tillroll.functions.columns import bounded_rows, literal_map
-    pairs = [(r[0], r[1]) for r in bounded_rows(ranks.select(cluster, "_new"), MAX_CLUSTERS, "cluster table")]
-    return df.withColumn(cluster, literal_map(pairs)[F.col(cluster)].cast("int"))
+    ranks = (df.groupBy(cluster).agg(F.avg(by).alias("_m"))
+             .withColumn("_new", F.row_number().over(W.orderBy(order, F.col(cluster))) - 1))
+    return join_small(df, ranks.select(cluster, "_new"), cluster).withColumn(cluster, F.col("_new").cast("int")).drop("_new")
+
 
+def model_centroids(model: KMeansFit) -> list[tuple[int, list[float]]]:
+    return [(i, [float(x) for x in c]) for i, c in enumerate(model.centroids)]
 
-def model_centroids(model) -> list[tuple[int, list[float]]]:
-    return [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+
+def cluster_safe_labels(df: DataFrame, labels: list[str], key: str, n: int = METRIC_SAMPLE, seed: int = 42) -> DataFrame:
+    """The cluster-safe sample of every labelling in one frame: ``labels`` are
+    null where a row is not in that labelling's sample.
+
+    The seeded order is taken once. Each labelling has the first row of each of
+    its labels and, of the others in seeded order, as many as make up n.
+    """
+    if df.count() <= n:
+        return df
+    firsts = {x: df.groupBy(x).agg(F.min(key).alias(key)).select(key, F.lit(True).alias(f"_first_{x}")) for x in labels}
+    out = df
+    for first in firsts.values():
+        out = join_small(out, first, key, "left")
+    any_first = F.lit(False)
+    for x in labels:
+        any_first = any_first | F.col(f"_first_{x}").isNotNull()
+    from tillroll.operators.sampling import random_sample
+    top = random_sample(df.select(key), n, key, seed, tiebreak=[key])  # n rows
+    top = top.withColumn("_order", F.row_number().over(W.orderBy(hash_key(key, seed), key)))
+    out = materialize(out.join(F.broadcast(top), key, "left").where(any_first | F.col("_order").isNotNull()), "safe-sample")
+    for x in labels:
+        first = F.col(f"_first_{x}").isNotNull()
+        k = out.where(first).count()
+        before = F.count_if(first).over(W.orderBy(F.col("_order").asc_nulls_last()))  # at most n rows and the firsts
+        taken = first | (F.col("_order").isNotNull() & (F.col("_order") - before <= n - k))
+        out = out.withColumn("_in", taken).withColumn(x, F.when(F.col("_in"), F.col(x))).drop("_in")
+    return out.select(df.columns)
 
 
 def k_sweep(df: DataFrame, features: list[str], key: str = CUSTOMER, ks=range(2, 11), seed: int = 42,
-            n_init: int = 1, max_iter: int = 300, tol: float = 1e-4, concurrency: int = 3) -> DataFrame:
+            n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, sample: int = METRIC_SAMPLE) -> DataFrame:
     """(k, inertia, silhouette) for each k: the elbow table.
 
-    The vectors are assembled and persisted once for every k; the fits (each
-    a chain of small, latency-bound jobs) run as concurrent Spark jobs from a
-    few threads. Each silhouette uses the cluster-safe sample of its own
-    labelling, as the reference does.
+    Each silhouette is that of the cluster-safe sample of its own labelling;
+    the distances of the sampled points are worked out once for all k.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    data = _kmeans_data(df, features)
-    try:
-        eps = _epsilon(data, features, tol, True)
-        total = data.count()  # one count shared by every k's cluster-safe sample
-
-        def one(k):
-            model = _fit_best(data, k, seed, n_init, max_iter, eps)
-            lab = assign_nearest(df, features, model_centroids(model))
-            sil = silhouette(lab.withColumn("_v", as_vector(features)), key, "_v", "Cluster",
-                             total=total).first()[0]
-            return (int(k), float(model.summary.trainingCost), float(sil))
-
-        with ThreadPoolExecutor(max_workers=concurrency) as pool:
-            rows = list(pool.map(one, list(ks)))
-    finally:
-        data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    ks = list(ks)
+    fits = fit_kmeans_many(df, features, ks, seed, n_init, max_iter, tol)
+    labels = [f"_k{k}" for k in ks]
+    lab = df.select(key, *features)
+    for k, x in zip(ks, labels, strict=True):
+        lab = assign_nearest(lab, features, model_centroids(fits[k]), out=x)
+    lab = materialize(lab.withColumn("_v", as_vector(features)).select(key, "_v", *labels), "sweep-labels")
+    scores = silhouette_points(cluster_safe_labels(lab, labels, key, sample, seed), key, "_v", labels)
+    mean = {r["labelling"]: r["s"] for r in scores.groupBy("labelling").agg(F.avg("silhouette").alias("s")).collect()}
+    return df.sparkSession.createDataFrame([(k, fits[k].cost, float(mean.get(i, 0.0))) for i, k in enumerate(ks)],
+                                           "k int, inertia double, silhouette double")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import ensure_timestamp, weekday_index, with_total_price
 
-MAX_ONE_HOT_CATEGORIES = 1000
+MAX_ONE_HOT_CATEGORIES = 1000  # columns that one-hot encoding may add (a parameter)
 
 
 def add_date_parts(df: DataFrame) -> DataFrame:
@@ -57,19 +57,21 @@ def feature_engineering(df: DataFrame) -> DataFrame:
 
 
 def category_values(df: DataFrame, col: str, max_categories: int = MAX_ONE_HOT_CATEGORIES) -> list[str]:
-    """Sorted distinct non-null values; the count is checked before fetching."""
-    from tillroll.functions.columns import bounded_rows
-    distinct = df.where(F.col(col).isNotNull()).select(col).distinct()
-    return sorted(r[0] for r in bounded_rows(distinct, max_categories, f"{col} categories (use an indexer)"))
+    """Sorted distinct non-null values. Each becomes a column, so more than
+    ``max_categories`` of them is an error (use an indexer)."""
+    values = df.where(F.col(col).isNotNull()).select(col).distinct().limit(max_categories + 1).collect()
+    if len(values) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories: use an indexer")
+    return sorted(r[0] for r in values)
 
 
 def one_hot(df: DataFrame, col: str = "Country", prefix: str | None = None,
-            categories: list[str] | None = None) -> DataFrame:
+            categories: list[str] | None = None, max_categories: int = MAX_ONE_HOT_CATEGORIES) -> DataFrame:
     """``<prefix>_<value>`` 0/1 int columns for each category; the source column is dropped."""
     if col not in df.columns:
         return df
     prefix = prefix or col
-    cats = categories if categories is not None else category_values(df, col)
+    cats = categories if categories is not None else category_values(df, col, max_categories)
     cols = {f"{prefix}_{v}": F.when(F.col(col) == F.lit(v), 1).otherwise(0).cast("int") for v in cats}
     return df.withColumns(cols).drop(col)
 

@@ -6,25 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import CUSTOMER, attach_row, np_round
+from tillroll.operators.eda import distinct_count
 from tillroll.operators.quantiles import percentiles_exact
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def shape(df: DataFrame) -> DataFrame:
-    """One row: rows, columns."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
-
-
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: number of rows equal to an earlier row (nulls equal).
-
-    A single aggregation on the full row (map-side combined), then a global sum.
-    """
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return per_row.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-
-
 def missing_report(df: DataFrame) -> DataFrame:
     """Column, DataType, Non_Null_Count, Missing_Count, Missing_Percentage (2 dp).
 
@@ -52,56 +39,44 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, duplicate_rows, total_missing."""
-    miss = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
-    base = df.agg(F.count(F.lit(1)).alias("rows"), miss.cast("bigint").alias("total_missing"))
-    return (attach_row(base, duplicate_rows(df))
-            .select("rows", F.lit(len(df.columns)).cast("bigint").alias("columns"),
-                    "duplicate_rows", "total_missing"))
+    """One row: rows, columns, duplicate_rows (equal to an earlier row, nulls
+    equal), total_missing. One aggregation on the full row, combined map-side,
+    carries all of them."""
+    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    nulls = sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0))
+    none = F.lit(0).cast("bigint")
+    return per_row.agg(F.coalesce(F.sum("_n"), none).alias("rows"),
+                       F.coalesce(F.sum(F.col("_n") - 1), none).alias("duplicate_rows"),
+                       F.coalesce(F.sum(F.col("_n") * nulls), none).alias("total_missing")).select(
+        "rows", F.lit(len(df.columns)).cast("bigint").alias("columns"), "duplicate_rows", "total_missing")
 
 
 def dtypes_table(df: DataFrame) -> DataFrame:
     """Column names and Spark types (schema only; no data job)."""
-    spark = df.sparkSession
-    return spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
-                                 "position int, Column string, DataType string")
+    return df.sparkSession.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
+                                           "position int, Column string, DataType string")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC_TYPES or t.startswith("decimal")]
 
 
-def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
-             quartiles: dict | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, quartiles: dict | None = None) -> DataFrame:
     """pandas-style describe(): count, mean, std (ddof 1), min, 25/50/75 %, max.
 
     One row per column. Quartiles are exact linear-interpolated percentiles
-    (distributed selection, see ``quantiles``); ``exact=False`` uses
-    ``percentile_approx`` instead.
+    (distributed selection, see ``quantiles``); they may be passed in.
     """
     cols = cols or numeric_columns(df)
-    aggs = []
+    q = quartiles or percentiles_exact(df, cols, [0.25, 0.5, 0.75])
+    aggs, parts = [], []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-    wide = df.agg(*aggs)
-    q = (quartiles or percentiles_exact(df, cols, [0.25, 0.5, 0.75])) if exact else None
-    parts = []
-    for i, c in enumerate(cols):
-        if exact:
-            qs = [F.lit(q[c][p]).cast("double") for p in (0.25, 0.5, 0.75)]
-        else:
-            qs = [F.percentile_approx(F.col(c).cast("double"), F.lit(p), F.lit(100000)) for p in (0.25, 0.5, 0.75)]
-        parts.append((c, i, qs))
-    if not exact:
-        wide = df.agg(*aggs, *[qq.alias(f"q{i}_{j}") for c, i, qs in parts for j, qq in enumerate(qs)])
-        parts = [(c, i, [F.col(f"q{i}_{j}") for j in range(3)]) for c, i, _ in parts]
-    stack_args = []
-    for c, i, qs in parts:
-        stack_args += [F.lit(c), F.col(f"n{i}").cast("bigint"), F.col(f"mean{i}"), F.col(f"std{i}"),
-                       F.col(f"min{i}"), qs[0], qs[1], qs[2], F.col(f"max{i}")]
-    return wide.select(F.stack(F.lit(len(cols)), *stack_args).alias(
+        parts += [F.lit(c), F.col(f"n{i}").cast("bigint"), F.col(f"mean{i}"), F.col(f"std{i}"), F.col(f"min{i}"),
+                  *[F.lit(q[c][p]).cast("double") for p in (0.25, 0.5, 0.75)], F.col(f"max{i}")]
+    return df.agg(*aggs).select(F.stack(F.lit(len(cols)), *parts).alias(
         "Column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
@@ -109,36 +84,25 @@ def cleaning_lineage(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows dropped per cleaning rule and distinct entities of the clean table.
 
     Reports each rule separately: null Description, null Customer ID (after
-    the Description rule) and duplicate rows (after both).
+    the Description rule) and duplicate rows (after both). ``cleaned`` is read
+    once for each distinct count, so pass the stored clean table.
     """
-    has_c = CUSTOMER in raw.columns
     d_null = F.col("Description").isNull()
-    c_null = F.col(CUSTOMER).isNull() if has_c else F.lit(False)
-    raw_counts = raw.agg(
+    c_null = F.col(CUSTOMER).isNull() if CUSTOMER in raw.columns else F.lit(False)
+    out = raw.agg(
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(d_null).alias("dropped_null_description"),
         F.count_if(~d_null & c_null).alias("dropped_null_customer"),
     )
-    clean_counts = cleaned.agg(
-        F.count(F.lit(1)).alias("cleaned_rows"),
-        F.count_distinct(F.col(CUSTOMER)).alias("unique_customers"),
-        F.count_distinct(F.col("Invoice")).alias("unique_invoices"),
-        F.count_distinct(F.col("StockCode")).alias("unique_products"),
-        F.count_distinct(F.col("Country")).alias("unique_countries"),
-    )
-    j = attach_row(raw_counts, clean_counts)
-    return j.select(
-        F.col("original_rows").cast("bigint").alias("original_rows"),
-        F.col("cleaned_rows").cast("bigint").alias("cleaned_rows"),
-        F.col("dropped_null_description").cast("bigint").alias("dropped_null_description"),
-        F.col("dropped_null_customer").cast("bigint").alias("dropped_null_customer"),
-        (F.col("original_rows") - F.col("dropped_null_description") - F.col("dropped_null_customer")
-         - F.col("cleaned_rows")).cast("bigint").alias("dropped_duplicates"),
-        F.col("unique_customers").cast("bigint").alias("unique_customers"),
-        F.col("unique_invoices").cast("bigint").alias("unique_invoices"),
-        F.col("unique_products").cast("bigint").alias("unique_products"),
-        F.col("unique_countries").cast("bigint").alias("unique_countries"),
-    )
+    out = attach_row(out, cleaned.agg(F.count(F.lit(1)).alias("cleaned_rows")))
+    for c, name in ((CUSTOMER, "unique_customers"), ("Invoice", "unique_invoices"), ("StockCode", "unique_products"),
+                    ("Country", "unique_countries")):
+        out = attach_row(out, distinct_count(cleaned, c, name))
+    dropped = (F.col("original_rows") - F.col("dropped_null_description") - F.col("dropped_null_customer")
+               - F.col("cleaned_rows"))
+    return out.select("original_rows", "cleaned_rows", "dropped_null_description", "dropped_null_customer",
+                      dropped.alias("dropped_duplicates"), "unique_customers", "unique_invoices", "unique_products",
+                      "unique_countries")
 
 
 def schema_diff(before: DataFrame, after: DataFrame) -> list[str]:

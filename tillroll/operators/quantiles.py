@@ -4,18 +4,20 @@ Linear-interpolated percentiles (numpy / pandas default, DuckDB
 ``quantile_cont``) need the order statistics at ranks floor(h) and ceil(h),
 h = (n - 1) * p. They are found by distributed selection: each pass is one
 aggregation that histograms the still-open value ranges into ``buckets``
-equal-width bins (count, min, max per bin, map-side combined), and the bin
-holding the wanted rank becomes the next range. Once a range holds at most
-``collect_limit`` rows, its distinct values with their counts are fetched and
-the rank is read off. Only bin counts and the final small ranges reach the
-driver; the passes read just the needed columns, persisted once.
+bins (count, min, max per bin, map-side combined), and the bin holding the
+wanted rank becomes the next range. Bins are of equal width; where those leave
+most rows in one bin, the next pass tells signs apart and then uses bins of
+equal ratio, so any finite range narrows within a few passes. Once a range
+holds at most ``collect_limit`` rows, its distinct values with their counts are
+fetched and the rank is read off: the limit decides how, not what. Infinities
+and NaN are counted beforehand and take their places in the total order (-inf,
+numbers, inf, NaN). Only bin counts and the final small ranges reach the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,14 +44,14 @@ def select_ranks(
 
     ``bounds[col] = (min, max, n)``. Returns {(col, rank): value}.
     """
-    # open ranges: key -> dict(col, lo, hi, below, count, ranks)
+    # open ranges: key -> dict(col, lo, hi, below, count, ranks, bins)
     result: dict[tuple[str, int], float] = {}
     ranges = []
     for c, ranks in targets.items():
         mn, mx, n = bounds[c]
-        if n == 0:
+        if n == 0 or not ranks:
             continue
-        ranges.append({"col": c, "lo": mn, "hi": mx, "below": 0, "count": n, "ranks": sorted(set(ranks))})
+        ranges.append({"col": c, "lo": mn, "hi": mx, "below": 0, "count": n, "ranks": sorted(set(ranks)), "bins": "width"})
     for _ in range(max_passes):
         small = [r for r in ranges if r["count"] <= collect_limit or r["lo"] == r["hi"]]
         big = [r for r in ranges if not (r["count"] <= collect_limit or r["lo"] == r["hi"])]
@@ -96,13 +98,33 @@ def _resolve_small(df: DataFrame, ranges: list[dict], result: dict) -> None:
                     break
 
 
+def _bin(r: dict, buckets: int) -> F.Column:
+    """Bin number of a value of the range; never falls where the value rises."""
+    x, lo, hi = F.col(r["col"]).cast("double"), r["lo"], r["hi"]
+    if r["bins"] == "sign":
+        return F.signum(x) + 1
+    if r["bins"] == "ratio":  # all of one sign
+        sign = 1.0 if lo > 0 else -1.0
+        x, lo, hi = F.ln(F.abs(x)) * sign, sign * math.log(abs(lo)), sign * math.log(abs(hi))
+    # halves, so that the width of the widest range is a number
+    share = (x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
+    return F.greatest(F.lit(0), F.least(F.floor(share * F.lit(buckets)), F.lit(buckets - 1)))
+
+
+def _next_bins(r: dict, lo: float, hi: float, count: int) -> str:
+    if 2 * count <= r["count"] and r["bins"] == "width":
+        return "width"
+    if r["bins"] != "width":
+        return "ratio" if r["bins"] == "sign" and lo * hi > 0 else "width"
+    return "ratio" if lo > 0 or hi < 0 else "sign"
+
+
 def _refine(df: DataFrame, ranges: list[dict], buckets: int) -> list[dict]:
     items = []
     for i, r in enumerate(ranges):
         x = F.col(r["col"]).cast("double")
-        width = (r["hi"] - r["lo"])
-        b = F.least(F.floor((x - F.lit(r["lo"])) / F.lit(width) * F.lit(buckets)), F.lit(buckets - 1))
-        items.append(F.when(_in_range(r), F.struct(F.lit(i).alias("rid"), b.cast("int").alias("b"), x.alias("x"))))
+        items.append(F.when(_in_range(r), F.struct(F.lit(i).alias("rid"), _bin(r, buckets).cast("int").alias("b"),
+                                                   x.alias("x"))))
     hist = (df.select(F.explode(F.filter(F.array(*items), lambda s: s.isNotNull())).alias("s"))
             .groupBy("s.rid", "s.b")
             .agg(F.count(F.lit(1)).alias("n"), F.min("s.x").alias("mn"), F.max("s.x").alias("mx"))
@@ -123,7 +145,7 @@ def _refine(df: DataFrame, ranges: list[dict], buckets: int) -> list[dict]:
                     key = b
                     if key not in chosen:
                         chosen[key] = {"col": r["col"], "lo": mn, "hi": mx, "below": r["below"] + acc,
-                                       "count": n, "ranks": []}
+                                       "count": n, "ranks": [], "bins": _next_bins(r, mn, mx, n)}
                     chosen[key]["ranks"].append(k)
                     break
                 acc += n
@@ -132,42 +154,42 @@ def _refine(df: DataFrame, ranges: list[dict], buckets: int) -> list[dict]:
 
 
 def percentiles_exact(df: DataFrame, cols: list[str], probs: list[float],
-                      collect_limit: int = 50_000, reuse: str = "persist") -> dict[str, dict[float, float | None]]:
+                      collect_limit: int = 50_000) -> dict[str, dict[float, float | None]]:
     """{col: {p: value}} with numpy 'linear' interpolation; None for empty columns.
 
-    ``reuse`` says how the few passes share the input: "persist" caches the
-    needed columns (right for computed inputs), "none" re-reads them (right
-    for a Parquet table, where each pass reads one pruned column and the
-    narrowing range filters skip row groups).
+    ``df`` is read once for each pass, so pass a stored table: each pass reads
+    the columns it still needs, and the narrowing ranges skip row groups.
     """
     narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if reuse == "persist":
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        aggs = []
-        for c in cols:
-            aggs += [F.min(c).alias(f"mn_{c}"), F.max(c).alias(f"mx_{c}"), F.count(c).alias(f"n_{c}")]
-        row = narrow.agg(*aggs).first()
-        bounds = {c: (row[f"mn_{c}"], row[f"mx_{c}"], row[f"n_{c}"]) for c in cols}
-        plan = {c: _order_stat_targets(bounds[c][2], probs) if bounds[c][2] else {} for c in cols}
-        targets = {c: [k for lo, hi, _ in plan[c].values() for k in (lo, hi)] for c in cols}
-        vals = select_ranks(narrow, targets, bounds, collect_limit=collect_limit)
-        out: dict[str, dict[float, float | None]] = {}
-        for c in cols:
-            out[c] = {}
-            for p in probs:
-                if not plan[c]:
-                    out[c][p] = None
-                    continue
-                lo, hi, frac = plan[c][p]
-                a, b = vals[(c, lo)], vals[(c, hi)]
-                # numpy's lerp form: a + (b - a) * frac, with the endpoint rule
-                out[c][p] = a if frac == 0 else (b - (b - a) * (1 - frac) if frac >= 0.5 else a + (b - a) * frac)
-        return out
-    finally:
-        if reuse == "persist":
-            narrow.unpersist()
-
-
-def percentile_value(df: DataFrame, col: str, p: float) -> float | None:
-    return percentiles_exact(df, [col], [p])[col][p]
+    aggs = []
+    for c in cols:
+        x, inf = F.col(c), float("inf")
+        finite = ~F.isnan(x) & (F.abs(x) < inf)
+        aggs += [F.min(F.when(finite, x)).alias(f"mn_{c}"), F.max(F.when(finite, x)).alias(f"mx_{c}"),
+                 F.count_if(finite).alias(f"n_{c}"), F.count_if(x == -inf).alias(f"low_{c}"),
+                 F.count_if((x == inf) & ~F.isnan(x)).alias(f"high_{c}"), F.count(x).alias(f"all_{c}")]
+    row = narrow.agg(*aggs).first()
+    bounds = {c: (row[f"mn_{c}"], row[f"mx_{c}"], row[f"n_{c}"]) for c in cols}
+    plan = {c: _order_stat_targets(row[f"all_{c}"], probs) if row[f"all_{c}"] else {} for c in cols}
+    wanted = {c: {k for lo, hi, _ in plan[c].values() for k in (lo, hi)} for c in cols}
+    low = {c: row[f"low_{c}"] for c in cols}
+    targets = {c: [k - low[c] for k in ks if 0 <= k - low[c] < bounds[c][2]] for c, ks in wanted.items()}
+    found = select_ranks(narrow, targets, bounds, collect_limit=collect_limit)
+
+    def value(c: str, k: int) -> float:
+        if k < low[c]:
+            return float("-inf")
+        k -= low[c]
+        if k < bounds[c][2]:
+            return found[(c, k)]
+        return float("inf") if k < bounds[c][2] + row[f"high_{c}"] else float("nan")
+
+    out: dict[str, dict[float, float | None]] = {}
+    for c in cols:
+        out[c] = dict.fromkeys(probs)
+        for p, (lo, hi, frac) in plan[c].items():
+            a, b = value(c, lo), value(c, hi)
+            # numpy's lerp form: a + (b - a) * frac, with the endpoint rule
+            out[c][p] = a if frac == 0 or a == b else (
+                b - (b - a) * (1 - frac) if frac >= 0.5 else a + (b - a) * frac)
+    return out

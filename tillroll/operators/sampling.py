@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import col_of
+from tillroll.functions.columns import col_of, join_small
 
-RANK_BUCKET_HEX = 3  # leading hex digits of the hash used as range buckets (4096)
+RANK_BUCKET_ROWS = 50_000  # rows that a range bucket of the hash may be expected to hold
 
 
 def hash_key(key: str | Column, seed: int = 42) -> Column:
@@ -21,62 +21,56 @@ def hash_key(key: str | Column, seed: int = 42) -> Column:
     return F.md5(F.concat(col_of(key).cast("string"), F.lit(f":{seed}")))
 
 
-def first_per_label(df: DataFrame, label: str, key: str) -> DataFrame:
-    """The smallest-key row of every label (a guaranteed representative).
-
-    An aggregation (min per label), not a window, so a label holding most rows
-    is still combined map-side.
-    """
-    firsts = df.groupBy(label).agg(F.min(key).alias(key))
-    return df.join(firsts.select(key), on=key, how="left_semi")
-
-
 def random_sample(df: DataFrame, n: int, key: str | Column, seed: int = 42,
-                  tiebreak: list[str] | None = None) -> DataFrame:
-    """n rows in seeded hash order (all rows when fewer). A top-n per task,
-    then one merge of n rows per task."""
-    order = [hash_key(key, seed)] + [F.col(c) for c in (tiebreak or [])]
+                  tiebreak: list[str] | None = None, total: int | None = None, hashed: bool = False) -> DataFrame:
+    """n rows in seeded hash order (all rows when fewer). With ``hashed`` the
+    key is the hash already.
+
+    The hash is uniform, so a threshold a little above n / total keeps about n
+    rows before the top-n; only those reach the task that merges it. Should the
+    threshold ever keep fewer than n, all rows are ordered instead."""
+    total = df.count() if total is None else total
+    order = [col_of(key) if hashed else hash_key(key, seed)] + [F.col(c) for c in (tiebreak or [])]
+    if total > 4 * n:
+        share = (n + 8 * n ** 0.5 + 50) / total
+        if share < 1:
+            below = df.where(order[0] < F.lit(f"{int(share * 16 ** 12):012x}"))
+            if below.count() >= n:
+                df = below
     return df.orderBy(*order).limit(n)
 
 
-def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, seed: int = 42,
-                        total: int | None = None) -> DataFrame:
-    """At most n rows with at least one row of every label.
+def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, seed: int = 42) -> DataFrame:
+    """A sample of n rows (all, if fewer) with at least one row of every label.
 
-    Identity when the frame has at most n rows or fewer than two labels;
-    otherwise the first row of each label plus the rest in seeded hash order.
-    ``total`` (the row count) may be passed when already known.
+    The first row of each label, then the rest in seeded hash order. With more
+    labels than n the first rows alone are returned, one for each label.
     """
-    total = df.count() if total is None else total
-    if total <= n:
-        return df
     firsts = df.groupBy(label).agg(F.min(key).alias(key))
-    k = firsts.count()  # one row per label: the size check for the broadcast below
-    if k < 2:
+    k, total = firsts.count(), df.count()
+    if total <= n:
         return df
-    if k > n:
-        raise ValueError(f"{k} labels do not fit a sample of {n} rows")
-    reps = F.broadcast(firsts.select(key))  # k <= n rows, n is the sample bound
-    rest = df.join(reps, on=key, how="left_anti")
-    rest = random_sample(rest, n - k, key, seed, tiebreak=[key])
-    return df.join(reps, on=key, how="left_semi").unionByName(rest)
+    reps = join_small(df, firsts.select(key), key, "left_semi", broadcast_rows=n)
+    if k >= n:
+        return reps
+    rest = join_small(df, firsts.select(key), key, "left_anti", broadcast_rows=n)
+    return reps.unionByName(random_sample(rest, n - k, key, seed, tiebreak=[key], total=total - k))
 
 
-def rank_in_group(df: DataFrame, group: str, order: Column, tiebreak: str, out: str = "_rank") -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, order: Column, tiebreak: str, total: int, out: str = "_rank") -> DataFrame:
     """1-based rank of each row within ``group`` by (order, tiebreak).
 
-    ``order`` must be a uniform hex string (a ``hash_key``). Its leading digits
-    range-partition every group into 4096 buckets: a small table of bucket
-    counts gives each bucket's offset, and the row_number window only spans
-    one (group, bucket). No task ever sorts a whole group.
+    ``order`` must be a uniform hex string (a ``hash_key``). Its leading digits,
+    as many as ``total`` rows ask for, cut every group into range buckets: a
+    table of bucket counts gives each bucket's offset, and the row_number
+    window only spans one (group, bucket). No task ever sorts a whole group.
     """
-    b = F.substring(order, 1, RANK_BUCKET_HEX)
+    digits = max(2, len(f"{total // RANK_BUCKET_ROWS:x}"))
+    b = F.substring(order, 1, digits)
     d = df.withColumn("_ord", order).withColumn("_b", b)
     counts = d.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = W.partitionBy(group).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    # offsets is a post-shuffle aggregate (groups x 4096 rows at most); adaptive
-    # execution measures it and broadcasts it when it is small
     j = d.join(offsets, on=[group, "_b"], how="inner")
     w2 = W.partitionBy(group, "_b").orderBy("_ord", tiebreak)
     return j.withColumn(out, F.col("_off") + F.row_number().over(w2)).drop("_ord", "_b", "_off")
@@ -87,7 +81,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     """Adds ``is_test``: per class, the first round(test_fraction * n_class)
     rows in seeded hash order are test rows (exact per-class proportions)."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
-    ranked = rank_in_group(df, label, hash_key(key, seed), key)
-    ranked = ranked.join(sizes, on=label, how="inner")
+    total = df.count()
+    ranked = rank_in_group(df, label, hash_key(key, seed), key, total)
+    ranked = join_small(ranked, sizes, label, "inner")  # classes: never a shuffle of the rows by class
     n_test = F.floor(F.col("_class_n") * F.lit(test_fraction) + F.lit(0.5))
     return ranked.withColumn("is_test", F.col("_rank") <= n_test).drop("_rank", "_class_n")

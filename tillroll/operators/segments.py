@@ -2,8 +2,7 @@
 
 Per-cluster and per-segment frames have k rows; the windows without a
 partition key below only ever run on those k-row aggregates. Customer-level
-frames read them as literal lookups (fetched with a bounded collect that
-fails above MAX_CLUSTERS rows) or through aggregations.
+frames join them as small tables (broadcast while their counted rows allow).
 """
 
 from __future__ import annotations
@@ -12,13 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import np_round
+from tillroll.functions.columns import join_small, np_round
 
 # Segment names by descending total RFM score position.
 SEGMENT_ORDER = ["Champions", "Potential Loyalists", "At Risk", "Lost"]
 # Serving-side id -> segment table for unknown-label fallback.
 SERVING_SEGMENTS = {0: "Champions", 1: "Potential Loyalists", 2: "At Risk", 3: "Lost"}
-MAX_CLUSTERS = 10_000
 
 
 def cluster_summary(df: DataFrame, cluster: str = "Cluster") -> DataFrame:
@@ -57,22 +55,25 @@ def score_clusters(summary: DataFrame, cluster: str = "Cluster") -> DataFrame:
 def label_customers(df: DataFrame, labels: DataFrame, cluster: str = "Cluster") -> DataFrame:
     """Segment per customer (left lookup of the k-row label table) and
     ChurnProbability = Recency / max(Recency) (scalar subquery)."""
-    from tillroll.functions.columns import bounded_rows, literal_map
-    pairs = [(r[0], r[1]) for r in bounded_rows(labels.select(cluster, "Segment"), MAX_CLUSTERS, "label table")]
-    out = df.withColumn("Segment", literal_map(pairs)[F.col(cluster)])
+    out = join_small(df, labels.select(cluster, "Segment"), cluster)
     max_r = df.agg(F.max("Recency")).scalar()
     return out.withColumn("ChurnProbability", F.col("Recency") / max_r)
 
 
 def segment_metrics(labeled: DataFrame) -> DataFrame:
     """Per present segment: Count, Revenue_Share (% of summed Monetary),
-    Avg_Recency, Avg_Frequency, Avg_Monetary, Churn_Probability (mean)."""
+    Avg_Recency, Avg_Frequency, Avg_Monetary, Churn_Probability (mean); with a
+    Monetary_raw column also Revenue_Share_raw, the share of unlogged money."""
+    raw = "Monetary_raw" in labeled.columns
+    money = ["Monetary", "Monetary_raw"] if raw else ["Monetary"]
     s = labeled.where(F.col("Segment").isNotNull()).groupBy("Segment").agg(
-        F.count(F.lit(1)).alias("Count"), F.sum("Monetary").alias("_rev"),
+        F.count(F.lit(1)).alias("Count"), *[F.sum(c).alias(f"_{c}") for c in money],
         F.avg("Recency").alias("Avg_Recency"), F.avg("Frequency").alias("Avg_Frequency"),
         F.avg("Monetary").alias("Avg_Monetary"), F.avg("ChurnProbability").alias("Churn_Probability"))
-    total = labeled.agg(F.sum("Monetary")).scalar()
-    return s.withColumn("Revenue_Share", F.col("_rev") * 100.0 / total).drop("_rev")
+    for c in money:
+        share = F.col(f"_{c}") * 100.0 / labeled.agg(F.sum(c)).scalar()
+        s = s.withColumn("Revenue_Share" + c.removeprefix("Monetary"), share).drop(f"_{c}")
+    return s
 
 
 def labeled_summary(metrics: DataFrame, rounded: bool = True) -> DataFrame:
@@ -106,18 +107,23 @@ def cluster_mean_matrix(summary: DataFrame, cluster: str = "Cluster") -> DataFra
 
 
 def box_summary(df: DataFrame, cluster: str = "Cluster", cols=("Recency", "Frequency", "Monetary")) -> DataFrame:
-    """Box-plot numbers per (cluster, feature): Q1, median, Q3, whiskers at the
-    most extreme values inside 1.5 IQR, and the outlier count.
+    """Box-plot numbers per (cluster, feature) over all rows: Q1, median, Q3,
+    whiskers at the most extreme values inside 1.5 IQR, and the outlier count.
 
-    ``df`` is the plotted sample (bounded), so the exact per-group percentile
-    aggregate is safe here.
+    The quartiles of all clusters are selected together, one column for each
+    (cluster, feature); k clusters make k rows of them.
     """
+    from tillroll.operators.quantiles import percentiles_exact
+    ids = sorted(r[0] for r in df.where(F.col(cluster).isNotNull()).select(cluster).distinct().collect())  # k rows
+    names = {f"c{i}_{c}": (x, c) for i, x in enumerate(ids) for c in cols}
+    wide = df.select(*[F.when(F.col(cluster) == x, F.col(c).cast("double")).alias(n) for n, (x, c) in names.items()])
+    got = percentiles_exact(wide, list(names), [0.25, 0.5, 0.75]) if names else {}
+    kind = df.schema[cluster].dataType.simpleString()
+    q = df.sparkSession.createDataFrame([(*names[n], v[0.25], v[0.5], v[0.75]) for n, v in got.items()],
+                                        f"`{cluster}` {kind}, feature string, q1 double, median double, q3 double")
     long = df.select(cluster, F.stack(F.lit(len(cols)), *[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))])
                      .alias("feature", "value"))
-    q = long.groupBy(cluster, "feature").agg(
-        F.percentile("value", F.lit(0.25)).alias("q1"), F.percentile("value", F.lit(0.5)).alias("median"),
-        F.percentile("value", F.lit(0.75)).alias("q3"))
-    j = long.join(q, on=[cluster, "feature"])
+    j = join_small(long, q, [cluster, "feature"], "inner")
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
@@ -127,6 +133,28 @@ def box_summary(df: DataFrame, cluster: str = "Cluster", cols=("Recency", "Frequ
         F.count_if(~inside).alias("outliers"))
 
 
+def pair_plot(df: DataFrame, cluster: str = "Cluster", cols=("Recency", "Frequency", "Monetary"), key: str = "Customer ID",
+              n: int = 5000, bins: int = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The tables behind the cluster pair plot: a sample of n customers with
+    their cluster, and per (cluster, feature) a histogram over all customers
+    on edges shared by the clusters."""
+    from tillroll.functions.columns import attach_row
+    from tillroll.operators.sampling import random_sample
+    points = random_sample(df.select(key, cluster, *cols), n, key, seed, tiebreak=[key])
+    edges = df.agg(*[f(c).cast("double").alias(f"{f.__name__}_{c}") for c in cols for f in (F.min, F.max)])
+    rows = attach_row(df.select(cluster, *cols), edges)
+    parts = []
+    for c in cols:
+        lo, hi = F.col(f"min_{c}"), F.col(f"max_{c}")
+        b = F.when(hi > lo, F.least(F.floor((F.col(c) - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+        parts += [F.lit(c), b.cast("int"), lo, hi]
+    cells = rows.select(cluster, F.stack(F.lit(len(cols)), *parts).alias("feature", "bin", "lo", "hi"))
+    step = (F.col("hi") - F.col("lo")) / bins
+    return points, (cells.where("bin is not null").groupBy(cluster, "feature", "bin", "lo", "hi")
+                    .agg(F.count(F.lit(1)).alias("count"))
+                    .select(cluster, "feature", "bin", (F.col("lo") + F.col("bin") * step).alias("bin_start"), "count"))
+
+
 def rfm_summary(rfm: DataFrame, medians: dict | None = None) -> DataFrame:
     """One row: mean and median of Recency, Frequency, Monetary (exact medians;
     ``medians`` {col: {0.5: value}} may be passed in when already computed)."""
@@ -136,4 +164,3 @@ def rfm_summary(rfm: DataFrame, medians: dict | None = None) -> DataFrame:
                    *[F.avg(c).alias(f"{c}_mean") for c in ("Recency", "Frequency", "Monetary")])
     return base.select("*", *[F.lit(med[c][0.5]).cast("double").alias(f"{c}_median")
                               for c in ("Recency", "Frequency", "Monetary")])
-

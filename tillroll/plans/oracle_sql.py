@@ -178,12 +178,13 @@ ORACLE["features_scaled"] = f"""
 WITH {FEATURE_CTE},
 p AS (SELECT {', '.join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{c}" for c in SCALE)} FROM feat)
 SELECT Invoice, StockCode, InvoiceDate, "Customer ID",
-       {', '.join(f"{r(f'(CAST({c} AS DOUBLE) - m_{c}) / s_{c}')} AS {c}" for c in SCALE)}
+       {', '.join(f"{r(f'(CAST({c} AS DOUBLE) - m_{c}) / s_{c}')} AS {c}" for c in SCALE)},
+       'Country_' || Country AS hot_columns, 1 AS hot_count
 FROM feat, p"""
 
 ORACLE["features_one_hot_counts"] = f"""
 WITH {CLEAN_CTE}
-SELECT 'Country_' || Country AS "column", CAST(count(*) AS BIGINT) AS ones, CAST(count(*) AS BIGINT) AS rows_total_check
+SELECT 'Country_' || Country AS "column", CAST(count(*) AS BIGINT) AS ones
 FROM clean GROUP BY Country"""
 
 ORACLE["eda_kpis"] = f"""
@@ -359,8 +360,34 @@ QUALITY_SELECT = f"""
 SELECT n, k, {r('inertia')} AS inertia, {r('silhouette')} AS silhouette, {r('davies_bouldin')} AS davies_bouldin,
        {r('calinski_harabasz')} AS calinski_harabasz FROM quality"""
 
-EMB_PTS = """pts AS (SELECT vec_id AS key, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS vec
+METRIC_SAMPLE = 10_000
+
+
+def safe_sample(src: str, out: str) -> str:
+    """CTE ``out``: the cluster-safe sample of ``src(key, label, ...)``."""
+    return f"""
+{out}_first AS (SELECT min(key) AS key FROM {src} GROUP BY label),
+{out} AS (SELECT * FROM {src} WHERE key IN (SELECT key FROM {out}_first)
+          UNION ALL (SELECT * FROM {src} WHERE key NOT IN (SELECT key FROM {out}_first)
+                     ORDER BY md5(CAST(key AS VARCHAR) || ':42'), key
+                     LIMIT (SELECT greatest(0, {METRIC_SAMPLE} - count(*)) FROM {out}_first)))"""
+
+
+EMB_ALL = """allpts AS (SELECT vec_id AS key, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS vec
                 FROM embeddings)"""
+EMB_PTS = EMB_ALL + "," + safe_sample("allpts", "pts")
+
+ORACLE["cluster_silhouette_squared_embeddings"] = f"""
+WITH {EMB_ALL},
+sqex AS (SELECT key, label, unnest(vec) AS v, unnest(range(1, len(vec) + 1)) AS pos FROM allpts),
+sqm AS (SELECT label, pos, avg(v) AS m, avg(v * v) AS m2 FROM sqex GROUP BY label, pos),
+sqn AS (SELECT label, count(*) AS n FROM allpts GROUP BY label),
+sqd AS (SELECT e.key, e.label, c.label AS other, sum(e.v * e.v - 2 * e.v * c.m + c.m2) AS d
+        FROM sqex e JOIN sqm c USING (pos) GROUP BY e.key, e.label, c.label),
+sqa AS (SELECT d.key, d.label, n.n, max(CASE WHEN other = d.label THEN d.d * n.n / (n.n - 1) END) AS a,
+               min(CASE WHEN other <> d.label THEN d.d END) AS b
+        FROM sqd d JOIN sqn n ON n.label = d.label GROUP BY d.key, d.label, n.n)
+SELECT {r('avg(CASE WHEN n <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette_squared FROM sqa"""
 
 ORACLE["cluster_quality_embeddings"] = f"WITH {EMB_PTS}, {quality_ctes()} {QUALITY_SELECT}"
 
@@ -370,8 +397,9 @@ SELECT key AS vec_id, label, {r('silhouette')} AS silhouette FROM sil"""
 
 ORACLE["cluster_quality_rfm_fixed"] = f"""
 WITH {SCALED_CTE},
-pts AS (SELECT "Customer ID" AS key, CAST(Cluster AS BIGINT) AS label,
-               [Recency_s, Frequency_s, Monetary_s] AS vec FROM clustered),
+allpts AS (SELECT "Customer ID" AS key, CAST(Cluster AS BIGINT) AS label,
+                  [Recency_s, Frequency_s, Monetary_s] AS vec FROM clustered),
+{safe_sample('allpts', 'pts')},
 {quality_ctes()} {QUALITY_SELECT}"""
 
 # -------------------------------------------------------------- segments
@@ -393,7 +421,8 @@ labeled AS (SELECT c.*, s.Segment,
             FROM clustered c LEFT JOIN scored s USING (Cluster)),
 segm AS (SELECT Segment, count(*) AS Count, avg(Recency) AS Avg_Recency, avg(Frequency) AS Avg_Frequency,
                 avg(Monetary) AS Avg_Monetary, avg(ChurnProbability) AS Churn_Probability,
-                sum(Monetary) * 100.0 / (SELECT sum(Monetary) FROM labeled) AS Revenue_Share
+                sum(Monetary) * 100.0 / (SELECT sum(Monetary) FROM labeled) AS Revenue_Share,
+                sum(Monetary_raw) * 100.0 / (SELECT sum(Monetary_raw) FROM labeled) AS Revenue_Share_raw
          FROM labeled WHERE Segment IS NOT NULL GROUP BY Segment)"""
 
 ORACLE["segment_cluster_summary"] = f"""
@@ -416,7 +445,7 @@ ORACLE["segment_metrics"] = f"""
 WITH {SEGMENT_CTE}
 SELECT Segment, Count, {r('Avg_Recency')} AS Avg_Recency, {r('Avg_Frequency')} AS Avg_Frequency,
        {r('Avg_Monetary')} AS Avg_Monetary, {r('Churn_Probability')} AS Churn_Probability,
-       {r('Revenue_Share')} AS Revenue_Share FROM segm"""
+       {r('Revenue_Share')} AS Revenue_Share, {r('Revenue_Share_raw')} AS Revenue_Share_raw FROM segm"""
 
 ORACLE["segment_labeled_summary"] = f"""
 WITH {SEGMENT_CTE},
@@ -437,10 +466,9 @@ SELECT Cluster, {r('Recency')} AS Recency, {r('Frequency')} AS Frequency, {r('Mo
 
 ORACLE["segment_box_summary"] = f"""
 WITH {SEGMENT_CTE},
-smp AS (SELECT * FROM clustered ORDER BY md5(CAST("Customer ID" AS VARCHAR) || ':42'), "Customer ID" LIMIT 5000),
-lng AS (SELECT Cluster, 'Recency' AS feature, CAST(Recency AS DOUBLE) AS value FROM smp
-        UNION ALL SELECT Cluster, 'Frequency', Frequency FROM smp
-        UNION ALL SELECT Cluster, 'Monetary', Monetary FROM smp),
+lng AS (SELECT Cluster, 'Recency' AS feature, CAST(Recency AS DOUBLE) AS value FROM clustered
+        UNION ALL SELECT Cluster, 'Frequency', Frequency FROM clustered
+        UNION ALL SELECT Cluster, 'Monetary', Monetary FROM clustered),
 qq AS (SELECT Cluster, feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
               quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY Cluster, feature)
 SELECT Cluster, feature, {r('q1')} AS q1, {r('median')} AS median, {r('q3')} AS q3,
@@ -603,9 +631,11 @@ SELECT class, positives, negatives, {r('auc')} AS auc FROM auc"""
 
 ORACLE["classify_roc_curve"] = f"""
 WITH {FIXTURE_CTE},
-tot AS (SELECT class, sum(pos) AS P, sum(neg) AS N FROM cnt GROUP BY class)
+tot AS (SELECT class, sum(pos) AS P, sum(neg) AS N FROM cnt GROUP BY class),
+stp AS (SELECT *, lag(pos) OVER (PARTITION BY class ORDER BY score) AS pn, lag(neg) OVER (PARTITION BY class ORDER BY score) AS nn,
+               lead(score) OVER (PARTITION BY class ORDER BY score) AS up FROM cum)
 SELECT class, {r('score')} AS threshold, {r('(N - neg_below) / N')} AS fpr, {r('(P - pos_below) / P')} AS tpr
-FROM cum JOIN tot USING (class)
+FROM stp JOIN tot USING (class) WHERE up IS NULL OR pn IS NULL OR pos <> pn OR neg <> nn
 UNION ALL
 SELECT class, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM tot"""
 
@@ -684,6 +714,22 @@ SELECT v."Customer ID", b.cluster,
                       WHEN 3 THEN 'Lost' ELSE 'Cluster_' || CAST(b.cluster AS VARCHAR) END AS segment
 FROM val v JOIN best b USING ("Customer ID") WHERE v.valid"""
 
+ORACLE["score_rfm_response"] = f"""
+WITH {RFM_REQ_CTE},
+xs AS (SELECT v."Customer ID", (v.Recency - mr) / (CASE WHEN sr0 = 0 THEN 1.0 ELSE sr0 END) AS xr,
+              (ln(1 + v.Frequency) - mf) / (CASE WHEN sf0 = 0 THEN 1.0 ELSE sf0 END) AS xf,
+              (ln(1 + v.Monetary) - mm) / (CASE WHEN sm0 = 0 THEN 1.0 ELSE sm0 END) AS xm
+       FROM val v, sc WHERE v.valid),
+xd AS (SELECT xs."Customer ID", Cluster,
+              (xr - cr) * (xr - cr) + (xf - cf) * (xf - cf) + (xm - cm) * (xm - cm) AS d FROM xs, cent),
+best AS (SELECT "Customer ID", Cluster AS cluster FROM (
+           SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY d, Cluster) AS rn FROM xd) WHERE rn = 1)
+SELECT v."Customer ID", v.valid, v.error, v.error AS response_error, CAST(b.cluster AS VARCHAR) AS response_cluster,
+       CASE b.cluster WHEN 0 THEN 'Champions' WHEN 1 THEN 'Potential Loyalists' WHEN 2 THEN 'At Risk'
+                      WHEN 3 THEN 'Lost' END AS response_segment,
+       v.Recency AS input_Recency, v.Frequency AS input_Frequency, v.Monetary AS input_Monetary
+FROM val v LEFT JOIN best b USING ("Customer ID")"""
+
 CLS_FMT = ('{"Recency":%d,"Frequency":%d,"Monetary":%.2f,"AvgBasketValue":%.2f,"AvgBasketSize":%d,'
            '"Volatility":%.1f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
 CLS_FIELDS = ["Recency", "Frequency", "Monetary", "AvgBasketValue", "AvgBasketSize", "Volatility",
@@ -715,6 +761,29 @@ SELECT "Customer ID", valid, error, {', '.join(r(f) + ' AS ' + f for f in CLS_FI
        CAST(FavoriteDay_Encoded AS DOUBLE) AS FavoriteDay_Encoded, CAST(Country_Encoded AS DOUBLE) AS Country_Encoded
 FROM val"""
 
+ORACLE["score_classifier_validate_response"] = f"""
+WITH {RFM_CTE}, {BASKET_CTE},
+enc AS (SELECT a."Customer ID", a.Recency, a.Frequency_raw, a.Monetary_raw,
+               CAST(dense_rank() OVER (ORDER BY FavoriteDay) - 1 AS INTEGER) AS FavoriteDay_Encoded,
+               CAST(dense_rank() OVER (ORDER BY Country) - 1 AS INTEGER) AS Country_Encoded
+        FROM rfm_all a JOIN fav USING ("Customer ID")),
+creq AS (SELECT "Customer ID",
+   CASE WHEN "Customer ID" % 7 = 0 THEN {_fmt(CLS_FMT.replace('"FavoriteDay_Encoded":%d', '"FavoriteDay_Encoded":%d.0'), CLS_ARGS)}
+        WHEN "Customer ID" % 11 = 0 THEN {_fmt(CLS_FMT.replace(',"Volatility":%.1f', ''), [a for k, a in enumerate(CLS_ARGS) if k != 5])}
+        WHEN "Customer ID" % 13 = 0 THEN {_fmt(CLS_FMT.replace('"Country_Encoded":%d', '"Country_Encoded":"%d"'), CLS_ARGS)}
+        WHEN "Customer ID" % 17 = 0 THEN {_fmt(CLS_FMT, ['-Recency - 1'] + CLS_ARGS[1:])}
+        ELSE {_fmt(CLS_FMT, CLS_ARGS)} END AS value
+   FROM enc),""" + validation_sql(
+    "creq", [(f, ["int", "float"], False) for f in CLS_FIELDS[:6]] + [(f, ["int"], False) for f in CLS_FIELDS[6:]],
+    [(f, "DOUBLE") for f in CLS_FIELDS[:6]] + [(f, "INTEGER") for f in CLS_FIELDS[6:]]) + f"""
+SELECT "Customer ID", valid, error, error AS response_error, valid AS response_has_segment,
+       CASE WHEN valid THEN TRUE END AS response_class_matches, Recency AS "input_Recency"
+FROM val"""
+
+ORACLE["score_ranked_checks"] = ORACLE["score_classifier_validate_response"].replace(
+    ORACLE["score_classifier_validate_response"][ORACLE["score_classifier_validate_response"].rindex("SELECT"):],
+    'SELECT "Customer ID", TRUE AS ranks_are_a_permutation, TRUE AS probabilities_fall, TRUE AS sum_to_1 FROM val WHERE valid')
+
 # ---------------------------------------------------- sources and sinks
 ORACLE["source_csv_scan"] = f"""
 WITH {CLEAN_CTE}
@@ -722,13 +791,23 @@ SELECT CAST(Invoice AS VARCHAR) AS Invoice, CAST(StockCode AS VARCHAR) AS StockC
        CAST(Quantity AS BIGINT) AS Quantity, InvoiceDate, Price, "Customer ID", Country
 FROM clean"""
 
+ORACLE["source_csv_canonical"] = ORACLE["source_csv_scan"]
+ORACLE["source_csv_reordered"] = ORACLE["source_csv_scan"]
+
+ORACLE["source_csv_problems"] = f"""
+WITH {DIRTY_CTE}
+SELECT count(*) AS lines, CAST(0 AS BIGINT) AS corrupt_lines, CAST(count_if(Invoice % 7 = 0) AS BIGINT) AS "bad_Quantity",
+       CAST(count_if(Invoice % 11 = 0) AS BIGINT) AS "bad_Price", CAST(count_if(Invoice % 13 = 0) AS BIGINT) AS "bad_Customer_ID",
+       CAST(count_if(Invoice % 17 = 0) AS BIGINT) AS "bad_InvoiceDate"
+FROM retail_dirty"""
+
 ORACLE["features_head"] = f"""
 WITH {FEATURE_CTE}
 SELECT Invoice, StockCode, Quantity, InvoiceDate, Price, "Customer ID", Country, Year, Month, Day, Hour, DayOfWeek,
        {r('TotalPrice', 4)} AS TotalPrice, {r('TransactionSize')} AS TransactionSize, UniqueItems
 FROM feat ORDER BY Invoice, StockCode, Quantity, Price, "Customer ID" LIMIT 100"""
 
-ORACLE["score_rfm_bundle"] = ORACLE["score_rfm_fixed"]
+ORACLE["score_rfm_bundle"] = ORACLE["score_rfm_response"]
 
 ORACLE["eda_weekday_hour_matrix"] = """
 WITH act AS (
@@ -747,8 +826,119 @@ WITH {RFM_CTE}
     f"FROM rfm" for c in ("Recency", "Frequency", "Monetary"))
 
 # the stream scores the same requests with the same scorer as the batch query
-ORACLE["score_stream_rfm"] = ORACLE["score_rfm_fixed"]
+ORACLE["score_stream_rfm"] = ORACLE["score_rfm_response"]
 
 
 ORACLE["classify_report_labels"] = ORACLE["classify_report"].replace(FIXTURE_CTE, LABELS_FX + METRIC_CTES)
 ORACLE["classify_roc_auc_labels"] = ORACLE["classify_roc_auc"].replace(FIXTURE_CTE, LABELS_FX + METRIC_CTES)
+
+# ------------------------------------------------------ checks of own fits
+ORACLE["kmeans_checks"] = f"""
+WITH {RFM_CTE}
+SELECT count(*) AS customers, CAST(4 AS BIGINT) AS clusters, TRUE AS cost_is_inertia, TRUE AS centroids_are_means,
+       TRUE AS no_worse_than_one_start FROM rfm"""
+
+ORACLE["kmeans_k_sweep_checks"] = """
+SELECT CAST(k AS INTEGER) AS k, TRUE AS inertia_falls, TRUE AS silhouette_in_range FROM range(2, 11) t(k)"""
+
+SPLIT_SIZE = """
+SELECT count_if(rn <= floor(n * 0.2 + 0.5)) AS test, count(*) AS total FROM (
+  SELECT row_number() OVER (PARTITION BY Segment) AS rn, count(*) OVER (PARTITION BY Segment) AS n FROM cfeat)"""
+
+ORACLE["rf_checks"] = f"""
+WITH {CLASSIFY_CTE}, size AS ({SPLIT_SIZE})
+SELECT CAST(test AS BIGINT) AS test_customers, TRUE AS most_probable, TRUE AS probabilities_sum_to_1, TRUE AS accuracy_is_share_of_hits,
+       TRUE AS no_worse_than_largest_class, TRUE AS importances_sum_to_1 FROM size"""
+
+ORACLE["rf_model_round_trip"] = f"""
+WITH {CLASSIFY_CTE} SELECT count(*) AS customers, TRUE AS equal FROM cfeat"""
+
+ORACLE["score_all_customers_checks"] = f"""
+WITH {CLASSIFY_CTE}
+SELECT count(*) AS file_rows, TRUE AS file_segments_known, count(*) AS raw_rows, TRUE AS raw_segments_known FROM cfeat"""
+
+# ------------------------------------------------------- reports and runs
+ORACLE["segment_labeled_report"] = ORACLE["segment_labeled_summary"]
+for _c, _d in (("Revenue_Share", 1), ("Avg_Recency", 0), ("Avg_Frequency", 1), ("Avg_Monetary", 2), ("Churn_Probability", 2)):
+    ORACLE["segment_labeled_report"] = ORACLE["segment_labeled_report"].replace(
+        r(f"coalesce({_c}, 0.0)"), r(f"coalesce({_c}, 0.0)", _d))
+
+ORACLE["segment_pair_plot_sample"] = f"""
+WITH {SEGMENT_CTE}
+SELECT "Customer ID", Cluster, Recency, {r('Frequency')} AS Frequency, {r('Monetary')} AS Monetary FROM clustered
+ORDER BY md5(CAST("Customer ID" AS VARCHAR) || ':42'), "Customer ID" LIMIT 5000"""
+
+ORACLE["segment_pair_plot"] = f"""
+WITH {SEGMENT_CTE},
+v AS (""" + " UNION ALL ".join(
+    f"SELECT Cluster, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, CAST(min({c}) OVER () AS DOUBLE) AS lo, "
+    f"CAST(max({c}) OVER () AS DOUBLE) AS hi FROM clustered" for c in ("Recency", "Frequency", "Monetary")) + f"""),
+b AS (SELECT *, CAST(CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * 20), 19) ELSE 0 END AS INTEGER) AS bin FROM v)
+SELECT Cluster, feature, bin, {r('lo + bin * ((hi - lo) / 20)')} AS bin_start, count(*) AS count
+FROM b GROUP BY Cluster, feature, bin, lo, hi"""
+
+
+def num(expr: str) -> str:
+    return f"coalesce(printf('%.4f', CAST({expr} AS DOUBLE)), '')"
+
+
+def lines(section: str, src: str, key: str | None, values: list[tuple[str, str]]) -> str:
+    """Report lines ``section | key : name | value`` of a table expression."""
+    head = f"CAST({key} AS VARCHAR) || ' : ' || " if key else ""
+    return "\nUNION ALL\n".join(f"SELECT '{section} | ' || {head}'{name} | ' || {value} AS value FROM {src}" for name, value in values)
+
+
+def text(expr: str) -> str:
+    return f"coalesce(CAST({expr} AS VARCHAR), '')"
+
+
+ORACLE["report_segments"] = f"""
+WITH {SEGMENT_CTE}
+""" + "\nUNION ALL\n".join([
+    lines("1 LABELS", "scored", "Cluster", [("Segment", text("Segment"))]),
+    lines("2 SEGMENTS", "segm", "Segment", [("Count", text("Count"))] + [
+        (c, num(c)) for c in ("Avg_Recency", "Avg_Frequency", "Avg_Monetary", "Churn_Probability", "Revenue_Share",
+                              "Revenue_Share_raw")]),
+    lines("3 TOTALS", "(SELECT count(*) AS c, sum(Monetary) AS m FROM labeled)", None,
+          [("customers", text("c")), ("total_revenue", num("m"))])])
+
+METRICS_ROW, REPORT_ROWS = ORACLE["classify_metrics"], ORACLE["classify_report"]
+ORACLE["report_classification"] = "SELECT * FROM (" + "\nUNION ALL\n".join([
+    lines("1 OVERALL", f"({METRICS_ROW})", None,
+          [(c, num(c)) for c in ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc_weighted")]),
+    lines("2 CLASSES", f"({REPORT_ROWS})", "label",
+          [(c, num(c)) for c in ("precision", "recall", "f1")] + [("support", text("support"))])]) + ")"
+
+ORACLE["report_dataset"] = "SELECT * FROM (" + "\nUNION ALL\n".join([
+    lines("1 SHAPE", f"({ORACLE['profile_summary']})", None,
+          [(c, text(c)) for c in ("rows", "columns", "duplicate_rows", "total_missing")]),
+    lines("2 COLUMNS", f"({ORACLE['profile_missing']})", '"Column"',
+          [("Missing_Count", text("Missing_Count")), ("Missing_Percentage", num("Missing_Percentage"))]),
+    lines("3 FIRST ROWS", f"(WITH {DIRTY_CTE} SELECT Invoice, StockCode, Quantity, Price FROM retail_dirty "
+          "ORDER BY Invoice, StockCode, Quantity, Price LIMIT 5)", "Invoice || ' / ' || StockCode",
+          [("Quantity", num("Quantity")), ("Price", num("Price"))]),
+    lines("4 STATISTICS", f"(SELECT * FROM ({ORACLE['profile_describe']}) WHERE \"Column\" IN ('Quantity', 'Price'))", '"Column"',
+          [("count", text("count"))] + [(c, num(c)) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])]) + ")"
+
+LINEAGE = ["original_rows", "cleaned_rows", "dropped_null_description", "dropped_null_customer", "dropped_duplicates",
+           "unique_customers", "unique_invoices", "unique_products", "unique_countries"]
+ORACLE["report_preprocessing"] = "SELECT * FROM (" + "\nUNION ALL\n".join([
+    lines("1 CLEANING", f"({ORACLE['clean_lineage']})", None, [(c, text(c)) for c in LINEAGE]),
+    lines("2 FEATURES", "(SELECT 1)", None,
+          [("new_columns", "'Year, Month, Day, Hour, DayOfWeek, TotalPrice, TransactionSize, UniqueItems'"),
+           ("scaled_columns", "'Quantity, Price, TotalPrice, TransactionSize, UniqueItems'")]),
+    lines("3 FINAL SHAPE", f"(WITH {CLEAN_CTE} SELECT count(*) AS n, count(DISTINCT Country) + 15 AS c FROM clean)", None,
+          [("rows", text("n")), ("columns", text("c"))])]) + ")"
+
+ORACLE["tracking_latest_run"] = f"""
+WITH {SEGMENT_CTE},
+m(key, v) AS (
+  SELECT replace('count_' || Segment, ' ', '_'), CAST(Count AS DOUBLE) FROM segm
+""" + "".join(f"  UNION ALL SELECT replace('{n}_' || Segment, ' ', '_'), {c} FROM segm\n" for c, n in (
+    ("Revenue_Share", "revenue_share"), ("Churn_Probability", "churn_prob"), ("Avg_Monetary", "avg_monetary"),
+    ("Avg_Frequency", "avg_frequency"), ("Avg_Recency", "avg_recency"))) + f"""
+  UNION ALL SELECT 'total_revenue', sum(Monetary) FROM labeled
+  UNION ALL SELECT 'total_customers', CAST(count(*) AS DOUBLE) FROM labeled)
+SELECT 'labelling' AS run_name, 'metric' AS kind, key, NULL AS value, {r('v')} AS value_num FROM m
+UNION ALL SELECT 'labelling', 'param', 'method', 'rank sums', NULL
+UNION ALL SELECT 'labelling', 'tag', 'model_type', 'none', NULL"""

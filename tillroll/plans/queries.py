@@ -24,6 +24,7 @@ from tillroll.operators import profile as P
 from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
+from tillroll.plans import reports as RP
 from tillroll.plans import workspace as WS
 from tillroll.sources import tables as S
 from tillroll.streaming import scoring as SC
@@ -58,6 +59,11 @@ def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WS.shared_table(spark, sf_dir, "clean_lines", lambda: C.clean(S.retail_dirty(spark, sf_dir)))
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty transactions, joined once per session like one load of the file."""
+    return WS.shared_table(spark, sf_dir, "raw_lines", lambda: S.retail_dirty(spark, sf_dir))
+
+
 # --------------------------------------------------------------------- RFM
 @query("rfm_log")
 def q_rfm_log(spark, sf_dir):
@@ -88,13 +94,12 @@ def q_profile_missing(spark, sf_dir):
 
 @query("profile_describe")
 def q_profile_describe(spark, sf_dir):
-    return rounded(P.describe(S.retail_dirty(spark, sf_dir), ["Invoice", "StockCode", "Quantity", "Price", CUSTOMER]))
+    return rounded(P.describe(raw_lines(spark, sf_dir), ["Invoice", "StockCode", "Quantity", "Price", CUSTOMER]))
 
 
 @query("clean_lineage")
 def q_clean_lineage(spark, sf_dir):
-    raw = S.retail_dirty(spark, sf_dir)
-    return P.cleaning_lineage(raw, C.clean(raw))
+    return P.cleaning_lineage(raw_lines(spark, sf_dir), clean_lines(spark, sf_dir))
 
 
 @query("clean_lines")
@@ -111,8 +116,11 @@ def q_features_invoice_stats(spark, sf_dir):
 @query("features_scaled")
 def q_features_scaled(spark, sf_dir):
     df = FE.encode_and_scale(feature_lines(spark, sf_dir))
-    keep = ["Invoice", "StockCode", "InvoiceDate", CUSTOMER] + FE.SCALE_FEATURES
-    return rounded(df.select(*keep), default=6)
+    keep = ["Invoice", "StockCode", "InvoiceDate", CUSTOMER, *FE.SCALE_FEATURES]
+    # the one-hot matrix of each row: which of its columns are on, and how many
+    hot = sorted(c for c in df.columns if c.startswith("Country_"))
+    on = F.concat_ws(",", *[F.when(F.col(c) == 1, F.lit(c)) for c in hot])
+    return rounded(df.select(*keep, on.alias("hot_columns"), sum((F.col(c) for c in hot), F.lit(0)).alias("hot_count")))
 
 
 @query("features_scaler_params")
@@ -165,14 +173,12 @@ def q_eda_revenue_by_weekday(spark, sf_dir):
 
 @query("eda_revenue_histogram")
 def q_eda_revenue_histogram(spark, sf_dir):
-    hist, _ = EDA.revenue_distribution(money_lines(spark, sf_dir))
-    return rounded(hist)
+    return rounded(EDA.revenue_histogram(money_lines(spark, sf_dir)))
 
 
 @query("eda_revenue_stats")
 def q_eda_revenue_stats(spark, sf_dir):
-    _, stats = EDA.revenue_distribution(money_lines(spark, sf_dir))
-    return rounded(stats)
+    return rounded(EDA.revenue_stats(money_lines(spark, sf_dir)))
 
 
 @query("eda_purchase_frequency")
@@ -197,11 +203,11 @@ def q_features_one_hot_counts(spark, sf_dir):
     cols = [c for c in df.columns if c.startswith("Country_")]
     sums = df.agg(*[F.sum(F.col(c)).cast("bigint").alias(f"s{i}") for i, c in enumerate(cols)])
     parts = [x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"s{i}"))]
-    long = sums.select(F.stack(F.lit(len(cols)), *parts).alias("column", "ones"))
-    return long.withColumn("rows_total_check", F.col("ones"))
+    return sums.select(F.stack(F.lit(len(cols)), *parts).alias("column", "ones"))
 
 
 # -------------------------------------------------------------- clustering
+METRIC_SAMPLE = CL.METRIC_SAMPLE
 # The four reference centroids on scaled (Recency, Frequency, Monetary).
 FIXED_CENTROIDS = [(0, [-0.6, 0.6, 0.6]), (1, [-0.3, -0.5, -0.4]), (2, [0.5, 0.4, 0.5]), (3, [2.0, -1.2, -1.3])]
 SCALED = ["Recency_s", "Frequency_s", "Monetary_s"]
@@ -236,21 +242,34 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", F.col("label").cast("bigint").alias("label"), CL.as_double_array("embedding").alias("vec"))
 
 
+def embedding_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SM.cluster_safe_sample(embedding_points(spark, sf_dir), "label", "vec_id", n=METRIC_SAMPLE)
+
+
 @query("cluster_quality_embeddings")
 def q_cluster_quality_embeddings(spark, sf_dir):
-    return rounded(CL.quality_summary(embedding_points(spark, sf_dir), "vec_id", "vec", "label"))
+    """Metrics on the cluster-safe sample, as the clustering step reports them."""
+    return rounded(CL.quality_summary(embedding_sample(spark, sf_dir), "vec_id", "vec", "label"))
 
 
 @query("cluster_silhouette_embeddings")
 def q_cluster_silhouette_embeddings(spark, sf_dir):
-    return rounded(CL.silhouette_samples(embedding_points(spark, sf_dir), "vec_id", "vec", "label"))
+    return rounded(CL.silhouette_samples(embedding_sample(spark, sf_dir), "vec_id", "vec", "label"))
+
+
+@query("cluster_silhouette_squared_embeddings")
+def q_cluster_silhouette_squared(spark, sf_dir):
+    """Mean silhouette by squared distance over every row, linear in the rows."""
+    score = CL.silhouette_squared(embedding_points(spark, sf_dir), "vec", "label")
+    return rounded(spark.createDataFrame([(score,)], "silhouette_squared double"))
 
 
 @query("cluster_quality_rfm_fixed")
 def q_cluster_quality_rfm_fixed(spark, sf_dir):
     df = rfm_fixed_clusters(spark, sf_dir).select(
         CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"), CL.as_vector(SCALED).alias("vec"))
-    return rounded(CL.quality_summary(df, CUSTOMER, "vec", "Cluster"))
+    return rounded(CL.quality_summary(SM.cluster_safe_sample(df, "Cluster", CUSTOMER, n=METRIC_SAMPLE),
+                                      CUSTOMER, "vec", "Cluster"))
 
 
 # ---------------------------------------------------------------- segments
@@ -291,6 +310,23 @@ def q_segment_labeled_summary(spark, sf_dir):
     return SG.labeled_summary(SG.segment_metrics(labeled_customers(spark, sf_dir)), rounded=False).transform(rounded)
 
 
+@query("segment_labeled_report")
+def q_segment_labeled_report(spark, sf_dir):
+    """The summary at the precision of the report (0, 1 and 2 digits)."""
+    return SG.labeled_summary(SG.segment_metrics(labeled_customers(spark, sf_dir)))
+
+
+@query("segment_pair_plot")
+def q_segment_pair_plot(spark, sf_dir):
+    """Per-cluster histograms of the pair plot's diagonal, over all customers."""
+    return rounded(SG.pair_plot(rfm_fixed_clusters(spark, sf_dir))[1])
+
+
+@query("segment_pair_plot_sample")
+def q_segment_pair_plot_sample(spark, sf_dir):
+    return rounded(SG.pair_plot(rfm_fixed_clusters(spark, sf_dir))[0])
+
+
 @query("segment_cluster_means")
 def q_segment_cluster_means(spark, sf_dir):
     return rounded(SG.cluster_mean_matrix(SG.cluster_summary(rfm_fixed_clusters(spark, sf_dir))))
@@ -298,9 +334,7 @@ def q_segment_cluster_means(spark, sf_dir):
 
 @query("segment_box_summary")
 def q_segment_box_summary(spark, sf_dir):
-    df = rfm_fixed_clusters(spark, sf_dir)
-    sample = SM.random_sample(df, 5000, CUSTOMER, 42, tiebreak=[CUSTOMER])
-    return rounded(SG.box_summary(sample))
+    return rounded(SG.box_summary(rfm_fixed_clusters(spark, sf_dir)))
 
 
 @query("rfm_summary")
@@ -374,47 +408,45 @@ def prediction_fixture(spark, sf_dir):
     segment alphabetically (cyclic) for every fifth customer; score = balance."""
     c = S.read_table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_mktsegment").alias("actual"), F.col("c_acctbal").alias("score"))
-    codes = CF.label_codes(c, "actual", "idx")
-    k = codes.agg(F.count(F.lit(1))).scalar()
-    cur = codes.withColumnRenamed("actual", "_a")
-    nxt = codes.select(F.col("idx").alias("_nidx"), F.col("actual").alias("_next"))
-    j = c.join(cur, c.actual == cur._a).join(nxt, F.col("_nidx") == (F.col("idx") + 1) % k)
-    pred = F.when(F.col("c_custkey") % 5 != 0, F.col("actual")).otherwise(F.col("_next"))
-    return j.select("c_custkey", "actual", pred.alias("predicted"), "score")
+    names = WS.shared_object(spark, sf_dir, "market_segments", lambda: sorted(
+        r[0] for r in c.where("actual is not null").select("actual").distinct().collect()))  # market segments: a code list
+    after = F.create_map(*[F.lit(x) for a, b in zip(names, names[1:] + names[:1]) for x in (a, b)])
+    pred = F.when(F.col("c_custkey") % 5 != 0, F.col("actual")).otherwise(after[F.col("actual")])
+    return c.where("actual is not null").select("c_custkey", "actual", pred.alias("predicted"), "score"), names
+
 
+def fixture_counts(spark, sf_dir):
+    return CF.confusion_counts(prediction_fixture(spark, sf_dir)[0], "actual", "predicted")
 
-def fixture_scores(spark, sf_dir):
-    fx = prediction_fixture(spark, sf_dir)
-    classes = sorted(r[0] for r in fx.select("actual").distinct().collect())  # bounded class list
-    return fx, CF.one_vs_rest(fx, "actual", {c: F.col("score") for c in classes})
+
+def fixture_steps(spark, sf_dir):
+    fx, names = prediction_fixture(spark, sf_dir)
+    return CF.score_counts(CF.one_vs_rest(fx, "actual", {c: F.col("score") for c in names}))
 
 
 @query("classify_confusion")
 def q_classify_confusion(spark, sf_dir):
-    return rounded(CF.confusion_grid(prediction_fixture(spark, sf_dir), "actual", "predicted"))
+    return rounded(CF.confusion_grid(fixture_counts(spark, sf_dir)))
 
 
 @query("classify_report")
 def q_classify_report(spark, sf_dir):
-    return rounded(CF.classification_report(prediction_fixture(spark, sf_dir), "actual", "predicted"))
+    return rounded(CF.classification_report(fixture_counts(spark, sf_dir)))
 
 
 @query("classify_roc_auc")
 def q_classify_roc_auc(spark, sf_dir):
-    _, long = fixture_scores(spark, sf_dir)
-    return rounded(CF.roc_auc_by_class(long))
+    return rounded(CF.roc_auc_by_class(fixture_steps(spark, sf_dir)))
 
 
 @query("classify_roc_curve")
 def q_classify_roc_curve(spark, sf_dir):
-    _, long = fixture_scores(spark, sf_dir)
-    return rounded(CF.roc_curve(long))
+    return rounded(CF.roc_curve(fixture_steps(spark, sf_dir)))
 
 
 @query("classify_metrics")
 def q_classify_metrics(spark, sf_dir):
-    fx, long = fixture_scores(spark, sf_dir)
-    return rounded(CF.summary_metrics(fx, "actual", "predicted", long))
+    return rounded(CF.summary_metrics(fixture_counts(spark, sf_dir), fixture_steps(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- scoring
@@ -461,6 +493,20 @@ def q_score_rfm_fixed(spark, sf_dir):
     return out.where("valid").select(CUSTOMER, "cluster", "segment")
 
 
+def response_fields(scored: DataFrame) -> DataFrame:
+    """What the JSON response of every request says, read back from its text."""
+    field = lambda path: F.get_json_object("response", path)
+    return scored.select(
+        CUSTOMER, "valid", "error", field("$.error").alias("response_error"),
+        field("$.cluster").alias("response_cluster"), field("$.segment").alias("response_segment"),
+        *[field(f"$.input.{f}").cast("double").alias(f"input_{f}") for f in VA.RFM_FIELDS])
+
+
+@query("score_rfm_response")
+def q_score_rfm_response(spark, sf_dir):
+    return response_fields(SC.score_rfm_requests(rfm_requests(spark, sf_dir), fixed_scorer(spark, sf_dir)))
+
+
 CLASSIFIER_FMT = ('{"Recency":%d,"Frequency":%d,"Monetary":%.2f,"AvgBasketValue":%.2f,"AvgBasketSize":%d,'
                   '"Volatility":%.1f,"FavoriteDay_Encoded":%d,"Country_Encoded":%d}')
 
@@ -500,21 +546,58 @@ def q_score_validate_classifier(spark, sf_dir):
                             *[F.col(c).cast("double").alias(c) for c in VA.CLASSIFIER_INT]))
 
 
-# ------------------------------------------------ model fits (rows-only checks)
+# ------------------------------------------------ model fits (own fits have no SQL; see the *_checks queries)
+def kmeans_run(spark, sf_dir, k: int = 4):
+    scaled = WS.shared_table(spark, sf_dir, "rfm_scaled", lambda: CL.scale_rfm(rfm_customers(spark, sf_dir))[0])
+    model = WS.shared_object(spark, sf_dir, f"kmeans_{k}", lambda: CL.fit_kmeans(scaled, SCALED, k=k, seed=42))
+    return scaled, model, CL.assign_nearest(scaled, SCALED, CL.model_centroids(model), dist_out="SqDistance")
+
+
 @query("kmeans_segments")
 def q_kmeans_segments(spark, sf_dir):
-    """K-Means (k=4) on scaled log-RFM; clusters renumbered by mean Monetary
-    (descending) so the summary does not depend on arbitrary fit ids."""
-    scaled, _ = CL.scale_rfm(rfm_customers(spark, sf_dir))
-    model = CL.fit_kmeans(scaled, SCALED, k=4, seed=42, n_init=1)
-    lab = CL.relabel_by(CL.assign_nearest(scaled, SCALED, CL.model_centroids(model)), "Cluster", "Monetary")
-    return rounded(SG.cluster_summary(lab))
+    """K-Means (k=4, best of ten starts) on scaled log-RFM; clusters renumbered by
+    mean Monetary (descending) so the summary does not depend on arbitrary fit ids."""
+    return rounded(SG.cluster_summary(CL.relabel_by(kmeans_run(spark, sf_dir)[2], "Cluster", "Monetary")))
+
+
+@query("kmeans_checks")
+def q_kmeans_checks(spark, sf_dir):
+    """What must hold of any K-Means fit: all customers are assigned, to k
+    clusters; the reported cost is the assignment's inertia; every centroid is
+    its cluster's mean; and a single seeded Spark ML fit costs no less."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+    scaled, model, lab = kmeans_run(spark, sf_dir)
+    own = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centroids])
+    off = [F.abs(F.col(f"m{i}") - F.element_at(own, F.col("Cluster") + 1)[i]) for i in range(len(SCALED))]
+    means = lab.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("SqDistance").alias("ss"),
+                                       *[F.avg(c).alias(f"m{i}") for i, c in enumerate(SCALED)])
+    one = KMeans(k=4, seed=1, maxIter=300).fit(VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled))
+    cost = F.lit(model.cost)
+    return means.agg(F.sum("n").alias("customers"), F.count(F.lit(1)).alias("clusters"),
+                     (F.abs(F.sum("ss") - cost) <= 1e-6 * cost).alias("cost_is_inertia"),
+                     (F.max(F.greatest(*off)) < 0.05).alias("centroids_are_means"),
+                     (cost <= F.lit(one.summary.trainingCost * 1.001)).alias("no_worse_than_one_start"))
 
 
 @query("kmeans_k_sweep")
 def q_kmeans_k_sweep(spark, sf_dir):
-    scaled = WS.shared_table(spark, sf_dir, "rfm_scaled", lambda: CL.scale_rfm(rfm_customers(spark, sf_dir))[0])
-    return rounded(CL.k_sweep(scaled, SCALED, CUSTOMER, ks=range(2, 11), seed=42, n_init=1))
+    return rounded(k_sweep_table(spark, sf_dir))
+
+
+def k_sweep_table(spark, sf_dir):
+    scaled = kmeans_run(spark, sf_dir)[0]
+    return WS.shared_table(spark, sf_dir, "k_sweep", lambda: CL.k_sweep(scaled, SCALED, CUSTOMER, ks=range(2, 11), seed=42))
+
+
+@query("kmeans_k_sweep_checks")
+def q_kmeans_k_sweep_checks(spark, sf_dir):
+    """One row for each k; more clusters never cost more (within 1 %); silhouettes lie in [-1, 1]."""
+    from pyspark.sql import Window as W
+    before = F.lag("inertia").over(W.orderBy("k"))
+    return k_sweep_table(spark, sf_dir).select(
+        "k", (before.isNull() | (F.col("inertia") <= before * 1.01)).alias("inertia_falls"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"))
 
 
 def classifier_split(spark, sf_dir):
@@ -545,35 +628,98 @@ def q_rf_feature_importance(spark, sf_dir):
 
 @query("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
+    model, pred = forest_run(spark, sf_dir)
+    steps = CF.score_counts(CF.class_scores(pred, "Segment", CF.class_names(model)))
+    return rounded(CF.summary_metrics(CF.confusion_counts(pred, "Segment", "predicted_class"), steps))
+
+
+@query("rf_checks")
+def q_rf_checks(spark, sf_dir):
+    """What must hold of any forest: a prediction for every test customer, its
+    class the most probable one, probabilities and importances that sum to 1,
+    the evaluation's accuracy the plain share of hits, and no fewer hits than
+    the largest class has members."""
     model, pred = forest_run(spark, sf_dir)
     names = F.array(*[F.lit(n) for n in CF.class_names(model)])
-    long = (pred.select("Segment", F.posexplode("probabilities").alias("idx", "score"))
-            .select(F.element_at(names, F.col("idx") + 1).alias("class"), "Segment", "score")
-            .select("class", (F.col("Segment") == F.col("class")).alias("positive"), "score"))
-    return rounded(CF.summary_metrics(pred, "Segment", "predicted_class", long))
+    p = F.col("probabilities")
+    top = F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
+    hit = F.col("Segment") == F.col("predicted_class")
+    accuracy = CF.averages(CF.confusion_counts(pred, "Segment", "predicted_class")).select("accuracy").scalar()
+    largest = pred.groupBy("Segment").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    importance = CF.feature_importance(model).agg(F.sum("Importance")).scalar()
+    return pred.agg(F.count(F.lit(1)).alias("test_customers"), F.every(top == F.col("predicted_class")).alias("most_probable"),
+                    F.every(F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).alias("probabilities_sum_to_1"),
+                    (F.abs(F.avg(hit.cast("double")) - accuracy) < 1e-9).alias("accuracy_is_share_of_hits"),
+                    (F.count_if(hit) >= largest).alias("no_worse_than_largest_class"),
+                    (F.abs(importance - 1) < 1e-6).alias("importances_sum_to_1"))
+
+
+@query("rf_model_round_trip")
+def q_rf_model_round_trip(spark, sf_dir):
+    """The forest saved, logged with its path, found by its run's name, loaded,
+    and its predictions for all customers compared with the unsaved model's."""
+    from tillroll.session import scratch_path
+    from tillroll.sources import tracking as TR
+    model, _ = forest_run(spark, sf_dir)
+    base = scratch_path(spark, "forest")
+    TR.log_run(spark, f"{base}/runs", "classifier", "classifier", {"model_path": TR.save_model(model, f"{base}/model")})
+    loaded = TR.load_latest_model(spark, f"{base}/runs", "classifier")
+    split = classifier_split(spark, sf_dir)
+    a = CF.predict(model, split).select(CUSTOMER, "predicted_class", "probabilities")
+    b = CF.predict(loaded, split).select(CUSTOMER, F.col("predicted_class").alias("c2"), F.col("probabilities").alias("p2"))
+    same = (F.col("predicted_class") == F.col("c2")) & (F.col("probabilities") == F.col("p2"))
+    return a.join(b, CUSTOMER).agg(F.count(F.lit(1)).alias("customers"), F.every(same).alias("equal"))
+
+
+def classifier_scored(spark, sf_dir):
+    model, _ = forest_run(spark, sf_dir)
+    return WS.shared_table(spark, sf_dir, "classifier_scored", lambda: SC.score_classifier_requests(
+        classifier_requests(spark, sf_dir), model))
 
 
 @query("score_classifier_requests")
 def q_score_classifier_requests(spark, sf_dir):
-    model, _ = forest_run(spark, sf_dir)
-    out = SC.score_classifier_requests(classifier_requests(spark, sf_dir), model)
-    return out.select(CUSTOMER, "segment_class", "segment", "probabilities")
+    return classifier_scored(spark, sf_dir).select(CUSTOMER, "valid", "error", "segment_class", "segment", "probabilities")
+
+
+@query("score_classifier_validate_response")
+def q_score_classifier_validate_response(spark, sf_dir):
+    """Every request's verdict and the parts of its response that don't depend on the fit."""
+    field = lambda path: F.get_json_object("response", path)
+    return classifier_scored(spark, sf_dir).select(
+        CUSTOMER, "valid", "error", field("$.error").alias("response_error"),
+        field("$.segment").isNotNull().alias("response_has_segment"),
+        (field("$.segment_class").cast("int") == F.col("segment_class")).alias("response_class_matches"),
+        field("$.input.Recency").cast("double").alias("input_Recency"))
 
 
 @query("score_ranked_probabilities")
 def q_score_ranked_probabilities(spark, sf_dir):
     model, _ = forest_run(spark, sf_dir)
-    out = SC.score_classifier_requests(classifier_requests(spark, sf_dir), model)
-    return SC.ranked_probabilities(out, CF.class_names(model), CUSTOMER)
+    return SC.ranked_probabilities(classifier_scored(spark, sf_dir).where("valid"), CF.class_names(model), CUSTOMER)
+
+
+@query("score_ranked_checks")
+def q_score_ranked_checks(spark, sf_dir):
+    """Per accepted request: ranks are a permutation, probabilities fall with them and sum to 1."""
+    model, _ = forest_run(spark, sf_dir)
+    names = CF.class_names(model)
+    rows = SC.ranked_probabilities(classifier_scored(spark, sf_dir).where("valid"), names, CUSTOMER)
+    by_rank = F.transform(F.sort_array(F.collect_list(F.struct("rank", "probability"))), lambda s: s["probability"])
+    per = rows.groupBy(CUSTOMER).agg(F.sort_array(F.collect_list("rank")).alias("r"), by_rank.alias("p"))
+    falls = F.col("p") == F.sort_array("p", asc=False)
+    return per.select(CUSTOMER, (F.col("r") == F.sequence(F.lit(1), F.lit(len(names)))).alias("ranks_are_a_permutation"),
+                      falls.alias("probabilities_fall"),
+                      (F.abs(F.aggregate("p", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).alias("sum_to_1"))
 
 
 @query("score_raw_categories")
 def q_score_raw_categories(spark, sf_dir):
     """Forest over raw FavoriteDay / Country strings (indexers inside the pipeline,
-    unseen categories kept as an extra index)."""
+    unseen categories kept as an extra index); all customers are scored."""
     split = classifier_split(spark, sf_dir).drop("FavoriteDay_Encoded", "Country_Encoded")
-    model = CF.fit_forest_raw(split.where(~F.col("is_test")))
-    return CF.predict(model, split.where("is_test")).select(CUSTOMER, "Segment", "predicted_class")
+    model = WS.shared_object(spark, sf_dir, "forest_raw", lambda: CF.fit_forest_raw(split.where(~F.col("is_test"))))
+    return CF.predict(model, split).select(CUSTOMER, "Segment", "predicted_class")
 
 
 @query("score_stream_rfm")
@@ -590,33 +736,61 @@ def q_score_stream_rfm(spark, sf_dir):
                             text_col="body", envelope=True)
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
-    return out.where("valid").select(F.col("id").cast("bigint").alias(CUSTOMER), "cluster", "segment")
+    return response_fields(out.withColumn(CUSTOMER, F.col("id").cast("bigint")))
 
 
 # ------------------------------------------------------- sources and sinks
-UCI_HEADER = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID",
-              "Country"]
-
-
-@query("source_csv_scan")
-def q_source_csv_scan(spark, sf_dir):
-    """The dirty transactions written as a Latin-1 CSV in the older column
-    spelling (InvoiceNo / UnitPrice / CustomerID, 'M/d/yyyy H:mm' dates), read
-    back through the declared-schema scan and cleaned."""
+# The header spellings of the two file variants, and one in another order.
+CSV_HEADERS = {
+    "source_csv_scan": ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID",
+                        "Country"],
+    "source_csv_canonical": ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price", "Customer ID",
+                             "Country"],
+    "source_csv_reordered": ["Country", "Description", "StockCode", "CustomerID", "UnitPrice", "InvoiceNo", "InvoiceDate",
+                             "Quantity"],
+}
+
+
+def csv_file(spark, sf_dir, header: list[str], broken: bool = False) -> str:
+    """The dirty transactions as a Latin-1 CSV with this header. With ``broken``
+    some quantities, prices, customers and dates are text that doesn't fit."""
+    from tillroll.functions.columns import COLUMN_ALIASES
     from tillroll.session import scratch_path
-    from tillroll.sources.retail_csv import read_transactions_csv
-
-    def build():
-        path = scratch_path(spark, "retail-csv")
-        d = S.retail_dirty_raw(spark, sf_dir)
-        (d.select(F.col("Invoice").alias("InvoiceNo"), "StockCode", "Description",
-                  F.col("Quantity").cast("bigint").alias("Quantity"),
-                  F.date_format("InvoiceDate", "M/d/yyyy H:mm").alias("InvoiceDate"),
-                  F.col("Price").alias("UnitPrice"), F.col("CustomerID").cast("double").alias("CustomerID"),
-                  "Country")
-         .write.option("header", True).option("encoding", "ISO-8859-1").csv(path))
-        return C.clean(read_transactions_csv(spark, path, header=UCI_HEADER))
-    return WS.shared_table(spark, sf_dir, "csv_clean_lines", build)
+    d = raw_lines(spark, sf_dir)
+    cells = {"Quantity": F.col("Quantity").cast("bigint").cast("string"), "Price": F.col("Price").cast("string"),
+             "Customer ID": F.col(CUSTOMER).cast("double").cast("string"),
+             "InvoiceDate": F.date_format("InvoiceDate", "M/d/yyyy H:mm")}
+    if broken:
+        i = F.col("Invoice")
+        for c, m, bad in (("Quantity", 7, "six"), ("Price", 11, "9,99"), ("Customer ID", 13, "x17"), ("InvoiceDate", 17, "31.12.2010")):
+            cells[c] = F.when(i % m == 0, F.lit(bad)).otherwise(cells[c])
+    canonical = [COLUMN_ALIASES.get(n, n) for n in header]
+    path = scratch_path(spark, "retail-csv")
+    (d.select(*[cells.get(c, F.col(c).cast("string")).alias(n) for n, c in zip(header, canonical)])
+     .write.option("header", True).option("encoding", "ISO-8859-1").csv(path))
+    return path
+
+
+def _csv_query(name: str):
+    @query(name)
+    def run(spark, sf_dir):
+        """The dirty transactions written as CSV ('M/d/yyyy H:mm' dates), read back
+        by the names in the header, typed and cleaned."""
+        from tillroll.sources.retail_csv import read_transactions_csv
+        return WS.shared_table(spark, sf_dir, name, lambda: C.clean(
+            read_transactions_csv(spark, csv_file(spark, sf_dir, CSV_HEADERS[name]))))
+
+
+for _name in CSV_HEADERS:
+    _csv_query(_name)
+
+
+@query("source_csv_problems")
+def q_source_csv_problems(spark, sf_dir):
+    """Counts of the values that typed columns cannot hold, over a file with broken cells."""
+    from tillroll.sources.retail_csv import csv_problems, scan_text
+    path = csv_file(spark, sf_dir, CSV_HEADERS["source_csv_reordered"], broken=True)
+    return csv_problems(scan_text(spark, path), "M/d/yyyy H:mm")
 
 
 @query("features_head")
@@ -637,48 +811,68 @@ def q_score_rfm_bundle(spark, sf_dir):
     params = FE.fit_standard_scaler(rfm_customers(spark, sf_dir), CL.RFM_FEATURES)
     TR.save_rfm_bundle(spark, path, params, FIXED_CENTROIDS, SG.SERVING_SEGMENTS)
     out = SC.score_rfm_requests(rfm_requests(spark, sf_dir), TR.load_rfm_bundle(spark, path))
-    return out.where("valid").select(CUSTOMER, "cluster", "segment")
+    return response_fields(out)
+
+
+def report_text(spark, rows: DataFrame, name: str) -> DataFrame:
+    from tillroll.session import scratch_path
+    from tillroll.sources.sinks import write_report
+    return spark.read.text(write_report(rows, scratch_path(spark, name)))
+
+
+@query("report_dataset")
+def q_report_dataset(spark, sf_dir):
+    """Dataset report written as text lines and read back."""
+    from tillroll.sources.sinks import head
+    raw = raw_lines(spark, sf_dir)
+    first = head(raw.select("Invoice", "StockCode", "Quantity", "Price"), 5, ["Invoice", "StockCode", "Quantity", "Price"])
+    return report_text(spark, RP.dataset_report(P.dataset_summary(raw), P.missing_report(raw),
+                                                P.describe(raw, ["Quantity", "Price"]), first), "dataset-report")
+
+
+@query("report_preprocessing")
+def q_report_preprocessing(spark, sf_dir):
+    raw, cleaned = raw_lines(spark, sf_dir), clean_lines(spark, sf_dir)
+    feats = FE.feature_engineering(cleaned)
+    processed = FE.encode_and_scale(feats)
+    return report_text(spark, RP.preprocessing_report(
+        P.cleaning_lineage(raw, cleaned), P.schema_diff(raw, feats), FE.SCALE_FEATURES,
+        cleaned.agg(F.count(F.lit(1)).alias("rows")), len(processed.columns)), "preprocessing-report")
 
 
 @query("report_segments")
 def q_report_segments(spark, sf_dir):
     """Segment analysis report written as text lines and read back."""
-    from tillroll.session import scratch_path
-    from tillroll.sources.sinks import report_rows, table_rows, write_report
-    scored = scored_clusters(spark, sf_dir)
-    metrics = SG.segment_metrics(labeled_customers(spark, sf_dir))
-    rows = (table_rows("SEGMENT LABELS", scored, ["Cluster"], ["Segment"])
-            .unionByName(table_rows("SEGMENT DETAILS", metrics, ["Segment"],
-                                    ["Count", "Avg_Recency", "Avg_Frequency", "Avg_Monetary", "Revenue_Share",
-                                     "Churn_Probability"]))
-            .unionByName(report_rows("TOTALS", labeled_customers(spark, sf_dir).agg(
-                F.count(F.lit(1)).alias("customers"), F.sum("Monetary").alias("total_revenue")))))
-    path = write_report(rows, scratch_path(spark, "segment-report"))
-    return spark.read.text(path)
+    labeled = labeled_customers(spark, sf_dir)
+    return report_text(spark, RP.segment_report(scored_clusters(spark, sf_dir), SG.segment_metrics(labeled), labeled),
+                       "segment-report")
+
+
+@query("report_classification")
+def q_report_classification(spark, sf_dir):
+    counts = fixture_counts(spark, sf_dir)
+    return report_text(spark, RP.classifier_report(CF.summary_metrics(counts, fixture_steps(spark, sf_dir)),
+                                                   CF.classification_report(counts)), "classification-report")
 
 
 @query("tracking_latest_run")
 def q_tracking_latest_run(spark, sf_dir):
-    """Two runs of the labelling metrics appended to a run table; the latest
-    one is read back (params, tags and unpivoted metrics)."""
+    """The labelling run logged twice, a second apart in the run table and with
+    other values in the older one; the latest run is read back."""
     import datetime as dt
     from tillroll.session import scratch_path
     from tillroll.sources import tracking as TR
     path = scratch_path(spark, "runs")
     labeled = labeled_customers(spark, sf_dir)
-    metrics = labeled.agg(F.count(F.lit(1)).alias("total_customers"), F.sum("Monetary").alias("total_revenue"),
-                          F.avg("ChurnProbability").alias("avg_churn"))
-    TR.log_run(spark, path, "labelling", "cluster_labeling", {"churn_formula": "Recency / Max_Recency"},
-               metrics, {"model_type": "none"}, start_time=dt.datetime(2024, 1, 1))
-    TR.log_run(spark, path, "labelling", "cluster_labeling", {"churn_formula": "Recency / Max_Recency"},
-               metrics.select((F.col("total_customers") + 0).alias("total_customers"), "total_revenue", "avg_churn"),
-               {"model_type": "none"}, start_time=dt.datetime(2024, 2, 1))
-    from tillroll.functions.columns import sanitize_key
-    per_segment = SG.segment_metrics(labeled).select(
-        F.concat(F.lit("count_"), sanitize_key("Segment")).alias("key"), F.col("Count").alias("value_num"))
-    TR.log_run(spark, path, "labelling_segments", "cluster_labeling", None, per_segment)
-    return TR.latest_run(spark, path, "labelling").unionByName(
-        TR.latest_run(spark, path, "labelling_segments")).drop("run_id", "start_time")
+    metrics = RP.labelling_metrics(SG.segment_metrics(labeled), labeled)
+    tags = {"model_type": "none"}
+    old = metrics.withColumn("value_num", F.col("value_num") + 1)
+    TR.log_run(spark, path, "labelling", "labelling", {"method": "old"}, old, tags, start_time=dt.datetime(2024, 1, 1, 0, 0, 0))
+    TR.log_run(spark, path, "labelling", "labelling", {"method": "rank sums"}, metrics, tags,
+               start_time=dt.datetime(2024, 1, 1, 0, 0, 1))
+    out = TR.latest_run(spark, path, "labelling")
+    return rounded(out.select("run_name", "kind", "key", F.when(F.col("kind") != "metric", F.col("value")).alias("value"),
+                              "value_num"))
 
 
 @query("eda_weekday_hour_matrix")
@@ -700,15 +894,27 @@ def q_rfm_scaler_params(spark, sf_dir):
 
 @query("score_customer_file")
 def q_score_customer_file(spark, sf_dir):
-    """Customer feature file (written from the classification table) scored
+    """Customer feature file (all customers of the classification table) scored
     by the forest and written back out."""
     from tillroll.session import scratch_path
     model, _ = forest_run(spark, sf_dir)
     src = scratch_path(spark, "customers-in")
-    classifier_split(spark, sf_dir).where("is_test").drop("Segment", "is_test").write.parquet(src)
+    classifier_split(spark, sf_dir).drop("Segment", "is_test").write.parquet(src)
     return SC.score_customer_file(spark, model, src, scratch_path(spark, "customers-scored"))
 
 
+@query("score_all_customers_checks")
+def q_score_all_customers_checks(spark, sf_dir):
+    """Both ways to score the customer table return every customer, with a known segment."""
+    known = CF.class_names(forest_run(spark, sf_dir)[0])
+    file = q_score_customer_file(spark, sf_dir).agg(F.count(F.lit(1)).alias("file_rows"),
+                                                    F.every(F.col("segment").isin(known)).alias("file_segments_known"))
+    raw = q_score_raw_categories(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_rows"),
+                                                    F.every(F.col("predicted_class").isin(known)).alias("raw_segments_known"))
+    from tillroll.functions.columns import attach_row
+    return attach_row(file, raw)
+
+
 def labels_fixture(spark, sf_dir):
     """labels: binary actual = quality, predicted = toxic, score = toxic (all ties)."""
     lb = S.read_table(spark, sf_dir, "labels")
@@ -718,11 +924,10 @@ def labels_fixture(spark, sf_dir):
 
 @query("classify_report_labels")
 def q_classify_report_labels(spark, sf_dir):
-    return rounded(CF.classification_report(labels_fixture(spark, sf_dir), "actual", "predicted"))
+    return rounded(CF.classification_report(CF.confusion_counts(labels_fixture(spark, sf_dir), "actual", "predicted")))
 
 
 @query("classify_roc_auc_labels")
 def q_classify_roc_auc_labels(spark, sf_dir):
-    fx = labels_fixture(spark, sf_dir)
-    classes = sorted(r[0] for r in fx.select("actual").distinct().collect())  # bounded class list
-    return rounded(CF.roc_auc_by_class(CF.one_vs_rest(fx, "actual", {c: F.col("score") for c in classes})))
+    long = CF.one_vs_rest(labels_fixture(spark, sf_dir), "actual", {c: F.col("score") for c in ("0", "1")})
+    return rounded(CF.roc_auc_by_class(CF.score_counts(long)))

@@ -9,12 +9,13 @@ shared checkpoint folder, which also cuts their lineage.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import CUSTOMER
+from tillroll.functions.columns import CUSTOMER, with_total_price
 from tillroll.operators import basket as BK
 from tillroll.operators import classification as CF
 from tillroll.operators import clean as C
@@ -26,116 +27,136 @@ from tillroll.operators import quantiles as Q
 from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
-from tillroll.sources.sinks import head, materialize, write_table
-from tillroll.sources.tracking import log_run
+from tillroll.plans import reports as RP
+from tillroll.sources.sinks import head, materialize, write_report, write_table
+from tillroll.sources.tracking import log_run, save_model
 
 SCALED = ["Recency_s", "Frequency_s", "Monetary_s"]
 
 
 @dataclass
 class StepResult:
+    """A step's result tables and driver-side values, and what its run records:
+    parameters, long (key, value_num) metrics, and report rows."""
+
     tables: dict[str, DataFrame] = field(default_factory=dict)
     values: dict = field(default_factory=dict)
+    params: dict = field(default_factory=dict)
+    metrics: DataFrame | None = None
+    report: DataFrame | None = None
 
 
 def profile_step(raw: DataFrame) -> StepResult:
-    return StepResult({
-        "dataset_summary": P.dataset_summary(raw),
-        "missing_values_report": P.missing_report(raw),
-        "basic_statistics": P.describe(raw),
-    })
+    summary, missing, stats = P.dataset_summary(raw), P.missing_report(raw), P.describe(raw)
+    first = head(raw, 5, raw.columns[:2])
+    return StepResult(
+        {"dataset_summary": summary, "missing_values_report": missing, "basic_statistics": stats,
+         "data_types": P.dtypes_table(raw)},
+        params={"column_names": ", ".join(raw.columns), **{f"dtype_{c}": t for c, t in raw.dtypes}},
+        metrics=RP.profile_metrics(summary, missing), report=RP.dataset_report(summary, missing, stats, first))
 
 
-def preprocess_step(raw: DataFrame, materialise: bool = True, cleaned: DataFrame | None = None) -> StepResult:
+def preprocess_step(raw: DataFrame, cleaned: DataFrame | None = None) -> StepResult:
     if cleaned is None:
-        cleaned = clean_step(raw, materialise).tables["clean"]
+        cleaned = clean_step(raw).tables["clean"]
     feats = FE.feature_engineering(cleaned)
     processed = FE.encode_and_scale(feats)
-    return StepResult({
-        "features": feats,
-        "processed": processed,
-        "processed_sample": head(processed, 100, ["Invoice", "StockCode"]),
-        "lineage": P.cleaning_lineage(raw, cleaned),
-    }, {"new_columns": P.schema_diff(raw, processed)})
-
-
-def clean_step(raw: DataFrame, materialise: bool = True) -> StepResult:
+    lineage = P.cleaning_lineage(raw, cleaned)
+    new = P.schema_diff(raw, feats)
+    rows = cleaned.agg(F.count(F.lit(1)).alias("rows"))
+    return StepResult(
+        {"features": feats, "processed": processed, "lineage": lineage,
+         "processed_sample": head(processed, 100, ["Invoice", "StockCode"])},
+        {"new_columns": P.schema_diff(raw, processed)},
+        params={"cleaning_steps": "drop null Description, drop null Customer ID, drop duplicates",
+                "new_features_created": ", ".join(new), "scaled_columns": ", ".join(FE.SCALE_FEATURES),
+                "encoding_method": "one-hot", "scaler_type": "standard", "final_columns": len(processed.columns)},
+        metrics=RP.one_row(lineage), report=RP.preprocessing_report(lineage, new, FE.SCALE_FEATURES, rows, len(processed.columns)))
+
+
+def clean_step(raw: DataFrame) -> StepResult:
     """C1..C4, materialised once: every later step starts from this table."""
-    cleaned = C.clean(raw)
-    if materialise:
-        cleaned = materialize(cleaned, "clean_lines")
-    return StepResult({"clean": cleaned})
+    return StepResult({"clean": materialize(C.clean(raw), "clean_lines")})
 
 
 def eda_step(cleaned: DataFrame) -> StepResult:
-    d = FE.add_date_parts(cleaned).transform(lambda x: x if "TotalPrice" in x.columns else
-                                             x.withColumn("TotalPrice", F.col("Quantity") * F.col("Price")))
+    d = with_total_price(FE.add_date_parts(cleaned))
     q = Q.percentiles_exact(d, ["TotalPrice"], [0.5, 0.99])["TotalPrice"]  # one selection for both
-    hist, stats = EDA.revenue_distribution(d, p99=q[0.99])
-    return StepResult({
-        "kpis": EDA.kpis(d, median=q[0.5]),
+    kpis, frequency = EDA.kpis(d, median=q[0.5]), EDA.purchase_frequency_stats(d)
+    tables = {
+        "kpis": kpis,
         "monthly_revenue": EDA.monthly_revenue(d),
         "top_countries": EDA.top_countries(d),
         "top_products": EDA.top_products(d),
         "weekday_hour": EDA.weekday_hour_matrix(d),
-        "revenue_histogram": hist,
-        "revenue_stats": stats,
+        "revenue_histogram": EDA.revenue_histogram(d, p99=q[0.99]),
+        "revenue_stats": EDA.revenue_stats(d, p99=q[0.99]),
         "revenue_by_weekday": EDA.revenue_by_weekday(d),
-        "purchase_frequency": EDA.purchase_frequency_stats(d),
+        "purchase_frequency": frequency,
         "purchase_histogram": EDA.purchase_frequency_histogram(d),
         "monthly_active_customers": EDA.monthly_active_customers(d),
         "quantity_price_sample": EDA.quantity_price_sample(d),
         "top_customers": EDA.top_customers(d),
-    })
+    }
+    return StepResult(tables, params={"tables": ", ".join(tables)},
+                      metrics=RP.union([RP.one_row(kpis), RP.one_row(frequency.drop("customers"))]))
 
 
-def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 1, sweep: bool = False,
-                    seed: int = 42) -> StepResult:
+def clustering_step(cleaned: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42) -> StepResult:
     """RFM -> scaling -> K-Means -> assignments (what labelling needs)."""
     rfm = materialize(R.rfm_log(cleaned), "rfm")
     scaled, params = CL.scale_rfm(rfm)
+    scaled = materialize(scaled, "rfm_scaled")
     model = CL.fit_kmeans(scaled, SCALED, k=k, seed=seed, n_init=n_init)
     cents = CL.model_centroids(model)
     clustered = materialize(CL.assign_nearest(scaled, SCALED, cents), "rfm_clusters")
+    summary = SG.cluster_summary(clustered)
     out = {
         "rfm": rfm,
         "scaler": params,
         "customer_segments": clustered,
-        "cluster_summary": SG.cluster_summary(clustered),
-        "cluster_means": SG.cluster_mean_matrix(SG.cluster_summary(clustered)),
+        "cluster_summary": summary,
+        "cluster_means": SG.cluster_mean_matrix(summary),
     }
     return StepResult(out, {"model": model, "centroids": cents, "scaled": scaled})
 
 
-def cluster_metrics_step(rfm: DataFrame, clustered: DataFrame, inertia_full: float, seed: int = 42,
-                         scaled: DataFrame | None = None, sweep: bool = False) -> StepResult:
-    """Quality metrics on the cluster-safe sample, box-plot numbers, RFM
-    statistics and (with ``sweep``) the k = 2..10 elbow table."""
+def cluster_metrics_step(rfm: DataFrame, clustered: DataFrame, model: CL.KMeansFit, seed: int = 42,
+                         scaled: DataFrame | None = None, sweep: bool = False, n_init: int = 10) -> StepResult:
+    """Quality metrics on the cluster-safe sample, box-plot numbers and pair-plot
+    tables, RFM statistics and (with ``sweep``) the k = 2..10 elbow table."""
     pts = clustered.select(CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"),
                            CL.as_vector(SCALED).alias("vec"))
-    sample = SM.cluster_safe_sample(pts, "Cluster", CUSTOMER, CL.SILHOUETTE_SAMPLE, seed)
-    quality = CL.quality_summary(sample, CUSTOMER, "vec", "Cluster")
+    sample = SM.cluster_safe_sample(pts, "Cluster", CUSTOMER, CL.METRIC_SAMPLE, seed)
+    quality = CL.quality_summary(sample, CUSTOMER, "vec", "Cluster").withColumn("inertia_full", F.lit(model.cost))
     rq = Q.percentiles_exact(rfm, ["Recency", "Frequency", "Monetary"], [0.25, 0.5, 0.75])
-    extra = {"elbow": CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed)} if sweep and scaled is not None else {}
+    elbow = CL.k_sweep(scaled, SCALED, CUSTOMER, seed=seed, n_init=n_init) if sweep else None
+    points, histograms = SG.pair_plot(clustered, seed=seed)
+    summary = SG.rfm_summary(rfm, medians=rq)
     return StepResult({
-        **extra,
-        "quality": quality.withColumn("inertia_full", F.lit(float(inertia_full))),
-        "cluster_boxes": SG.box_summary(SM.random_sample(clustered, 5000, CUSTOMER, seed, tiebreak=[CUSTOMER])),
+        **({"elbow": elbow} if sweep else {}),
+        "quality": quality,
+        "cluster_boxes": SG.box_summary(clustered),
+        "pair_plot_sample": points,
+        "pair_plot_histograms": histograms,
         "rfm_statistics": P.describe(rfm, ["Recency", "Frequency", "Monetary"], quartiles=rq),
-        "rfm_summary": SG.rfm_summary(rfm, medians=rq),
-    })
+        "rfm_summary": summary,
+    }, params={"n_clusters": len(model.centroids), "n_init": n_init, "random_state": seed, "features_used": ", ".join(CL.RFM_FEATURES)},
+        metrics=RP.clustering_metrics(quality, summary, SG.cluster_summary(clustered), elbow))
 
 
 def labelling_step(clustered: DataFrame) -> StepResult:
     scored = SG.score_clusters(SG.cluster_summary(clustered))
     labeled = materialize(SG.label_customers(clustered, scored), "labeled_customers")
     metrics = SG.segment_metrics(labeled)
+    labels = {f"cluster_{r['Cluster']}_label": r["Segment"] for r in scored.collect()}  # a row for each cluster
     return StepResult({
         "cluster_scores": scored,
         "labeled_customers": labeled,
         "segment_metrics": metrics,
         "labeled_summary": SG.labeled_summary(metrics),
-    })
+    }, params={"labeling_method": "rank sums", **labels}, metrics=RP.labelling_metrics(metrics, labeled),
+        report=RP.segment_report(scored, metrics, labeled))
 
 
 def basket_features(cleaned: DataFrame) -> DataFrame:
@@ -144,7 +165,7 @@ def basket_features(cleaned: DataFrame) -> DataFrame:
                        "basket_features")
 
 
-def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int = 10,
+def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int = CF.MAX_DEPTH,
                     seed: int = 42, baskets: DataFrame | None = None) -> StepResult:
     baskets = baskets if baskets is not None else basket_features(cleaned)
     feats = CF.encode_features(materialize(
@@ -154,32 +175,40 @@ def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100
     model = CF.fit_forest(train, num_trees=num_trees, max_depth=max_depth, seed=seed)
     names = CF.class_names(model)
     pred = materialize(CF.predict(model, test), "classifier_predictions")
-    names_arr = F.array(*[F.lit(n) for n in names])
-    long = (pred.select("Segment", F.posexplode("probabilities").alias("idx", "score"))
-            .select(F.element_at(names_arr, F.col("idx") + 1).alias("class"), "Segment", "score")
-            .select("class", (F.col("Segment") == F.col("class")).alias("positive"), "score"))
+    counts = CF.confusion_counts(pred, "Segment", "predicted_class")
+    steps = CF.score_counts(CF.class_scores(pred, "Segment", names))
+    report, importance = CF.classification_report(counts), CF.feature_importance(model)
+    summary = CF.summary_metrics(counts, steps)
     return StepResult({
         "predictions": pred,
-        "classification_report": CF.classification_report(pred, "Segment", "predicted_class"),
-        "confusion": CF.confusion_grid(pred, "Segment", "predicted_class"),
-        "roc_auc": CF.roc_auc_by_class(long),
-        "roc_curve": CF.roc_curve(long),
-        "metrics": CF.summary_metrics(pred, "Segment", "predicted_class", long),
-        "feature_importance": CF.feature_importance(model),
-    }, {"model": model, "class_names": names})
+        "classification_report": report,
+        "confusion": CF.confusion_grid(counts),
+        "roc_auc": CF.roc_auc_by_class(steps),
+        "roc_curve": CF.roc_curve(steps),
+        "metrics": summary,
+        "feature_importance": importance,
+    }, {"model": model, "class_names": names},
+        params={"algorithm": "random forest", "n_estimators": num_trees, "max_depth": max_depth, "random_state": seed,
+                "test_size": 0.2, "stratified_split": True, "features_used": ", ".join(CF.FEATURES),
+                "target_classes": ", ".join(names)},
+        metrics=RP.classifier_metrics(summary, report, importance), report=RP.classifier_report(summary, report, importance))
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, runs_path: str | None = None,
-                 k: int = 4, n_init: int = 1, sweep: bool = False, num_trees: int = 100,
-                 concurrency: int = 4) -> dict:
-    """Run all six steps; writes every table to ``out_dir`` (Parquet) when given.
+                 k: int = 4, n_init: int = 10, sweep: bool = False, num_trees: int = 100,
+                 concurrency: int = 4, serial: bool = False) -> dict:
+    """Run all six steps. Writes every table and the four text reports to
+    ``out_dir`` and appends every step's parameters and metrics to the run
+    table ``runs_path``, when given; the classifier is then saved beside it and
+    its run says where.
 
     Independent work is submitted as concurrent Spark jobs (Spark schedules
-    jobs from several threads over the same executors): output tables are
-    written by a small pool while later steps build, profile / feature
-    engineering / EDA run beside the clean -> clustering -> labelling ->
-    classifier chain. Returns per-step build seconds (overlapping, so they do
-    not sum to the wall-clock total), per-table write seconds and the results.
+    jobs from several threads over the same executors): outputs are written by
+    a small pool while later steps build, profile / feature engineering / EDA
+    run beside the clean -> clustering -> labelling -> classifier chain. With
+    ``serial`` each step is built and written before the next one starts, so
+    that its seconds are its wall time. Returns per-step seconds (overlapping
+    unless serial), per-output write seconds and the results.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -190,24 +219,37 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
     def pool(name):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
 
-    def write(name, tname, df):
-        pool("writes")
-        t1 = time.time()
-        if out_dir:
-            write_table(df, f"{out_dir}/{name}/{tname}")
-        else:
-            df.write.format("noop").mode("overwrite").save()
-        detail[f"{name}.{tname}"] = time.time() - t1
+    def timed(name, fn):
+        def job():
+            pool("writes")
+            t1 = time.time()
+            fn()
+            detail[name] = time.time() - t1
+        pending.append(writers.submit(job))
+
+    def outputs(name, res):
+        for t, df in res.tables.items():
+            timed(f"{name}.{t}", lambda df=df, t=t: write_table(df, f"{out_dir}/{name}/{t}") if out_dir
+                  else df.write.format("noop").mode("overwrite").save())
+        if out_dir and res.report is not None:
+            timed(f"{name}.report", lambda: write_report(res.report, f"{out_dir}/{name}/report"))
+        if runs_path and (res.params or res.metrics is not None):
+            params = dict(res.params)
+            if name == "classifier":
+                params["model_path"] = f"{runs_path.rstrip('/')}-models/{uuid.uuid4().hex}"
+                timed(f"{name}.model", lambda: save_model(res.values["model"], params["model_path"]))
+            timed(f"{name}.run", lambda: log_run(spark, runs_path, name, name, params, res.metrics, {"step": name}))
 
     def run(name, fn):
         t0 = time.time()
         res = fn()
-        timings[name] = detail[f"{name}.build"] = time.time() - t0
+        detail[f"{name}.build"] = time.time() - t0
         results[name] = res
-        pending.extend(writers.submit(write, name, t, df) for t, df in res.tables.items())
-        if runs_path:
-            log_run(spark, runs_path, name, name, params={"tables": ",".join(res.tables)},
-                    metrics={"build_seconds": timings[name]})
+        outputs(name, res)
+        if serial:
+            for f in pending:
+                f.result()
+        timings[name] = time.time() - t0
         return res
 
     try:
@@ -226,23 +268,22 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
         def metrics_branch(cl):
             pool("side")
             run("cluster_metrics", lambda: cluster_metrics_step(
-                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"].summary.trainingCost))
-
-        def sweep_branch(cl):
-            pool("side")
-            run("elbow", lambda: StepResult({"elbow": CL.k_sweep(cl.values["scaled"], SCALED, CUSTOMER)}))
+                cl.tables["rfm"], cl.tables["customer_segments"], cl.values["model"], scaled=cl.values["scaled"],
+                sweep=sweep, n_init=n_init))
 
         def baskets_branch():
             pool("side")
             return basket_features(cleaned)
 
-        with ThreadPoolExecutor(max_workers=4) as branches:
+        with ThreadPoolExecutor(max_workers=1 if serial else 4) as branches:
             side = [branches.submit(side_branch)]
+            if serial:
+                side[0].result()
             baskets = branches.submit(baskets_branch)
-            cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init, sweep=sweep))
+            cl = run("clustering", lambda: clustering_step(cleaned, k=k, n_init=n_init))
             side.append(branches.submit(metrics_branch, cl))
-            if sweep:
-                side.append(branches.submit(sweep_branch, cl))
+            if serial:
+                side[1].result()
             lab = run("labelling", lambda: labelling_step(cl.tables["customer_segments"]))
             run("classifier", lambda: classifier_step(cleaned, lab.tables["labeled_customers"],
                                                       num_trees=num_trees, baskets=baskets.result()))

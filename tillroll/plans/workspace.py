@@ -3,14 +3,13 @@
 Several registered queries start from the same derived tables (cleaned
 lines, per-customer RFM, cluster assignments, labelled customers, the
 classifier split). Each is computed once per Spark application and input
-folder, written as Parquet under the shared checkpoint folder, and read back
+files, written as Parquet under the shared checkpoint folder, and read back
 by every later query: the work happens once, the lineage is cut, and a lost
 executor re-reads files instead of recomputing joins.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,17 @@ _TABLES: dict[tuple, str] = {}
 _OBJECTS: dict[tuple, object] = {}
 
 
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and modification time of the input folder's files, by whatever
+    file system Spark reads it with; a rewritten table is another input."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+
+
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    return (spark.sparkContext.applicationId, _files(spark, sf_dir), name)
 
 
 def shared_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:

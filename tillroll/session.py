@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -59,11 +60,14 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when that is unset (local
-    tests) a folder under /tmp is chosen and registered with the session.
+    Uses the cluster's ``spark.checkpoint.dir``. Only on a local master, where
+    driver and tasks see one disk, an unset one is replaced by a folder under
+    /tmp; on a cluster an unset one is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = os.path.join("/tmp", f"tillroll-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

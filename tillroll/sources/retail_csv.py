@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.columns import COLUMN_ALIASES, parse_timestamp
+from tillroll.functions.columns import COLUMN_ALIASES, parse_timestamp, timestamp_format
 
 
 class MissingInputError(FileNotFoundError):
@@ -29,58 +30,75 @@ RAW_FIELDS = [
 NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A", "<NA>"]
 
 
-def _raw_schema(header: list[str]) -> T.StructType:
-    """Schema for the file's own header spelling (InvoiceNo / UnitPrice / CustomerID)."""
-    canon = dict(RAW_FIELDS)
-    fields = []
-    for name in header:
-        target = COLUMN_ALIASES.get(name, name)
-        fields.append(T.StructField(name, canon.get(target, T.StringType()), True))
-    return T.StructType(fields)
-
-
 def normalise_columns(df: DataFrame) -> DataFrame:
     """Rename InvoiceNo->Invoice, UnitPrice->Price, CustomerID->Customer ID when present."""
     ren = {k: v for k, v in COLUMN_ALIASES.items() if k in df.columns and v not in df.columns}
     return df.withColumnsRenamed(ren) if ren else df
 
 
-def read_transactions_csv(
-    spark: SparkSession,
-    path: str,
-    header: list[str] | None = None,
-    encoding: str = "ISO-8859-1",
-) -> DataFrame:
-    """Scan a transactions CSV with an explicit schema.
+def _not_found(exc: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
 
-    ``header`` names the file's columns in order; by default the canonical
-    8-column layout is assumed. Text null tokens become nulls, InvoiceDate is
-    parsed to a timestamp and a float-typed Customer ID (``17850.0``) is cast to
-    a long. Missing paths raise ``MissingInputError``.
-    """
-    header = header or [n for n, _ in RAW_FIELDS]
+
+def scan_text(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+    """The file's columns as text under canonical names, placed by the header's
+    names in whatever order it has them. Text null tokens become nulls. Lines
+    that are longer or shorter than the header are kept, with their text in
+    ``_corrupt``. ISO-8859-1 decodes every byte; a UTF-8 file is read as such
+    with ``encoding="UTF-8"``. A missing path raises ``MissingInputError``."""
+    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
     try:
-        df = (
-            spark.read.schema(_raw_schema(header))
-            .option("header", True)
-            .option("encoding", encoding)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path)
-        )
-    except Exception as exc:  # AnalysisException PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        names = reader.csv(path).columns  # one line is read
+    except AnalysisException as exc:
+        if _not_found(exc):
             raise MissingInputError(path) from exc
         raise
-    df = normalise_columns(df)
-    for name, dtype in df.dtypes:
-        if dtype == "string":
-            df = df.withColumn(name, F.when(F.trim(F.col(name)).isin(NULL_TOKENS), None)
-                               .otherwise(F.col(name)))
-    if "InvoiceDate" in df.columns:
-        df = df.withColumn("InvoiceDate", parse_timestamp("InvoiceDate"))
-    return df
+    names = [n.lstrip("\ufeff\u00ef\u00bb\u00bf").strip() for n in names]
+    canonical = [COLUMN_ALIASES.get(n, n) for n in names]
+    missing = [n for n, _ in RAW_FIELDS if n not in canonical]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; its header is {names}")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in canonical] + [T.StructField("_corrupt", T.StringType())])
+    df = (reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+          .option("columnPruning", False).csv(path))  # else short lines go unnoticed
+    return df.select(*[F.when(~F.trim(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in canonical], "_corrupt")
+
+
+def _typed(name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.col(name)
+    number = F.trim(name).try_cast("double")
+    if not isinstance(kind, T.LongType):
+        return number
+    # whole numbers may be written 6 or 6.0
+    return F.coalesce(F.trim(name).try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+
+
+def csv_problems(text: DataFrame, date_format: str) -> DataFrame:
+    """One row: lines, corrupt_lines (not as many fields as the header), and for
+    each typed column the values that it cannot hold."""
+    bad = [(n, _typed(n, k)) for n, k in RAW_FIELDS if not isinstance(k, T.StringType)]
+    bad.append(("InvoiceDate", parse_timestamp("InvoiceDate", date_format)))
+    return text.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("_corrupt").isNotNull()).alias("corrupt_lines"),
+                    *[F.count_if(F.col(n).isNotNull() & v.isNull()).alias("bad_" + n.replace(" ", "_")) for n, v in bad])
+
+
+def read_transactions_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", date_format: str | None = None,
+                          allow_bad: bool = False) -> DataFrame:
+    """A transactions CSV in either column spelling and any column order, typed.
+
+    InvoiceDate is read by one format: ``date_format``, or the first that parses
+    every value (an error if none does). Values that a typed column cannot hold
+    are an error with their counts, unless ``allow_bad`` makes them nulls.
+    """
+    text = scan_text(spark, path, encoding)
+    date_format = date_format or timestamp_format(text, "InvoiceDate")
+    if not allow_bad:
+        row = csv_problems(text, date_format).first().asDict()
+        if bad := {k: v for k, v in row.items() if k != "lines" and v}:
+            raise ValueError(f"{path}: {bad} of {row['lines']} lines; pass allow_bad to read them as nulls")
+    return text.select(*[(parse_timestamp(n, date_format) if n == "InvoiceDate" else _typed(n, k)).alias(n)
+                         for n, k in RAW_FIELDS])
 
 
 def read_intermediate(spark: SparkSession, path: str, required: list[str] | None = None,
@@ -88,8 +106,8 @@ def read_intermediate(spark: SparkSession, path: str, required: list[str] | None
     """Read a table written by an earlier step and check its required columns."""
     try:
         df = spark.read.format(fmt).option("header", True).option("inferSchema", fmt == "csv").load(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:
+        if _not_found(exc):
             raise MissingInputError(path) from exc
         raise
     missing = [c for c in (required or []) if c not in df.columns]

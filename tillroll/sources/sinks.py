@@ -37,26 +37,9 @@ def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def report_rows(section: str, one_row: DataFrame, start: int = 0) -> DataFrame:
-    """Turn a one-row metrics frame into report rows (section, position, key, value)."""
-    cols = one_row.columns
-    parts = [x for i, c in enumerate(cols) for x in (F.lit(start + i), F.lit(c), F.col(c).cast("string"))]
-    return one_row.select(F.lit(section).alias("section"),
-                          F.stack(F.lit(len(cols)), *parts).alias("position", "key", "value"))
-
-
-def table_rows(section: str, df: DataFrame, key_cols: list[str], value_cols: list[str]) -> DataFrame:
-    """Report rows from a (small) result table: key = joined key columns + column name."""
-    parts = [x for c in value_cols for x in (F.lit(c), F.col(c).cast("string"))]
-    k = F.concat_ws(" / ", *[F.col(c).cast("string") for c in key_cols])
-    return df.select(F.lit(section).alias("section"), k.alias("_k"),
-                     F.stack(F.lit(len(value_cols)), *parts).alias("_c", "value")).select(
-        "section", F.lit(0).alias("position"), F.concat_ws(" : ", "_k", "_c").alias("key"), "value")
-
-
 def write_report(rows: DataFrame, path: str) -> str:
     """Text report, one ``section | key | value`` line per row, ordered."""
-    lines = rows.orderBy("section", "position", "key").select(
+    lines = rows.orderBy("section", "key").select(
         F.format_string("%s | %s | %s", "section", "key", F.coalesce("value", F.lit(""))).alias("value"))
     lines.write.mode("overwrite").text(path)
     return path

@@ -2,8 +2,7 @@
 
 Each step appends long rows ``(run_id, run_name, stage, start_time, kind, key,
 value, value_num)``. Metrics arrive as one-row DataFrames and are unpivoted
-with ``stack`` on the executors; nothing is collected to log them. The
-latest run of a name is a filter + max(start_time) scalar subquery.
+with ``stack`` on the executors; nothing is collected to log them.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,20 +64,33 @@ def runs(spark: SparkSession, runs_path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(runs_path)
 
 
+def latest_run_id(spark: SparkSession, runs_path: str, run_name: str) -> str | None:
+    """The id of the one most recent run with this name (of equal start times,
+    the least id); None without such a run or without a run table."""
+    try:
+        found = runs(spark, runs_path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
+    row = (found.where(F.col("run_name") == run_name).select("start_time", "run_id").distinct()
+           .orderBy(F.desc("start_time"), "run_id").first())
+    return row["run_id"] if row else None
+
+
 def latest_run(spark: SparkSession, runs_path: str, run_name: str) -> DataFrame:
     """All rows of the most recent run with this name."""
-    r = runs(spark, runs_path).where(F.col("run_name") == run_name)
-    last = r.agg(F.max("start_time")).scalar()
-    return r.where(F.col("start_time") == last)
+    return runs(spark, runs_path).where(F.col("run_id") == F.lit(latest_run_id(spark, runs_path, run_name)))
 
 
 def latest_param(spark: SparkSession, runs_path: str, run_name: str, key: str, fallback: str | None = None):
-    """A parameter of the latest run (e.g. a model path), or ``fallback``."""
-    try:
-        row = (latest_run(spark, runs_path, run_name)
-               .where((F.col("kind") == "param") & (F.col("key") == key)).select("value").first())
-    except Exception:  # no runs table yet
+    """A parameter of the latest run (e.g. a model path), or ``fallback`` if
+    there is no such run or parameter."""
+    run_id = latest_run_id(spark, runs_path, run_name)
+    if run_id is None:
         return fallback
+    row = (runs(spark, runs_path).where((F.col("run_id") == run_id) & (F.col("kind") == "param") & (F.col("key") == key))
+           .select("value").first())
     return row[0] if row else fallback
 
 
@@ -87,13 +100,14 @@ def save_model(model, path: str) -> str:
     return path
 
 
-def load_pipeline_model(path: str):
-    """PipelineModel at ``path`` or None when absent/unreadable."""
+def load_latest_model(spark: SparkSession, runs_path: str, run_name: str, fallback_path: str | None = None):
+    """The pipeline model that the latest run of this name logged as
+    ``model_path``, else the one at ``fallback_path``; no model is an error."""
     from pyspark.ml import PipelineModel
-    try:
-        return PipelineModel.load(path)
-    except Exception:
-        return None
+    path = latest_param(spark, runs_path, run_name, "model_path", fallback_path)
+    if path is None:
+        raise FileNotFoundError(f"no run {run_name!r} with a model_path, and no fallback")
+    return PipelineModel.load(path)
 
 
 def save_rfm_bundle(spark: SparkSession, path: str, scaler_params: DataFrame,

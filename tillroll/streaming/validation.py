@@ -85,8 +85,3 @@ def validate_classifier(df: DataFrame, text_col: str = "value") -> DataFrame:
               + [(f, ["int"], False) for f in CLASSIFIER_INT])
     fields = [(f, "double") for f in RFM_FIELDS + CLASSIFIER_NUMERIC] + [(f, "int") for f in CLASSIFIER_INT]
     return _validate(df, text_col, checks, fields)
-
-
-def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected rows with their error message)."""
-    return validated.where("valid"), validated.where(~F.col("valid"))
