@@ -123,12 +123,6 @@ def importance_band(c: str | Column) -> Column:
     return F.when(c > 0.1, "high").when(c > 0.01, "medium").otherwise("low")
 
 
-def require_columns(df: DataFrame, cols: list[str], what: str = "input") -> None:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"{what} is missing required columns: {missing}")
-
-
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``.
 
