@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tillroll.plans import workspace  # noqa: E402
 from tillroll.plans.queries import QUERIES  # noqa: E402
 from tillroll.plans.steps import run_pipeline  # noqa: E402
-from tillroll.session import get_spark, scratch_path  # noqa: E402
+from tillroll.session import drop_scratch, get_spark, scratch_path  # noqa: E402
 from tillroll.sources.tables import retail_dirty  # noqa: E402
 
 HEADLINE = ["rfm_log", "eda_kpis", "eda_weekday_hour", "segment_metrics", "classify_metrics", "score_rfm_fixed"]
@@ -53,6 +53,7 @@ def main() -> None:
         timings[f"serial_step_{k}"] = round(v, 3)
     timings["serial_total"] = round(sum(serial["timings"].values()), 3)
     timings.update(run_queries(spark, sf_dir))
+    drop_scratch(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "end_to_end_seconds", "value": round(total, 3), "unit": "sec",
                       "queries": timings, "sf": float(m.group(1)) if m else sf_dir}))

@@ -39,3 +39,16 @@ def test_outputs_reports_runs_and_the_saved_forest(spark, tmp_path):
     again = CF.predict(loaded, pred.select("Customer ID", *CF.FEATURES))
     same = pred.alias("a").join(again.alias("b"), "Customer ID").where("a.probabilities = b.probabilities")
     assert same.count() == pred.count() > 0
+
+
+def test_scratch_is_dropped_on_demand(spark, monkeypatch):
+    import os
+
+    from tillroll import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = session.scratch_path(spark, "drop")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    session.drop_scratch(spark)
+    assert not os.path.exists(local) and session._SCRATCH == []

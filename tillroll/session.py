@@ -75,6 +75,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCRATCH: list[str] = []  # what this process has been given
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what was written under this process's scratch paths, by whatever
+    file system holds them. Results that still read from there are lost, so
+    this is for the end of a job."""
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
