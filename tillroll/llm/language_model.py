@@ -41,14 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import stored, texts_in_small_batches
 
 CHUNK = 2_000_000  # tokens
 RANGE = 2_000_000  # keys that a hash range may be expected to gather
 BITS = 56
 START, END = 0, 1  # local numbers; words follow
 _SPECIAL = [xxhash.xxh64_intdigest(b"", seed) >> (64 - BITS) for seed in (1, 2)]
-STEPS = 16  # histogram cells to an octave of a probability ratio
+STEPS = 4  # histogram cells to an octave of a probability ratio
 NEVER = -100_000  # cell of a probability of zero
 
 
@@ -348,6 +348,7 @@ def score_texts(docs: DataFrame, learn: Column, deleted: Column, chunk_tokens: i
     yes = lambda c: F.coalesce(c, F.lit(False))
     rows = docs.select("doc_id", yes(learn).alias("learn"), (yes(learn) & yes(deleted)).alias("deleted"),
                        F.col("text").cast("string").alias("text"))
+    texts_in_small_batches(docs.sparkSession)
     chunks = stored(encode(rows, chunk_tokens), "lm-chunks")
     n, n_deleted, size = chunks.agg(
         F.sum("trained"), F.sum(F.when(F.col("deleted"), F.col("trained"))),
