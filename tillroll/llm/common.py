@@ -29,6 +29,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def texts_in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are read, and handed to Python workers, ``rows`` at a time.
+
+    Texts may be long: a reader's batch of one column is a single array, and a
+    worker holds an Arrow batch, its strings and its results at once. These are
+    session settings, read when a query runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", rows // 4)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have yet (names compare without case)."""
     have = {c.lower() for c in df.columns}

@@ -19,7 +19,6 @@ input are ignored, whatever their names.
 
 from __future__ import annotations
 
-import bisect
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import spread_rank, stored
+from tillroll.llm.common import spread_rank, stored, texts_in_small_batches
 
 _RING = 2**63
 
@@ -91,6 +90,7 @@ def bounded_loads(owner: list[int], counts: dict[int, int], caps: list[int]) ->
 def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: float = 0.0) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    texts_in_small_batches(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     points = ring_points(shards, vnodes)
     starts, owner = [p for p, _ in points], [s for _, s in points]
@@ -118,8 +118,3 @@ def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: fl
     return (ranked.join(F.broadcast(plan), "arc").withColumn("piece", piece)
             .select("doc_id", "size", "text_crc32", F.col("piece.shard").alias("shard"),
                     (F.col("piece.slot") + F.col("rank") - F.col("piece.lo")).alias("slot")))
-
-
-def arc_index(starts: list[int], position: int) -> int:
-    """The arc of a ring position: that of the first virtual node clockwise."""
-    return bisect.bisect_left(starts, position) % len(starts)
