@@ -87,7 +87,7 @@ def test_components_of_fingerprints_against_all_pairs(spark, limit):
     codes = near_codes(2, 600)
     signed = [int(np.array([c], np.uint64).view(np.int64)[0]) for c in codes]
     entries = spark.createDataFrame([(c,) for c in signed], "fp long").repartition(3)
-    got = {r["node"]: r["root"] for r in components(fingerprint_links(entries, len(codes), node_limit=limit)).collect()}
+    got = {r["node"]: r["root"] for r in components(fingerprint_links(entries, len(codes), node_limit=limit), 3 * len(codes)).collect()}
     groups, want = defaultdict(set), defaultdict(set)
     for c, r in zip(signed, plain_components(codes), strict=True):
         groups[got.get(c, c)].add(c)
@@ -98,7 +98,7 @@ def test_components_of_fingerprints_against_all_pairs(spark, limit):
 
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").repartition(5)
-    got = components(links).collect()
+    got = components(links, 300).collect()
     assert len(got) == 301 and {r["root"] for r in got} == {0}
 
 

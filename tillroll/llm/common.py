@@ -21,10 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+ROWS_PER_FILE = 1_000_000  # of a narrow table
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None, spread: bool = False) -> DataFrame:
     """Write to the shared checkpoint folder and read back: the work happens
-    once, lineage is cut, and a lost executor only re-reads files."""
+    once, lineage is cut, and a lost executor only re-reads files.
+
+    ``rows``, an upper bound of a narrow table's rows, keeps it from being
+    written as many small files: the last step runs in as few tasks as make
+    whole files, or, where that step is costly (``spread``), its results are
+    dealt anew."""
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        files = max(1, -(-rows // ROWS_PER_FILE))
+        df = df.repartition(files) if spread else df.coalesce(files)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

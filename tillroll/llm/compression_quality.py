@@ -26,6 +26,8 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import texts_in_small_batches
+
 BLOCK = 4096  # bytes compressed at a time, so that a long text doesn't outgrow the dictionary
 LEVEL = 3
 
@@ -134,6 +136,7 @@ def score(texts: list[bytes], model: CompressionModel) -> np.ndarray:
 
 def quality_score(spark: SparkSession, text: Column, model: CompressionModel) -> Column:
     """Calibrated probability of label 1 for a text column."""
+    texts_in_small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of at most dictionary_bytes
 
     @F.arrow_udf("double")

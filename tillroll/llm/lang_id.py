@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE = 1 << 20  # characters worked on at a time
+from tillroll.llm.common import texts_in_small_batches
+
+SLICE = 1 << 18  # characters worked on at a time
 UND = "und"
 
 
@@ -104,6 +106,7 @@ def train(labelled: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, b
     """Fit on every row of ``labelled`` (text, lang) that has both."""
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
         .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    texts_in_small_batches(labelled.sparkSession)
     blocks = max(1, (1 << grams.bits) // block)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +178,7 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
 
 def predict(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
     """struct<lang_pred, score> of a text column."""
+    texts_in_small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")

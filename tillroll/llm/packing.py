@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import parts_of, spread_rank, stored
+from tillroll.llm.common import parts_of, spread_rank, stored, texts_in_small_batches
 from tillroll.llm.tokens import tokenizer
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
@@ -109,15 +109,17 @@ def token_pieces(docs: DataFrame, window: int = 2048, end_id: int = 1,
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                           ["doc_id", "start", "length", "doc_tokens", "ids"])
 
+    texts_in_small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(cut, PIECES.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
 
-def pack(pieces: DataFrame, window: int = 2048) -> DataFrame:
+def pack(pieces: DataFrame, window: int = 2048, rows: int | None = None) -> DataFrame:
     """Add sequence_id and offset to ``pieces`` (doc_id, start, length of 1 to
-    ``window``, any more columns). Sequences are numbered gapless from 0."""
+    ``window``, any more columns). Sequences are numbered gapless from 0.
+    ``rows``: about how many pieces there are, if known."""
     spark = pieces.sparkSession
-    pieces = stored(pieces, "pieces")
+    pieces = stored(pieces, "pieces", rows, spread=True)
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most window rows
     full = histogram.pop(window, 0)
     patterns = minimum_bin_slack(histogram, window)
@@ -155,4 +157,5 @@ def pack_documents(docs: DataFrame, window: int = 2048, end_id: int = 1) -> Data
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: the ids
     themselves are not moved, only their checksum."""
     pieces = token_pieces(docs, window, end_id)
-    return pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), window)
+    return pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), window,
+                rows=docs.count())

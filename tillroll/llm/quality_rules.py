@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE
+from tillroll.llm.common import SPACE, texts_in_small_batches
 
 SYMBOLS = "#*$%&|<>"
 # fixed values: frequent function words of English, German, French and Spanish
@@ -51,6 +51,7 @@ def _without(text: Column, chars: str) -> Column:
 
 def text_stats(docs: DataFrame) -> DataFrame:
     """doc_id and the counts the rules use, one row for each document."""
+    texts_in_small_batches(docs.sparkSession)
     n = F.size("words")
     words = F.array_remove(F.split(F.translate("text", SPACE, " " * len(SPACE)), " "), "")
     out = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

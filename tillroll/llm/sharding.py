@@ -102,7 +102,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: fl
     def arc_of(position: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(starts, position.to_numpy()) % len(starts))
 
-    rows = stored(rows.withColumn("arc", arc_of("at")), "shard-rows")
+    rows = stored(rows.withColumn("arc", arc_of("at")), "shard-rows", rows=docs.count(), spread=True)
     counts = {r[0]: r[1] for r in rows.groupBy("arc").count().collect()}  # one row for each ring arc at most
     total = sum(counts.values())
     pieces = bounded_loads(owner, counts, capacities(total, shards, slack))

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import fresh, stored
+from tillroll.llm.common import fresh, stored, texts_in_small_batches
 
 FANOUT = 4
 SLICE = 1 << 20  # bytes of a text worked on at a time
@@ -211,7 +211,8 @@ def fingerprint_links(entries: DataFrame, count: int, max_bits: int = 2, node_li
     seg = F.explode(F.array(*[F.struct(F.lit(i).alias("mask_no"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("node"))
                               for i, m in enumerate(masks)]))
     placed = entries.select(seg.alias("s"), "fp").select("s.mask_no", "s.node", "fp")
-    sizes = stored(placed.groupBy("mask_no", "node").count().where(F.col("count") > 1), "simhash-nodes")
+    sizes = stored(placed.groupBy("mask_no", "node").count().where(F.col("count") > 1), "simhash-nodes",
+                   rows=len(masks) * count)
     small = sizes.where(F.col("count") <= node_limit).select("mask_no", "node")
     links = (placed.join(small, ["mask_no", "node"])  # a node with one entry has nothing to compare
              .repartition("mask_no", "node").sortWithinPartitions("mask_no", "node")
@@ -227,18 +228,18 @@ def fingerprint_links(entries: DataFrame, count: int, max_bits: int = 2, node_li
                              .where("a <> b").distinct())
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root): every node of ``links`` (a, b) with the least node reachable from it.
+def components(links: DataFrame, count: int, max_rounds: int = 60) -> DataFrame:
+    """(node, root): every node of ``links`` (a, b) with the least node reachable
+    from it; ``count`` is an upper bound of the links' number.
 
     Large-star: a node hands its larger neighbours to its least one; small-star:
     its smaller ones. A node's neighbours are only ever reduced to their least,
     so no neighbour list is gathered. Rounds go on until nothing changes.
     """
-    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                   "components")
-    if edges.isEmpty():
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    before = None
+    links = stored(links.where("a <> b"), "links", rows=count, spread=True)
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = stored(edges, "components", rows=count)
+    before, n = None, count
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -248,11 +249,11 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(least, "a")
         small = (small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        edges = stored(small, "components")
+        edges = stored(small, "components", rows=2 * n)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
@@ -262,22 +263,27 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, node_limit: int = 2048) -> DataFrame:
     """doc_id, fp, root (least fingerprint of the component) and component_id
     (least doc_id) of every row of ``docs`` (doc_id, text)."""
-    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
-    entries = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-entries")
-    parts = components(fingerprint_links(entries, entries.count(), max_bits, node_limit))
+    texts_in_small_batches(docs.sparkSession)
+    rows = docs.count()
+    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-prints",
+                    rows=rows, spread=True)
+    entries = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-entries", rows=rows)
+    count = entries.count()
+    parts = components(fingerprint_links(entries, count, max_bits, node_limit), 3 * count)
     rooted = entries.join(parts, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    found = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components", rows=count)
     return prints.join(found, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, broadcast_rows: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the least
     doc_id. Of repeated rows, and of a component of null ids, one row stays."""
-    found = stored(near_dedup(docs, shingle, max_bits), "simhash-found")
+    rows = docs.count()
+    found = stored(near_dedup(docs, shingle, max_bits), "simhash-found", rows=rows)
     often = stored(found.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
-                   .select("doc_id"), "simhash-repeated")
+                   .select("doc_id"), "simhash-repeated", rows=rows)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
     if gone.count() <= broadcast_rows:  # ids alone; else the texts are shuffled
         gone = F.broadcast(gone)

@@ -14,7 +14,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT = 800_000  # stretches that a worker remembers; beyond that it starts anew
+KEPT = 450_000  # stretches that a worker remembers, and as many that it used before those
 # without apostrophes, which may begin a contraction, and signs of special tokens
 _MARKS = frozenset(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")
 
@@ -28,13 +28,20 @@ class WordTokenizer:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text. New stretches of all of them are learnt together."""
         split = [_lower((t or "").encode()).split() for t in texts]  # of bytes: at ASCII white space
         if len(self.known) > KEPT:
-            self.known.clear()
-        self._learn(list(set().union(*split).difference(self.known)))
+            self.known, self.older = {}, self.known
+        new = []
+        for s in set().union(*split).difference(self.known):
+            if (ids := self.older.get(s)) is None:
+                new.append(s)
+            else:
+                self.known[s] = ids
+        self._learn(new)
         ids = self.known.__getitem__
         return [b"".join(map(ids, s)) for s in split]
 
