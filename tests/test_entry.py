@@ -45,6 +45,17 @@ def test_oracle(spark, duck, name):
     assert digest(sp)[:3] == digest(dd)[:3]
 
 
+@pytest.mark.parametrize("name", ["cluster_quality_embeddings", "cluster_silhouette_embeddings", "cluster_quality_rfm_fixed"])
+def test_cluster_metrics_match_at_a_small_sample_size(spark, duck, monkeypatch, name):
+    """With a sample far below the table both engines draw the same rows."""
+    from tillroll.plans import queries as Q
+    from tools.check_oracle import digest
+    monkeypatch.setattr(Q, "METRIC_SAMPLE", 100)
+    sql = E.oracle_sql()[name].replace("10000 - count(*)", "100 - count(*)")
+    assert sql != E.oracle_sql()[name]
+    assert digest(E.queries()[name](spark, SF_SMALL).toPandas())[:3] == digest(duck.execute(sql).df())[:3]
+
+
 PLAN_SUBSET = ["rfm_log", "features_invoice_stats", "eda_weekday_hour", "segment_customers", "basket_metrics",
                "classify_roc_curve", "split_stratified", "score_rfm_fixed", "classify_confusion"]
 

@@ -233,7 +233,7 @@ def test_summary_and_lineage_plans_read_the_join_once(spark):
     from conftest import SF_SMALL
     raw = S.retail_dirty(spark, SF_SMALL)
     plan = P.dataset_summary(raw)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") <= 10  # the dirty view reads its lines twice (a union)
+    assert plan.count("FileScan parquet") == 5
     rfm = C.clean(raw).groupBy("Customer ID").count()._jdf.queryExecution().executedPlan().toString()
     assert "l_comment" not in rfm and "l_extendedprice" not in rfm and "IsNotNull(o_custkey)" in rfm
     assert "Expand" not in EDA.kpis(C.clean(raw).withColumn("TotalPrice", 1.0 * F.col("Price")), median=0.0
