@@ -228,8 +228,8 @@ def _starts(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def _assign_and_add(models: list[np.ndarray], d: int):
-    """mapInArrow over feature columns: for each model and centre the sum and
-    number of its points and their squared distances, once for each task."""
+    """mapInArrow over feature columns: for each model and centre the number of
+    its points, their squared distances and their sums, once for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [np.zeros((len(c), d + 2)) for c in models]
@@ -246,8 +246,12 @@ def _assign_and_add(models: list[np.ndarray], d: int):
                         out[:, j] += np.bincount(at, x[:, j], len(c))
                     out[:, d] += np.bincount(at, minlength=len(c))
                     out[:, d + 1] += np.bincount(at, near, len(c))
-        yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sums], pa.binary()),
-                                          pa.array(range(len(sums)), pa.int32())], ["sums", "model"])
+        rows = np.concatenate(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(sums)), [len(s) for s in sums]).astype(np.int32)),
+             pa.array(np.concatenate([np.arange(len(s)) for s in sums]).astype(np.int32)),
+             pa.array(rows[:, d]), pa.array(rows[:, d + 1]), *[pa.array(rows[:, j]) for j in range(d)]],
+            ["model", "centre", "n", "cost", *[f"s{j}" for j in range(d)]])
 
     return run
 
@@ -262,8 +266,8 @@ def fit_kmeans_many(df: DataFrame, features: list[str], ks: list[int], seed: int
     at most ``seed_rows`` rows in hash order (a documented bound; every pass
     covers all rows). A model stops when the squared shift of its centres is at
     most ``tol`` times the mean feature variance. Ties go to the lower centre;
-    an empty centre stays where it is. Tasks hand back k sums each, added in
-    partition order.
+    an empty centre stays where it is. Spark adds the tasks' sums; the driver
+    gets one row for each model and centre.
     """
     data = materialize(df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]), "kmeans-rows")
     cols, d = data.columns, len(features)
@@ -276,10 +280,13 @@ def fit_kmeans_many(df: DataFrame, features: list[str], ks: list[int], seed: int
     try:
         moving = [(k, c, False) for k, _, c in runs]
         for step in range(1, max_iter + 2):
-            rows = data.mapInArrow(_assign_and_add([c for _, c, _ in moving], d), "sums binary, model int").collect()
+            sums = ["n", "cost", *[f"s{j}" for j in range(d)]]
+            rows = (data.mapInArrow(_assign_and_add([c for _, c, _ in moving], d),
+                                    "model int, centre int, " + ", ".join(f"{c} double" for c in sums))
+                    .groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in sums]).collect())
             total = [np.zeros((k, d + 2)) for k, _, _ in moving]
             for r in rows:
-                total[r["model"]] += np.frombuffer(r["sums"]).reshape(-1, d + 2)
+                total[r["model"]][r["centre"]] = [*[r[f"s{j}"] for j in range(d)], r["n"], r["cost"]]
             still = []
             for (k, c, settled), t in zip(moving, total, strict=True):
                 cost = float(t[:, d + 1].sum())
