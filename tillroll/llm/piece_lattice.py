@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 from functools import cache
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -37,14 +38,32 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import parts_of
+from tillroll.llm.common import parts_of, texts_in_small_batches
 
 BLANK = "▁"
-KEPT = 500_000  # stretches and parts that a worker remembers, and as many that it used before those
+KEPT = 450_000  # words, and parts, that a worker remembers, and as many that it used before those
 BATCH_BYTES = 4 << 20
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit
 
 
+class Memory:
+    """The best path's ids and score, and what the second loses, of what was
+    asked last: two generations of KEPT entries."""
+
+    def __init__(self):
+        self.new: dict[str, tuple[bytes, float, float]] = {}
+        self.old: dict[str, tuple[bytes, float, float]] = {}
+
+    def find(self, key: str, make) -> tuple[bytes, float, float]:
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key) or make(key)
+            if len(self.new) > KEPT:
+                self.new, self.old = {}, self.new
+            self.new[key] = got
+        return got
+
+
 class PieceLattice:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -65,43 +84,34 @@ class PieceLattice:
         self.byte_ids = [byte_ids[b].to_bytes(4, "little") for b in range(256)]
         self.unknown = min(s for s, _ in self.pieces.values() if s > -1e8) - 10
         self.longest = max(map(len, self.pieces))
-        self.trie: dict = {}  # character -> [the piece that ends here or None, what may follow]
-        for piece, scored in self.pieces.items():
-            following = self.trie
-            for c in piece:
-                node = following.setdefault(c, [None, {}])
-                following = node[1]
-            node[0] = scored
+        self.finder = ahocorasick.Automaton()
+        for piece, (score, ids) in self.pieces.items():
+            self.finder.add_word(piece, (len(piece), score, ids))
+        self.finder.make_automaton()
+        self.single = {p for p in self.pieces if len(p) == 1}
         self.joined = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         self.whole = re.compile(f"{BLANK}*[^{BLANK}]*")
-        # by stretch or part: ids and score of the best path, and what the second loses
-        self.known: dict[str, tuple[bytes, float, float]] = {}
-        self.older: dict[str, tuple[bytes, float, float]] = {}
+        self.words, self.parts = Memory(), Memory()  # words with a blank in front, and parts as they stand
 
     # -- the lattice of one part ------------------------------------------
 
-    def _edges(self, part: str) -> tuple[list[list[tuple[int, tuple[float, bytes]]]], list[float]]:
-        """For each node the edges that end there (start, (score, ids)), and the
+    def _edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
+        """For each node the edges that end there (start, score, ids), and the
         best score from the start, by a forward Viterbi pass."""
-        size, trie = len(part), self.trie
-        edges: list[list] = [[] for _ in range(size + 1)]
-        best = [0.0] + [-float("inf")] * size
-        for a, c in enumerate(part):
-            here, b = best[a], a + 1
-            node = trie.get(c)
-            if node is None or node[0] is None:
-                edges[b].append((a, (self.unknown, b"".join([self.byte_ids[x] for x in c.encode()]))))
-                best[b] = max(best[b], here + self.unknown)
-            while node is not None:
-                piece, following = node
-                if piece is not None:
-                    edges[b].append((a, piece))
-                    if here + piece[0] > best[b]:
-                        best[b] = here + piece[0]
-                if b == size:
-                    break
-                node = following.get(part[b])
-                b += 1
+        edges: list[list] = [[] for _ in range(len(part) + 1)]
+        best = [0.0] + [-float("inf")] * len(part)
+        found = self.finder.iter(part)  # all pieces in the part, by their ends
+        if not self.single.issuperset(part):
+            spelt = [(i, (1, self.unknown, b"".join([self.byte_ids[x] for x in c.encode()])))
+                     for i, c in enumerate(part) if c not in self.single]
+            found = heapq.merge(found, spelt, key=lambda x: x[0])
+        for end, (size, score, ids) in found:
+            end += 1
+            a = end - size
+            edges[end].append((a, score, ids))
+            score += best[a]
+            if score > best[end]:
+                best[end] = score
         return edges, best
 
     def search(self, part: str) -> Iterator[Path]:
@@ -118,7 +128,7 @@ class PieceLattice:
                     path = path[1]
                 yield score, b"".join(ids)
                 continue
-            for a, (s, ids) in edges[at]:
+            for a, s, ids in edges[at]:
                 g = score + s
                 push(agenda, (-(g + best[a]), a, next(count), g, (ids, path)))
 
@@ -129,29 +139,30 @@ class PieceLattice:
         at = [i for i in range(1, len(stretch)) if stretch[i - 1:i + 1] not in self.joined]
         return [stretch[a:b] for a, b in zip([0, *at], [*at, len(stretch)], strict=True)]
 
+    def _best_of_part(self, part: str) -> tuple[bytes, float, float]:
+        first, *second = itertools.islice(self.search(part), 2)
+        return first[1], first[0], first[0] - second[0][0] if second else float("inf")
+
     def best_of(self, stretch: str) -> tuple[bytes, float, float]:
-        got = self.known.get(stretch)
-        if got is None:
-            if len(self.known) > KEPT:
-                self.known, self.older = {}, self.known
-            if (got := self.older.get(stretch)) is None:
-                parts = self.cut(stretch)
-                if len(parts) == 1:
-                    first, *second = itertools.islice(self.search(stretch), 2)
-                    got = first[1], first[0], first[0] - second[0][0] if second else float("inf")
-                else:
-                    each = [self.best_of(p) for p in parts]
-                    got = b"".join([e[0] for e in each]), sum([e[1] for e in each]), min([e[2] for e in each])
-            self.known[stretch] = got
-        return got
+        each = [self.parts.find(p, self._best_of_part) for p in self.cut(stretch)]
+        if len(each) == 1:
+            return each[0]
+        return b"".join([e[0] for e in each]), sum([e[1] for e in each]), min([e[2] for e in each])
+
+    def _best_of_word(self, word: str) -> tuple[bytes, float, float]:
+        return self.best_of(BLANK + word)
 
     def nbest(self, text: str | None, n: int) -> list[Path]:
         """The n best segmentations of a whole text, best first."""
         if not text:
             return [(0.0, b"")]
-        stretches = [s for s in self.whole.findall(BLANK + text.replace(" ", BLANK)) if s]
-        known = self.known.get
-        got = [known(s) or self.best_of(s) for s in stretches]
+        if BLANK in text or "  " in text or text[0] == " ":  # runs of blanks: stretches as they stand
+            stretches = [s for s in self.whole.findall(BLANK + text.replace(" ", BLANK)) if s]
+            got, lead = [self.parts.find(s, self.best_of) for s in stretches], ""
+        else:
+            stretches, find, make = text.split(" "), self.words.find, self._best_of_word
+            known = self.words.new.get
+            got, lead = [known(s) or find(s, make) for s in stretches], BLANK
         score, spelt = sum([g[1] for g in got]), [g[0] for g in got]
         out = [(score, b"".join(spelt))]
         if n == 1:
@@ -162,7 +173,7 @@ class PieceLattice:
         for loss, i in sorted(few):
             if loss == float("inf"):
                 continue
-            paths = self.stretch_nbest(stretches[i], n)
+            paths = self.stretch_nbest(lead + stretches[i], n)
             combined = heapq.nsmallest(n, [
                 (lost + paths[0][0] - s, {**change, i: ids} if k else change)
                 for lost, change in combined for k, (s, ids) in enumerate(paths)], key=lambda x: x[0])
@@ -212,6 +223,7 @@ def nbest_segmentations(docs: DataFrame, n: int = 3, with_ids: bool = True, mode
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                                  names)
 
+    texts_in_small_batches(docs.sparkSession)
     ids = "ids binary, " if with_ids else ""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
