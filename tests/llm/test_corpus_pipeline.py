@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from llm.test_simhash import plain_components, plain_fingerprint
 from tillroll.llm import compression_quality, lang_id, queries
 from tillroll.llm.simhash import one_of_each
 from tillroll.llm.tokens import tokenizer
