@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import crc_mod
-from tillroll.llm.compression_quality import SampleBound, calibrate, measures, quality_score, sample, sigmoid, train
+from tillroll.llm.compression_quality import SampleBound, calibrate, calibrate_in_spark, measures, quality_score, sample, score, sigmoid, train
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -54,6 +54,35 @@ def test_one_label_none_and_empty_tables(spark, make_docs):
     assert train(make_docs([], 1), spark.createDataFrame([], LABELS)).good == b""
 
 
+def test_shares_of_labels_do_not_depend_on_the_bound(spark, make_docs):
+    rng = random.Random(5)
+    words = "the river was calm and we walked home over green hills until night fell".split(), \
+        "BUY now $$$ #win CLICK here cheap pills best free bets casino".split()
+    docs, labels = [], []
+    for i in range(2800):  # one bad text to six good ones, of mixed words
+        q = int(i % 7 > 0)
+        share = rng.gauss(0.6 if q else 0.4, 0.15)
+        docs.append((i, " ".join(rng.choice(words[rng.random() > share]) for _ in range(60))))
+        labels.append((i, q, 0))
+    marks, texts = spark.createDataFrame(labels, LABELS), [t.encode() for _, t in docs]
+    few, many = (score(texts, train(make_docs(docs), marks, SampleBound(rows=n))) for n in (200, 20_000))
+    assert abs(few.mean() - 6 / 7) < 0.03 and abs(many.mean() - 6 / 7) < 0.03
+    gap = np.log(few / (1 - few)) - np.log(many / (1 - many))
+    assert abs(np.median(gap)) < 0.5
+
+
+def test_calibration_in_spark_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 2))
+    y = (rng.random(4000) < sigmoid(x @ [2.0, -1.0] + 1.5)).astype(int)
+    rows = [(float(a), float(b), int(q), False) for (a, b), q in zip(x, y, strict=True)]
+    frame = spark.createDataFrame(rows, "x0 double, x1 double, quality int, taken boolean")
+    assert np.allclose(calibrate_in_spark(frame, np.zeros(3)), calibrate(x, y), atol=1e-6)
+    taken = frame.unionByName(frame.where("quality = 0").withColumn("taken", F.lit(True)))
+    assert np.allclose(calibrate_in_spark(taken, np.zeros(3))[:2], calibrate(x, y)[:2], atol=0.3)
+    assert abs(calibrate_in_spark(taken, np.zeros(3))[2] - (calibrate(x, y)[2] - np.log(2))) < 0.2
+
+
 def test_difference_is_normalised_and_signed():
     good, bad = b"the river was calm and we walked home " * 50, b"!!!BUY $$$ #win %% CLICK now " * 50
     x = measures([good[:200], bad[:200], b"", good * 20], good, bad)[:, 0]

@@ -5,15 +5,18 @@ with either dictionary, and the normalised size difference
 together with the log of the compressed share of the text, which tells
 repetitive text that either dictionary shrinks alike.
 
-Fitting reads a bounded sample of labelled rows (``SampleBound``): those with
-the smallest hash of their id, as many for each label, half for the
-dictionaries and half for the calibration. Scoring reads whole texts.
+The dictionaries, whose size is fixed, are trained on a bounded sample of the
+labelled rows (``SampleBound``): half of those with the smallest hash of their
+id, as many for each label. The calibration reads every other labelled row,
+whole, in Spark; each label is weighted so that it counts as often as among all
+labelled rows, so the share of a label doesn't depend on the bound. Scoring
+reads whole texts.
 
 Results for odd input: null text counts as empty; an empty text has difference
 and share 0 and gets the score of the calibration there; labels that are null or have no
-document are not used; with fewer than two labels in the sample every text gets
-the share of label 1 (0.5 without labels); repeated rows are scored one by one;
-an empty table gives an empty result; ties have no part in a score.
+document are not used; with fewer than two labels outside the dictionaries every text gets
+the share of label 1 (0.5 without labels); labelled rows that are repeated count
+once in the fit and are scored one by one; an empty table gives an empty result; ties have no part in a score.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import texts_in_small_batches
+from tillroll.llm.common import stored, texts_in_small_batches
 
 BLOCK = 4096  # bytes compressed at a time, so that a long text doesn't outgrow the dictionary
 LEVEL = 3
@@ -34,7 +37,7 @@ LEVEL = 3
 
 @dataclass(frozen=True)
 class SampleBound:
-    """The fit reads at most ``rows`` texts of each label, of at most ``text_bytes`` bytes each."""
+    """The dictionaries' sample has at most ``rows`` texts of each label, of at most ``text_bytes`` bytes each."""
 
     rows: int = 2000
     text_bytes: int = 32 << 10
@@ -119,14 +122,66 @@ def sample(docs: DataFrame, labels: DataFrame, bound: SampleBound) -> list:
             .orderBy("quality", order, "text").limit(4 * bound.rows).collect())
 
 
+def labelled_measures(docs: DataFrame, labels: DataFrame, good: bytes, bad: bytes, taken: set) -> DataFrame:
+    """(x0, x1, quality, taken) of every labelled row; ``taken``: its id is one the dictionaries were trained on."""
+    spark = docs.sparkSession
+    texts_in_small_batches(spark)
+    shared = spark.sparkContext.broadcast((good, bad))
+
+    @F.arrow_udf("struct<x0:double,x1:double>")
+    def measured(t: pa.Array) -> pa.Array:
+        x = measures(t.to_pylist(), *shared.value)
+        return pa.StructArray.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["x0", "x1"])
+
+    text = F.col("text").cast("string")
+    # measured before the join, so that no text is shuffled
+    rows = (docs.where("doc_id is not null and text is not null")
+            .select("doc_id", F.xxhash64(text).alias("h"), measured.asNondeterministic()(text.cast("binary")).alias("m")))
+    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").distinct()
+    ids = spark.createDataFrame([(i,) for i in taken], docs.select("doc_id").schema).withColumn("t", F.lit(True))
+    return (rows.join(marks, "doc_id").distinct()
+            .join(F.broadcast(ids), "doc_id", "left")  # at most 4 x rows ids
+            .select("m.x0", "m.x1", "quality", F.coalesce("t", F.lit(False)).alias("taken")))
+
+
+def calibrate_in_spark(rows: DataFrame, start: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """``calibrate`` over the rows that are not taken, each label with the weight
+    it has among all rows; a Newton step is one aggregate of 9 sums."""
+    counts = {r["quality"]: (r["n"], r["rest"]) for r in
+              rows.groupBy("quality").agg(F.count("*").alias("n"), F.count_if(~F.col("taken")).alias("rest")).collect()}
+    if len(counts) < 2 or not all(rest for _, rest in counts.values()):
+        return calibrate(np.zeros((1, 2)), np.array([counts.get(1, (0, 0))[0] / sum(n for n, _ in counts.values())])
+                         if counts else np.array([0.5]))
+    weight = F.when(F.col("quality") == 1, counts[1][0] / counts[1][1]).otherwise(counts[0][0] / counts[0][1])
+    rest = rows.where(~F.col("taken")).select("quality", weight.alias("n"), F.array("x0", "x1", F.lit(1.0)).alias("x"))
+    pairs = [(i, j) for i in range(3) for j in range(i + 1)]
+    x, w = [F.col("x")[i] for i in range(3)], start
+    for _ in range(steps):
+        z = sum((x[i] * float(w[i]) for i in range(1, 3)), x[0] * float(w[0]))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+        at = rest.withColumn("p", p)
+        sums = at.agg(*[F.sum(F.col("n") * (F.col("p") - F.col("quality")) * c) for c in x],
+                      *[F.sum(F.col("n") * F.col("p") * (1 - F.col("p")) * x[i] * x[j]) for i, j in pairs]).first()
+        hessian = ridge * np.eye(3)
+        for (i, j), v in zip(pairs, sums[3:], strict=True):
+            hessian[i, j] += v
+            hessian[j, i] = hessian[i, j]
+        step = np.linalg.solve(hessian, np.array(sums[:3]) + ridge * w)
+        w = w - step
+        if np.abs(step).max() < 1e-7:
+            break
+    return w
+
+
 def train(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()) -> CompressionModel:
-    """Fit on a bounded sample of the rows of ``docs`` that ``labels`` (doc_id, quality 0 or 1) marks."""
-    rows = [(r["text"].encode(), r["quality"]) for r in sample(docs, labels, bound)]
-    good = _dictionary([t for t, q in rows[::2] if q == 1], bound.dictionary_bytes)
-    bad = _dictionary([t for t, q in rows[::2] if q == 0], bound.dictionary_bytes)
+    """Fit on the rows of ``docs`` that ``labels`` (doc_id, quality 0 or 1) marks."""
+    rows = [(r["doc_id"], r["text"].encode(), r["quality"]) for r in sample(docs, labels, bound)]
+    good = _dictionary([t for _, t, q in rows[::2] if q == 1], bound.dictionary_bytes)
+    bad = _dictionary([t for _, t, q in rows[::2] if q == 0], bound.dictionary_bytes)
     rest = rows[1::2]
-    weights = calibrate(measures([t for t, _ in rest], good, bad), np.array([q for _, q in rest], float))
-    return CompressionModel(good, bad, weights)
+    start = calibrate(measures([t for _, t, _ in rest], good, bad), np.array([q for _, _, q in rest], float))
+    every = stored(labelled_measures(docs, labels, good, bad, {i for i, _, _ in rows[::2]}), "quality-measures")
+    return CompressionModel(good, bad, calibrate_in_spark(every, start))
 
 
 def score(texts: list[bytes], model: CompressionModel) -> np.ndarray:
