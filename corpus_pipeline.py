@@ -19,11 +19,17 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is found with a posterior of at least MIN_LANGUAGE_SCORE."""
+    """Keep documents whose language is found with a posterior of at least
+    MIN_LANGUAGE_SCORE and that fit it as its training rows do, so that texts in
+    other languages, code and noise are rejected at any length."""
     found = fresh(docs, "language")
     model = queries.naive_bayes(spark, sf_dir)
+    lang, fit = F.col(found)["lang_pred"], F.col(found)["fit"]
+    fits = F.lit(False)
+    for name, least in lang_id.least_fits(queries.language_rows(spark, sf_dir), model).items():
+        fits = fits | ((lang == name) & (fit >= least))
     return (docs.withColumn(found, lang_id.predict(spark, F.col("text"), model))
-            .where((F.col(found)["lang_pred"] != lang_id.UND) & (F.col(found)["score"] >= MIN_LANGUAGE_SCORE))
+            .where((lang != lang_id.UND) & (F.col(found)["score"] >= MIN_LANGUAGE_SCORE) & fits)
             .select(docs.columns))
 
 

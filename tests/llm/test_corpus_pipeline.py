@@ -1,3 +1,4 @@
+import random
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -45,6 +46,19 @@ def test_stages_return_the_columns_of_documents_and_keep_clean_ones(spark):
         assert out.join(good.select("doc_id"), "doc_id").count() >= 0.98 * good.count(), name
 
 
+def test_texts_of_no_learnt_language_are_rejected(spark, make_docs):
+    rng = random.Random(4)
+    odd = ["Vandaag gaan wij samen naar huis omdat het weer zo mooi is geworden en de vogels zingen ",
+           "Ala ma kota a kot ma Ale i wszyscy szczęśliwie żyją w wielkim domu nad rzeką ",
+           "Сегодня мы идем домой по реке и лесу ", "def f(x):\n  return self.foo[x] + kwargs.get('bar')\nfor i in j: print(i)\n",
+           "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), "xq zzkj wqxv "]
+    sf = "/root/testdata/sf0.01"
+    learnt = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 20").select("text").collect()]
+    texts = [t * n for t in odd for n in (1, 200)] + learnt
+    got = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, make_docs(list(enumerate(texts))), sf).collect()}
+    assert got == set(range(2 * len(odd), len(texts)))
+
+
 @pytest.mark.parametrize("rows", [1, 2_000_000])
 def test_one_of_each_with_repeated_rows_and_null_ids(make_docs, rows):
     a, b = "the first text of all here", "another one that is not like it"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import lang_id
 from tillroll.llm.common import crc_mod
-from tillroll.llm.lang_id import Grams, classify, count_grams, hashed_grams, predict, train
+from tillroll.llm.lang_id import Grams, classify, classify_with_fit, count_grams, hashed_grams, least_fits, predict, train
 
 GRAMS = Grams(bits=12)
 
@@ -88,6 +88,21 @@ def test_predictions_on_a_table(spark, make_docs):
     assert sum(got[d][0][0] == x for d, _, x in docs[:60]) >= 58
 
 
+def test_fit_is_a_mean_and_its_bound_that_of_all_rows(spark, make_docs):
+    docs = corpus() + [(900, None, "en"), (901, "12 %", "en"), (902, "the", "xx")]
+    model = train(make_docs(docs[:60]), GRAMS)
+    fits = defaultdict(list)
+    for _, t, x in docs[:60]:
+        b = np.concatenate([b for _, b in hashed_grams([(0, t)], GRAMS)])
+        fits[x].append(model.log_probs[b, model.languages.index(x)].mean())
+    got = least_fits(make_docs(docs), model, deviations=3, margin=0.1)
+    assert got.keys() == fits.keys()
+    assert all(abs(got[x] - (np.mean(v) - max(3 * np.std(v), 0.1))) < 1e-4 for x, v in fits.items())
+    (_, _), _, fit = classify_with_fit(["the thing", "12 %"], model)
+    assert -9 < fit[0] < 0 and np.isnan(fit[1])
+    assert least_fits(make_docs([], 1), model) == {} == least_fits(make_docs(docs), train(make_docs([], 1), GRAMS))
+
+
 def test_no_labelled_rows_and_empty_table(spark, make_docs):
     model = train(make_docs([(1, "the", None)]))
     assert model.languages == [] and classify(["the", None], model)[0] == ["und", "und"]

@@ -5,8 +5,13 @@ tasks; each task sends one count vector for each language and block of buckets,
 and Spark adds them up. The log-probability matrix (languages x 2**bits floats;
 its size is a parameter) is broadcast, and ``predict`` scores Arrow batches.
 
+The posterior only weighs the learnt languages against each other and nears 1
+with length for any text. ``fit``, the mean log-probability per n-gram under the
+language found, does not grow with length; ``least_fits`` learns from all
+training rows of a language how low it may be.
+
 Results for odd input: null text and text without a letter are ``und`` with
-score 0; rows without a language or id rule are never learnt from; ties go to
+score 0 and no fit; rows without a language or id rule are never learnt from; ties go to
 the language first by name; without any labelled row every text is ``und``;
 repeated rows are scored one by one; an empty table gives an empty result;
 documents of any length are read whole, in slices of ``SLICE`` characters.
@@ -156,10 +161,10 @@ def train(labelled: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, b
                          np.log(docs / docs.sum()) if names else docs, grams)
 
 
-def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
-    """Language and posterior of each text."""
+def log_prob_sums(texts: list[str | None], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the sum of its n-grams' log-probabilities under each language, and the number of n-grams."""
     n, k = len(texts), len(model.languages)
-    score, seen = np.zeros((n, max(1, k))), np.zeros(n, bool)
+    score, grams = np.zeros((n, max(1, k))), np.zeros(n, np.int64)
     for parts in _slices([t or "" for t in texts]):
         for doc, bucket in hashed_grams(parts, model.grams):
             if not len(doc) or not k:
@@ -167,24 +172,59 @@ def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str],
             first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
             for lang in range(k):
                 score[doc[first], lang] += np.add.reduceat(model.log_probs[:, lang][bucket], first, dtype=np.float64)
-            seen[doc[first]] = True
-    if k:
-        score += model.log_priors
+            grams[doc[first]] += np.diff(np.r_[first, len(doc)])
+    return score, grams
+
+
+def classify_with_fit(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, posterior and fit (NaN for ``und``) of each text."""
+    sums, grams = log_prob_sums(texts, model)
+    seen = grams > 0
+    score = sums + model.log_priors if model.languages else sums
     best = score.argmax(axis=1)
     posterior = 1 / np.exp(score - score.max(axis=1, keepdims=True)).sum(axis=1)
+    fit = sums[np.arange(len(texts)), best] / np.maximum(grams, 1)
     return ([model.languages[b] if s else UND for b, s in zip(best, seen, strict=True)],
-            np.where(seen, posterior, 0.0))
+            np.where(seen, posterior, 0.0), np.where(seen, fit, np.nan))
+
+
+def classify(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
+    """Language and posterior of each text."""
+    return classify_with_fit(texts, model)[:2]
+
+
+def least_fits(labelled: DataFrame, model: LanguageModel, deviations: float = 10.0, margin: float = 1.0) -> dict[str, float]:
+    """For each language ``deviations`` standard deviations below the mean of
+    the fits of all its rows in ``labelled`` (text, lang), but ``margin`` at
+    least (nats; few or equal rows hardly deviate)."""
+    spark = labelled.sparkSession
+    texts_in_small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def own_fit(t: pa.Array, lang: pa.Array) -> pa.Array:
+        m = shared.value
+        sums, grams = log_prob_sums(t.to_pylist(), m)
+        own = [m.languages.index(x) for x in lang.to_pylist()]
+        return pa.array(sums[np.arange(len(own)), own] / np.maximum(grams, 1), pa.float64(), mask=grams == 0)
+
+    text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
+    rows = labelled.where(text.isNotNull() & lang.isin(model.languages)).select(
+        lang.alias("lang"), own_fit.asNondeterministic()(text, lang).alias("fit"))
+    got = rows.groupBy("lang").agg(F.avg("fit").alias("mean"), F.stddev_pop("fit").alias("sd")).where("mean is not null")
+    return {r["lang"]: r["mean"] - max(deviations * r["sd"], margin) for r in got.collect()}  # a row for each language
 
 
 def predict(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
-    """struct<lang_pred, score> of a text column."""
+    """struct<lang_pred, score, fit> of a text column."""
     texts_in_small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,fit:double>")
     def language(t: pa.Array) -> pa.Array:
-        langs, score = classify(t.to_pylist(), shared.value)
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64())],
-                                          ["lang_pred", "score"])
+        langs, score, fit = classify_with_fit(t.to_pylist(), shared.value)
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64()),
+                                           pa.array(fit, pa.float64(), mask=np.isnan(fit))],
+                                          ["lang_pred", "score", "fit"])
 
     return language.asNondeterministic()(text.cast("string"))  # so that no filter runs it a second time

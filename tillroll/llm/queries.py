@@ -61,8 +61,12 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def language_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2)
+
+
 def naive_bayes(spark: SparkSession, sf_dir: str) -> lang_id.LanguageModel:
-    return lang_id.train(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2))
+    return lang_id.train(language_rows(spark, sf_dir))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
