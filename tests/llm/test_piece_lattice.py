@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tillroll.llm import piece_lattice, queries
 from tillroll.llm.piece_lattice import BLANK, lattice, nbest_segmentations
 
 TEXTS = ["", None, " ", "  ", "a", "hello world", " a  b\n c\t d", "é𝄞日本x", "don't, stop!!", "x<unk>y </s>", "aaaaaaa", "the▁of",
@@ -72,3 +73,18 @@ def test_table(make_docs):
     assert len(by) == len(docs) - 1
     assert nbest_segmentations(make_docs([], 1)).count() == 0
     assert "ids" not in nbest_segmentations(make_docs([(1, "a")]), with_ids=False).columns
+
+
+def test_each_path_is_decoded_and_the_query_returns_ids(spark):
+    class Wrong:
+        def nbest(self, text, n):
+            return [(-1.0, b"a"), (-2.0, b"b"), (-3.0, b"a")][:n]
+
+        def decode(self, ids):
+            return "x" if ids == b"a" else "y"
+
+    assert [r[3] for r in piece_lattice.ranked(Wrong(), "x", 3)] == [True, False, True]
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    pieces = piece_lattice.lattice()
+    for r in queries.op2_sentencepiece_nbest(spark, "/root/testdata/sf0.001").where("doc_id < 30").collect():
+        assert r["round_trip"] and pieces.decode(bytes(r["ids"])) == docs[r["doc_id"]].replace(piece_lattice.BLANK, " ")

@@ -203,9 +203,15 @@ def lattice(name: str = "piece_bpe_32k.model") -> PieceLattice:
     return PieceLattice(public_tokenizers.path(name))
 
 
+def ranked(pieces: PieceLattice, text: str | None, n: int) -> list[tuple[int, float, bytes, bool]]:
+    """Rank, score, ids and round trip of each of a text's n best paths; every path is decoded for itself."""
+    want = (text or "").replace(BLANK, " ")
+    return [(k, score, ids, pieces.decode(ids) == want) for k, (score, ids) in enumerate(pieces.nbest(text, n), 1)]
+
+
 def nbest_segmentations(docs: DataFrame, n: int = 3, with_ids: bool = True, model: str = "piece_bpe_32k.model") -> DataFrame:
     """doc_id, rank, score, n_pieces, ids (little-endian unsigned 32-bit; on
-    demand), ids_crc32 and round_trip (decoding the document's best ids gives its
+    demand), ids_crc32 and round_trip (decoding the path's ids gives the document's
     text) of every row of ``docs`` (doc_id, text)."""
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +220,8 @@ def nbest_segmentations(docs: DataFrame, n: int = 3, with_ids: bool = True, mode
             for part in parts_of(batch, BATCH_BYTES):
                 rows = []
                 for doc, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
-                    paths = pieces.nbest(text, n)
-                    same = pieces.decode(paths[0][1]) == (text or "").replace(BLANK, " ")
-                    rows += [(doc, k + 1, score, len(ids) // 4, *([ids] if with_ids else []), zlib.crc32(ids), same)
-                             for k, (score, ids) in enumerate(paths)]
+                    rows += [(doc, k, score, len(ids) // 4, *([ids] if with_ids else []), zlib.crc32(ids), same)
+                             for k, score, ids, same in ranked(pieces, text, n)]
                 types = [part.schema.field(0).type, pa.int32(), pa.float64(), pa.int64(), *([pa.binary()] if with_ids else []),
                          pa.int64(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],

@@ -36,7 +36,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_lattice.nbest_segmentations(table(spark, sf_dir, "documents"), n=3, with_ids=False)
+    return piece_lattice.nbest_segmentations(table(spark, sf_dir, "documents"), n=3)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
