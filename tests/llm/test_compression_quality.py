@@ -1,10 +1,14 @@
+import math
 import random
 
 import numpy as np
+import pytest
+import zstandard as zstd
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import crc_mod
-from tillroll.llm.compression_quality import SampleBound, calibrate, calibrate_in_spark, measures, quality_score, sample, score, sigmoid, train
+from tillroll.llm.compression_quality import (SampleBound, _dictionary, calibrate, calibrate_in_spark, labelled_measures,
+                                              measures, quality_score, sample, score, settled, sigmoid, train)
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -96,6 +100,72 @@ def test_calibration_finds_known_weights():
     assert np.allclose(calibrate(x, y), [2.0, -1.0, 0.5], atol=0.12)
 
 
+@pytest.mark.parametrize("times", [0.0, 1.0, 4.0, -4.0, 50.0])
+def test_calibration_settles_from_any_start(spark, times):
+    rng = np.random.default_rng(8)
+    y = (rng.random(3000) < 0.86).astype(int)
+    x = np.column_stack([rng.normal(0.01, 0.02, 3000) + 0.03 * y, rng.normal(-1.2, 0.1, 3000) - 0.4 * (rng.random(3000) < 0.1)])
+    want = calibrate(x, y)
+    assert np.allclose(calibrate(x, y, start=times * want), want, rtol=1e-6)
+    frame = spark.createDataFrame([(float(a), float(b), int(q), False) for (a, b), q in zip(x, y, strict=True)],
+                                  "x0 double, x1 double, quality int, taken boolean")
+    assert np.allclose(calibrate_in_spark(frame, times * want), want, rtol=1e-5)
+
+
+@pytest.fixture(scope="module")
+def measured_table(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet").where(crc_mod("doc_id", 5) != 0) for t in ("documents", "labels"))
+    rows = sample(docs, labels, SampleBound())
+    texts = {q: [r["text"].encode() for r in rows[::2] if r["quality"] == q] for q in (0, 1)}
+    every = labelled_measures(docs, labels, *(_dictionary(texts[q], 64 << 10) for q in (1, 0)), {r["doc_id"] for r in rows[::2]})
+    return spark.createDataFrame(every.toPandas()).coalesce(4).cache()
+
+
+@pytest.mark.parametrize("times", [0.0, 1.0, 4.0, -4.0])
+def test_calibration_of_the_table_settles_from_any_start(measured_table, times):
+    want = calibrate_in_spark(measured_table, np.zeros(3))
+    assert np.allclose(calibrate_in_spark(measured_table, times * want), want, rtol=1e-5)
+
+
+def test_what_does_not_settle_raises():
+    with pytest.raises(RuntimeError):
+        settled(lambda w: (float(w @ w), -2 * w - 1, np.eye(2)), np.ones(2))  # a gradient that points uphill
+    with pytest.raises(RuntimeError):
+        settled(lambda w: (float(np.exp(-w[0])), np.array([-np.exp(-w[0])]), np.array([[np.exp(-w[0])]])), np.zeros(1))
+
+
+def plain_measures(text, good, bad):
+    """Block by block with a fresh compressor each time."""
+    size = []
+    for d in (good, bad):
+        c = zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(d), write_checksum=False,
+                                write_content_size=False, write_dict_id=False)
+        size.append(sum(len(c.compress(text[a:a + 4096])) for a in range(0, len(text), 4096)))
+    return ((size[1] - size[0]) / sum(size), np.log(min(size) / len(text))) if text else (0.0, 0.0)
+
+
+def test_measures_and_scores_against_plain_code(spark, make_docs):
+    docs, labels = corpus()
+    docs += [(500, "the river " * 3000), (501, "x"), (502, "é" * 5000)]
+    model = train(make_docs(docs), spark.createDataFrame([*labels, (500, 1, 0), (501, 0, 0)], LABELS))
+    want = np.array([plain_measures(t.encode(), model.good, model.bad) for _, t in docs])
+    assert np.allclose(measures([t.encode() for _, t in docs], model.good, model.bad), want)
+    rows = make_docs(docs).select("doc_id", quality_score(spark, F.col("text"), model).alias("s")).collect()
+    line = {i: float(x @ model.weights[:2] + model.weights[2]) for (i, _), x in zip(docs, want, strict=True)}
+    assert all(abs(r["s"] - 1 / (1 + math.exp(-line[r["doc_id"]]))) < 1e-12 for r in rows)
+
+
+@pytest.mark.parametrize("broadcast_rows", [1, 1_000_000])
+def test_labelled_measures_at_any_number_of_labels(spark, make_docs, broadcast_rows):
+    docs, labels = corpus(40)
+    good, bad = b"the river was calm " * 40, b"BUY now CLICK win " * 40
+    marks = spark.createDataFrame([*labels[:30], labels[0], (900, 1, 0)], LABELS)
+    rows = labelled_measures(make_docs([*docs, docs[3], (None, "we walked")]), marks, good, bad, {1, 2}, broadcast_rows).collect()
+    want = [(*plain_measures(t.encode(), good, bad), i % 2, i in (1, 2)) for i, t in docs[:30]]
+    assert np.allclose(sorted(tuple(r) for r in rows), sorted(want))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     learn = crc_mod("doc_id", 5) != 0

@@ -21,6 +21,7 @@ once in the fit and are scored one by one; an empty table gives an empty result;
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,26 +86,64 @@ def measures(texts: list[bytes], good: bytes, bad: bytes) -> np.ndarray:
     return out
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weights of a logistic regression by Newton steps; the last is the bias."""
-    design = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(design.shape[1])
-    if not len(y) or y.min() == y.max():
-        p = np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99)
-        w[-1] = np.log(p / (1 - p))
-        return w
+def settled(at: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], start: np.ndarray,
+            steps: int = 100) -> np.ndarray:
+    """The weights of least loss by damped Newton steps. ``at`` gives the loss,
+    its gradient and its Hessian at some weights. A step is halved until the
+    loss falls as its gradient promises, so any start leads to the one minimum
+    of the convex loss; what doesn't settle raises."""
+    w, (loss, grad, hessian) = start, at(start)
     for _ in range(steps):
-        p = sigmoid(design @ w)
-        grad = design.T @ (p - y) + ridge * w
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w)), grad)
-        w = w - step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w
+        step = np.linalg.solve(hessian, grad)
+        promised = float(grad @ step)
+        if promised <= 1e-10 * abs(loss):
+            return w - step
+        size = 1.0
+        while True:
+            there = at(w - size * step)
+            if there[0] <= loss - 1e-4 * size * promised:
+                break
+            size /= 2
+            if size < 1e-9:
+                raise RuntimeError(f"the calibration found no lower loss than {loss} at {w}")
+        w, (loss, grad, hessian) = w - size * step, there
+    raise RuntimeError(f"the calibration did not settle in {steps} steps: {w}")
+
+
+def _in_units(w: np.ndarray, mean: np.ndarray, sd: np.ndarray, back: bool = False) -> np.ndarray:
+    """Weights of raw columns as weights of standardised ones, or ``back``."""
+    if back:
+        raw = w[:-1] / sd
+        return np.append(raw, w[-1] - raw @ mean)
+    return np.append(w[:-1] * sd, w[-1] + w[:-1] @ mean)
+
+
+def constant_weights(share: float, columns: int = 2) -> np.ndarray:
+    """Every text gets the share of label 1."""
+    p = np.clip(share, 0.01, 0.99)
+    return np.append(np.zeros(columns), np.log(p / (1 - p)))
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic regression; the last is the bias. The columns are standardised for the fit."""
+    if not len(y) or y.min() == y.max():
+        return constant_weights(y.mean() if len(y) else 0.5, x.shape[1])
+    mean, sd = x.mean(axis=0), x.std(axis=0)
+    sd = np.where(sd > 0, sd, 1.0)
+    design = np.column_stack([(x - mean) / sd, np.ones(len(x))])
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = design @ w
+        p = sigmoid(z)
+        return (float((np.logaddexp(0, z) - y * z).sum() + ridge / 2 * w @ w), design.T @ (p - y) + ridge * w,
+                (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w)))
+
+    first = np.zeros(design.shape[1]) if start is None else _in_units(start, mean, sd)
+    return _in_units(settled(at, first), mean, sd, back=True)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 1 / (1 + np.exp(-np.clip(x, -700, 700)))
 
 
 def sample(docs: DataFrame, labels: DataFrame, bound: SampleBound) -> list:
@@ -122,8 +161,12 @@ def sample(docs: DataFrame, labels: DataFrame, bound: SampleBound) -> list:
             .orderBy("quality", order, "text").limit(4 * bound.rows).collect())
 
 
-def labelled_measures(docs: DataFrame, labels: DataFrame, good: bytes, bad: bytes, taken: set) -> DataFrame:
-    """(x0, x1, quality, taken) of every labelled row; ``taken``: its id is one the dictionaries were trained on."""
+def labelled_measures(docs: DataFrame, labels: DataFrame, good: bytes, bad: bytes, taken: set,
+                      broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(x0, x1, quality, taken) of every labelled row; ``taken``: its id is one the dictionaries were trained on.
+
+    While the labelled ids number at most ``broadcast_rows`` they are broadcast and only their texts are compressed;
+    beyond, every text is compressed where it lies and only its measures are joined, so that no text is shuffled."""
     spark = docs.sparkSession
     texts_in_small_batches(spark)
     shared = spark.sparkContext.broadcast((good, bad))
@@ -134,43 +177,58 @@ def labelled_measures(docs: DataFrame, labels: DataFrame, good: bytes, bad: byte
         return pa.StructArray.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["x0", "x1"])
 
     text = F.col("text").cast("string")
-    # measured before the join, so that no text is shuffled
-    rows = (docs.where("doc_id is not null and text is not null")
-            .select("doc_id", F.xxhash64(text).alias("h"), measured.asNondeterministic()(text.cast("binary")).alias("m")))
     marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").distinct()
+    few = marks.limit(broadcast_rows + 1).count() <= broadcast_rows
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", text.alias("text"))
+    if few:
+        rows = rows.join(F.broadcast(marks.select("doc_id").distinct()), "doc_id", "left_semi")
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"),
+                       measured.asNondeterministic()(F.col("text").cast("binary")).alias("m"))
     ids = spark.createDataFrame([(i,) for i in taken], docs.select("doc_id").schema).withColumn("t", F.lit(True))
-    return (rows.join(marks, "doc_id").distinct()
+    return (rows.join(F.broadcast(marks) if few else marks, "doc_id").distinct()
             .join(F.broadcast(ids), "doc_id", "left")  # at most 4 x rows ids
             .select("m.x0", "m.x1", "quality", F.coalesce("t", F.lit(False)).alias("taken")))
 
 
-def calibrate_in_spark(rows: DataFrame, start: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+def calibrate_in_spark(rows: DataFrame, start: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     """``calibrate`` over the rows that are not taken, each label with the weight
-    it has among all rows; a Newton step is one aggregate of 9 sums."""
-    counts = {r["quality"]: (r["n"], r["rest"]) for r in
-              rows.groupBy("quality").agg(F.count("*").alias("n"), F.count_if(~F.col("taken")).alias("rest")).collect()}
-    if len(counts) < 2 or not all(rest for _, rest in counts.values()):
-        return calibrate(np.zeros((1, 2)), np.array([counts.get(1, (0, 0))[0] / sum(n for n, _ in counts.values())])
-                         if counts else np.array([0.5]))
-    weight = F.when(F.col("quality") == 1, counts[1][0] / counts[1][1]).otherwise(counts[0][0] / counts[0][1])
-    rest = rows.where(~F.col("taken")).select("quality", weight.alias("n"), F.array("x0", "x1", F.lit(1.0)).alias("x"))
+    it has among all rows; the loss, gradient and Hessian at some weights are one
+    aggregate of 10 sums."""
+    rest = ~F.col("taken")
+    counts = {r["quality"]: r for r in rows.groupBy("quality").agg(
+        F.count("*").alias("n"), F.count_if(rest).alias("rest"),
+        *[f(F.when(rest, F.col(c))).alias(f"{k}_{c}") for c in ("x0", "x1") for k, f in (("mean", F.avg), ("var", F.var_pop))]
+    ).collect()}  # a row for each label
+    if len(counts) < 2 or not all(r["rest"] for r in counts.values()):
+        total = sum(r["n"] for r in counts.values())
+        return constant_weights((counts[1]["n"] if 1 in counts else 0) / total if total else 0.5)
+    share = np.array([counts[q]["n"] for q in (0, 1)], float)
+    share /= share.sum()
+    means = np.array([[counts[q][f"mean_{c}"] for c in ("x0", "x1")] for q in (0, 1)])
+    mean = share @ means
+    sd = np.sqrt(share @ (np.array([[counts[q][f"var_{c}"] for c in ("x0", "x1")] for q in (0, 1)]) + (means - mean) ** 2))
+    sd = np.where(sd > 0, sd, 1.0)
+    weight = F.when(F.col("quality") == 1, counts[1]["n"] / counts[1]["rest"]).otherwise(counts[0]["n"] / counts[0]["rest"])
     pairs = [(i, j) for i in range(3) for j in range(i + 1)]
-    x, w = [F.col("x")[i] for i in range(3)], start
-    for _ in range(steps):
-        z = sum((x[i] * float(w[i]) for i in range(1, 3)), x[0] * float(w[0]))
-        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
-        at = rest.withColumn("p", p)
-        sums = at.agg(*[F.sum(F.col("n") * (F.col("p") - F.col("quality")) * c) for c in x],
-                      *[F.sum(F.col("n") * F.col("p") * (1 - F.col("p")) * x[i] * x[j]) for i, j in pairs]).first()
+    x = [(F.col(c) - float(mean[i])) / float(sd[i]) for i, c in enumerate(("x0", "x1"))] + [F.lit(1.0)]
+    points = rows.where(rest).select(weight.alias("n"), F.col("quality").alias("q"), *[c.alias(f"z{i}") for i, c in enumerate(x)])
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = [F.col(f"z{i}") for i in range(3)]
+        line = z[0] * float(w[0]) + z[1] * float(w[1]) + z[2] * float(w[2])
+        there = points.withColumn("t", line).withColumn("p", 1 / (1 + F.exp(-F.col("t"))))
+        n, q, t, p = (F.col(c) for c in "nqtp")
+        sums = there.agg(F.sum(n * (F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t))) - q * t)),
+                         *[F.sum(n * (p - q) * c) for c in z],
+                         *[F.sum(n * p * (1 - p) * z[i] * z[j]) for i, j in pairs]).first()
         hessian = ridge * np.eye(3)
-        for (i, j), v in zip(pairs, sums[3:], strict=True):
+        for (i, j), v in zip(pairs, sums[4:], strict=True):
             hessian[i, j] += v
-            hessian[j, i] = hessian[i, j]
-        step = np.linalg.solve(hessian, np.array(sums[:3]) + ridge * w)
-        w = w - step
-        if np.abs(step).max() < 1e-7:
-            break
-    return w
+            if i != j:
+                hessian[j, i] += v
+        return sums[0] + ridge / 2 * float(w @ w), np.array(sums[1:4]) + ridge * w, hessian
+
+    return _in_units(settled(at, _in_units(start, mean, sd)), mean, sd, back=True)
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()) -> CompressionModel:
