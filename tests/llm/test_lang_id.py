@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import lang_id
@@ -53,7 +54,28 @@ def test_counts_do_not_depend_on_slices_or_batches(monkeypatch):
     parts = sum(count_grams([t], np.array([x]), 3, GRAMS) for t, x in zip(texts, labels, strict=True))
     assert (whole == parts).all()
     monkeypatch.setattr(lang_id, "SLICE", 64)
-    assert (count_grams(texts, labels, 3, GRAMS) >= 0).all()
+    assert (count_grams(texts, labels, 3, GRAMS) == whole).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_a_long_text_has_the_same_grams_in_any_slices(monkeypatch, size):
+    rng = random.Random(size)
+    texts = ["".join(rng.choice("abcdÜß  ..12\nΣςé") for _ in range(rng.randrange(760))) for _ in range(20)]
+    texts += ["", "...", " a ", "ab" + "." * 500 + "cd", "ΟΔΟΣ ΟΔΟΣ" * 30, "." * 300 + "x"]
+    want = count_grams(texts, np.arange(len(texts)), len(texts), GRAMS)
+    assert [int(c.sum()) for c in want] == [sum(plain_grams(t).values()) for t in texts]
+    model = lang_id.LanguageModel(["a", "b"], np.random.default_rng(1).normal(size=(1 << 12, 2)).astype(np.float32), np.zeros(2), GRAMS)
+    sums = lang_id.log_prob_sums(texts, model)
+    monkeypatch.setattr(lang_id, "SLICE", size)
+    assert (count_grams(texts, np.arange(len(texts)), len(texts), GRAMS) == want).all()
+    assert all(np.allclose(a, b) for a, b in zip(sums, lang_id.log_prob_sums(texts, model), strict=True))
+
+
+def test_too_many_languages_raise(make_docs):
+    docs = make_docs([(i, "the thing", f"l{i}") for i in range(6)])
+    assert len(train(docs, GRAMS, most_languages=6).languages) == 6
+    with pytest.raises(ValueError, match="more than 5"):
+        train(docs, GRAMS, most_languages=5)
 
 
 def test_model_and_posterior_against_plain_naive_bayes(spark, make_docs):

@@ -14,7 +14,9 @@ Results for odd input: null text and text without a letter are ``und`` with
 score 0 and no fit; rows without a language or id rule are never learnt from; ties go to
 the language first by name; without any labelled row every text is ``und``;
 repeated rows are scored one by one; an empty table gives an empty result;
-documents of any length are read whole, in slices of ``SLICE`` characters.
+documents of any length are read whole, in slices of ``SLICE`` characters
+that give the n-grams of the whole text; a ``lang`` column of more than
+``most_languages`` values raises.
 """
 
 from __future__ import annotations
@@ -55,13 +57,32 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _slices(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """(document, part) lists of about SLICE characters; long texts come in parts."""
-    now, size = [], 0
+def _last_symbols(text: str, n: int) -> str:
+    """The last ``n`` characters of ``text`` with runs of non-letters as one blank."""
+    out: list[str] = []
+    for c in reversed(text):
+        if c.isalpha():
+            out.append(c)
+        elif not out or out[-1] != " ":
+            out.append(" ")
+        if len(out) == n:
+            break
+    return "".join(reversed(out))
+
+
+def _slices(texts: list[str], orders: tuple[int, ...]) -> Iterator[list[tuple[int, str, int]]]:
+    """Lists of (document, part, old) of about SLICE characters, lower-cased and
+    with a blank before and after each text. A long text comes in parts; each
+    starts with the last symbols of the one before, ``old`` in number, so that
+    the n-grams across a cut are the text's, and counted once."""
+    now, size, carry = [], 0, max(orders, default=1) - 1
     for i, t in enumerate(texts):
-        for a in range(0, len(t), SLICE):
-            now.append((i, t[a:a + SLICE]))
-            size += len(now[-1][1])
+        whole, before = f" {t.lower()} ", ""
+        for a in range(0, len(whole), SLICE):
+            part = before + whole[a:a + SLICE]
+            now.append((i, part, len(before)))
+            before = _last_symbols(part, carry) if a + SLICE < len(whole) and carry else ""
+            size += len(part)
             if size >= SLICE:
                 yield now
                 now, size = [], 0
@@ -70,20 +91,28 @@ def _slices(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 
 def hashed_grams(parts: list[tuple[int, str]], grams: Grams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``part_grams`` of whole texts."""
+    return part_grams([(i, f" {t.lower()} ", 0) for i, t in parts], grams)
+
+
+def part_grams(parts: list[tuple[int, str, int]], grams: Grams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order: document numbers (ascending) and buckets of the n-grams.
 
-    Texts are lower-cased; a run of other characters counts as one blank, and a
-    blank stands before and after each text. N-grams of blanks alone don't count.
+    A run of other characters than letters counts as one blank. N-grams of
+    blanks alone and those of old symbols alone don't count.
     """
-    lower = [f" {t.lower()} " for _, t in parts]
-    codes = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
-    doc = np.repeat([i for i, _ in parts], [len(t) for t in lower])
+    sizes = [len(t) for _, t, _ in parts]
+    codes = np.frombuffer("".join(t for _, t, _ in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    doc = np.repeat([i for i, _, _ in parts], sizes)
+    new = np.ones(len(codes), bool)
+    for a, (_, _, old) in zip(np.cumsum([0, *sizes]).tolist(), parts, strict=False):
+        new[a:a + old] = False
     letter = _letters()[codes]
     edge = np.empty(len(codes), bool)  # the first character of a part stays
     edge[0], edge[1:] = True, doc[1:] != doc[:-1]
     keep = letter | edge
     keep[1:] |= letter[:-1]
-    codes, doc, letter = np.where(letter, codes, 32)[keep].astype(np.uint64), doc[keep], letter[keep]
+    codes, doc, letter, new = np.where(letter, codes, 32)[keep].astype(np.uint64), doc[keep], letter[keep], new[keep]
     top = np.uint64(64 - grams.bits)
     for n in grams.orders:
         m = len(codes) - n + 1
@@ -94,23 +123,30 @@ def hashed_grams(parts: list[tuple[int, str]], grams: Grams) -> Iterator[tuple[n
             h = (h ^ codes[k:k + m]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
             some |= letter[k:k + m]
-        some &= doc[:m] == doc[n - 1:]
+        some &= (doc[:m] == doc[n - 1:]) & new[n - 1:]
         yield doc[:m][some], ((h[some] * np.uint64(0xBF58476D1CE4E5B9)) >> top).astype(np.int64)
 
 
 def count_grams(texts: list[str], labels: np.ndarray, n_labels: int, grams: Grams) -> np.ndarray:
     out = np.zeros((n_labels, 1 << grams.bits), np.int64)
-    for parts in _slices(texts):
-        for doc, bucket in hashed_grams(parts, grams):
+    for parts in _slices(texts, grams.orders):
+        for doc, bucket in part_grams(parts, grams):
             flat = (labels[doc].astype(np.int64) << grams.bits) | bucket
             out += np.bincount(flat, minlength=out.size).reshape(out.shape)
     return out
 
 
-def train(labelled: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, block: int = 4096) -> LanguageModel:
-    """Fit on every row of ``labelled`` (text, lang) that has both."""
+def train(labelled: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, block: int = 4096,
+          most_languages: int = 256) -> LanguageModel:
+    """Fit on every row of ``labelled`` (text, lang) that has both.
+
+    The counts that reach the driver and the matrix that is broadcast have a
+    column for each language; more than ``most_languages`` (a column that isn't
+    of languages) is an error."""
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
         .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    if rows.select("lang").distinct().limit(most_languages + 1).count() > most_languages:
+        raise ValueError(f"lang has more than {most_languages} values")
     texts_in_small_batches(labelled.sparkSession)
     blocks = max(1, (1 << grams.bits) // block)
 
@@ -165,8 +201,8 @@ def log_prob_sums(texts: list[str | None], model: LanguageModel) -> tuple[np.nda
     """For each text the sum of its n-grams' log-probabilities under each language, and the number of n-grams."""
     n, k = len(texts), len(model.languages)
     score, grams = np.zeros((n, max(1, k))), np.zeros(n, np.int64)
-    for parts in _slices([t or "" for t in texts]):
-        for doc, bucket in hashed_grams(parts, model.grams):
+    for parts in _slices([t or "" for t in texts], model.grams.orders):
+        for doc, bucket in part_grams(parts, model.grams):
             if not len(doc) or not k:
                 continue
             first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
