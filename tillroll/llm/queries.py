@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, topk, url_filters
+from tillroll.llm import compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, source_audit, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -94,10 +94,45 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op6_lm_scoring, op7_language_id, op8_url_filters,
-                                op9_exact_topk, op10_quality_classifier)}
+                                op9_exact_topk, op10_quality_classifier, op11_source_audit)}
 
 ORACLE = {
+    "op11_source_audit": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+w AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM grp LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (t.total + 5 * l.v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (k.lang_n + 5) // (l.total + 5 * l.v) AS q
+  FROM totals t JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+""",
     "op9_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
