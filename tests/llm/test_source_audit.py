@@ -2,12 +2,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from tillroll.llm import source_audit
 from tillroll.llm.queries import op11_source_audit
 from tillroll.llm.source_audit import audit_sources, terms_of
-from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, term int, block string"
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -90,10 +91,20 @@ def test_empty_table_and_one_source(spark):
     assert audited(spark, [*docs, ("the", "en", "s1")]) == brute([*docs, ("the", "en", "s1")])
 
 
-def test_terms_of_a_string(spark):
-    texts = ["", "A-b_c", "ÉTÉ 12x", "\x80 z", "[x]{y}`@"]
-    got = spark.createDataFrame([(t,) for t in texts], "t string").select(terms_of(F.col("t")).alias("x")).collect()
-    assert [r["x"] for r in got] == [TERM.findall(t.translate(LOWER)) for t in texts]
+def test_terms_of_a_chunk():
+    for t in ["", "A-b_c", "ÉTÉ12x", "[x]{y}`@", *map(chr, range(300)), "".join(map(chr, range(300)))]:
+        assert [x.decode() for x in terms_of(t.encode())] == TERM.findall(t.translate(LOWER))
+
+
+def test_each_distinct_chunk_is_tokenized_once(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({
+        "block": pa.array([0, 1, 1], pa.int64()), "slot": pa.array([3, 3, 4], pa.int32()),
+        "words": pa.array([zstandard.compress(x) for x in (b"a,\n--\nb-C", b"a,\nb-C\nx", b"x")], pa.binary())})
+    seen = []
+    monkeypatch.setattr(source_audit, "terms_of", lambda w: seen.append(w) or w.translate(source_audit.TO_TERMS).split())
+    out, = source_audit.tokenize_slots([batch])
+    assert [zstandard.decompress(x.as_py()) for x in out["terms"]] == [b"a\n\nb c", b"a\nb c\nx", b"x"]
+    assert seen == [b"a,", b"--", b"b-C", b"x", b"x"]
 
 
 def test_query_against_brute_force(spark):

@@ -3,9 +3,10 @@ from those of the others, by chunk factorization.
 
 Every document is cut at white space into chunks. A task numbers the distinct
 chunks of a block of documents and keeps each document as chunk numbers and
-counts. The distinct chunks of all blocks are tokenized once, in Spark, and
-their terms are joined back to the blocks that hold them, where documents and
-occurrences of each term are counted; Spark adds up the blocks.
+counts. The chunks of all blocks are dealt by hash into slots; there each
+distinct one is tokenized once, and its terms are joined back to the blocks that
+hold it, where documents and occurrences of each term are counted. Spark adds
+up the blocks.
 
 Terms are runs of letters (bytes beyond ASCII included), A-Z lower-cased; white
 space never lies inside one, so the terms of the chunks are those of the text.
@@ -16,9 +17,9 @@ of the language's kept terms. Part ``pair`` sums |p - q| over all kept terms for
 each two sources of a language; part ``term`` lists the terms that a source
 holds most beyond its language.
 
-Sizes: a block is ``block_bytes`` of text (one longer text is a block of its
-own) and lies in one task. A term has at most one row for each block, so no key
-is hot; the pair sums hold a matrix of a language's sources by themselves in a
+Sizes: a block is ``block_bytes`` of text (the last may be longer) and lies in
+one task; a slot's distinct chunks are held by one, and slots grow in number
+with the text. A chunk or term counts once for each block, so no key is hot; the pair sums hold a matrix of a language's sources by themselves in a
 task, as many numbers as the result has rows for that language. Nothing passes
 through the driver.
 
@@ -32,12 +33,17 @@ whatever their names; texts of any length are read whole.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, pairwise
+from math import isqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -45,68 +51,96 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored, texts_in_small_batches
 
-TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORDS_A_ROW = 4096
+TERM = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# lower-cases letters and blanks what no term has, as TERM does; bytes beyond ASCII stay
+TO_TERMS = bytes(c + 32 if c in UPPER else c if re.match(TERM, bytes([c])) else 32 for c in range(256))
 TERMS_A_BUCKET = 20_000  # of the pair sums
 CELLS = 1 << 21  # of a matrix of terms by sources
 
-ENCODED = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("source", pa.string()),
-                     ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())),
-                     ("first", pa.int32()), ("words", pa.list_(pa.binary()))])
+ENCODED = "block long, slot int, langs array<string>, sources array<string>, sizes binary, ids binary, counts binary, words binary"
 
 
-def _lists(values: list | np.ndarray, ends: list[int], kind: pa.DataType) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(values, kind))
+def _packed(x: bytes) -> bytes:
+    return zstandard.compress(x, 1)
 
 
-def encode_blocks(block_bytes: int):
-    """Arrow batches of (lang, source, text) as rows of documents (ids, counts)
-    and, after those of a block, rows of its distinct chunks (first, words)."""
+def _unpacked(x: pa.Scalar) -> bytes:
+    return zstandard.decompress(x.as_py())
 
-    def words_of(block: int, words: list[bytes]) -> pa.RecordBatch:
-        starts = list(range(0, len(words), WORDS_A_ROW))
-        none = pa.nulls(len(starts), pa.list_(pa.int32()))
-        text = pa.nulls(len(starts), pa.string())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block] * len(starts), pa.int64()), text, text, none, none, pa.array(starts, pa.int32()),
-             _lists(words, [*starts[1:], len(words)], pa.binary())], schema=ENCODED)
+
+def _numbers(x: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(_unpacked(x), np.int32)
+
+
+def encode_blocks(block_bytes: int, slots: int):
+    """Arrow batches of (lang, source, text) as ENCODED rows. A block has a row
+    (slot -1) of its documents: how many distinct chunks each has, their numbers
+    and counts; and a row for each slot, a hash of the chunk, with the chunks
+    there. Chunks are numbered by slot, then as they came."""
+
+    def rows_of(block: int, number: dict[bytes, int], langs: list, sources: list, sizes: list, ids: list, counts: list) -> pa.RecordBatch:
+        words = list(number)
+        slot = np.fromiter(map(crc32, words), np.uint32, len(words)) % slots
+        order = np.argsort(slot, kind="stable")
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words))
+        used, starts = np.unique(slot[order], return_index=True)
+        edges = [*starts.tolist(), len(words)]
+        order = order.tolist()
+        packed = [_packed(b"\n".join([words[i] for i in order[a:b]])) for a, b in pairwise(edges)]
+        none = [None] * len(packed)
+        numbers = [place[np.array(ids, np.int32)] if ids else np.zeros(0, np.int32), np.array(counts, np.int32)]
+        columns = [[block] * (1 + len(packed)), [-1, *used.tolist()], [langs, *none], [sources, *none],
+                   *[[_packed(np.asarray(x, np.int32).tobytes()), *none] for x in (sizes, *numbers)], [None, *packed]]
+        kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.string())] * 2, *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                          [c.split()[0] for c in ENCODED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         number: defaultdict[bytes, int] = defaultdict(count().__next__)
+        held: tuple[list, ...] = ([], [], [], [], [])
         size = 0
         for batch in batches:
-            texts = batch["text"]
-            at = 0
-            while at < batch.num_rows:
-                ids, counts, ends, first = [], [], [], at
-                while at < batch.num_rows and size < block_bytes:
-                    text = texts[at].as_py()
-                    chunks = Counter(text.split())  # of bytes: cut at ASCII white space
-                    ids += [number[w] for w in chunks]
-                    counts += chunks.values()
-                    ends.append(len(ids))
-                    size += len(text)
-                    at += 1
-                n = at - first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * n, pa.int64()), batch["lang"].slice(first, n), batch["source"].slice(first, n),
-                     _lists(ids, ends, pa.int32()), _lists(counts, ends, pa.int32()),
-                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.binary()))], schema=ENCODED)
+            for lang, source, text in zip(*(batch[c].to_pylist() for c in ("lang", "source", "text")), strict=True):
+                chunks = Counter(text.split())  # of bytes: cut at ASCII white space
+                langs, sources, sizes, ids, counts = held
+                langs.append(lang)
+                sources.append(source)
+                sizes.append(len(chunks))
+                ids += [number[w] for w in chunks]
+                counts += chunks.values()
+                size += len(text) + 1
                 if size >= block_bytes:
-                    yield words_of(block, list(number))
-                    number = defaultdict(count().__next__)
+                    yield rows_of(block, number, *held)
+                    number, held = defaultdict(count().__next__), ([], [], [], [], [])
                     block, size = block + 1, 0
-        if number:
-            yield words_of(block, list(number))
+        if size:
+            yield rows_of(block, number, *held)
 
     return run
 
 
-def terms_of(text: Column) -> Column:
-    """The terms of a string, in order."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(1))
+def terms_of(chunk: bytes) -> list[bytes]:
+    """The terms of a chunk, in order."""
+    return chunk.translate(TO_TERMS).split()
+
+
+def tokenize_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of chunks, sorted by slot, as rows of their terms: each distinct chunk is tokenized once."""
+    slot, known = None, {}
+    for batch in batches:
+        out = []
+        for i in range(batch.num_rows):
+            if (now := batch["slot"][i].as_py()) != slot:
+                slot, known = now, {}
+            words = _unpacked(batch["words"][i]).split(b"\n")
+            for w in words:
+                if w not in known:
+                    known[w] = b" ".join(terms_of(w))
+            out.append(_packed(b"\n".join([known[w] for w in words])))
+        yield pa.RecordBatch.from_arrays([batch["block"], batch["slot"], pa.array(out, pa.binary())], ["of", "place", "terms"])
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -118,28 +152,31 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
 
 
-COUNTED = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("total", pa.int64()),
-                     ("sources", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+COUNTED = "lang string, term string, docs long, total long, sources array<string>, n array<long>"
 
 
-def count_block(docs: pa.Table, words: pa.Table) -> pa.Table:
+def count_block(docs: pa.Table, chunks: pa.Table) -> pa.Table:
     """Documents and occurrences of each (lang, term) of a block, the latter by source too.
 
-    ``docs`` has a row for each document, ``words`` the terms of each chunk (pos, terms)."""
-    pos = words["pos"].to_numpy()
-    terms = words["terms"].combine_chunks().take(pa.array(np.argsort(pos)))
-    sizes = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ``docs`` is the block's row of documents, ``chunks`` the terms of its chunks (place, terms)."""
+    lines = b""
+    if chunks.num_rows:
+        order = np.argsort(chunks["place"].to_numpy()).tolist()
+        lines = b"\n".join([_unpacked(chunks["terms"][i]) for i in order]) + b"\n"
+    number: defaultdict[bytes, int] = defaultdict(count().__next__)
+    code = np.array([number[t] for t in lines.split()], np.int64)
+    at = np.frombuffer(lines, np.uint8)
+    line_ends = np.flatnonzero(at == 10)  # terms of a chunk: blanks before the line's end, and one unless it is empty
+    blanks = np.searchsorted(np.flatnonzero(at == 32), line_ends)
+    sizes = np.diff(blanks, prepend=0) + (np.diff(line_ends, prepend=-1) > 1)
     ends = np.cumsum(sizes)
-    coded = terms.flatten().dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False)
-    lang, source = (docs[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    names = pa.array(list(number), pa.binary()).cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+    lang, source = (docs[c].combine_chunks().flatten().dictionary_encode() for c in ("langs", "sources"))
     lang_of, source_of = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lang, source))
-    n_terms, n_sources = max(1, len(coded.dictionary)), max(1, len(source.dictionary))
+    n_terms, n_sources = max(1, len(names)), max(1, len(source.dictionary))
 
-    lists = docs["ids"].combine_chunks()
-    ids = lists.flatten().to_numpy(zero_copy_only=False)
-    times = docs["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    doc_sizes, ids, times = (_numbers(docs[c][0]) for c in ("sizes", "ids", "counts"))
+    doc = np.repeat(np.arange(len(doc_sizes)), doc_sizes)
     each = sizes[ids]  # terms of each chunk of each document
     before = np.cumsum(each) - each
     term = code[np.repeat(ends[ids] - each - before, each) + np.arange(int(each.sum()))]
@@ -157,32 +194,28 @@ def count_block(docs: pa.Table, words: pa.Table) -> pa.Table:
     n, held, key = _sums(n[order], starts), np.diff(np.r_[starts, len(key)]), key[starts]
     pair = key // n_sources
     starts = _runs(pair)
+    edges = pa.array(np.r_[starts, len(key)], pa.int32())
     return pa.Table.from_arrays(
-        [lang.dictionary.take(pa.array(pair[starts] // n_terms)), coded.dictionary.take(pa.array(pair[starts] % n_terms)),
+        [lang.dictionary.take(pa.array(pair[starts] // n_terms)), names.take(pa.array(pair[starts] % n_terms)),
          pa.array(_sums(held, starts), pa.int64()), pa.array(_sums(n, starts), pa.int64()),
-         pa.ListArray.from_arrays(pa.array(np.r_[starts, len(key)], pa.int32()), source.dictionary.take(pa.array(key % n_sources))),
-         pa.ListArray.from_arrays(pa.array(np.r_[starts, len(key)], pa.int32()), pa.array(n, pa.int64()))], schema=COUNTED)
-
-
-def _schema(s: pa.Schema) -> str:
-    names = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
-    return ", ".join(f"{f.name} {f'array<{names[f.type.value_type]}>' if pa.types.is_list(f.type) else names[f.type]}" for f in s)
+         pa.ListArray.from_arrays(edges, source.dictionary.take(pa.array(key % n_sources))),
+         pa.ListArray.from_arrays(edges, pa.array(n, pa.int64()))], [c.split()[0] for c in COUNTED.split(", ")])
 
 
 def block_counts(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
     """COUNTED rows of every block of ``docs`` (lang, source, text)."""
     spark = docs.sparkSession
     texts_in_small_batches(spark)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    slots = max(64, isqrt(size >> 16))  # 10 million of 16 MB blocks' chunks fall in 100 thousand slots
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    encoded = stored(rows.mapInArrow(encode_blocks(block_bytes), _schema(ENCODED)), "audit-encoded")
-    texts_in_small_batches(spark, 20_000)  # from here on rows are short
-    words = (encoded.where("words is not null").select("block", "first", F.posexplode("words").alias("i", "word"))
-             .select("block", (F.col("first") + F.col("i")).alias("pos"), F.col("word").cast("string").alias("word")))
-    distinct = words.select("word").distinct().select("word", terms_of(F.col("word")).alias("terms"))
-    back = words.join(distinct, "word").select(F.col("block").alias("of"), "pos", "terms")
-    held = encoded.where("ids is not null").select("block", "lang", "source", "ids", "counts")
-    return held.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(count_block, _schema(COUNTED))
+                       text.cast("binary").alias("text"))
+    encoded = stored(rows.mapInArrow(encode_blocks(block_bytes, slots), ENCODED), "audit-encoded")
+    back = (encoded.where("slot >= 0").select("block", "slot", "words").repartition("slot").sortWithinPartitions("slot")
+            .mapInArrow(tokenize_slots, "of long, place int, terms binary"))
+    held = encoded.where("slot < 0").select("block", "langs", "sources", "sizes", "ids", "counts")
+    return held.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(count_block, COUNTED)
 
 
 def pair_sums(terms: pa.Table, sources: pa.Table) -> pa.Table:
