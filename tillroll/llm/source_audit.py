@@ -55,7 +55,7 @@ TERM = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # lower-cases letters and blanks what no term has, as TERM does; bytes beyond ASCII stay
 TO_TERMS = bytes(c + 32 if c in UPPER else c if re.match(TERM, bytes([c])) else 32 for c in range(256))
-TERMS_A_BUCKET = 20_000  # of the pair sums
+TERMS_A_BUCKET = 2_000  # of the pair sums, so that a large language is spread
 CELLS = 1 << 21  # of a matrix of terms by sources
 
 ENCODED = "block long, slot int, langs array<string>, sources array<string>, sizes binary, ids binary, counts binary, words binary"
