@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, source_audit, topk, url_filters
+from tillroll.llm import chat_format, compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, source_audit, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -98,10 +98,35 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's conversations and one, -1, whose texts are control strings."""
+    hard = spark.createDataFrame([(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
+                                 "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat_format.read_back(chat_format.format_turns(rows))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op6_lm_scoring, op7_language_id, op8_url_filters,
-                                op9_exact_topk, op10_quality_classifier, op11_source_audit)}
+                                op9_exact_topk, op10_quality_classifier, op11_source_audit, op12_chat_formatting)}
 
 ORACLE = {
+    "op12_chat_formatting": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+f AS (
+  SELECT *, CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 WHEN 'system' THEN 18
+                 ELSE 23 + length(role) + len(regexp_extract_all(role, '[<\[]\\*(/?s>|</?SYS>>|/?INST\]|ROLE\]|/?TEXT\])')) END
+         + length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?s>|</?SYS>>|/?INST\]|ROLE\]|/?TEXT\])')) AS formatted
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""",
     "op11_source_audit": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
