@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat_format, compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, source_audit, topk, url_filters
+from tillroll.llm import ball_tree, chat_format, compression_quality, lang_id, language_model, packing, piece_lattice, quality_rules, sharding, simhash, source_audit, topk, url_filters
 from tillroll.llm.common import crc_mod, table
 from tillroll.llm.url_filters import Rule
 
@@ -106,10 +106,36 @@ def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(rows))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece_nbest, op3_quality_rules, op4_simhash_dedup, op5_packing, op6_lm_scoring, op7_language_id, op8_url_filters,
-                                op9_exact_topk, op10_quality_classifier, op11_source_audit, op12_chat_formatting)}
+                                op9_exact_topk, op10_quality_classifier, op11_source_audit, op12_chat_formatting, op13_ranked_search)}
 
 ORACLE = {
+    "op13_ranked_search": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+d AS (SELECT *, len(terms) AS n FROM t WHERE len(terms) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(n) AS BIGINT) AS total FROM d),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+g AS (SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * documents) // total))) AS gain FROM tf, s),
+i AS (
+  SELECT DISTINCT q, item_id, term FROM (
+    SELECT row_number() OVER () AS q, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)),
+x AS (SELECT q, item_id, r, doc_id, CAST(sum(w * gain) AS BIGINT) AS score FROM i JOIN w USING (term) JOIN g USING (term) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+""",
     "op12_chat_formatting": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
