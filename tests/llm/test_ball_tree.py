@@ -93,7 +93,7 @@ def random_tree(seed, n=300, vocabulary=60, leaf_rows=4):
     terms = np.concatenate(docs)
     gain = rng.integers(1, 1_000_000, len(terms))
     weights = rng.integers(0, 9000, vocabulary).astype(float)
-    return build_tree(np.arange(n), sizes, terms, gain, weights, leaf_rows), docs, gain, weights, rng
+    return build_tree(np.arange(n), sizes, terms, gain, leaf_rows), docs, gain, weights, rng
 
 
 def plain_scores(docs, gain, weights, query):
@@ -110,9 +110,8 @@ def test_bounds_hold_and_the_search_is_exact(seed):
     for _ in range(10):
         query = np.unique(rng.integers(0, 60, 8))
         want = plain_scores(docs, gain, weights, set(query.tolist()))
-        roots = np.sqrt(weights[query])
         for node in range(len(tree.start)):
-            assert want[tree.ids[tree.start[node]:tree.end[node]]].max() <= bound_of(node, tree, query, roots)
+            assert want[tree.ids[tree.start[node]:tree.end[node]]].max() <= bound_of(node, tree, query, weights[query])
         for floor in (1, int(np.sort(want)[-20])):
             ids, scores, scored = search_tree(tree, query, weights.astype(np.int64), 10, max(1, floor))
             best = [i for i in np.lexsort((np.arange(len(want)), -want))[:10] if want[i] >= max(1, floor)]

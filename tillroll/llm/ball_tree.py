@@ -228,12 +228,10 @@ def _halved(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[:len(order) // 2], order[len(order) // 2:]
 
 
-def build_tree(ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, gain: np.ndarray, weights: np.ndarray,
+def build_tree(ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, gain: np.ndarray,
                leaf_rows: int = 16) -> Tree:
-    """A ball tree. Balls are taken in the space where a term's gain is
-    multiplied by the root of its weight, and a query has that root."""
-    scale = np.sqrt(weights)
-    x = sketches(sizes, terms, gain * scale[terms])
+    """A ball tree of documents given one after the other."""
+    x = sketches(sizes, terms, gain)
     levels = [[np.arange(len(ids))]]
     while len(levels[-1][0]) > leaf_rows:
         levels.append([h for rows in levels[-1] for h in _halved(x, rows)])
@@ -242,7 +240,7 @@ def build_tree(ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, gain: np.n
     new = sizes[order]
     place = np.repeat(ends[order] - new, new) + np.arange(int(new.sum())) - np.repeat(np.cumsum(new) - new, new)
     terms, gain, ends = terms[place], gain[place], np.cumsum(new)
-    y = gain * scale[terms]
+    y = gain.astype(np.float64)
     norms = np.add.reduceat(np.append(y * y, 0.0), np.append(ends - new, len(y)))[:-1] if len(new) else y
     norms = np.where(new > 0, norms, 0.0)
     start, end, node_ends, node_terms, centroid, radius = [], [], [], [], [], []
@@ -271,8 +269,8 @@ def build_tree(ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, gain: np.n
                 np.concatenate(node_terms), np.concatenate(centroid), np.array(radius))
 
 
-def bound_of(node: int, tree: Tree, query: np.ndarray, roots: np.ndarray) -> float:
-    """No document of the node scores more. ``query``: terms; ``roots``: the roots of their weights."""
+def bound_of(node: int, tree: Tree, query: np.ndarray, weights: np.ndarray) -> float:
+    """No document of the node scores more. ``query``: terms; ``weights``: theirs."""
     a, b = int(tree.node_ends[node - 1]) if node else 0, int(tree.node_ends[node])
     held = tree.node_terms[a:b]
     at = np.searchsorted(held, query)
@@ -280,7 +278,7 @@ def bound_of(node: int, tree: Tree, query: np.ndarray, roots: np.ndarray) -> flo
     some = held[at] == query if len(held) else np.zeros(len(query), bool)
     if not some.any():
         return 0.0
-    q = roots[some]
+    q = weights[some]
     return (float(q @ tree.centroid[a + at[some]]) + math.sqrt(float(q @ q)) * float(tree.radius[node])) * (1 + SAFE) + 1
 
 
@@ -288,18 +286,18 @@ def search_tree(tree: Tree, query: np.ndarray, weights: np.ndarray, k: int, floo
     """Ids and scores of the k best documents of the tree with a score of at
     least ``floor``, and how many documents were scored."""
     query = query[weights[query] > 0]
-    roots = np.sqrt(weights[query])
+    doubles = weights[query].astype(np.float64)
     by_term = np.zeros(len(weights), np.int64)
     by_term[query] = weights[query]
     ids, scores, scored = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-    heap = [(-bound_of(0, tree, query, roots), 0)] if len(tree.start) else []
+    heap = [(-bound_of(0, tree, query, doubles), 0)] if len(tree.start) else []
     while heap:
         bound, node = heapq.heappop(heap)
         if -bound < floor:
             break
         if 2 * node + 2 < len(tree.start):
             for child in (2 * node + 1, 2 * node + 2):
-                if (b := bound_of(child, tree, query, roots)) >= floor:
+                if (b := bound_of(child, tree, query, doubles)) >= floor:
                     heapq.heappush(heap, (-b, child))
             continue
         a, b = int(tree.start[node]), int(tree.end[node])
@@ -367,7 +365,7 @@ def index_documents(docs: DataFrame, vocabulary: dict[bytes, int], plan: Plan) -
 
     def sketched(t: pa.Table | pa.RecordBatch, space: Space) -> np.ndarray:
         sizes, terms, tf = _flat(t)
-        return sketches(sizes, terms, space.values(t["n"].to_numpy(), sizes, tf) * np.sqrt(space.weights)[terms])
+        return sketches(sizes, terms, space.values(t["n"].to_numpy(), sizes, tf))
 
     centres = spark.sparkContext.broadcast(fit_pivots(sketched(few, space), plan.pivots))
 
@@ -387,7 +385,7 @@ def index_documents(docs: DataFrame, vocabulary: dict[bytes, int], plan: Plan) -
         sizes, terms, tf = _flat(t)
         gain = space.values(t["n"].to_numpy(), sizes, tf)
         ids = np.array([NO_ID if x is None else x for x in t["doc_id"].to_pylist()], np.int64)
-        tree = build_tree(ids, sizes, terms, gain, space.weights, plan.leaf_rows)
+        tree = build_tree(ids, sizes, terms, gain, plan.leaf_rows)
         root = int(tree.node_ends[0])
         top = [np.asarray(x, k).tobytes() for x, k in ((tree.node_terms[:root], np.int32), (tree.centroid[:root], np.float32))]
         grp = (key[0].as_py() << 40) + key[1].as_py()
@@ -419,7 +417,7 @@ def search_block(docs: DataFrame, queries: Queries, k: int, plan: Plan) -> DataF
                 root = Tree(empty, empty, empty, empty, empty, empty, np.array([len(held)]), held, c, np.array([r["root_radius"]]))
                 for i, q in enumerate(terms):
                     q = q[weights[q] > 0]
-                    heapq.heappush(best[i], (bound_of(0, root, q, np.sqrt(weights[q])), r["grp"]))
+                    heapq.heappush(best[i], (bound_of(0, root, q, weights[q]), r["grp"]))
                     if len(best[i]) > plan.first_groups:
                         heapq.heappop(best[i])
         flat = [(i, g, x) for i, v in enumerate(best) for x, g in v]
