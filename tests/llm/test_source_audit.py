@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
@@ -70,6 +71,25 @@ def test_against_brute_force(spark, kw):
     assert {r[2] for r in want} == {"pair", "term"} and audited(spark, docs, **kw) == want
 
 
+def test_entries_are_added_up_early_and_late(monkeypatch):
+    rng = random.Random(4)
+    want, held = Counter(), Counter()
+    monkeypatch.setattr(source_audit, "ENTRIES", 10)
+    slot = source_audit._Slot()
+    for _ in range(40):
+        terms, groups = rng.sample([b"a", b"b", b"c", b"d"], 3), rng.sample([(x, y) for x in "pq" for y in "uvw"], 4)
+        entries = [(t, g, rng.randrange(1, 9), 1) for t in range(3) for g in range(4) if rng.random() < 0.5]
+        for t, g, n, d in entries:
+            want[groups[g][0], groups[g][1], terms[t].decode()] += n
+            want[groups[g][0], None, terms[t].decode()] += n
+            held[groups[g][0], terms[t].decode()] += d
+        numbers = np.array(entries, np.int64).reshape(-1, 4).T
+        slot.add([g[0] for g in groups], [g[1] for g in groups], b"\n".join(terms), numbers.tobytes())
+    rows = slot.kept(30).to_pylist()
+    assert {(r["lang"], r["source"], r["term"]): r["n"] for r in rows} == {k: v for k, v in want.items() if held[k[0], k[2]] >= 30}
+    assert len(rows) > 8 and min(held.values()) < 30
+
+
 def test_pair_sums_in_small_buckets_and_matrices(spark, monkeypatch):
     monkeypatch.setattr(source_audit, "TERMS_A_BUCKET", 4)
     docs = corpus(200, 5)

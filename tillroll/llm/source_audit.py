@@ -5,8 +5,8 @@ Every document is cut at white space into chunks. A task numbers the distinct
 chunks of a block of documents and keeps each document as chunk numbers and
 counts. The chunks of all blocks are dealt by hash into slots; there each
 distinct one is tokenized once, and its terms are joined back to the blocks that
-hold it, where documents and occurrences of each term are counted. Spark adds
-up the blocks.
+hold it, where documents and occurrences of each term are counted. These counts
+are dealt by the term into slots, and there added up over all blocks.
 
 Terms are runs of letters (bytes beyond ASCII included), A-Z lower-cased; white
 space never lies inside one, so the terms of the chunks are those of the text.
@@ -18,8 +18,9 @@ each two sources of a language; part ``term`` lists the terms that a source
 holds most beyond its language.
 
 Sizes: a block is ``block_bytes`` of text (the last may be longer) and lies in
-one task; a slot's distinct chunks are held by one, and slots grow in number
-with the text. A chunk or term counts once for each block, so no key is hot; the pair sums hold a matrix of a language's sources by themselves in a
+one task; a slot's distinct chunks or term counts are held by one, and slots
+grow in number with the text. A chunk or term counts once for each block (a term
+once for each source there), so no key is hot; the pair sums hold a matrix of a language's sources by themselves in a
 task, as many numbers as the result has rows for that language. Nothing passes
 through the driver.
 
@@ -56,6 +57,7 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # lower-cases letters and blanks what no term has, as TERM does; bytes beyond ASCII stay
 TO_TERMS = bytes(c + 32 if c in UPPER else c if re.match(TERM, bytes([c])) else 32 for c in range(256))
 TERMS_A_BUCKET = 2_000  # of the pair sums, so that a large language is spread
+ENTRIES = 1 << 21  # of a slot of terms that are held before they are added up
 CELLS = 1 << 21  # of a matrix of terms by sources
 
 ENCODED = "block long, slot int, langs array<string>, sources array<string>, sizes binary, ids binary, counts binary, words binary"
@@ -73,6 +75,15 @@ def _numbers(x: pa.Scalar) -> np.ndarray:
     return np.frombuffer(_unpacked(x), np.int32)
 
 
+def _by_slot(words: list[bytes], slots: int) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Slots in ascending order, the words in that order, and each word's place in it."""
+    slot = np.fromiter(map(crc32, words), np.uint32, len(words)) % slots
+    order = np.argsort(slot, kind="stable")
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    return slot[order], order.tolist(), place
+
+
 def encode_blocks(block_bytes: int, slots: int):
     """Arrow batches of (lang, source, text) as ENCODED rows. A block has a row
     (slot -1) of its documents: how many distinct chunks each has, their numbers
@@ -81,21 +92,17 @@ def encode_blocks(block_bytes: int, slots: int):
 
     def rows_of(block: int, number: dict[bytes, int], langs: list, sources: list, sizes: list, ids: list, counts: list) -> pa.RecordBatch:
         words = list(number)
-        slot = np.fromiter(map(crc32, words), np.uint32, len(words)) % slots
-        order = np.argsort(slot, kind="stable")
-        place = np.empty(len(words), np.int32)
-        place[order] = np.arange(len(words))
-        used, starts = np.unique(slot[order], return_index=True)
+        slot, order, place = _by_slot(words, slots)
+        used, starts = np.unique(slot, return_index=True)
         edges = [*starts.tolist(), len(words)]
-        order = order.tolist()
         packed = [_packed(b"\n".join([words[i] for i in order[a:b]])) for a, b in pairwise(edges)]
         none = [None] * len(packed)
-        numbers = [place[np.array(ids, np.int32)] if ids else np.zeros(0, np.int32), np.array(counts, np.int32)]
+        numbers = [place[np.array(ids, np.int32)], np.array(counts, np.int32)]
         columns = [[block] * (1 + len(packed)), [-1, *used.tolist()], [langs, *none], [sources, *none],
                    *[[_packed(np.asarray(x, np.int32).tobytes()), *none] for x in (sizes, *numbers)], [None, *packed]]
         kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.string())] * 2, *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                          [c.split()[0] for c in ENCODED.split(", ")])
+                                          _fields(ENCODED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -152,11 +159,16 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
 
 
-COUNTED = "lang string, term string, docs long, total long, sources array<string>, n array<long>"
+COUNTED = "slot int, langs array<string>, sources array<string>, words binary, numbers binary"
+
 
+def _fields(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
-def count_block(docs: pa.Table, chunks: pa.Table) -> pa.Table:
-    """Documents and occurrences of each (lang, term) of a block, the latter by source too.
+
+def count_block(slots: int, docs: pa.Table, chunks: pa.Table) -> pa.Table:
+    """Documents and occurrences of each term of a block in each of its (lang, source) groups: a row for each slot
+    of terms, which holds the terms there and four numbers an entry (term, group, occurrences, documents).
 
     ``docs`` is the block's row of documents, ``chunks`` the terms of its chunks (place, terms)."""
     lines = b""
@@ -170,10 +182,12 @@ def count_block(docs: pa.Table, chunks: pa.Table) -> pa.Table:
     blanks = np.searchsorted(np.flatnonzero(at == 32), line_ends)
     sizes = np.diff(blanks, prepend=0) + (np.diff(line_ends, prepend=-1) > 1)
     ends = np.cumsum(sizes)
-    names = pa.array(list(number), pa.binary()).cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
-    lang, source = (docs[c].combine_chunks().flatten().dictionary_encode() for c in ("langs", "sources"))
-    lang_of, source_of = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lang, source))
-    n_terms, n_sources = max(1, len(names)), max(1, len(source.dictionary))
+    names = list(number)
+    slot, by_slot, place = _by_slot(names, slots)  # terms are numbered by slot
+    code = place[code]
+    group: defaultdict[tuple, int] = defaultdict(count().__next__)
+    group_of = np.array([group[x] for x in zip(docs["langs"][0].as_py(), docs["sources"][0].as_py(), strict=True)], np.int64)
+    n_terms, n_groups = max(1, len(names)), max(1, len(group))
 
     doc_sizes, ids, times = (_numbers(docs[c][0]) for c in ("sizes", "ids", "counts"))
     doc = np.repeat(np.arange(len(doc_sizes)), doc_sizes)
@@ -186,36 +200,107 @@ def count_block(docs: pa.Table, chunks: pa.Table) -> pa.Table:
     key = key[order]
     starts = _runs(key)  # a document and a term
     n, key = _sums(times[order], starts), key[starts]
-    doc, term = key // n_terms, key % n_terms
-    key = (lang_of[doc] * n_terms + term) * n_sources + source_of[doc]
+    key = (key % n_terms) * n_groups + group_of[key // n_terms]
     order = np.argsort(key, kind="stable")
     key = key[order]
-    starts = _runs(key)  # a language, a term and a source
+    starts = _runs(key)  # a term and a group
     n, held, key = _sums(n[order], starts), np.diff(np.r_[starts, len(key)]), key[starts]
-    pair = key // n_sources
-    starts = _runs(pair)
-    edges = pa.array(np.r_[starts, len(key)], pa.int32())
-    return pa.Table.from_arrays(
-        [lang.dictionary.take(pa.array(pair[starts] // n_terms)), names.take(pa.array(pair[starts] % n_terms)),
-         pa.array(_sums(held, starts), pa.int64()), pa.array(_sums(n, starts), pa.int64()),
-         pa.ListArray.from_arrays(edges, source.dictionary.take(pa.array(key % n_sources))),
-         pa.ListArray.from_arrays(edges, pa.array(n, pa.int64()))], [c.split()[0] for c in COUNTED.split(", ")])
-
-
-def block_counts(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
-    """COUNTED rows of every block of ``docs`` (lang, source, text)."""
+    term, which = key // n_groups, key % n_groups
+    langs, sources = [x for x, _ in group], [x for _, x in group]
+    out: list[tuple] = []
+    used, firsts = np.unique(slot, return_index=True)
+    for s, (a, b) in zip(used.tolist(), pairwise([*firsts.tolist(), len(names)]), strict=True):
+        x, y = np.searchsorted(term, [a, b])
+        entries = np.stack([term[x:y] - a, which[x:y], n[x:y], held[x:y]])
+        out.append((s, langs, sources, _packed(b"\n".join([names[i] for i in by_slot[a:b]])), _packed(entries.tobytes())))
+    kinds = [pa.int32(), *[pa.list_(pa.string())] * 2, *[pa.binary()] * 2]
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], _fields(COUNTED))
+
+
+KEPT = "lang string, source string, term string, n long"
+
+
+class _Slot:
+    """Adds up the entries of one slot of terms over all blocks."""
+
+    def __init__(self) -> None:
+        self.term, self.lang, self.source = (defaultdict(count().__next__) for _ in range(3))
+        self.parts: list[np.ndarray] = []  # (term, lang, source, occurrences, documents)
+        self.size, self.limit = 0, ENTRIES
+
+    def add(self, langs: list, sources: list, words: bytes, numbers: bytes) -> None:
+        term, group, n, held = np.frombuffer(numbers, np.int64).reshape(4, -1)
+        terms = np.array([self.term[t] for t in words.split(b"\n")], np.int64)
+        lang, source = (np.array([d[x] for x in v], np.int64) for d, v in ((self.lang, langs), (self.source, sources)))
+        self.parts.append(np.stack([terms[term], lang[group], source[group], n, held]))
+        self.size += len(n)
+        if self.size > self.limit:
+            self.total()
+            self.limit = max(ENTRIES, 2 * self.size)
+
+    def total(self) -> np.ndarray:
+        """One entry for each term, language and source, in this order."""
+        x = np.concatenate(self.parts, axis=1)
+        x = x[:, np.lexsort(x[2::-1])]
+        starts = np.flatnonzero(np.r_[True, (x[:3, 1:] != x[:3, :-1]).any(axis=0)])
+        x = np.r_[x[:3, starts], np.add.reduceat(x[3:], starts, axis=1)]
+        self.parts, self.size = [x], x.shape[1]
+        return x
+
+    def kept(self, min_docs: int) -> pa.RecordBatch:
+        """KEPT rows of the terms that enough documents of a language hold; a null source has the language's count."""
+        term, lang, source, n, held = self.total()
+        starts = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (lang[1:] != lang[:-1])])
+        enough = np.add.reduceat(held, starts) >= min_docs
+        some = np.repeat(enough, np.diff(np.r_[starts, len(term)]))
+        first = starts[enough]
+        columns = [np.r_[lang[some], lang[first]], np.r_[term[some], term[first]], np.r_[n[some], np.add.reduceat(n, starts)[enough]]]
+        names = [_strings(list(d)) for d in (self.lang, self.term)]
+        sources = pa.array(np.r_[source[some], np.zeros(len(first), np.int64)], pa.int64(),
+                           mask=np.r_[np.zeros(int(some.sum()), bool), np.ones(len(first), bool)])
+        return pa.RecordBatch.from_arrays([names[0].take(pa.array(columns[0])), _strings(list(self.source)).take(sources),
+                                           names[1].take(pa.array(columns[1])), pa.array(columns[2])], _fields(KEPT))
+
+
+def _strings(x: list) -> pa.Array:
+    kind = pa.binary() if x and isinstance(x[0], bytes) else pa.string()
+    return pa.array(x, kind).cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+
+
+def keep_terms(min_docs: int):
+    """COUNTED rows, sorted by slot, as KEPT rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, now = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if (here := batch["slot"][i].as_py()) != slot:
+                    if now:
+                        yield now.kept(min_docs)
+                    slot, now = here, _Slot()
+                now.add(batch["langs"][i].as_py(), batch["sources"][i].as_py(), _unpacked(batch["words"][i]), _unpacked(batch["numbers"][i]))
+        if now:
+            yield now.kept(min_docs)
+
+    return run
+
+
+def kept_counts(docs: DataFrame, min_docs: int, block_bytes: int) -> DataFrame:
+    """KEPT rows of ``docs`` (lang, source, text)."""
     spark = docs.sparkSession
     texts_in_small_batches(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    slots = max(64, isqrt(size >> 16))  # 10 million of 16 MB blocks' chunks fall in 100 thousand slots
+    slots = max(64, isqrt(size >> 16))  # 64 for up to 256 MB, 40 thousand for 100 TB
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                        text.cast("binary").alias("text"))
     encoded = stored(rows.mapInArrow(encode_blocks(block_bytes, slots), ENCODED), "audit-encoded")
     back = (encoded.where("slot >= 0").select("block", "slot", "words").repartition("slot").sortWithinPartitions("slot")
             .mapInArrow(tokenize_slots, "of long, place int, terms binary"))
     held = encoded.where("slot < 0").select("block", "langs", "sources", "sizes", "ids", "counts")
-    return held.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(count_block, COUNTED)
+    counted = held.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(
+        lambda left, right: count_block(slots, left, right), COUNTED)
+    return stored(counted.repartition("slot").sortWithinPartitions("slot").mapInArrow(keep_terms(min_docs), KEPT), "audit-kept")
 
 
 def pair_sums(terms: pa.Table, sources: pa.Table) -> pa.Table:
@@ -250,17 +335,13 @@ def pair_sums(terms: pa.Table, sources: pa.Table) -> pa.Table:
 def audit_sources(docs: DataFrame, min_docs: int = 30, smoothing: int = 5, scale: int = 1_000_000_000, top: int = 50,
                   block_bytes: int = 16 << 20) -> DataFrame:
     """lang, source, part, item, value, rank of ``docs`` (lang, source, text)."""
-    blocks = stored(block_counts(docs, block_bytes), "audit-blocks")
-    kept = stored(blocks.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("total").alias("lang_n"))
-                  .where(F.col("docs") >= min_docs), "audit-kept")
-    counts = (blocks.select("lang", "term", "sources", "n").join(kept.select("lang", "term", "lang_n"), ["lang", "term"])
-              .select("lang", "term", "lang_n", F.explode(F.arrays_zip("sources", "n")).alias("s"))
-              .groupBy("lang", F.col("s.sources").alias("source"), "term")
-              .agg(F.sum("s.n").alias("n"), F.max("lang_n").alias("lang_n")))
-    counts = stored(counts, "audit-counts")
+    kept = kept_counts(docs, min_docs, block_bytes)
+    texts_in_small_batches(docs.sparkSession, 20_000)  # from here on rows are short
+    totals = kept.where("source is null").select("lang", "term", F.col("n").alias("lang_n"))
+    counts = kept.where("source is not null")
     groups = (docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
               .join(counts.groupBy("lang", "source").agg(F.sum("n").alias("group_total")), ["lang", "source"], "left")
-              .join(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "lang", "left")
+              .join(totals.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "lang", "left")
               .na.fill(0, ["group_total", "v", "lang_total"]))
     groups = stored(groups, "audit-groups")
 
@@ -268,7 +349,7 @@ def audit_sources(docs: DataFrame, min_docs: int = 30, smoothing: int = 5, scale
         part = (n + smoothing).cast("decimal(20,0)") * F.lit(scale).cast("decimal(10,0)")  # exact beyond 64 bits
         return F.call_function("div", part, total + smoothing * F.col("v")) + 1
 
-    rated = counts.join(groups, ["lang", "source"]).select(
+    rated = counts.join(totals, ["lang", "term"]).join(groups, ["lang", "source"]).select(
         "lang", "source", "term", "v", p(F.col("n"), F.col("group_total")).alias("p"), p(F.col("lang_n"), F.col("lang_total")).alias("q"))
     best = W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = (rated.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
