@@ -9,17 +9,19 @@ so no task sorts a whole class.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import attach_row, fixed_layout, importance_band, join_small
+from tillroll.functions.columns import attach_row, importance_band, join_small
+from tillroll.operators import forest
 from tillroll.sources.sinks import materialize
 
 BUCKET_SCORES = 50_000  # distinct scores that a range bucket may be expected to hold
 # The classifier's inputs in model order.
 FEATURES = ["AvgBasketValue", "AvgBasketSize", "Volatility", "FavoriteDay_Encoded", "Country_Encoded"]
-MAX_DEPTH = 30  # the deepest that Spark's trees grow
 
 
 # ----------------------------------------------------------------- encoding
@@ -53,74 +55,32 @@ def encode_features(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- model
 def fit_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "Segment", num_trees: int = 100,
-               max_depth: int = MAX_DEPTH, max_bins: int = 64, seed: int = 42):
-    """Pipeline: label indexer (alphabetical) -> assembler -> random forest (gini, sqrt features)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-
-    stages = [
-        StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-        _forest(num_trees, max_depth, max_bins, seed),
-    ]
-    return Pipeline(stages=stages).fit(_rows(train, label))
-
-
-def _forest(num_trees: int, max_depth: int, max_bins: int, seed: int):
-    """Gini forest with sqrt feature subsets. Node ids are cached per row (no
-    re-walk of every tree each level) and checkpointed into the shared
-    checkpoint folder; a larger aggregation budget splits more nodes per pass."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.sql import SparkSession
-    from tillroll.session import checkpoint_root
-    checkpoint_root(SparkSession.getActiveSession())
-    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
-                                  maxDepth=max_depth, maxBins=max_bins, seed=seed, impurity="gini",
-                                  featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10,
-                                  maxMemoryInMB=1024)
-
-
-def _rows(train: DataFrame, label: str) -> DataFrame:
-    """Training rows in a layout that the data alone decides, so bootstrap draws,
-    which go by partition, are the same on any number of cores."""
-    cols = [c for c in train.columns if c != label]
-    return fixed_layout(train, [label, *cols])
-
+               max_depth: int | None = None, seed: int = 42, growth: forest.Growth | None = None) -> forest.Forest:
+    """Random forest (Gini, sqrt features, no depth limit) over numeric features; classes in alphabetical order."""
+    g = growth or forest.Growth(trees=num_trees, max_depth=max_depth, max_features=max(1, isqrt(len(features))), seed=seed)
+    return forest.fit(train, features, label, g)
 
-def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 100, max_depth: int = MAX_DEPTH,
-                   max_bins: int = 64, seed: int = 42):
-    """Forest over raw FavoriteDay / Country strings: the indexers live inside
-    the pipeline (alphabetical codes, unseen values kept as an extra index)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
 
-    stages = [
-        StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
-        StringIndexer(inputCols=["FavoriteDay", "Country"], outputCols=["FavoriteDay_Encoded", "Country_Encoded"],
-                      stringOrderType="alphabetAsc", handleInvalid="keep"),
-        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
-        _forest(num_trees, max_depth, max_bins, seed),
-    ]
-    return Pipeline(stages=stages).fit(_rows(train, label))
+def fit_forest_raw(train: DataFrame, label: str = "Segment", num_trees: int = 100, max_depth: int | None = None,
+                   seed: int = 42) -> forest.Forest:
+    """Forest over raw FavoriteDay / Country strings: the model holds their
+    alphabetical codes, and gives unseen values an extra one."""
+    g = forest.Growth(trees=num_trees, max_depth=max_depth, max_features=max(1, isqrt(len(FEATURES))), seed=seed)
+    return forest.fit(train, FEATURES, label, g, raw=("FavoriteDay", "Country"))
 
 
-def class_names(model) -> list[str]:
-    return list(model.stages[0].labels)
+def class_names(model: forest.Forest) -> list[str]:
+    return model.labels
 
 
-def predict(model, df: DataFrame) -> DataFrame:
+def predict(model: forest.Forest, df: DataFrame) -> DataFrame:
     """Adds predicted_class (name), prediction (code) and probabilities (array<double>)."""
-    from pyspark.ml.functions import vector_to_array
-    names = F.array(*[F.lit(n) for n in class_names(model)])
-    out = model.transform(df)
-    return (out.withColumn("probabilities", vector_to_array("probability"))
-            .withColumn("predicted_class", F.element_at(names, F.col("prediction").cast("int") + 1))
-            .drop("features", "rawPrediction", "probability"))
+    return forest.predict(model, df)
 
 
 def feature_importance(model, features: list[str] = FEATURES) -> DataFrame:
     """Feature, Importance (descending) and the chart band."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
+    imp = model.importance.tolist()
     from pyspark.sql import SparkSession
     s = SparkSession.getActiveSession()
     df = s.createDataFrame(list(zip(features, [float(x) for x in imp])), "Feature string, Importance double")

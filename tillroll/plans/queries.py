@@ -662,7 +662,7 @@ def q_rf_model_round_trip(spark, sf_dir):
     from tillroll.sources import tracking as TR
     model, _ = forest_run(spark, sf_dir)
     base = scratch_path(spark, "forest")
-    TR.log_run(spark, f"{base}/runs", "classifier", "classifier", {"model_path": TR.save_model(model, f"{base}/model")})
+    TR.log_run(spark, f"{base}/runs", "classifier", "classifier", {"model_path": TR.save_model(spark, model, f"{base}/model")})
     loaded = TR.load_latest_model(spark, f"{base}/runs", "classifier")
     split = classifier_split(spark, sf_dir)
     a = CF.predict(model, split).select(CUSTOMER, "predicted_class", "probabilities")

@@ -165,7 +165,7 @@ def basket_features(cleaned: DataFrame) -> DataFrame:
                        "basket_features")
 
 
-def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int = CF.MAX_DEPTH,
+def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100, max_depth: int | None = None,
                     seed: int = 42, baskets: DataFrame | None = None) -> StepResult:
     baskets = baskets if baskets is not None else basket_features(cleaned)
     feats = CF.encode_features(materialize(
@@ -237,7 +237,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
             params = dict(res.params)
             if name == "classifier":
                 params["model_path"] = f"{runs_path.rstrip('/')}-models/{uuid.uuid4().hex}"
-                timed(f"{name}.model", lambda: save_model(res.values["model"], params["model_path"]))
+                timed(f"{name}.model", lambda: save_model(spark, res.values["model"], params["model_path"]))
             timed(f"{name}.run", lambda: log_run(spark, runs_path, name, name, params, res.metrics, {"step": name}))
 
     def run(name, fn):

@@ -95,19 +95,19 @@ def latest_param(spark: SparkSession, runs_path: str, run_name: str, key: str, f
 
 
 # ----------------------------------------------------------- persistence
-def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model, path: str) -> str:
+    model.save(spark, path)
     return path
 
 
 def load_latest_model(spark: SparkSession, runs_path: str, run_name: str, fallback_path: str | None = None):
-    """The pipeline model that the latest run of this name logged as
+    """The forest that the latest run of this name logged as
     ``model_path``, else the one at ``fallback_path``; no model is an error."""
-    from pyspark.ml import PipelineModel
+    from tillroll.operators.forest import Forest
     path = latest_param(spark, runs_path, run_name, "model_path", fallback_path)
     if path is None:
         raise FileNotFoundError(f"no run {run_name!r} with a model_path, and no fallback")
-    return PipelineModel.load(path)
+    return Forest.load(spark, path)
 
 
 def save_rfm_bundle(spark: SparkSession, path: str, scaler_params: DataFrame,
