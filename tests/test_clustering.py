@@ -115,6 +115,47 @@ def test_fit_does_not_depend_on_the_layout(spark):
     assert np.allclose(a.centroids, b.centroids) and a.cost == pytest.approx(b.cost)
 
 
+def _weighted_kmeans(points, weight, k, starts=200):
+    """The least cost of plain Lloyd passes on weighted points from many starts."""
+    rng, best = np.random.default_rng(0), np.inf
+    for _ in range(starts):
+        c = points[rng.choice(len(points), k, replace=False)]
+        for _ in range(100):
+            at = ((points[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+            new = np.array([np.average(points[at == i], axis=0, weights=weight[at == i]) if (at == i).any() else c[i] for i in range(k)])
+            if np.allclose(new, c):
+                break
+            c = new
+        best = min(best, (((points[:, None] - c[None]) ** 2).sum(-1).min(1) * weight).sum())
+    return best
+
+
+def test_a_third_of_equal_rows_costs_what_the_grouped_table_costs(spark):
+    rng = np.random.default_rng(4)
+    X = np.vstack([rng.normal(size=(120, 2)), np.tile([[6.0, 6.0]], (100, 1)), rng.normal([-7, 5], 0.5, size=(80, 2))])
+    df = spark.createDataFrame([tuple(map(float, x)) for x in X], "a double, b double").repartition(5)
+    points, weight = np.unique(X, axis=0, return_counts=True)
+    for k in (3, 4):
+        assert CL.fit_kmeans(df, ["a", "b"], k=k).cost == pytest.approx(_weighted_kmeans(points, weight, k), rel=1e-3)
+
+
+def test_candidates_are_drawn_from_all_rows_for_each_start(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(x), float(y), i) for i, (x, y) in enumerate(rng.normal(size=(500, 2)))] + [(50.0, 50.0, 500)]
+    schema = "f0 double, f1 double, uid long"
+    one, many = (CL.seed_candidates(spark.createDataFrame(rows, schema).repartition(p), 2, 3, 4, 7) for p in (1, 9))
+    for (a, n), (b, m) in zip(one, many, strict=True):
+        assert np.array_equal(a, b) and np.array_equal(n, m)  # whatever the partitions
+        assert len(a) == 1 + 5 * 6 and n.sum() == 501 and (a == 50).all(axis=1).any()  # the far row is found
+    assert len({c.tobytes() for c, _ in one}) == 4
+    few = CL.seed_candidates(spark.createDataFrame([(1.0, 1.0, 0), (1.0, 1.0, 1)], schema), 2, 3, 2, 7)
+    assert [(c.tolist(), n.tolist()) for c, n in few] == [([[1.0, 1.0]], [2.0])] * 2
+    equal = CL.fit_kmeans(spark.createDataFrame([(1.0, 1.0)] * 9, "a double, b double"), ["a", "b"], k=3, n_init=2)
+    assert equal.cost == 0.0 and equal.centroids.shape == (3, 2)
+    with pytest.raises(ValueError, match="at least one row"):
+        CL.fit_kmeans(spark.createDataFrame([], "a double, b double"), ["a", "b"])
+
+
 def test_assign_nearest_ties_to_lowest_id(spark):
     df = spark.createDataFrame([(0.0, 0.0), (2.0, 0.0)], "x double, y double")
     cents = [(5, [1.0, 0.0]), (2, [-1.0, 0.0]), (7, [3.0, 0.0])]

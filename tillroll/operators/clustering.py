@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import CUSTOMER, join_small
+from tillroll.functions.columns import CUSTOMER, fixed_layout, join_small
 from tillroll.operators.features import fit_standard_scaler, standard_scale
 from tillroll.operators.sampling import hash_key
 from tillroll.sources.sinks import materialize
@@ -214,19 +214,82 @@ class KMeansFit:
     passes: int
 
 
-def _starts(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding with a few candidates for each centre."""
-    cents = points[[rng.integers(len(points))]]
+def _starts(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ seeding on weighted points with a few candidates for each centre."""
+    cents = points[[rng.choice(len(points), p=weight / weight.sum())]]
     near = ((points - cents[0]) ** 2).sum(axis=1)
     for _ in range(k - 1):
-        total = near.sum()
-        pick = rng.choice(len(points), 2 + int(np.log(k)), p=near / total if total > 0 else None)
+        share = near * weight
+        total = share.sum()
+        pick = rng.choice(len(points), 2 + int(np.log(k)), p=share / total if total > 0 else None)
         tries = np.minimum(near, ((points[None] - points[pick][:, None]) ** 2).sum(axis=2))
-        best = tries.sum(axis=1).argmin()
+        best = (tries * weight).sum(axis=1).argmin()
         cents, near = np.vstack([cents, points[pick[best]]]), tries[best]
     return cents
 
 
+def _hash_uniform(uid: np.ndarray, seed: int) -> np.ndarray:
+    """A number in (0, 1) for each row id."""
+    x = uid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed & 0xFFFFFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2**53 + 2.0**-54
+
+
+def _far_rows(chosen: list[np.ndarray], n: int, seeds: list[int], d: int):
+    """mapInArrow over (f0.., uid): for each start ``n`` rows drawn with chances that follow the squared distance
+    to the centres chosen so far (equal ones without a centre). A row's key is log(u) / weight, u being a hash of
+    its id; the greatest keys of all rows are such a sample, so a task sends its n greatest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.zeros((0, d + 2)) for _ in chosen]  # key, place in ids, features
+        ids: list[np.ndarray] = [np.zeros(0, np.int64) for _ in chosen]
+        for batch in batches:
+            whole = np.column_stack([batch.column(j).to_numpy(zero_copy_only=False) for j in range(d)])
+            uids = batch.column(d).to_numpy()
+            for a in range(0, len(whole), 4096):
+                x, uid = whole[a:a + 4096], uids[a:a + 4096]
+                for i, c in enumerate(chosen):
+                    near = np.full(len(x), np.inf if len(c) else 1.0)
+                    for centre in c:
+                        np.minimum(near, ((x - centre) ** 2).sum(axis=1), out=near)
+                    some = near > 0
+                    key = np.log(_hash_uniform(uid[some], seeds[i])) / near[some]
+                    rows = np.vstack([best[i], np.column_stack([key, np.zeros(len(key)), x[some]])])
+                    uid_ = np.r_[ids[i], uid[some]]
+                    top = np.lexsort((uid_, -rows[:, 0]))[:n]
+                    best[i], ids[i] = rows[top], uid_[top]
+        rows = np.concatenate(best)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(best)), [len(x) for x in best]).astype(np.int32)), pa.array(rows[:, 0]),
+             pa.array(np.concatenate(ids)), *[pa.array(rows[:, 2 + j]) for j in range(d)]],
+            ["start", "key", "uid", *[f"f{j}" for j in range(d)]])
+
+    return run
+
+
+def seed_candidates(data: DataFrame, d: int, k: int, n_init: int, seed: int, rounds: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Scalable seeding: for each start candidate centres and the rows nearest to each.
+
+    ``data`` has f0.. and uid. A round draws 2 k rows for each start, by squared
+    distance to those drawn before, in one pass over all rows for all starts;
+    then all rows count for their nearest candidate. The driver gets 2 k rows a
+    round and start."""
+    schema = "start int, key double, uid long, " + ", ".join(f"f{j} double" for j in range(d))
+    top = W.partitionBy("start").orderBy(F.desc("key"), "uid")
+    chosen = [np.zeros((0, d)) for _ in range(n_init)]
+    for step in range(rounds + 1):
+        n = 2 * k if step else 1
+        seeds = [int(np.random.default_rng([seed, i, step]).integers(2**63)) for i in range(n_init)]
+        got = (data.mapInArrow(_far_rows(chosen, n, seeds, d), schema).withColumn("r", F.row_number().over(top))
+               .where(F.col("r") <= n).orderBy("start", "r").collect())
+        for i in range(n_init):
+            new = [[r[f"f{j}"] for j in range(d)] for r in got if r["start"] == i]
+            chosen[i] = np.vstack([chosen[i], new]) if new else chosen[i]
+    sums = _sums(data, chosen, d)
+    return [(c, t[:, d]) for c, t in zip(chosen, sums, strict=True)]
+
+
 def _assign_and_add(models: list[np.ndarray], d: int):
     """mapInArrow over feature columns: for each model and centre the number of
     its points, their squared distances and their sums, once for each task."""
@@ -256,37 +319,46 @@ def _assign_and_add(models: list[np.ndarray], d: int):
     return run
 
 
+def _sums(data: DataFrame, models: list[np.ndarray], d: int) -> list[np.ndarray]:
+    """For each model and centre the sums of its rows, their number and their squared distances."""
+    sums = ["n", "cost", *[f"s{j}" for j in range(d)]]
+    rows = (data.mapInArrow(_assign_and_add(models, d), "model int, centre int, " + ", ".join(f"{c} double" for c in sums))
+            .groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in sums]).collect())
+    total = [np.zeros((len(c), d + 2)) for c in models]
+    for r in rows:
+        total[r["model"]][r["centre"]] = [*[r[f"s{j}"] for j in range(d)], r["n"], r["cost"]]
+    return total
+
+
 def fit_kmeans_many(df: DataFrame, features: list[str], ks: list[int], seed: int = 42, n_init: int = 10,
-                    max_iter: int = 300, tol: float = 1e-4, seed_rows: int = 20_000) -> dict[int, KMeansFit]:
+                    max_iter: int = 300, tol: float = 1e-4) -> dict[int, KMeansFit]:
     """K-Means for every k, each the best of ``n_init`` starts.
 
     All starts of all k advance together: one pass over the rows assigns them
     under every model that still moves and adds up its centres, so the jobs are
-    as many as the slowest model's iterations. Starts are seeded by k-means++ on
-    at most ``seed_rows`` rows in hash order (a documented bound; every pass
-    covers all rows). A model stops when the squared shift of its centres is at
-    most ``tol`` times the mean feature variance. Ties go to the lower centre;
-    an empty centre stays where it is. Spark adds the tasks' sums; the driver
-    gets one row for each model and centre.
+    as many as the slowest model's iterations. Starts are seeded over all rows
+    (``seed_candidates``), each from draws of its own, and reduced to k centres
+    by weighted k-means++ on the driver. A model stops when the squared shift of
+    its centres is at most ``tol`` times the mean feature variance. Ties go to
+    the lower centre; an empty centre stays where it is. Spark adds the tasks'
+    sums; the driver gets one row for each model and centre. Rows are numbered
+    by a layout that the data alone decides. An empty table raises.
     """
-    data = materialize(df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]), "kmeans-rows")
-    cols, d = data.columns, len(features)
-    few = data.orderBy(F.xxhash64(*cols), *cols).limit(seed_rows).toPandas().to_numpy()
-    variance = data.agg(*[F.var_pop(c) for c in cols]).first()
+    rows = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)])
+    rows = fixed_layout(rows, rows.columns)
+    data = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "kmeans-rows")
+    d = len(features)
+    variance = data.agg(*[F.var_pop(f"f{j}") for j in range(d)]).first()
+    if variance[0] is None:
+        raise ValueError("K-Means needs at least one row")
     stop = tol * float(np.mean([v or 0.0 for v in variance]))
-    runs = [(k, i, _starts(few, k, np.random.default_rng([seed, k, i]))) for k in ks for i in range(n_init)]
     data = data.persist()
     best: dict[int, KMeansFit] = {}
     try:
-        moving = [(k, c, False) for k, _, c in runs]
+        seeds = seed_candidates(data, d, max(ks), n_init, seed)
+        moving = [(k, _starts(*seeds[i], k, np.random.default_rng([seed, k, i])), False) for k in ks for i in range(n_init)]
         for step in range(1, max_iter + 2):
-            sums = ["n", "cost", *[f"s{j}" for j in range(d)]]
-            rows = (data.mapInArrow(_assign_and_add([c for _, c, _ in moving], d),
-                                    "model int, centre int, " + ", ".join(f"{c} double" for c in sums))
-                    .groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in sums]).collect())
-            total = [np.zeros((k, d + 2)) for k, _, _ in moving]
-            for r in rows:
-                total[r["model"]][r["centre"]] = [*[r[f"s{j}"] for j in range(d)], r["n"], r["cost"]]
+            total = _sums(data, [c for _, c, _ in moving], d)
             still = []
             for (k, c, settled), t in zip(moving, total, strict=True):
                 cost = float(t[:, d + 1].sum())
