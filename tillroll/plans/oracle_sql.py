@@ -827,6 +827,7 @@ WITH {RFM_CTE}
 
 # the stream scores the same requests with the same scorer as the batch query
 ORACLE["score_stream_rfm"] = ORACLE["score_rfm_response"]
+ORACLE["score_stream_classifier"] = ORACLE["score_classifier_validate_response"]
 
 
 ORACLE["classify_report_labels"] = ORACLE["classify_report"].replace(FIXTURE_CTE, LABELS_FX + METRIC_CTES)

@@ -27,6 +27,7 @@ from tillroll.operators import segments as SG
 from tillroll.plans import reports as RP
 from tillroll.plans import workspace as WS
 from tillroll.sources import tables as S
+from tillroll.streaming import request_stream as RS
 from tillroll.streaming import scoring as SC
 from tillroll.streaming import validation as VA
 
@@ -682,17 +683,39 @@ def q_score_classifier_requests(spark, sf_dir):
     return classifier_scored(spark, sf_dir).select(CUSTOMER, "valid", "error", "segment_class", "segment", "probabilities")
 
 
-@query("score_classifier_validate_response")
-def q_score_classifier_validate_response(spark, sf_dir):
-    """Every request's verdict and the parts of its response that don't depend on the fit."""
+def classifier_verdicts(scored: DataFrame) -> DataFrame:
     field = lambda path: F.get_json_object("response", path)
-    return classifier_scored(spark, sf_dir).select(
+    return scored.select(
         CUSTOMER, "valid", "error", field("$.error").alias("response_error"),
         field("$.segment").isNotNull().alias("response_has_segment"),
         (field("$.segment_class").cast("int") == F.col("segment_class")).alias("response_class_matches"),
         field("$.input.Recency").cast("double").alias("input_Recency"))
 
 
+@query("score_classifier_validate_response")
+def q_score_classifier_validate_response(spark, sf_dir):
+    """Every request's verdict and the parts of its response that don't depend on the fit."""
+    return classifier_verdicts(classifier_scored(spark, sf_dir))
+
+
+@query("score_stream_classifier")
+def q_score_stream_classifier(spark, sf_dir):
+    """The behaviour requests as a stream of JSON-lines files, two a batch: accepted, rejected and response
+    tables by batch number, read back from the committed batches."""
+    from tillroll.session import scratch_path
+    model, _ = forest_run(spark, sf_dir)
+    base = scratch_path(spark, "classifier-stream")
+    (classifier_requests(spark, sf_dir).select(F.to_json(F.struct(F.col(CUSTOMER).alias("id"), F.col("value").alias("body"))).alias("value"))
+     .repartition(5).write.text(f"{base}/in"))
+    RS.start_request_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lambda lines: SC.score_classifier_requests(lines, model, "body"),
+                            envelope=True, text_col="body", files_a_batch=2).awaitTermination()
+    accepted, rejected = (RS.read_committed(spark, f"{base}/out", t) for t in ("accepted", "rejected"))
+    rejected = rejected.select("id", F.lit(False).alias("valid"), "error", F.lit(None).cast("int").alias("segment_class"),
+                               F.to_json(F.struct("error")).alias("response"))
+    every = accepted.select(rejected.columns).unionByName(rejected)
+    return classifier_verdicts(every.withColumn(CUSTOMER, F.col("id").cast("bigint")))
+
+
 @query("score_ranked_probabilities")
 def q_score_ranked_probabilities(spark, sf_dir):
     model, _ = forest_run(spark, sf_dir)
