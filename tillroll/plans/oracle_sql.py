@@ -791,6 +791,8 @@ SELECT CAST(Invoice AS VARCHAR) AS Invoice, CAST(StockCode AS VARCHAR) AS StockC
        CAST(Quantity AS BIGINT) AS Quantity, InvoiceDate, Price, "Customer ID", Country
 FROM clean"""
 
+ORACLE["source_csv_line_breaks"] = """CASE WHEN StockCode % 5 = 0 THEN Description || chr(13) || chr(10) || '"second",' || chr(10) || chr(10) || 'line'
+            ELSE Description END AS Description,""".join(ORACLE["source_csv_scan"].rsplit("Description,", 1))
 ORACLE["source_csv_canonical"] = ORACLE["source_csv_scan"]
 ORACLE["source_csv_reordered"] = ORACLE["source_csv_scan"]
 

@@ -774,9 +774,10 @@ CSV_HEADERS = {
 }
 
 
-def csv_file(spark, sf_dir, header: list[str], broken: bool = False) -> str:
+def csv_file(spark, sf_dir, header: list[str], broken: bool = False, breaks: bool = False) -> str:
     """The dirty transactions as a Latin-1 CSV with this header. With ``broken``
-    some quantities, prices, customers and dates are text that doesn't fit."""
+    some quantities, prices, customers and dates are text that doesn't fit; with
+    ``breaks`` some descriptions hold line breaks, quotes and commas."""
     from tillroll.functions.columns import COLUMN_ALIASES
     from tillroll.session import scratch_path
     d = raw_lines(spark, sf_dir)
@@ -787,10 +788,12 @@ def csv_file(spark, sf_dir, header: list[str], broken: bool = False) -> str:
         i = F.col("Invoice")
         for c, m, bad in (("Quantity", 7, "six"), ("Price", 11, "9,99"), ("Customer ID", 13, "x17"), ("InvoiceDate", 17, "31.12.2010")):
             cells[c] = F.when(i % m == 0, F.lit(bad)).otherwise(cells[c])
+    if breaks:
+        cells["Description"] = F.when(F.col("StockCode") % 5 == 0, F.concat("Description", F.lit('\r\n"second",\n\nline'))).otherwise(F.col("Description"))
     canonical = [COLUMN_ALIASES.get(n, n) for n in header]
     path = scratch_path(spark, "retail-csv")
     (d.select(*[cells.get(c, F.col(c).cast("string")).alias(n) for n, c in zip(header, canonical)])
-     .write.option("header", True).option("encoding", "ISO-8859-1").csv(path))
+     .write.options(header=True, encoding="ISO-8859-1", **({"escape": '"', "quoteAll": True} if breaks else {})).csv(path))
     return path
 
 
@@ -808,6 +811,14 @@ for _name in CSV_HEADERS:
     _csv_query(_name)
 
 
+@query("source_csv_line_breaks")
+def q_source_csv_line_breaks(spark, sf_dir):
+    """A file whose descriptions hold line breaks, quotes and commas, read back and cleaned."""
+    from tillroll.sources.retail_csv import read_transactions_csv
+    path = csv_file(spark, sf_dir, CSV_HEADERS["source_csv_canonical"], breaks=True)
+    return C.clean(read_transactions_csv(spark, path))
+
+
 @query("source_csv_problems")
 def q_source_csv_problems(spark, sf_dir):
     """Counts of the values that typed columns cannot hold, over a file with broken cells."""

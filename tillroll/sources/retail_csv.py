@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.columns import COLUMN_ALIASES, parse_timestamp, timestamp_format
+from tillroll.sources.csv_records import has_broken_fields, read_records
 
 
 class MissingInputError(FileNotFoundError):
@@ -44,8 +45,10 @@ def scan_text(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> D
     """The file's columns as text under canonical names, placed by the header's
     names in whatever order it has them. Text null tokens become nulls. Lines
     that are longer or shorter than the header are kept, with their text in
-    ``_corrupt``. ISO-8859-1 decodes every byte; a UTF-8 file is read as such
-    with ``encoding="UTF-8"``. A missing path raises ``MissingInputError``."""
+    ``_corrupt``. Quoted fields may hold line breaks, which stay; a quote that is
+    never closed makes one corrupt line of the rest of its file. ISO-8859-1
+    decodes every byte; a UTF-8 file is read as such with ``encoding="UTF-8"``. A
+    missing path raises ``MissingInputError``."""
     reader = spark.read.option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
     try:
         names = reader.csv(path).columns  # one line is read
@@ -59,8 +62,14 @@ def scan_text(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> D
     if missing:
         raise ValueError(f"{path} has no column {missing}; its header is {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in canonical] + [T.StructField("_corrupt", T.StringType())])
-    df = (reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-          .option("columnPruning", False).csv(path))  # else short lines go unnoticed
+    if has_broken_fields(spark, path):
+        record = F.from_csv("value", schema.toDDL(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "quote": '"', "escape": '"'})
+        df = (read_records(spark, path, encoding).where(~F.col("first"))  # the header of each file
+              .select(record.alias("_record"), F.when(~F.col("closed"), F.col("value")).alias("_open")).select("_record.*", "_open")
+              .withColumn("_corrupt", F.coalesce("_corrupt", "_open")))
+    else:
+        df = (reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+              .option("columnPruning", False).csv(path))  # else short lines go unnoticed
     return df.select(*[F.when(~F.trim(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in canonical], "_corrupt")
 
 
