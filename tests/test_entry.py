@@ -23,6 +23,18 @@ def test_entry_smoke(spark):
     assert df.columns == E.entry(spark).columns
 
 
+@pytest.mark.parametrize("module", ["tillroll.llm", "xxhash", "zstandard"])
+def test_the_rest_is_registered_without_the_optional_part(module):
+    """As when the part's folder, or a package that only it needs, is not there."""
+    import subprocess
+    import sys
+    code = (f"import sys, warnings; sys.modules[{module!r}] = None; warnings.simplefilter('ignore'); import __spark_entry__ as E; "
+            "q, o = E.queries(), E.oracle_sql(); assert len(q) > 80 and set(o) <= set(q), len(q); "
+            "assert not any(n.startswith('op') or n == 'pipeline' for n in q)")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
+
+
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 

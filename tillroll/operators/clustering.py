@@ -150,6 +150,111 @@ def silhouette_samples(df: DataFrame, key: str, vec: str, label: str) -> DataFra
     return silhouette_points(df, key, vec, [label]).select(key, F.col("label").alias(label), "silhouette")
 
 
+def _reference_sums(x: np.ndarray, refs: list[np.ndarray], replicate: list[np.ndarray], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """rows x clusters x replicates sums of Euclidean distances to the reference rows, and of their squares."""
+    out, square = (np.zeros((len(x), len(refs), parts)) for _ in range(2))
+    for c, (r, which) in enumerate(zip(refs, replicate, strict=True)):
+        d2 = np.maximum(0.0, (x**2).sum(1)[:, None] - 2 * x @ r.T + (r**2).sum(1))
+        d = np.sqrt(d2)
+        for i in range(parts):
+            out[:, c, i] = d[:, which == i].sum(axis=1)
+            square[:, c, i] = d2[:, which == i].sum(axis=1)
+    return out, square
+
+
+def silhouette_replicates(x: np.ndarray, own: np.ndarray, key: np.ndarray, refs: list[np.ndarray], ref_keys: list[np.ndarray],
+                          sizes: np.ndarray, centres: np.ndarray, spread: np.ndarray, parts: int) -> np.ndarray:
+    """Sums of the rows' silhouettes, from all reference rows and with each of ``parts`` parts of them left out.
+
+    A row's mean distance to a cluster is that to the cluster's reference rows,
+    itself left out, corrected by how far their mean squared distance is from
+    the cluster's, which is exact: |x - centre|^2 + spread (the cluster's mean
+    squared distance to its centre). A cluster that is its own reference gives
+    the exact mean."""
+    replicate = [np.arange(len(r)) % parts for r in refs]
+    sums, squares = _reference_sums(x, refs, replicate, parts)
+    counts = np.array([[np.count_nonzero(w == i) for i in range(parts)] for w in replicate])
+    counts = np.broadcast_to(counts, sums.shape).copy()
+    for c, (keys, which) in enumerate(zip(ref_keys, replicate, strict=True)):
+        place = {k: i for i, k in enumerate(keys.tolist())}
+        for i in np.flatnonzero(own == c):
+            at = place.get(key[i])
+            if at is not None:
+                counts[i, c, which[at]] -= 1
+    rows, out = np.arange(len(x)), np.zeros(parts + 1)
+    whole = np.array([len(r) for r in refs]) == sizes  # has no sampling error: it is never left out
+    true = np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1) + spread
+    true[rows, own] *= sizes[own] / np.maximum(1, sizes[own] - 1)
+    total, square, n = (v.sum(axis=2) for v in (sums, squares, counts))
+    for i in range(parts + 1):
+        gone = (0, 0, 0) if i == parts else tuple(np.where(whole, 0, v[:, :, i]) for v in (sums, squares, counts))
+        m = n - gone[2]
+        mean, mean2 = (np.divide(v, m, out=np.zeros(m.shape), where=m > 0) for v in (total - gone[0], square - gone[1]))
+        root = np.sqrt(true)
+        fix = np.divide(true - mean2, 2 * root, out=np.zeros(m.shape), where=(root > 0) & (m > 0))
+        mean = np.maximum(0.0, np.where(whole, mean, mean + fix))
+        a = mean[rows, own]
+        mean[rows, own] = np.inf
+        b = mean.min(axis=1)
+        top = np.maximum(a, b)
+        score = np.where((sizes[own] > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0)
+        out[i] = score.sum()
+    return out
+
+
+def jackknife(sums: np.ndarray, n: int, z: float = 2.58) -> tuple[float, float, float]:
+    """Estimate without its first-order bias, and an interval, from left-out-part means and the full one (last)."""
+    means, parts = sums / n, len(sums) - 1
+    left, full = means[:-1], means[-1]
+    value = parts * full - (parts - 1) * left.mean()
+    spread = z * np.sqrt((parts - 1) / parts * ((left - left.mean()) ** 2).sum())
+    return float(value), float(value - spread), float(value + spread)
+
+
+def silhouette_estimate(df: DataFrame, key: str, vec: str, label: str, reference: int = 256, parts: int = 16, seed: int = 42) -> DataFrame:
+    """One row: n, silhouette, low, high: the mean Euclidean silhouette of all rows with an interval.
+
+    Every row is scored, against ``reference`` rows of each cluster (the first in
+    seeded hash order; all of a smaller cluster) and the cluster's exact mean
+    squared distance, so the work is linear in the rows; clusters x reference rows
+    are broadcast. Leaving out each of ``parts``
+    parts of the references in turn gives the spread and removes the bias of the
+    ratio. With every cluster within ``reference`` the value is exact and the
+    interval empty. Fewer than two labels give 0."""
+    from tillroll.operators.sampling import hash_key
+    spark = df.sparkSession
+    rows = materialize(df.select(F.col(key).cast("string").alias("key"), F.col(vec).cast("array<double>").alias("vec"), F.col(label).alias("label"))
+                       .where("label is not null"), "silhouette-rows")
+    stats = {s["label"]: s for s in cluster_stats(rows, "vec", "label")}
+    sizes = {x: s["n"] for x, s in stats.items()}
+    out = "n long, silhouette double, low double, high double"
+    if len(sizes) < 2:
+        return spark.createDataFrame([(sum(sizes.values()), 0.0, 0.0, 0.0)], out)
+    labels = sorted(sizes)
+    first = W.partitionBy("label").orderBy(hash_key("key", seed), "key")
+    few = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= reference).orderBy("label", "r").collect()
+    groups = [[r for r in few if r["label"] == x] for x in labels]
+    refs, ref_keys = [np.array([r["vec"] for r in g]) for g in groups], [np.array([r["key"] for r in g]) for g in groups]
+    size = np.array([sizes[x] for x in labels])
+    centres, spread = np.array([stats[x]["centroid"] for x in labels]), np.array([stats[x]["W"] / stats[x]["n"] for x in labels])
+    shared, place = spark.sparkContext.broadcast((refs, ref_keys)), {x: i for i, x in enumerate(labels)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs, ref_keys = shared.value
+        total = np.zeros(parts + 1)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1024):
+                b = batch.slice(a, 1024)
+                x = np.array(b["vec"].to_pylist())
+                own = np.array([place[v] for v in b["label"].to_pylist()])
+                total += silhouette_replicates(x, own, np.array(b["key"].to_pylist()), refs, ref_keys, size, centres, spread, parts)
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts + 1), pa.int32()), pa.array(total)], ["part", "s"])
+
+    sums = rows.mapInArrow(run, "part int, s double").groupBy("part").agg(F.sum("s").alias("s")).orderBy("part").collect()
+    n = int(size.sum())
+    return spark.createDataFrame([(n, *jackknife(np.array([r["s"] for r in sums]), n))], out)
+
+
 def silhouette_squared(df: DataFrame, vec: str, label: str) -> float:
     """Mean silhouette by squared Euclidean distance over whole tables: linear in
     the rows, from per-cluster sums (0.0 when fewer than 2 labels)."""

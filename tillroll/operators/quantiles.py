@@ -193,3 +193,55 @@ def percentiles_exact(df: DataFrame, cols: list[str], probs: list[float],
             out[c][p] = a if frac == 0 or a == b else (
                 b - (b - a) * (1 - frac) if frac >= 0.5 else a + (b - a) * frac)
     return out
+
+
+# --------------------------------------------------------------- sketches
+def sketch_error(k: int) -> float:
+    """The rank error that a sketch of size ``k`` stays within, as a share of the
+    rows: twice the published error that 99 of 100 sketches keep to."""
+    return 2 * 2.296 / k ** 0.9021
+
+
+def quantile_sketches(df: DataFrame, cols: list[str], by: list[str], k: int = 800) -> DataFrame:
+    """One mergeable KLL sketch a column and group of ``by``: (by.., col, sketch, n).
+
+    A sketch has a few kB whatever the rows, is made map-side, and may be kept in
+    a table and merged with others later (``merge_sketches``), so new partitions
+    don't read the old ones again. Nulls and NaN are left out; a group without a
+    value has a null sketch and n 0. For exact values: ``percentiles_exact``."""
+    out = None
+    for c in cols:
+        x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
+        one = (df.groupBy(*by).agg(F.kll_sketch_agg_double(x, F.lit(k)).alias("sketch"), F.count(x).alias("n"))
+               .select(*by, F.lit(c).alias("col"), F.when(F.col("n") > 0, F.col("sketch")).alias("sketch"), "n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def merge_sketches(sketches: DataFrame, by: list[str], k: int = 800) -> DataFrame:
+    """Sketches of coarser groups: (by.., col, sketch, n)."""
+    return (sketches.groupBy(*by, "col").agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"), F.sum("n").alias("n"))
+            .withColumn("sketch", F.when(F.col("n") > 0, F.col("sketch"))))
+
+
+def sketch_quantiles(sketches: DataFrame, probs: list[float]) -> DataFrame:
+    """The sketches' rows with p and value for each of ``probs``; null without a sketch."""
+    values = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(float(p)) for p in probs]))
+    return (sketches.withColumn("_v", F.when(F.col("sketch").isNotNull(), values))
+            .withColumn("_p", F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.coalesce("_v", F.array()).alias("value"))))
+            .select(*[c for c in sketches.columns if c != "sketch"], "_p.p", "_p.value"))
+
+
+def rank_errors(df: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """(col, p, error): how far p lies from the shares of rows below and up to
+    each value of ``quantiles`` (col, p, value), over all rows of ``df``."""
+    rows = quantiles.select("col", "p", "value").collect()  # a row for each column and p
+    aggs = []
+    for i, r in enumerate(rows):
+        x = F.col(r["col"]).cast("double")
+        x = F.when(~F.isnan(x), x)
+        low, high = F.count_if(x < r["value"]) / F.count(x), F.count_if(x <= r["value"]) / F.count(x)
+        aggs.append(F.greatest(F.lit(0.0), low - r["p"], F.lit(r["p"]) - high).alias(f"e{i}"))
+    got = df.agg(*aggs).first()
+    return df.sparkSession.createDataFrame([(r["col"], r["p"], float(got[i])) for i, r in enumerate(rows)], "col string, p double, error double")

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import col_of, join_small
+from tillroll.sources.sinks import materialize
 
 RANK_BUCKET_ROWS = 50_000  # rows that a range bucket of the hash may be expected to hold
 
@@ -35,8 +36,9 @@ def random_sample(df: DataFrame, n: int, key: str | Column, seed: int = 42,
         share = (n + 8 * n ** 0.5 + 50) / total
         if share < 1:
             below = df.where(order[0] < F.lit(f"{int(share * 16 ** 12):012x}"))
-            if below.count() >= n:
-                df = below
+            few = materialize(below.orderBy(*order).limit(n), "sample")
+            if few.count() == n:
+                return few
     return df.orderBy(*order).limit(n)
 
 
@@ -44,11 +46,14 @@ def cluster_safe_sample(df: DataFrame, label: str, key: str, n: int = 10_000, se
     """A sample of n rows (all, if fewer) with at least one row of every label.
 
     The first row of each label, then the rest in seeded hash order. With more
-    labels than n the first rows alone are returned, one for each label.
+    labels than n the first rows alone are returned, one for each label. A table
+    with one label is returned whole, whatever its size: there are no clusters to
+    compare. One pass finds the labels, their first rows and the row count, one
+    more takes the sample.
     """
-    firsts = df.groupBy(label).agg(F.min(key).alias(key))
-    k, total = firsts.count(), df.count()
-    if total <= n:
+    firsts = materialize(df.groupBy(label).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("_n")), "first-rows")
+    k, total = firsts.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if k <= 1 or total <= n:
         return df
     reps = join_small(df, firsts.select(key), key, "left_semi", broadcast_rows=n)
     if k >= n:

@@ -402,6 +402,24 @@ allpts AS (SELECT "Customer ID" AS key, CAST(Cluster AS BIGINT) AS label,
 {safe_sample('allpts', 'pts')},
 {quality_ctes()} {QUALITY_SELECT}"""
 
+ALL_METRICS_SELECT = f"""
+SELECT n, k, {r('inertia')} AS inertia, {r('davies_bouldin')} AS davies_bouldin, {r('calinski_harabasz')} AS calinski_harabasz
+FROM (SELECT (SELECT count(*) FROM pts) AS n, (SELECT count(*) FROM csize) AS k, (SELECT inertia FROM inert) AS inertia,
+             (SELECT davies_bouldin FROM db) AS davies_bouldin, (SELECT calinski_harabasz FROM ch) AS calinski_harabasz)"""
+ORACLE["cluster_metrics_embeddings"] = f"WITH {EMB_ALL}, pts AS (SELECT * FROM allpts), {quality_ctes()} {ALL_METRICS_SELECT}"
+ORACLE["cluster_metrics_rfm"] = f"""
+WITH {SCALED_CTE},
+pts AS (SELECT "Customer ID" AS key, CAST(Cluster AS BIGINT) AS label, [Recency_s, Frequency_s, Monetary_s] AS vec FROM clustered),
+{quality_ctes()} {ALL_METRICS_SELECT}"""
+ORACLE["cluster_silhouette_estimate"] = f"""
+WITH {SCALED_CTE}
+SELECT count(*) AS n, TRUE AS in_range, TRUE AS inside, TRUE AS narrow FROM clustered"""
+ORACLE["quantile_sketch_checks"] = f"""
+WITH {CLEAN_CTE}
+""" + "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "Column", CAST({p} AS DOUBLE) AS p, count({expr}) AS n, TRUE AS within_bound FROM clean"""
+    for name, expr in (("Quantity", "Quantity"), ("Price", "Price"), ("TotalPrice", "Quantity * Price")) for p in (0.01, 0.25, 0.5, 0.75, 0.99))
+
 # -------------------------------------------------------------- segments
 SEGMENT_CTE = SCALED_CTE + """,
 csum AS (SELECT Cluster, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(Monetary) AS Monetary,
@@ -829,6 +847,10 @@ WITH {RFM_CTE}
 
 # the stream scores the same requests with the same scorer as the batch query
 ORACLE["score_stream_rfm"] = ORACLE["score_rfm_response"]
+ORACLE["rf_metrics_checks"] = "SELECT TRUE AS all_are_shares, TRUE AS recall_is_accuracy, TRUE AS auc_beats_chance"
+ORACLE["rf_importance_checks"] = """
+SELECT Feature, TRUE AS is_a_share, TRUE AS has_band
+FROM (VALUES ('AvgBasketValue'), ('AvgBasketSize'), ('Volatility'), ('FavoriteDay_Encoded'), ('Country_Encoded')) f(Feature)"""
 ORACLE["score_stream_classifier"] = ORACLE["score_classifier_validate_response"]
 
 

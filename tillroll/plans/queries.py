@@ -273,6 +273,56 @@ def q_cluster_quality_rfm_fixed(spark, sf_dir):
                                       CUSTOMER, "vec", "Cluster"))
 
 
+def all_rows_metrics(df: DataFrame, vec: str, label: str) -> DataFrame:
+    """n, k, inertia, Davies-Bouldin and Calinski-Harabasz of every row: two aggregations."""
+    from tillroll.sources.sinks import materialize
+    stats = CL.cluster_stats(materialize(df.select(label, vec), "metric-points"), vec, label)
+    vals = CL.metrics_from_stats(stats)
+    return rounded(df.sparkSession.createDataFrame(
+        [(sum(s["n"] for s in stats), len(stats), vals["inertia"], vals["davies_bouldin"], vals["calinski_harabasz"])],
+        "n bigint, k bigint, inertia double, davies_bouldin double, calinski_harabasz double"))
+
+
+def rfm_fixed_points(spark, sf_dir):
+    return rfm_fixed_clusters(spark, sf_dir).select(
+        CUSTOMER, F.col("Cluster").cast("bigint").alias("Cluster"), CL.as_vector(SCALED).alias("vec"))
+
+
+@query("cluster_metrics_embeddings")
+def q_cluster_metrics_embeddings(spark, sf_dir):
+    return all_rows_metrics(embedding_points(spark, sf_dir), "vec", "label")
+
+
+@query("cluster_metrics_rfm")
+def q_cluster_metrics_rfm(spark, sf_dir):
+    return all_rows_metrics(rfm_fixed_points(spark, sf_dir), "vec", "Cluster")
+
+
+@query("cluster_silhouette_estimate")
+def q_cluster_silhouette_estimate(spark, sf_dir):
+    """The mean silhouette of every customer against reference rows of each cluster, with its interval: what must
+    hold of any estimate (its coverage of the exact value is tested)."""
+    e = CL.silhouette_estimate(rfm_fixed_points(spark, sf_dir), CUSTOMER, "vec", "Cluster")
+    return e.select("n", F.col("silhouette").between(-1, 1).alias("in_range"), F.col("silhouette").between(F.col("low"), F.col("high")).alias("inside"),
+                    (F.col("high") - F.col("low") < 0.1).alias("narrow"))
+
+
+SKETCHED, SKETCH_PROBS = ["Quantity", "Price", "TotalPrice"], [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("quantile_sketch_checks")
+def q_quantile_sketch_checks(spark, sf_dir):
+    """KLL sketches of each month's lines, kept in a table, merged to one a column; the ranks of their quantiles
+    among all lines against the bound."""
+    from tillroll.operators import quantiles as QU
+    from tillroll.sources.sinks import materialize
+    lines = FE.with_total_price(clean_lines(spark, sf_dir)).withColumn("Month", F.date_format("InvoiceDate", "yyyy-MM"))
+    months = materialize(QU.quantile_sketches(lines, SKETCHED, ["Month"]), "sketches")
+    found = materialize(QU.sketch_quantiles(QU.merge_sketches(months, []), SKETCH_PROBS), "sketch-quantiles")
+    errors = QU.rank_errors(lines, found)
+    return (found.join(errors, ["col", "p"]).select(F.col("col").alias("Column"), "p", "n", (F.col("error") <= QU.sketch_error(800)).alias("within_bound")))
+
+
 # ---------------------------------------------------------------- segments
 @query("segment_cluster_summary")
 def q_segment_cluster_summary(spark, sf_dir):
@@ -655,6 +705,24 @@ def q_rf_checks(spark, sf_dir):
                     (F.abs(importance - 1) < 1e-6).alias("importances_sum_to_1"))
 
 
+@query("rf_metrics_checks")
+def q_rf_metrics_checks(spark, sf_dir):
+    """What must hold of any forest's metrics: shares, weighted recall the accuracy, and an AUC no worse than chance."""
+    m = q_rf_metrics(spark, sf_dir)
+    shares = F.lit(True)
+    for c in m.columns:
+        shares = shares & F.col(c).between(0, 1)
+    return m.select(shares.alias("all_are_shares"), (F.abs(F.col("recall_weighted") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+                    (F.col("roc_auc_weighted") >= 0.5).alias("auc_beats_chance"))
+
+
+@query("rf_importance_checks")
+def q_rf_importance_checks(spark, sf_dir):
+    """Every feature's importance: a share, with its band."""
+    imp = q_rf_feature_importance(spark, sf_dir)
+    return imp.select("Feature", F.col("Importance").between(0, 1).alias("is_a_share"), F.col("Band").isNotNull().alias("has_band"))
+
+
 @query("rf_model_round_trip")
 def q_rf_model_round_trip(spark, sf_dir):
     """The forest saved, logged with its path, found by its run's name, loaded,

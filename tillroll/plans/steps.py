@@ -29,7 +29,7 @@ from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
 from tillroll.plans import reports as RP
 from tillroll.sources.sinks import head, materialize, write_report, write_table
-from tillroll.sources.tracking import log_run, save_model
+from tillroll.sources.tracking import log_run, save_model, step_run_id
 
 SCALED = ["Recency_s", "Frequency_s", "Monetary_s"]
 
@@ -196,7 +196,7 @@ def classifier_step(cleaned: DataFrame, labeled: DataFrame, num_trees: int = 100
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, runs_path: str | None = None,
                  k: int = 4, n_init: int = 10, sweep: bool = False, num_trees: int = 100,
-                 concurrency: int = 4, serial: bool = False) -> dict:
+                 concurrency: int = 4, serial: bool = False, pipeline_id: str | None = None) -> dict:
     """Run all six steps. Writes every table and the four text reports to
     ``out_dir`` and appends every step's parameters and metrics to the run
     table ``runs_path``, when given; the classifier is then saved beside it and
@@ -208,10 +208,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
     run beside the clean -> clustering -> labelling -> classifier chain. With
     ``serial`` each step is built and written before the next one starts, so
     that its seconds are its wall time. Returns per-step seconds (overlapping
-    unless serial), per-output write seconds and the results.
+    unless serial), per-output write seconds and the results. A run that is tried
+    again with the same ``pipeline_id`` logs each step once.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    pipeline_id = pipeline_id or uuid.uuid4().hex
     timings, results, detail = {}, {}, {}
     writers = ThreadPoolExecutor(max_workers=max(1, concurrency - 1))
     pending = []
@@ -238,7 +240,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
             if name == "classifier":
                 params["model_path"] = f"{runs_path.rstrip('/')}-models/{uuid.uuid4().hex}"
                 timed(f"{name}.model", lambda: save_model(spark, res.values["model"], params["model_path"]))
-            timed(f"{name}.run", lambda: log_run(spark, runs_path, name, name, params, res.metrics, {"step": name}))
+            timed(f"{name}.run", lambda: log_run(spark, runs_path, name, name, params, res.metrics, {"step": name},
+                                                 run_id=step_run_id(pipeline_id, name)))
 
     def run(name, fn):
         t0 = time.time()
