@@ -273,26 +273,29 @@ def estimates(c: Chunk, answer: np.ndarray, totals: Totals):
     return frequency_class(context), p2, word / max(1, totals.tokens), word
 
 
-def _cells(p: np.ndarray, totals: Totals) -> np.ndarray:
-    """Histogram cell of p relative to the uniform estimate."""
+def _cells(ratio: np.ndarray) -> np.ndarray:
+    """Histogram cell of an estimate's ratio to the uniform one."""
     with np.errstate(divide="ignore"):
-        x = np.round(STEPS * np.log2(p * (totals.words + 1)))
-    return np.where(p > 0, x, NEVER).astype(np.int64)
+        x = np.round(STEPS * np.log2(ratio))
+    return np.where(ratio > 0, x, NEVER).astype(np.int64)
 
 
 def held_out_histogram(chunks: DataFrame, answers: DataFrame, totals: Totals) -> np.ndarray:
-    """Rows (class, cell of p2, cell of p1, tokens) over the deleted texts."""
+    """Rows (class, mean ratio of p2, mean ratio of p1 to the uniform estimate, tokens) of cells of like ratios
+    over the deleted texts. A cell carries the sums of its tokens' ratios, so its means are exact."""
 
     def run(c: Chunk, kept: np.ndarray, gone: np.ndarray) -> pa.Table:
         k, p2, p1, _ = estimates(c, kept, totals)
-        cells, n = np.unique(np.column_stack([k, _cells(p2, totals), _cells(p1, totals)]), axis=0, return_counts=True)
-        return pa.table({"k": cells[:, 0], "x2": cells[:, 1], "x1": cells[:, 2], "n": n})
+        r2, r1 = p2 * (totals.words + 1), p1 * (totals.words + 1)
+        cells, back, n = np.unique(np.column_stack([k, _cells(r2), _cells(r1)]), axis=0, return_inverse=True, return_counts=True)
+        return pa.table({"k": cells[:, 0], "x2": cells[:, 1], "x1": cells[:, 2], "n": n,
+                         "s2": np.bincount(back.ravel(), r2, len(n)), "s1": np.bincount(back.ravel(), r1, len(n))})
 
-    schema = "k long, x2 long, x1 long, n long"
+    schema = "k long, x2 long, x1 long, n long, s2 double, s1 double"
     rows = _meet(chunks.where("deleted"), answers.where("deleted"), run, schema)
     # cells: classes x octaves x octaves x STEPS ** 2 at most, whatever the corpus
-    got = rows.groupBy("k", "x2", "x1").agg(F.sum("n").alias("n")).collect()
-    return np.array([[r["k"], r["x2"], r["x1"], r["n"]] for r in got], np.int64).reshape(-1, 4)
+    got = rows.groupBy("k", "x2", "x1").agg(*[F.sum(c).alias(c) for c in ("n", "s2", "s1")]).collect()
+    return np.array([[r["k"], r["s2"] / r["n"], r["s1"] / r["n"], r["n"]] for r in sorted(got)], float).reshape(-1, 4)
 
 
 def maximise(n: np.ndarray, ratios: np.ndarray, prior: np.ndarray, strength: float = 10.0, steps: int = 200) -> np.ndarray:
@@ -313,9 +316,8 @@ def maximise(n: np.ndarray, ratios: np.ndarray, prior: np.ndarray, strength: flo
 def learn_weights(histogram: np.ndarray) -> np.ndarray:
     """(l2, l1, l0) for each context class up to the largest possible count; a
     class without deleted tokens takes the weights of the one below it."""
-    ratio = lambda x: np.where(x == NEVER, 0.0, np.exp2(np.clip(x, -1000, 1000) / STEPS))
-    k, n = histogram[:, 0], histogram[:, 3].astype(float)
-    ratios = np.column_stack([ratio(histogram[:, 1]), ratio(histogram[:, 2]), np.ones(len(n))])
+    k, n = histogram[:, 0].astype(np.int64), histogram[:, 3]
+    ratios = np.column_stack([histogram[:, 1], histogram[:, 2], np.ones(len(n))])
     prior = maximise(n, ratios, np.array([0.4, 0.4, 0.2]), 1.0)
     unseen = np.array([0.0, prior[1], prior[2]]) / (prior[1] + prior[2])
     out = [maximise(n[k == 0], ratios[k == 0], unseen)]  # no pair has been seen there
