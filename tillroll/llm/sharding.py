@@ -102,11 +102,12 @@ def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: fl
     def arc_of(position: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(starts, position.to_numpy()) % len(starts))
 
-    rows = stored(rows.withColumn("arc", arc_of("at")), "shard-rows", rows=docs.count(), spread=True)
+    # uid tells repeated rows apart, so that they are numbered in many tasks
+    rows = stored(rows.withColumns({"arc": arc_of("at"), "uid": F.monotonically_increasing_id()}), "shard-rows", rows=docs.count(), spread=True)
     counts = {r[0]: r[1] for r in rows.groupBy("arc").count().collect()}  # one row for each ring arc at most
     total = sum(counts.values())
     pieces = bounded_loads(owner, counts, capacities(total, shards, slack))
-    ranked = spread_rank(rows, "arc", ["doc_id", "size", "text_crc32"], ["at", "doc_id", "size", "text_crc32"],
+    ranked = spread_rank(rows, "arc", ["doc_id", "size", "text_crc32", "uid"], ["at", "doc_id", "size", "text_crc32", "uid"],
                          "rank", max(1, total // len(owner)), least=16)
     by_arc: dict[int, list[Piece]] = {}
     for p in pieces:
