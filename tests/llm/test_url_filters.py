@@ -62,3 +62,23 @@ def test_no_python_in_the_plan(spark):
     out = filter_urls(pages, URL_RULES, spark.createDataFrame([("a.b/c",)], "url string"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_only_possible_hits_are_shuffled_to_a_large_list(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.xyz/p", "") for i in range(400)], SCHEMA)
+    listed = spark.createDataFrame([(f"h{i}.xyz/p",) for i in range(0, 400, 8)], "url string")
+    out = filter_urls(pages, URL_RULES, listed, broadcast_bytes=200)  # the filter's two blocks fit, the list doesn't
+    rows = out.collect()
+    assert len(rows) == 400 and {r["page_id"] for r in rows if r["verdict"] == "block"} == set(range(0, 400, 8))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Python" not in plan
+
+
+def test_the_query_lists_urls_by_their_digest(spark):
+    from hashlib import md5
+
+    from tillroll.llm.queries import listed_urls
+    pages = spark.createDataFrame([(i, f"http://H{i}.xyz/p/?q", "") for i in range(200)] + [(900, None, ""), (901, "x", "")], SCHEMA)
+    urls = [f"h{i}.xyz/p" for i in range(200)]
+    want = [u for u in urls if md5(u.encode()).hexdigest()[0] == "0"] + [f"{u}/listed" for u in urls if md5(u.encode()).hexdigest()[0] == "1"]
+    assert sorted(r["url"] for r in listed_urls(pages).collect()) == sorted(want) and len(want) > 10

@@ -12,8 +12,6 @@ from tillroll.llm.url_filters import Rule
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
              Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 QUALITY_THRESHOLD = 0.3
-# fixed values: site names whose pages make up the list of URLs to block
-LISTED_SITES = ["ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets"]
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,12 +20,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:
-    """Canonical URLs of the pages on a listed site, as a block list would hold them."""
+    """A block list as the tables hold none: by the digest of the canonical URL one in 16 of the pages' URLs, and one
+    in 16 with a further path segment, which are mostly no page's."""
     url = F.col("url").cast("string")
-    sites = "|".join(LISTED_SITES)
-    return (pages.select(url_filters.url_host(url).alias("host"), url_filters.url_path(url).alias("path"))
-            .where(F.col("host").rlike(rf"(^|\.)({sites})\."))
-            .select(url_filters.canonical_url(F.col("host"), F.col("path")).alias("url")))
+    canonical = url_filters.canonical_url(url_filters.url_host(url), url_filters.url_path(url))
+    digit = F.substring(F.md5(F.col("canonical").cast("binary")), 1, 1)
+    return (pages.select(canonical.alias("canonical")).where(F.col("canonical") != "")
+            .select(F.when(digit == "0", F.col("canonical")).when(digit == "1", F.concat("canonical", F.lit("/listed"))).alias("url"))
+            .where(F.col("url").isNotNull()))
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,9 +237,9 @@ WITH p AS (
   FROM pages),
 c AS (SELECT *, host || regexp_replace(path, '/+$', '') AS canonical FROM p),
 listed AS (
-  SELECT DISTINCT canonical FROM c
-  WHERE regexp_matches(host, '(^|\.)(ads-track|casino-win|spam-farm|adult-x|cheap-pills|free-bets)\.')
-    AND canonical <> ''),
+  SELECT canonical FROM c WHERE canonical <> '' AND md5(canonical)[1] = '0'
+  UNION
+  SELECT canonical || '/listed' FROM c WHERE canonical <> '' AND md5(canonical)[1] = '1'),
 rules(verdict, rule_host, rule_path) AS (
   VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
          ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),

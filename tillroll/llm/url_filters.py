@@ -82,8 +82,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, bits_per
 
     ``listed`` has one string column, canonical URLs to block. The filter and
     the list are broadcast only while their measured size is at most
-    ``broadcast_bytes``; beyond it both joins shuffle, and URLs that the filter
-    has ruled out get keys of their own so that they spread evenly.
+    ``broadcast_bytes``. A list beyond it shuffles the possible hits alone: what
+    the filter has ruled out doesn't move. A filter beyond it is joined by
+    shuffles too.
     """
     name = listed.columns[0]
     listed = stored(listed.select(F.col(name).alias("listed_url"))
@@ -93,9 +94,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, bits_per
     bloom = bloom_table(listed, "listed_url", blocks)
     if min(n, blocks) * 80 <= broadcast_bytes:
         bloom = F.broadcast(bloom)
-    if size <= broadcast_bytes:
-        listed = F.broadcast(listed)
-
     url = F.col("url").cast("string")
     judged = (pages.select("page_id", url_host(url).alias("host"), url_path(url).alias("path"))
               .withColumn("canonical", canonical_url(F.col("host"), F.col("path")))
@@ -105,9 +103,12 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, bits_per
     for i, bit in enumerate(_lanes(F.col("canonical"))):
         possible = possible & (F.col(f"lane{i}").bitwiseAND(bit) == bit)
     judged = judged.withColumn("maybe_listed", F.coalesce(possible, F.lit(False)))
-    ruled_out = F.concat(F.lit("\x00"), F.xxhash64("page_id", "canonical").cast("string"))
-    exact = (judged.withColumn("probe", F.when(F.col("maybe_listed"), F.col("canonical")).otherwise(ruled_out))
-             .join(listed, F.col("probe") == F.col("listed_url"), "left"))
+    probe = F.col("canonical") == F.col("listed_url")
+    if size <= broadcast_bytes:
+        exact = judged.join(F.broadcast(listed), F.col("maybe_listed") & probe, "left")
+    else:
+        hits = judged.where("maybe_listed").join(listed, probe, "left")
+        exact = hits.unionByName(judged.where("not maybe_listed").withColumn("listed_url", F.lit(None).cast("string")))
     host, path = F.col("host"), F.col("path")
     return exact.select(
         "page_id", "host", "path",
