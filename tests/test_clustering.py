@@ -146,7 +146,7 @@ def test_candidates_are_drawn_from_all_rows_for_each_start(spark):
     one, many = (CL.seed_candidates(spark.createDataFrame(rows, schema).repartition(p), 2, 3, 4, 7) for p in (1, 9))
     for (a, n), (b, m) in zip(one, many, strict=True):
         assert np.array_equal(a, b) and np.array_equal(n, m)  # whatever the partitions
-        assert len(a) == 1 + 5 * 6 and n.sum() == 501 and (a == 50).all(axis=1).any()  # the far row is found
+        assert len(a) == 1 + 3 * 12 and n.sum() == 501 and (a == 50).all(axis=1).any()  # the far row is found
     assert len({c.tobytes() for c, _ in one}) == 4
     few = CL.seed_candidates(spark.createDataFrame([(1.0, 1.0, 0), (1.0, 1.0, 1)], schema), 2, 3, 2, 7)
     assert [(c.tolist(), n.tolist()) for c, n in few] == [([[1.0, 1.0]], [2.0])] * 2

@@ -373,18 +373,18 @@ def _far_rows(chosen: list[np.ndarray], n: int, seeds: list[int], d: int):
     return run
 
 
-def seed_candidates(data: DataFrame, d: int, k: int, n_init: int, seed: int, rounds: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+def seed_candidates(data: DataFrame, d: int, k: int, n_init: int, seed: int, rounds: int = 3) -> list[tuple[np.ndarray, np.ndarray]]:
     """Scalable seeding: for each start candidate centres and the rows nearest to each.
 
-    ``data`` has f0.. and uid. A round draws 2 k rows for each start, by squared
+    ``data`` has f0.. and uid. A round draws 4 k rows for each start, by squared
     distance to those drawn before, in one pass over all rows for all starts;
-    then all rows count for their nearest candidate. The driver gets 2 k rows a
+    then all rows count for their nearest candidate. The driver gets 4 k rows a
     round and start."""
     schema = "start int, key double, uid long, " + ", ".join(f"f{j} double" for j in range(d))
     top = W.partitionBy("start").orderBy(F.desc("key"), "uid")
     chosen = [np.zeros((0, d)) for _ in range(n_init)]
     for step in range(rounds + 1):
-        n = 2 * k if step else 1
+        n = 4 * k if step else 1
         seeds = [int(np.random.default_rng([seed, i, step]).integers(2**63)) for i in range(n_init)]
         got = (data.mapInArrow(_far_rows(chosen, n, seeds, d), schema).withColumn("r", F.row_number().over(top))
                .where(F.col("r") <= n).orderBy("start", "r").collect())
