@@ -7,6 +7,7 @@ import pytest
 
 from llm.test_simhash import plain_components, plain_fingerprint
 from tillroll.llm import compression_quality, lang_id, queries
+from tillroll.llm.common import stored
 from tillroll.llm.simhash import one_of_each
 from tillroll.llm.tokens import tokenizer
 
@@ -18,8 +19,10 @@ SF = "/root/testdata/sf0.001"
 
 def test_run_against_plain_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
-    langs, scores = lang_id.classify([r["text"] for r in docs], queries.naive_bayes(spark, SF))
-    kept = [r for r, x, s in zip(docs, langs, scores, strict=True) if x != "und" and s >= 0.5]
+    model = queries.naive_bayes(spark, SF)
+    langs, scores, fits = lang_id.classify_with_fit([r["text"] for r in docs], model)
+    least_fit = lang_id.least_fits(queries.language_rows(spark, SF), model)
+    kept = [r for r, x, s, f in zip(docs, langs, scores, fits, strict=True) if x != "und" and s >= 0.5 and f >= least_fit[x]]
     quality = compression_quality.score([(r["text"] or "").encode() for r in kept], queries.quality_model(spark, SF))
     kept = [r for r, s in zip(kept, quality, strict=True) if s >= 0.3]
     root = plain_components([plain_fingerprint(r["text"]) for r in kept])
@@ -59,6 +62,19 @@ def test_texts_of_no_learnt_language_are_rejected(spark, make_docs):
     assert got == set(range(2 * len(odd), len(texts)))
 
 
+def test_shares_kept_are_alike_at_two_sizes(spark):
+    """The models see ten times the rows; the share of documents that each stage keeps hardly moves."""
+    shares = []
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        docs, kept = spark.read.parquet(f"{sf}/documents.parquet"), []
+        for _, stage in corpus_pipeline.STAGES[:2]:
+            before = docs.count()
+            docs = stored(stage(spark, docs, sf), "kept")
+            kept.append(docs.count() / before)
+        shares.append(kept)
+    assert all(abs(a - b) < 0.03 and min(a, b) > 0.7 for a, b in zip(*shares, strict=True)), shares
+
+
 @pytest.mark.parametrize("rows", [1, 2_000_000])
 def test_one_of_each_with_repeated_rows_and_null_ids(make_docs, rows):
     a, b = "the first text of all here", "another one that is not like it"
