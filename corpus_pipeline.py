@@ -3,8 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame; it works on all that
 its predecessor kept. All but the last return the columns of ``documents``.
 Models are trained on the labelled rows of the tables in ``sf_dir`` with the
-same rules as the operators' own queries. Null and odd texts: those without a
-letter are rejected by language ID; an empty table passes every stage.
+same rules as the operators' own queries.
+
+Results for odd input: null texts, empty ones and those without a letter are
+rejected by language ID; texts of any length are read whole by every stage; of
+repeated rows, and of a component whose ids are all null, one row stays; equal
+fingerprints tie to the least doc_id; other columns of documents pass through
+the first three stages, whatever their names; an empty table passes every stage.
 """
 
 from __future__ import annotations
