@@ -450,7 +450,7 @@ def fit_kmeans_many(df: DataFrame, features: list[str], ks: list[int], seed: int
     by a layout that the data alone decides. An empty table raises.
     """
     rows = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)])
-    rows = fixed_layout(rows, rows.columns)
+    rows = fixed_layout(rows, rows.columns, least=4)  # a pass over few rows is mostly the start of its tasks
     data = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "kmeans-rows")
     d = len(features)
     variance = data.agg(*[F.var_pop(f"f{j}") for j in range(d)]).first()
