@@ -96,7 +96,9 @@ def test_components_of_fingerprints_against_all_pairs(spark, limit):
     assert all(min(v) == k for k, v in groups.items())
 
 
-def test_long_chain_is_one_component(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_long_chain_is_one_component(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", broadcast_rows)
     links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").repartition(5)
     got = components(links, 300).collect()
     assert len(got) == 301 and {r["root"] for r in got} == {0}

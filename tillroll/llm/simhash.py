@@ -228,32 +228,42 @@ def fingerprint_links(entries: DataFrame, count: int, max_bits: int = 2, node_li
                              .where("a <> b").distinct())
 
 
+BROADCAST_ROWS = 500_000  # of two numbers each
+
+
+def shuffled(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` narrow rows as a side of a join: beyond
+    BROADCAST_ROWS the join sorts and merges, so that no task or driver holds it."""
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
 def components(links: DataFrame, count: int, max_rounds: int = 60) -> DataFrame:
     """(node, root): every node of ``links`` (a, b) with the least node reachable
     from it; ``count`` is an upper bound of the links' number.
 
     Large-star: a node hands its larger neighbours to its least one; small-star:
     its smaller ones. A node's neighbours are only ever reduced to their least,
-    so no neighbour list is gathered. Rounds go on until nothing changes.
+    so no neighbour list is gathered. Rounds go on until one leaves every link as
+    it was.
     """
     links = stored(links.where("a <> b"), "links", rows=count, spread=True)
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stored(edges, "components", rows=count)
-    before, n = None, count
+    n = edges.count()
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = shuffled(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), 2 * n)
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = shuffled(large.groupBy("a").agg(F.min("b").alias("m")), n)
         small = large.join(least, "a")
         small = (small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        before, had = edges, n
         edges = stored(small, "components", rows=2 * n)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-        if now == before:
+        n = edges.count()
+        if n == had and edges.join(shuffled(before, n), ["a", "b"], "left_anti").isEmpty():
             break
-        before, n = now, now[0]
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
