@@ -97,6 +97,20 @@ def test_a_third_of_the_pieces_have_one_length(spark):
     assert sum(r[2] for r in rows) / (2048 * len(ends)) > 0.85  # 700 has few complements here
 
 
+def test_one_id_holds_a_third_of_the_pieces(spark):
+    rows = [(7, 0, 40, 1)] * 600 + [(None, 0, 40, 2)] * 600 + [(i, 0, 1 + i % 90, 3) for i in range(600)]
+    out = pack(spark.createDataFrame(rows, "doc_id long, start long, length long, _uid int").repartition(7), 128).collect()
+    places = {(r["sequence_id"], r["offset"]) for r in out}
+    assert len(out) == len(places) == 1800
+    none = lambda x: -1 if x is None else x
+    assert sorted((none(r[0]), *r[1:4]) for r in out) == sorted((none(r[0]), *r[1:]) for r in rows)
+    ends = defaultdict(int)
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 128 and sorted(ends) == list(range(len(ends)))
+
+
 def test_empty_table_and_clashing_columns(make_docs, whole):
     assert pack_documents(make_docs([], 1)).count() == 0
     clash = make_docs([(1, "a b c")]).selectExpr("*", "1 as start", "2 as length", "3 as offset", "4 as _rank", "5 as ids")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import parts_of, spread_rank, stored, texts_in_small_batches
+from tillroll.llm.common import fresh, parts_of, spread_rank, stored, texts_in_small_batches
 from tillroll.llm.tokens import tokenizer
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
@@ -119,7 +119,9 @@ def pack(pieces: DataFrame, window: int = 2048, rows: int | None = None) -> Data
     ``window``, any more columns). Sequences are numbered gapless from 0.
     ``rows``: about how many pieces there are, if known."""
     spark = pieces.sparkSession
-    pieces = stored(pieces, "pieces", rows, spread=True)
+    uid, columns = fresh(pieces, "_uid"), pieces.columns
+    # uid tells repeated ids apart, so that they are numbered in many tasks
+    pieces = stored(pieces.withColumn(uid, F.monotonically_increasing_id()), "pieces", rows, spread=True)
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most window rows
     full = histogram.pop(window, 0)
     patterns = minimum_bin_slack(histogram, window)
@@ -142,13 +144,13 @@ def pack(pieces: DataFrame, window: int = 2048, rows: int | None = None) -> Data
         list(by_length.items()),
         "length long, places array<struct<first_rank:long,each:long,first_window:long,offset:long>>")
 
-    ranked = spread_rank(pieces, "length", ["doc_id", "start"], ["doc_id", "start"], "_rank", sum(used.values()))
+    ranked = spread_rank(pieces, "length", ["doc_id", "start", uid], ["doc_id", "start", uid], "_rank", sum(used.values()))
     # the last place that starts at or before the rank
     place = F.element_at(F.filter("places", lambda p: p["first_rank"] <= F.col("_rank")), -1)
     at = F.col("_rank") - F.col("_place.first_rank")
     return (ranked.join(F.broadcast(plan), "length")  # at most window rows
             .withColumn("_place", place)
-            .select(*pieces.columns,
+            .select(*columns,
                     (F.col("_place.first_window") + F.floor(at / F.col("_place.each"))).cast("long").alias("sequence_id"),
                     (F.col("_place.offset") + at % F.col("_place.each") * F.col("length")).cast("long").alias("offset")))
 
