@@ -109,6 +109,42 @@ def test_random_sample_is_the_first_n_of_the_order_at_any_size(spark):
     assert SM.random_sample(df, 30_000, "id").count() == 20_000
 
 
+def test_sample_sketch_has_the_first_rows_and_all_counts(spark):
+    df = (spark.range(60_000).repartition(5)
+          .select(F.col("id").alias("Row ID"), F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("label"),
+                  F.when(F.col("id") % 5 > 0, F.lit("x")).alias("t"), F.array("id").alias("list")))
+    plain = df.orderBy(SM.hash_key("Row ID"), "Row ID").limit(40).collect()
+    sketch = SM.sample_sketch(df, 40, [SM.hash_key("Row ID"), F.col("Row ID")], "label", "Row ID")
+    first = {r["label"]: r["n"] for r in sketch.where("_first").groupBy("label").agg(F.sum("_rows").alias("n")).collect()}
+    assert first == {r["label"]: r["count"] for r in df.groupBy("label").count().collect()}
+    assert sketch.count() <= 5 * (40 + 7)
+    low = sketch.where("not _first").orderBy(SM.hash_key("Row ID"), "Row ID").limit(40)
+    assert low.select(df.columns).collect() == plain
+    assert SM.random_sample(df, 40, "Row ID", tiebreak=["Row ID"]).orderBy("Row ID").collect() == sorted(plain)
+
+    # the sample by its definition: least key of each label, then the rest in hash order
+    rows = {r["Row ID"]: r for r in df.collect()}
+    order = [r["Row ID"] for r in df.orderBy(SM.hash_key("Row ID")).select("Row ID").collect()]
+    reps = set(range(7))
+    want = reps | set([i for i in order if i not in reps][:33])
+    got = SM.cluster_safe_sample(df, "label", "Row ID", n=40).collect()
+    assert {r["Row ID"] for r in got} == want and len(got) == 40
+    assert all(rows[r["Row ID"]] == r for r in got)
+
+
+def test_samples_of_odd_tables(spark):
+    df = spark.range(500).withColumn("label", F.col("id") % 2).repartition(3)
+    none = df.limit(0)
+    assert SM.random_sample(none, 5, "id").count() == SM.cluster_safe_sample(none, "label", "id", n=5).count() == 0
+    assert SM.random_sample(df, 0, "id").count() == 0
+    same = df.select(F.lit(1).alias("id"), "label")  # repeated keys: still n rows, both labels
+    got = SM.cluster_safe_sample(same, "label", "id", n=20).collect()
+    assert len(got) == 20 and {r["label"] for r in got} == {0, 1}
+    nulls = df.select(F.when(F.col("label") == 1, F.col("id")).alias("id"), "label")
+    got = SM.cluster_safe_sample(nulls, "label", "id", n=20).collect()
+    assert len(got) == 20 and {r["label"] for r in got} == {0, 1}
+
+
 def test_forest_fit_and_predict(spark):
     rng = np.random.default_rng(1)
     rows = []
