@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.llm.topk import SortedLists, exact_type, top_k
+from tillroll.llm.topk import SortedLists, exact_type, rounds, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -27,7 +27,7 @@ def search(spark, rows, k=20, modulus=20, **kw):
     return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got)
 
 
-@pytest.mark.parametrize("kw", [{}, {"block_rows": 37, "query_rows": 5}])
+@pytest.mark.parametrize("kw", [{}, {"block_rows": 37, "query_rows": 5}, {"block_rows": 11, "query_rows": 7, "growth": 2}])
 def test_against_brute_force(spark, kw):
     rng = np.random.default_rng(1)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 0.2, (300, 8)).astype(np.float32))]
@@ -65,6 +65,37 @@ def test_stops_early_where_the_bound_allows():
     assert sorted(scores, reverse=True) == sorted(want, reverse=True)[:5] and scored < 1000
 
 
+@pytest.mark.parametrize("over", [-1, 0, 1])
+def test_a_floor_drops_only_what_is_below_it(over):
+    rng = np.random.default_rng(5)
+    v = rng.integers(-9, 10, (3000, 3))
+    q, k = np.array([7, -3, 2]), 6
+    lists = SortedLists(np.arange(3000), np.arange(3000), v)
+    want = sorted(((-s, i) for i, s in enumerate((v @ q).tolist()) if i != 4))[:k]
+    floor = -want[-1][0] + over
+    rows, scores, scored = lists.search(4, q, k, floor)
+    assert list(zip((-scores).tolist(), rows.tolist(), strict=True)) == [w for w in want if -w[0] >= floor]
+    assert scored <= lists.search(4, q, k)[2] < 3000
+
+
+def test_rounds_cover_every_block_once():
+    assert list(rounds(300, 16)) == [(0, 1), (1, 16), (16, 256), (256, 300)]
+    for count in (1, 2, 16, 17):
+        assert [b for first, last in rounds(count, 16) for b in range(first, last)] == list(range(count))
+
+
+def test_scores_beyond_the_range_of_a_long_wrap_round(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.integers(-3, 4, 3) * 2.0**25).tolist()) for i in range(200)]  # 64 x 2^25 squared is 2^62
+    as_long = lambda s: (s + 2**63) % 2**64 - 2**63
+    v = [[int(x) * 64 for x in r] for _, r in rows]
+    want = []
+    for i in range(0, 200, 20):
+        best = sorted((-as_long(sum(x * y for x, y in zip(v[i], v[j], strict=True))), j) for j in range(200) if j != i)
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best[:20])]
+    assert search(spark, rows, block_rows=30, query_rows=4) == sorted(want)
+
+
 def test_number_type_never_rounds():
     a = np.full((2, 4), 2**20, np.int64)
     assert exact_type(a // 2**18, a // 2**18) is np.float32

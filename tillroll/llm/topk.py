@@ -6,7 +6,11 @@ sorted by component. A query reads its lists from the end that suits the sign
 of its component, level by level; each candidate met gets its exact score by
 random access, and the query stops when the sum of the list values at the
 present depth, the most that an unseen candidate can score, is below its kth
-score. Spark keeps the best k over all blocks.
+score. Candidate blocks are met in rounds of growing size: after each, Spark
+keeps the best k so far, and the kth of these is the next round's floor. A
+floor tells beforehand at what depth a query stops at the latest, and scores
+below it never leave a task, so a query's rows grow with the rounds, the
+logarithm of the blocks, not with the blocks.
 
 Results for odd input: vectors that are null or hold a null or non-finite
 component take no part, as query or candidate; shorter vectors count as padded
@@ -15,7 +19,8 @@ a repeated row is a row of its own: it is a candidate for its copies, and each
 copy with a query's id gets its own k results; ties go to the smaller vec_id;
 fewer than k candidates are all returned; an empty table gives an empty
 result; other input columns are ignored, whatever their names. Components
-beyond the range of a long are cut to it, and scores that pass it wrap round.
+beyond the range of a long are cut to it, and scores that pass it wrap round
+(where one could, lists are read to the end, as no bound holds).
 """
 
 from __future__ import annotations
@@ -30,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored
 
-LEVELS = (32, 128, 512, 2048, 8192)  # list depths at which the bound is checked
+FIRST_LEVEL = 32  # list depth at which the bound is first checked; it doubles from there
+LEAST = -(2**63)  # the floor of a query that has fewer than k candidates so far
 
 
 def integer_vectors(rows: DataFrame, scale: int = 64) -> DataFrame:
@@ -43,10 +49,18 @@ def integer_vectors(rows: DataFrame, scale: int = 64) -> DataFrame:
                     F.transform(e, lambda x: F.floor(x * scale)).cast("array<long>").alias("v")))
 
 
-def blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
+def blocks(vectors: DataFrame, count: int, name: str, *more: str) -> DataFrame:
     """One row for each of ``count`` blocks; rows are dealt by uid, so copies of a vector spread."""
     return (vectors.groupBy(F.pmod(F.xxhash64("uid"), F.lit(count)).alias(name))
-            .agg(F.collect_list(F.struct("uid", "vec_id", "v")).alias(f"{name}_rows")))
+            .agg(F.collect_list(F.struct("uid", "vec_id", "v", *more)).alias(f"{name}_rows")))
+
+
+def rounds(count: int, growth: int) -> Iterator[tuple[int, int]]:
+    """First and last + 1 of the blocks of each round: one block, then ``growth`` times as many as so far in all."""
+    first, last = 0, 1
+    while first < count:
+        yield first, min(last, count)
+        first, last = last, last * growth
 
 
 def _matrix(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,10 +72,15 @@ def _matrix(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return uid.to_numpy(zero_copy_only=False), vec_id.to_numpy(zero_copy_only=False), out
 
 
+def largest_product(a: np.ndarray, b: np.ndarray) -> float:
+    """What no inner product of a row of a and a row of b exceeds, nor any part of its sum."""
+    most = lambda x: float(np.abs(x.astype(np.float64)).max()) if x.size else 0.0
+    return most(a) * most(b) * max(1, a.shape[1])
+
+
 def exact_type(a: np.ndarray, b: np.ndarray) -> type:
     """The fastest number type in which no inner product of rows of a and b is rounded."""
-    most = lambda x: float(np.abs(x.astype(np.float64)).max()) if x.size else 0.0
-    bound = most(a) * most(b) * max(1, a.shape[1])
+    bound = largest_product(a, b)
     return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
 
 
@@ -74,41 +93,61 @@ class SortedLists:
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
         self.row = {u: i for i, u in enumerate(uid.tolist())}
 
-    def search(self, uid: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Rows and scores of the k best candidates other than ``uid``, and how many were scored."""
+    def bound(self, query: np.ndarray, dims: np.ndarray, up: np.ndarray, depth: int) -> int:
+        """The most that a candidate can score which no list of ``query`` shows down to ``depth``."""
+        n = len(self.vec_id)
+        return int(query[dims] @ np.where(up, self.sorted[n - depth, dims], self.sorted[depth - 1, dims]))
+
+    def stop_depth(self, query: np.ndarray, dims: np.ndarray, up: np.ndarray, floor: int) -> int:
+        """The least depth at which the bound is below ``floor``; all of the list if it never is."""
+        low, high = 1, len(self.vec_id)
+        while floor > LEAST and low < high:
+            middle = (low + high) // 2
+            if self.bound(query, dims, up, middle) < floor:
+                high = middle
+            else:
+                low = middle + 1
+        return high
+
+    def search(self, uid: int, query: np.ndarray, k: int, floor: int = LEAST,
+               stops: bool = True) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and scores of the k best candidates other than ``uid`` of no less than ``floor``, and how many were scored.
+
+        ``stops`` is false where products may wrap round, so that no bound holds."""
         n = len(self.vec_id)
         dims = np.flatnonzero(query)
         up = query[dims] > 0
+        last = self.stop_depth(query, dims, up, floor) if stops and len(dims) else n
         seen = np.zeros(n, bool)
         if uid in self.row:
             seen[self.row[uid]] = True  # never a candidate of its own
         rows, scores = [], []
-        found, depth = 0, 0
-        for level in (*LEVELS, n):
-            level = min(level, n)
-            if level > depth:
-                read = np.zeros(n, bool)
-                read[self.order[depth:level, dims[~up]]] = True
-                read[self.order[n - level:n - depth, dims[up]]] = True
-                if not len(dims) or level == n:
-                    read[:] = True  # all scores are 0, or the lists are at their end
-                new = np.flatnonzero(read & ~seen)
-                seen |= read
-                rows.append(new)
-                scores.append(self.vectors[new] @ query)
-                found, depth = found + len(new), level
+        found, depth, level = 0, 0, FIRST_LEVEL
+        while depth < last:
+            level = min(level, last)
+            read = np.zeros(n, bool)
+            read[self.order[depth:level, dims[~up]]] = True
+            read[self.order[n - level:n - depth, dims[up]]] = True
+            if not len(dims) or level == n:
+                read[:] = True  # all scores are 0, or the lists are at their end
+            new = np.flatnonzero(read & ~seen)
+            seen |= read
+            rows.append(new)
+            scores.append(self.vectors[new] @ query)
+            found, depth, level = found + len(new), level, 2 * level
             if seen.all():
                 break
-            if found >= k:
-                bound = query[dims] @ np.where(up, self.sorted[n - depth, dims], self.sorted[depth - 1, dims])
+            if found >= k and stops and depth < last:
                 best = np.concatenate(scores)
-                if np.partition(best, found - k)[found - k] > bound:
+                if np.partition(best, found - k)[found - k] > self.bound(query, dims, up, depth):
                     break
-        rows, scores = np.concatenate(rows), np.concatenate(scores)
-        if found > k:
-            some = scores >= np.partition(scores, found - k)[found - k]
+        rows, scores = np.concatenate(rows), np.concatenate(scores).astype(np.int64)
+        some = scores >= floor
+        rows, scores = rows[some], scores[some]
+        if len(rows) > k:
+            some = scores >= np.partition(scores, len(rows) - k)[len(rows) - k]
             rows, scores = rows[some], scores[some]
-        first = np.lexsort((self.vec_id[rows], -scores))[:k]
+        first = np.lexsort((self.vec_id[rows], ~scores))[:k]  # ~ turns the order of every long, - not that of the least
         return rows[first], scores[first], found
 
 
@@ -119,39 +158,51 @@ def _search_blocks(k: int):
                 sides = [batch.column(name)[i].values for name in ("q_rows", "c_rows")]
                 width = max([1, *(x for s in sides for x in s.field(2).value_lengths().to_numpy(zero_copy_only=False))])
                 (quid, qid, q), (cuid, cid, c) = (_matrix(s, int(width)) for s in sides)
-                kind = exact_type(q, c)
+                floors = sides[0].field(3).to_pylist()
+                kind, stops = exact_type(q, c), largest_product(q, c) < 2**62
                 lists = SortedLists(cuid, cid, c.astype(kind))
                 out = []
-                for u, x in zip(quid.tolist(), q.astype(kind), strict=True):
-                    rows, scores, _ = lists.search(u, x, k)
+                for u, x, floor in zip(quid.tolist(), q.astype(kind), floors, strict=True):
+                    rows, scores, _ = lists.search(u, x, k, floor, stops)
                     out.append((rows, scores))
                 n = [len(r) for r, _ in out]
                 rows = np.concatenate([r for r, _ in out])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(quid, n)), pa.array(np.repeat(qid, n)), pa.array(cid[rows]), pa.array(cuid[rows]),
-                     pa.array(np.concatenate([s for _, s in out]).astype(np.int64))],
+                     pa.array(np.concatenate([s for _, s in out]))],
                     ["query_uid", "query_id", "vec_id", "uid", "score"])
 
     return run
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, block_rows: int = 4096,
-          query_rows: int = 2048) -> DataFrame:
+          query_rows: int = 2048, growth: int = 16) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for each row that ``is_query`` picks.
 
     A query block travels to every candidate block, so a larger ``query_rows``
-    moves less; a block pair is what one task holds.
+    moves less; a block pair is what one task holds. Each round meets
+    ``growth`` times as many candidate blocks as all before it.
     """
     vectors = stored(integer_vectors(rows, scale), "vectors")
     queries = vectors.where(is_query)
     n, nq = vectors.count(), queries.count()
     n_c, n_q = max(1, -(-n // block_rows)), max(1, -(-nq // query_rows))
+    candidates = vectors.withColumn("c", F.pmod(F.xxhash64("uid"), F.lit(n_c)))
     meet = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("q")
-    pairs = (blocks(vectors, n_c, "c").select("c", "c_rows", meet)
-             .join(blocks(queries, n_q, "q"), "q")
-             .repartition(min(n_c * n_q, 20_000), "q", "c"))
     best = W.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
-    return (pairs.select("q_rows", "c_rows")
-            .mapInArrow(_search_blocks(k), "query_uid long, query_id long, vec_id long, uid long, score long")
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    found = None
+    for first, last in rounds(n_c, growth):
+        if found is None:
+            asked = queries.withColumn("floor", F.lit(LEAST))
+        else:
+            kth = found.where(F.col("rank") == k).select(F.col("query_uid").alias("uid"), F.col("score").alias("floor"))
+            asked = queries.join(kth, "uid", "left").withColumn("floor", F.coalesce("floor", F.lit(LEAST)))
+        some = candidates.where(F.col("c").between(first, last - 1)).drop("c")
+        pairs = (blocks(some, n_c, "c").select("c", "c_rows", meet)
+                 .join(blocks(asked, n_q, "q", "floor"), "q")
+                 .repartition(min((last - first) * n_q, 20_000), "q", "c"))
+        new = (pairs.select("q_rows", "c_rows")
+               .mapInArrow(_search_blocks(k), "query_uid long, query_id long, vec_id long, uid long, score long"))
+        every = new if found is None else found.drop("rank").unionByName(new)
+        found = stored(every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "best")
+    return found.select("query_id", "rank", "vec_id", "score")
