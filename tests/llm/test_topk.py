@@ -60,7 +60,8 @@ def test_stops_early_where_the_bound_allows():
     v[:, 0] = np.arange(5000)  # one dimension decides
     v[:, 1:] = [[rng.randrange(3) for _ in range(3)] for _ in range(5000)]
     lists = SortedLists(np.arange(5000), np.arange(5000), v)
-    rows, scores, scored = lists.search(-1, np.array([10.0, 1, 0, -1]), 5)
+    query = np.array([10.0, 1, 0, -1])
+    rows, scores, scored = lists.search(-1, query, lists.bounds(query[None])[0], 5)
     want = v @ np.array([10.0, 1, 0, -1])
     assert sorted(scores, reverse=True) == sorted(want, reverse=True)[:5] and scored < 1000
 
@@ -73,9 +74,10 @@ def test_a_floor_drops_only_what_is_below_it(over):
     lists = SortedLists(np.arange(3000), np.arange(3000), v)
     want = sorted(((-s, i) for i, s in enumerate((v @ q).tolist()) if i != 4))[:k]
     floor = -want[-1][0] + over
-    rows, scores, scored = lists.search(4, q, k, floor)
+    bounds = lists.bounds(q[None])[0]
+    rows, scores, scored = lists.search(4, q, bounds, k, floor)
     assert list(zip((-scores).tolist(), rows.tolist(), strict=True)) == [w for w in want if -w[0] >= floor]
-    assert scored <= lists.search(4, q, k)[2] < 3000
+    assert scored <= lists.search(4, q, bounds, k)[2] < 3000
 
 
 def test_rounds_cover_every_block_once():

@@ -9,8 +9,8 @@ present depth, the most that an unseen candidate can score, is below its kth
 score. Candidate blocks are met in rounds of growing size: after each, Spark
 keeps the best k so far, and the kth of these is the next round's floor. A
 floor tells beforehand at what depth a query stops at the latest, and scores
-below it never leave a task, so a query's rows grow with the rounds, the
-logarithm of the blocks, not with the blocks.
+below it never leave a task, so the rows that a query sends grow with the
+rounds, the logarithm of the blocks, and not with the blocks.
 
 Results for odd input: vectors that are null or hold a null or non-finite
 component take no part, as query or candidate; shorter vectors count as padded
@@ -25,6 +25,7 @@ beyond the range of a long are cut to it, and scores that pass it wrap round
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored
 
-FIRST_LEVEL = 32  # list depth at which the bound is first checked; it doubles from there
+FIRST_LEVEL, STEP = 32, 2**0.5  # list depth at which the bound is first checked, and the ratio of the depths after it
 LEAST = -(2**63)  # the floor of a query that has fewer than k candidates so far
 
 
@@ -92,54 +93,53 @@ class SortedLists:
         self.order = np.argsort(vectors, axis=0, kind="stable")  # depth x dimension, smallest first
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
         self.row = {u: i for i, u in enumerate(uid.tolist())}
+        steps = np.arange(max(0, math.ceil(math.log(max(1, len(uid)) / FIRST_LEVEL, STEP))))
+        self.levels = np.append((FIRST_LEVEL * STEP**steps).astype(np.int64), len(uid))
 
-    def bound(self, query: np.ndarray, dims: np.ndarray, up: np.ndarray, depth: int) -> int:
-        """The most that a candidate can score which no list of ``query`` shows down to ``depth``."""
-        n = len(self.vec_id)
-        return int(query[dims] @ np.where(up, self.sorted[n - depth, dims], self.sorted[depth - 1, dims]))
-
-    def stop_depth(self, query: np.ndarray, dims: np.ndarray, up: np.ndarray, floor: int) -> int:
-        """The least depth at which the bound is below ``floor``; all of the list if it never is."""
-        low, high = 1, len(self.vec_id)
-        while floor > LEAST and low < high:
-            middle = (low + high) // 2
-            if self.bound(query, dims, up, middle) < floor:
-                high = middle
-            else:
-                low = middle + 1
-        return high
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """For each query and each of ``levels``, the most that a candidate can score which no list shows down to there."""
+        return (np.maximum(queries, 0) @ self.sorted[len(self.uid) - self.levels].T
+                + np.minimum(queries, 0) @ self.sorted[self.levels - 1].T)
 
-    def search(self, uid: int, query: np.ndarray, k: int, floor: int = LEAST,
-               stops: bool = True) -> tuple[np.ndarray, np.ndarray, int]:
-        """Rows and scores of the k best candidates other than ``uid`` of no less than ``floor``, and how many were scored.
+    def search(self, uid: int, query: np.ndarray, bounds: np.ndarray | None, k: int,
+               floor: int = LEAST) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and scores of the k best candidates other than ``uid`` of no less than ``floor``, and how many were met.
 
-        ``stops`` is false where products may wrap round, so that no bound holds."""
+        ``bounds`` is the query's row of ``bounds``, none where products may wrap round, so that no bound holds.
+        Once the lists would take more reads to the next level than there are unmet candidates, these are scored
+        without them."""
         n = len(self.vec_id)
         dims = np.flatnonzero(query)
         up = query[dims] > 0
-        last = self.stop_depth(query, dims, up, floor) if stops and len(dims) else n
+        if bounds is None or not len(dims):
+            levels = [n]  # no bound holds, or all scores are 0
+        else:
+            enough = np.flatnonzero(bounds < floor)
+            levels = self.levels[:enough[0] + 1] if len(enough) else self.levels
         seen = np.zeros(n, bool)
         if uid in self.row:
             seen[self.row[uid]] = True  # never a candidate of its own
-        rows, scores = [], []
-        found, depth, level = 0, 0, FIRST_LEVEL
-        while depth < last:
-            level = min(level, last)
+        rows, scores, every = [], [], None
+        found, depth = 0, 0
+        for level in levels:
             read = np.zeros(n, bool)
-            read[self.order[depth:level, dims[~up]]] = True
-            read[self.order[n - level:n - depth, dims[up]]] = True
-            if not len(dims) or level == n:
-                read[:] = True  # all scores are 0, or the lists are at their end
+            if level == n or len(dims) * (level - depth) > n - np.count_nonzero(seen):
+                level, read[:] = n, True
+            else:
+                read[self.order[depth:level, dims[~up]]] = True
+                read[self.order[n - level:n - depth, dims[up]]] = True
             new = np.flatnonzero(read & ~seen)
             seen |= read
+            if every is None and 8 * len(new) > n:
+                every = self.vectors @ query  # cheaper than gathering that many rows
             rows.append(new)
-            scores.append(self.vectors[new] @ query)
-            found, depth, level = found + len(new), level, 2 * level
+            scores.append(self.vectors[new] @ query if every is None else every[new])
+            found, depth = found + len(new), level
             if seen.all():
                 break
-            if found >= k and stops and depth < last:
+            if found >= k and level < n:
                 best = np.concatenate(scores)
-                if np.partition(best, found - k)[found - k] > self.bound(query, dims, up, depth):
+                if np.partition(best, found - k)[found - k] > bounds[np.searchsorted(self.levels, level)]:
                     break
         rows, scores = np.concatenate(rows), np.concatenate(scores).astype(np.int64)
         some = scores >= floor
@@ -159,11 +159,12 @@ def _search_blocks(k: int):
                 width = max([1, *(x for s in sides for x in s.field(2).value_lengths().to_numpy(zero_copy_only=False))])
                 (quid, qid, q), (cuid, cid, c) = (_matrix(s, int(width)) for s in sides)
                 floors = sides[0].field(3).to_pylist()
-                kind, stops = exact_type(q, c), largest_product(q, c) < 2**62
-                lists = SortedLists(cuid, cid, c.astype(kind))
+                kind = exact_type(q, c)
+                q, lists = q.astype(kind), SortedLists(cuid, cid, c.astype(kind))
+                bounds = lists.bounds(q) if largest_product(q, c) < 2**62 else [None] * len(q)
                 out = []
-                for u, x, floor in zip(quid.tolist(), q.astype(kind), floors, strict=True):
-                    rows, scores, _ = lists.search(u, x, k, floor, stops)
+                for u, x, most, floor in zip(quid.tolist(), q, bounds, floors, strict=True):
+                    rows, scores, _ = lists.search(u, x, most, k, floor)
                     out.append((rows, scores))
                 n = [len(r) for r, _ in out]
                 rows = np.concatenate([r for r, _ in out])
