@@ -58,3 +58,19 @@ def test_silhouette_in_range(spark, pts):
                                "id long, label long, vec array<double>")
     s = [r["silhouette"] for r in CL.silhouette_samples(df, "id", "vec", "label").collect()]
     assert all(-1.0 - 1e-12 <= v <= 1.0 + 1e-12 for v in s)
+
+
+def test_partitions_are_coalesced_to_sixteen_megabytes(spark):
+    from pyspark.sql import functions as F
+    from tillroll.session import BASE_CONF
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BASE_CONF[key])
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = spark.range(3_000_000).select(F.md5(F.col("id").cast("string")).alias("k")).distinct()  # some 110 MB
+        parts = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 750_000
