@@ -5,6 +5,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.sources import csv_records as CR
 from tillroll.sources.retail_csv import csv_problems, read_transactions_csv, scan_text
@@ -77,3 +78,35 @@ def test_files_without_breaks_keep_the_plain_scan(spark, tmp_path):
     (tmp_path / "f.csv").write_text(written([HEADER, ["1", "s", 'a "b", c', "2", "12/1/2010 8:26", "2.5", "", "UK"]], "\r\n"), newline="")
     assert not CR.has_broken_fields(spark, str(tmp_path))
     assert read_transactions_csv(spark, str(tmp_path)).first()["Description"] == 'a "b", c'
+
+
+@pytest.mark.parametrize("breaks", [False, True])
+def test_a_file_is_parsed_once(spark, tmp_path, breaks):
+    from tillroll.sources.retail_csv import read_transactions_csv
+    path = tmp_path / "t.csv"
+    text = '"one, ""two""\r\nthree"' if breaks else "one"
+    path.write_bytes(("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                      + "".join(f"{i},s{i},{text},{i},{i % 12 + 1}/{i % 28 + 1}/2010 8:05,1.5,17850.0,UK\n" for i in range(1, 60))).encode())
+    df = read_transactions_csv(spark, str(path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan.lower() and "MapInArrow" not in plan and "FileScan csv" not in plan
+    rows = df.orderBy("Quantity").collect()
+    assert len(rows) == 59 and rows[0]["InvoiceDate"].month == 2
+    assert {r["Description"] for r in rows} == {'one, "two"\r\nthree' if breaks else "one"}
+
+
+def test_formats_are_tried_on_their_separators_alone(spark):
+    from tillroll.functions.columns import TIMESTAMP_FORMATS, _format_signs, parse_timestamp, timestamp_format
+    texts = ["2010-12-01 08:26:00", "2010-12-01 08:26", "2010-12-01T08:26:00", "2010-12-01t08:26:00", "12/1/2010 8:26", "12/1/2010 8:26:01",
+             "31/12/2010 8:26", "2010-12-01", "12/31/2010", " 2010-12-01", "2010-12-01 ", "+2010-12-01", "-5/1/2010", "x", "", "1/2", None]
+    for text in texts:
+        df = spark.createDataFrame([(text,)], "d string")
+        plain = [f for f in TIMESTAMP_FORMATS if df.where(F.col("d").isNotNull() & parse_timestamp("d", f).isNull()).isEmpty()]
+        if plain:
+            assert timestamp_format(df, "d") == plain[0]
+        else:
+            with pytest.raises(ValueError, match="no timestamp format"):
+                timestamp_format(df, "d")
+    assert _format_signs("yyyy-MM-dd HH:mm") == " :" and _format_signs("d MMM yyyy") is None
+    month = spark.createDataFrame([("1 Dec 2010",)], "d string")
+    assert timestamp_format(month, "d", ["yyyy-MM-dd", "d MMM yyyy"]) == "d MMM yyyy"
