@@ -170,3 +170,12 @@ def test_kmeans_fit_recovers_blobs(spark):
     lab = CL.assign_nearest(flat, [f"f{i}" for i in range(4)], CL.model_centroids(model))
     pairs = {(int(L[r["id"]]), r["Cluster"]) for r in lab.collect()}
     assert len(pairs) == 3
+
+
+def test_nearest_centre_works_along_the_points():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 3)).round(1)
+    centres = np.vstack([x[:4], x[:2]])  # equal centres: the first wins
+    at, near = CL._nearest(tuple(x.T), centres)
+    dist = sum((x[:, j, None] - centres[None, :, j]) ** 2 for j in range(3))
+    assert (at == dist.argmin(axis=1)).all() and (near == dist.min(axis=1)).all()
