@@ -28,6 +28,7 @@ from tillroll.operators import rfm as R
 from tillroll.operators import sampling as SM
 from tillroll.operators import segments as SG
 from tillroll.plans import reports as RP
+from tillroll.session import partitions_for
 from tillroll.sources.sinks import head, materialize, write_report, write_table
 from tillroll.sources.tracking import log_run, save_model, step_run_id
 
@@ -258,6 +259,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
     try:
         t0 = time.time()
         raw = materialize(raw, "raw_lines")  # the load: one scan of the sources, like reading the file
+        partitions_for(spark, raw.count())
         timings["load"] = detail["load"] = time.time() - t0
         pool("chain")
         cleaned = run("clean", lambda: clean_step(raw)).tables["clean"]
