@@ -29,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -69,18 +70,19 @@ class PieceLattice:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.pieces: dict[str, tuple[float, bytes]] = {}
-        self.spelling: list[bytes] = []  # what each id decodes to
+        spelling: list[bytes] = []  # what each id decodes to
         byte_ids: dict[int, int] = {}
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 byte_ids[int(piece[3:-1], 16)] = i
-                self.spelling.append(bytes([int(piece[3:-1], 16)]))
+                spelling.append(bytes([int(piece[3:-1], 16)]))
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self.spelling.append(b"")
+                spelling.append(b"")
             else:
                 self.pieces[piece] = (model.get_score(i), i.to_bytes(4, "little"))
-                self.spelling.append(piece.replace(BLANK, " ").encode())
+                spelling.append(piece.replace(BLANK, " ").encode())
+        self.spelling = np.array(spelling, object)
         self.byte_ids = [byte_ids[b].to_bytes(4, "little") for b in range(256)]
         self.unknown = min(s for s, _ in self.pieces.values() if s > -1e8) - 10
         self.longest = max(map(len, self.pieces))
@@ -136,6 +138,8 @@ class PieceLattice:
 
     def cut(self, stretch: str) -> list[str]:
         """The parts between places that no piece spans."""
+        if self.joined.issuperset(map(add, stretch, stretch[1:])):
+            return [stretch]
         at = [i for i in range(1, len(stretch)) if stretch[i - 1:i + 1] not in self.joined]
         return [stretch[a:b] for a, b in zip([0, *at], [*at, len(stretch)], strict=True)]
 
@@ -168,11 +172,15 @@ class PieceLattice:
         if n == 1:
             return out
         # n - 1 single changes beat any path that needs another stretch
-        few = heapq.nsmallest(n - 1, [(g[2], i) for i, g in enumerate(got)])
-        combined: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
-        for loss, i in sorted(few):
+        losses, few = [g[2] for g in got], []
+        for _ in range(min(n - 1, len(got))):
+            loss = min(losses)
             if loss == float("inf"):
-                continue
+                break
+            few.append((loss, losses.index(loss)))
+            losses[few[-1][1]] = float("inf")
+        combined: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
+        for _, i in few:
             paths = self.stretch_nbest(lead + stretches[i], n)
             combined = heapq.nsmallest(n, [
                 (lost + paths[0][0] - s, {**change, i: ids} if k else change)
@@ -194,7 +202,7 @@ class PieceLattice:
         return combined
 
     def decode(self, ids: bytes) -> str:
-        text = b"".join(map(self.spelling.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        text = b"".join(self.spelling[np.frombuffer(ids, "<u4")].tolist()).decode("utf-8", "replace")
         return text.removeprefix(" ")
 
 
