@@ -38,6 +38,7 @@ def test_transaction_queries_set_it_and_others_do_not(spark, two_partitions, mon
     assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
 
 
-def test_only_nations_are_broadcast(spark):
+def test_many_customers_and_parts_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 10)
     plan = S.retail_dirty(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") <= 1 and plan.count("SortMergeJoin") == 3
