@@ -85,6 +85,7 @@ class PieceLattice:
         self.spelling = np.array(spelling, object)
         self.byte_ids = [byte_ids[b].to_bytes(4, "little") for b in range(256)]
         self.unknown = min(s for s, _ in self.pieces.values() if s > -1e8) - 10
+        self.exact = all(s.is_integer() and s > -2**31 for s, _ in self.pieces.values())  # any order of adding gives the same
         self.longest = max(map(len, self.pieces))
         self.finder = ahocorasick.Automaton()
         for piece, (score, ids) in self.pieces.items():
@@ -97,17 +98,21 @@ class PieceLattice:
 
     # -- the lattice of one part ------------------------------------------
 
-    def _edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
-        """For each node the edges that end there (start, score, ids), and the
-        best score from the start, by a forward Viterbi pass."""
-        edges: list[list] = [[] for _ in range(len(part) + 1)]
-        best = [0.0] + [-float("inf")] * len(part)
+    def _found(self, part: str) -> Iterator[tuple[int, tuple[int, float, bytes]]]:
+        """The lattice's edges by their last characters: size, score, ids."""
         found = self.finder.iter(part)  # all pieces in the part, by their ends
         if not self.single.issuperset(part):
             spelt = [(i, (1, self.unknown, b"".join([self.byte_ids[x] for x in c.encode()])))
                      for i, c in enumerate(part) if c not in self.single]
             found = heapq.merge(found, spelt, key=lambda x: x[0])
-        for end, (size, score, ids) in found:
+        return found
+
+    def _edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
+        """For each node the edges that end there (start, score, ids), and the
+        best score from the start, by a forward Viterbi pass."""
+        edges: list[list] = [[] for _ in range(len(part) + 1)]
+        best = [0.0] + [-float("inf")] * len(part)
+        for end, (size, score, ids) in self._found(part):
             end += 1
             a = end - size
             edges[end].append((a, score, ids))
@@ -144,6 +149,28 @@ class PieceLattice:
         return [stretch[a:b] for a, b in zip([0, *at], [*at, len(stretch)], strict=True)]
 
     def _best_of_part(self, part: str) -> tuple[bytes, float, float]:
+        """By the two best scores of every node. Where scores tie, or don't add up exactly, the search decides."""
+        if self.exact:
+            none = -float("inf")
+            best, second, back = [0.0] + [none] * len(part), [none] * (len(part) + 1), [None] * (len(part) + 1)
+            for end, edge in self._found(part):
+                end += 1
+                a, score = end - edge[0], edge[1]
+                through = best[a] + score
+                if through > best[end]:
+                    other = second[a] + score
+                    second[end] = best[end] if best[end] > other else other
+                    best[end], back[end] = through, edge
+                elif through > second[end]:
+                    second[end] = through
+            if best[-1] > second[-1]:
+                ids, at = [], len(part)
+                while at:
+                    edge = back[at]
+                    ids.append(edge[2])
+                    at -= edge[0]
+                ids.reverse()
+                return b"".join(ids), best[-1], best[-1] - second[-1]
         first, *second = itertools.islice(self.search(part), 2)
         return first[1], first[0], first[0] - second[0][0] if second else float("inf")
 
