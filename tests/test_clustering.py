@@ -108,6 +108,48 @@ def test_sweep_fits_every_k_and_scores_the_whole_sample(spark):
     assert rows[3]["silhouette"] == pytest.approx(_brute(X, L)[0].mean(), rel=1e-9)
 
 
+def _mean_silhouettes(X, labels):
+    """Brute force over all rows, a few rows at a time."""
+    total = np.zeros(len(labels))
+    for i in range(0, len(X), 500):
+        D = np.sqrt(((X[i:i + 500, None, :] - X[None, :, :]) ** 2).sum(-1))
+        for m, L in enumerate(labels):
+            ids, n = np.unique(L, return_counts=True)
+            sums = np.stack([D[:, L == c].sum(axis=1) for c in ids], axis=1)
+            own = np.searchsorted(ids, L[i:i + 500])
+            r = np.arange(len(own))
+            a, mean = sums[r, own] / np.maximum(n[own] - 1, 1), sums / n
+            mean[r, own] = np.inf
+            b = mean.min(axis=1)
+            ok = (n[own] > 1) & np.isfinite(b) & (np.maximum(a, b) > 0)
+            total[m] += ((b - a)[ok] / np.maximum(a, b)[ok]).sum()
+    return total / len(X)
+
+
+def test_sweep_scores_all_rows(spark):
+    rng = np.random.default_rng(11)
+    X = np.vstack([rng.normal(size=(9000, 2)), rng.normal([3, 1], 0.5, size=(3000, 2))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(X)], "id long, a double, b double")
+    got = CL.k_sweep(df, ["a", "b"], "id", ks=[2, 3], n_init=1).collect()
+    fits = CL.fit_kmeans_many(df, ["a", "b"], [2, 3], n_init=1)
+    labels = [((X[:, None] - fits[k].centroids[None]) ** 2).sum(-1).argmin(axis=1) for k in (2, 3)]
+    assert [r["silhouette"] for r in got] == pytest.approx(_mean_silhouettes(X, labels).tolist(), rel=1e-9)
+
+
+def test_whole_silhouettes_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(CL, "BLOCK_ROWS", 170)  # many blocks
+    monkeypatch.setattr(CL, "TILE", (16, 64))
+    rng = np.random.default_rng(12)
+    X = np.vstack([rng.normal(size=(500, 3)), rng.normal(size=(300, 3)).round(), np.tile([[1.0, 2.0, 3.0]], (150, 1)), [[1e6, 0, 0], [1e6, 1e-7, 0]],
+                   1e5 + rng.normal(scale=1e-4, size=(48, 3))])  # equal rows, far ones and close ones among them
+    labels = [rng.integers(0, 2, len(X)), np.where(X[:, 0] > 0, 4, X[:, 1] > 0) - (X[:, 0] > 2), np.zeros(len(X), int), np.arange(len(X)) // 999]
+    rows = [(None if i % 5 == 0 else i // 3, *map(float, x), *[int(v[i]) for v in labels]) for i, x in enumerate(X)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, p int, q int, r int, s int").repartition(3)
+    got = CL.silhouette_means(df, ["a", "b", "c"], {"p": 2, "q": 6, "r": 1, "s": 2}, "id")  # q has empty clusters, r one, s a row alone
+    assert got == pytest.approx(_mean_silhouettes(X, labels).tolist(), abs=1e-10)
+    assert CL.silhouette_means(df.select("id", "a", "p"), ["a"], {"p": 2}, "id") == pytest.approx(_mean_silhouettes(X[:, :1], labels[:1]).tolist(), abs=1e-10)
+
+
 def test_fit_does_not_depend_on_the_layout(spark):
     df, _, _ = _points(spark, n=120, k=3, singleton=False, sep=1.0)
     flat = df.select("id", *[F.col("vec")[i].alias(f"f{i}") for i in range(4)])
